@@ -20,11 +20,16 @@ HASH = "__key_hash"
 
 @dataclass(frozen=True)
 class SkewOptions:
-    """When a key is heavy, and over how many partitions its rows are spread."""
+    """When a key is heavy, and over how many partitions its rows are spread.
+
+    ``right_keys`` may name a cheaper source of the right side's keys to look for heavy ones in, such as the versions
+    of cells that are yet to be folded.
+    """
 
     min_rows: int = 1_000_000
     share: float = 1 / 200
     salts: int = 64
+    right_keys: DataFrame | None = None
 
 
 def key_hash(on: Sequence[str]) -> Column:
@@ -77,7 +82,8 @@ def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "
         if fits_broadcast(right) or (how == "inner" and fits_broadcast(left)):
             return left.join(right, on, how)
         options = SkewOptions()
-    in_left, in_right = heavy_keys(left, on, options), heavy_keys(right, on, options)
+    in_left = heavy_keys(left, on, options)
+    in_right = heavy_keys(right if options.right_keys is None else options.right_keys, on, options)
     left_heavy = {h for h, n in in_left.items() if n >= in_right.get(h, 0)}
     right_heavy = set(in_right) - left_heavy
     if not left_heavy and not right_heavy:

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from rowloom.model import CELL_ID, ROUTE, cell_schema, counter_schema
 from rowloom.operators.resolve import fold_counters, latest_versions, live
+from rowloom.plans.skew import SkewOptions, fits_broadcast
 from rowloom.sources.log import BatchLog
 
 Mapper = Callable[[DataFrame], DataFrame]
@@ -51,9 +52,31 @@ class CellStore:
                 rows = rows.where(F.col(name) == wanted)
         return rows
 
-    def cells(self, keyspace: str | None = None, table: str | None = None, as_of: Column | None = None) -> DataFrame:
-        """The current cells."""
-        return live(latest_versions(self.versions(keyspace, table)), as_of).select(*ROUTE, *CELL_ID, "value")
+    def cells(self, keyspace: str | None = None, table: str | None = None, as_of: Column | None = None,
+              requests: DataFrame | None = None) -> DataFrame:
+        """The current cells; with ``requests``, at least those of the requested rows.
+
+        Requests small enough to be broadcast leave out all other rows before the fold, so only the cells that are
+        asked for are shuffled.  Filters on key and column name reach the scan by themselves.
+        """
+        rows = self.versions(keyspace, table)
+        if requests is not None:
+            keys = requests.select("row_key")
+            if fits_broadcast(keys):
+                rows = rows.join(keys.distinct(), "row_key", "left_semi")
+        return live(latest_versions(rows), as_of).select(*ROUTE, *CELL_ID, "value")
+
+    def lookup(self, requests: DataFrame, how: Callable[..., DataFrame], keyspace: str | None = None,
+               table: str | None = None, as_of: Column | None = None, **bounds) -> DataFrame:
+        """Answer requests from one table with one of the lookup operators.
+
+        Heavy rows are looked for in the unfolded log, so the fold runs once.
+        """
+        cells = self.cells(keyspace, table, as_of, requests).drop(*ROUTE)
+        options = None
+        if not fits_broadcast(requests):
+            options = SkewOptions(right_keys=self.versions(keyspace, table))
+        return how(requests, cells, options=options, **bounds)
 
     def compact(self, keep_last: int = 1, purge_before: Column | None = None) -> int | None:
         """Fold batches into a snapshot.  Deleted cells are kept, since an older write may still arrive.

@@ -1,4 +1,4 @@
-"""Small sources for trying things out."""
+"""Sources: requests, files as streams, and random words for trying things out."""
 
 from __future__ import annotations
 
@@ -25,14 +25,15 @@ def random_word_stream(spark: SparkSession, per_second: int = 10, seed: int = 42
     return rate.select("timestamp", _word(F.xxhash64("value", F.lit(seed))).alias("word"))
 
 
-def file_stream(spark: SparkSession, path: str, schema: T.StructType, name: str | None = None,
-                max_files: int | None = None) -> DataFrame:
-    """A folder of Parquet files as a stream; ``max_files`` bounds a micro-batch, ``name`` selects files."""
+def file_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
+    """A folder of Parquet files, or a single file, as a stream; ``max_files`` bounds a micro-batch."""
     reader = spark.readStream.schema(schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    if name is not None:
-        reader = reader.option("pathGlobFilter", name)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).getFileStatus(place).isFile():
+        folder, name = path.rsplit("/", 1)
+        return reader.option("pathGlobFilter", name).parquet(folder)
     return reader.parquet(path)
 
 

@@ -85,16 +85,16 @@ def state_stream(stream: DataFrame, state: StateStore, write_ts: str | Column, c
     return each_batch(stream, _checked(write, None, None, None, then), checkpoint, available_now)
 
 
-def lookup_stream(stream: DataFrame, cells: Callable[[], DataFrame],
-                  lookup: Callable[[DataFrame, DataFrame], DataFrame], out: Batch, checkpoint: str,
+def lookup_stream(stream: DataFrame, lookup: Callable[[DataFrame], DataFrame], out: Batch, checkpoint: str,
                   available_now: bool = True) -> StreamingQuery:
-    """Answer the requests of each micro-batch with one join.
+    """Answer the requests of each micro-batch with one join and hand the answers to ``out``.
 
-    ``cells`` is called for every batch, since a table opened before the stream would never show later writes.
+    ``lookup`` must open the cells itself, as ``CellStore.lookup`` does: it is called for every batch, and a table opened
+    before the stream would never show later writes.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        out(lookup(batch, cells()), batch_id)
+        out(lookup(batch), batch_id)
 
     return each_batch(stream, handle, checkpoint, available_now)
 

@@ -7,7 +7,7 @@ from rowloom import jobs
 from rowloom.operators import ErrorPolicy, Write, lookup_row, map_counter, map_default, split_words
 from rowloom.session import shared_dir
 from rowloom.sources import Aggregate, BatchLog, CellStore, CounterStore, StateOptions, StateStore
-from rowloom.sources.demo import file_stream
+from rowloom.sources.streams import file_stream
 from rowloom.streaming import increment_stream, lookup_stream, put_stream, state_stream
 from rowloom.suite.lookups import CUSTOMER, CUSTOMER_CELLS, FOUND, ORDER_REQUESTS
 from rowloom.suite.registry import SQL, query
@@ -16,7 +16,7 @@ from rowloom.suite.writes import LATEST_EVENT, event_cells, shown
 
 def stream_of(t, name):
     """A given table as a stream, read where it lies."""
-    return file_stream(t.spark, t.sf_dir, getattr(t, name).schema, f"{name}.parquet")
+    return file_stream(t.spark, f"{t.sf_dir}/{name}.parquet", getattr(t, name).schema, max_files=1000)
 
 
 @query(SQL["upsert_latest"])
@@ -99,6 +99,6 @@ def stream_lookup(t):
     for name in ("row_key", "column_name", "value"):
         schema = schema.add(name, T.StringType())
     out = BatchLog(t.spark, f"{root}/found", schema)
-    lookup_stream(asked, lambda: store.cells(table="customer"), lookup_row, out.append,
+    lookup_stream(asked, lambda batch: store.lookup(batch, lookup_row, table="customer"), out.append,
                   f"{root}/checkpoint").awaitTermination()
     return out.read().select("id", "row_key", "column_name", "value")
