@@ -15,7 +15,7 @@ def _sharers(requests: DataFrame, sharers: DataFrame, options: SkewOptions | Non
 
 
 def _answer(requests: DataFrame, counts: DataFrame, name: str, options: SkewOptions | None) -> DataFrame:
-    joined = skew_join(requests, counts, ["url"], "left", options)
+    joined = skew_join(requests, counts, ["url"], "left", options, unique_right=True)
     return joined.select(*requests.columns, F.coalesce(name, F.lit(0).cast("long")).alias(name))
 
 
@@ -32,10 +32,10 @@ def _around_largest(pairs: DataFrame, followers: DataFrame, options: SkewOptions
     """
     edges = followers.select("source", "follower").distinct()
     sizes = edges.groupBy("source").agg(F.count("*").alias("n"))
-    sized = skew_join(pairs, sizes, ["source"], options=options)
+    sized = skew_join(pairs, sizes, ["source"], options=options, unique_right=True)
     largest = sized.groupBy("url").agg(F.max(F.struct("n", "source")).alias("top")).select("url", "top.*")
     base = largest.withColumnRenamed("source", "base").withColumnRenamed("n", "base_n")
-    others = skew_join(sized.select("url", "source"), base, ["url"], options=options)
+    others = skew_join(sized.select("url", "source"), base, ["url"], options=options, unique_right=True)
     others = others.where(F.col("source") != F.col("base"))
     listed = skew_join(others.select("url", "base", "source"), edges, ["source"], options=options)
     listed = listed.select("url", "base", "follower").distinct()
@@ -66,5 +66,6 @@ def active_sources(requests: DataFrame, sharers: DataFrame, followers: DataFrame
     """Each request and the number of distinct sources that shared its url and have at least one follower."""
     pairs = _sharers(requests, sharers, options)
     followed = followers.select("source").distinct()
-    counts = skew_join(pairs, followed, ["source"], options=options).groupBy("url").agg(F.count("*").alias("sources"))
+    counts = skew_join(pairs, followed, ["source"], options=options, unique_right=True)
+    counts = counts.groupBy("url").agg(F.count("*").alias("sources"))
     return _answer(requests, counts, "sources", options)

@@ -9,14 +9,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowloom.functions.text import state_key, words
+from rowloom.functions.text import state_key
 from rowloom.operators.lookup import multi_get
-from rowloom.plans.skew import SkewOptions, heavy_keys, key_hash
+from rowloom.plans.skew import SkewOptions, key_counts, key_hash
 
 
 def split_words(df: DataFrame, sentence: str, word: str = "word", keep: Sequence[str] = ()) -> DataFrame:
-    """One row per word of a sentence."""
-    return df.select(*keep, F.explode(words(sentence)).alias(word))
+    """One row per non-empty word of a sentence, split on one space."""
+    return df.select(*keep, F.explode(F.split(sentence, " ")).alias(word)).where(F.col(word) != "")
 
 
 def count_by(df: DataFrame, *keys: str, name: str = "count") -> DataFrame:
@@ -77,21 +77,22 @@ def _with_bucket(df: DataFrame, ordinal: Column, marks: Sequence[float], name: s
     return df
 
 
-def running_count(df: DataFrame, key: str, order: str, options: SkewOptions | None = None, depth: int = 12,
+def running_count(df: DataFrame, key: str, order: str, options: SkewOptions | None = None,
                   name: str = "count") -> DataFrame:
     """Each row with the number of rows of its key so far, by ``order`` (unique within a key).
 
-    Rows of a heavy key are cut along ``order`` into up to 2**depth buckets at quantiles of the whole table, counted
-    inside each bucket, and raised by the sizes of the buckets before it; other keys stay in one piece.  Where the
-    quantiles fall steers only the balance, not the result.
+    Rows of a heavy key are cut along ``order`` into buckets at quantiles of the whole table, counted inside each
+    bucket, and raised by the sizes of the buckets before it; other keys stay in one piece.  Where the quantiles fall
+    steers only the balance, not the result.
     """
+    options = options or SkewOptions()
     ordinal = _ordinal(df, order)
-    heavy = heavy_keys(df, [key], options or SkewOptions())
+    heavy, rows = key_counts(df, [key], options)
     if not heavy:
         upto = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(name, F.count("*").over(upto))
 
-    buckets = 2**depth
+    buckets = 2 ** min(max(math.ceil(math.log2(rows / options.min_rows)), 4), 14)
     cuts = df.select(ordinal.alias("o")).approxQuantile("o", [i / buckets for i in range(1, buckets)], 0.25 / buckets)
     cuts = sorted(cuts) + [math.inf] * (buckets - 1 - len(cuts))
     is_heavy = key_hash([key]).isin(*heavy)

@@ -119,7 +119,7 @@ def count_columns(requests: DataFrame, cells: DataFrame, options: SkewOptions |
     Cells are counted per row before the join, so a wide row meets its requests as one row.
     """
     widths = cells.groupBy("row_key").agg(F.count("*").alias("cols_n"))
-    joined = skew_join(requests, widths, ["row_key"], "left", options)
+    joined = skew_join(requests, widths, ["row_key"], "left", options, unique_right=True)
     return joined.withColumn("cols_n", F.coalesce("cols_n", F.lit(0).cast("long")))
 
 
@@ -128,4 +128,4 @@ def multi_get(requests: DataFrame, state: DataFrame, options: SkewOptions | None
 
     A repeated key gives a repeated answer.  The place of a request is whatever column the caller numbers it with.
     """
-    return skew_join(requests, state, ["key"], "left", options)
+    return skew_join(requests, state, ["key"], "left", options, unique_right=True)

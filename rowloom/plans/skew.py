@@ -47,17 +47,22 @@ def fits_broadcast(df: DataFrame) -> bool:
     return estimated_bytes(df) <= limit
 
 
-def heavy_keys(df: DataFrame, on: Sequence[str], options: SkewOptions) -> dict[int, int]:
-    """Hashes of the keys with at least ``share`` of the rows and their estimated counts; at most ``1 / share``.
+def key_counts(df: DataFrame, on: Sequence[str], options: SkewOptions) -> tuple[dict[int, int], int]:
+    """Hashes of the keys with at least ``share`` of the rows and their estimated counts, and the number of rows.
 
-    One pass over the key columns; each task keeps a sketch of fixed size.
+    One pass over the key columns; each task keeps a sketch of fixed size, and at most ``1 / share`` keys come back.
     """
     k = int(1 / options.share)
     top, n = df.select(key_hash(on).alias(HASH)).agg(
         F.expr(f"approx_top_k({HASH}, {k}, {100 * k})"), F.count("*")
     ).first()
     floor = max(options.min_rows, n * options.share)
-    return {r[0]: r[1] for r in top or [] if r[1] >= floor}
+    return {r[0]: r[1] for r in top or [] if r[1] >= floor}, n
+
+
+def heavy_keys(df: DataFrame, on: Sequence[str], options: SkewOptions) -> dict[int, int]:
+    """The heavy keys alone, see ``key_counts``."""
+    return key_counts(df, on, options)[0]
 
 
 def _salted(df: DataFrame, on: Sequence[str], own: Collection[int], other: Collection[int], salts: int) -> DataFrame:
@@ -73,17 +78,25 @@ def _salted(df: DataFrame, on: Sequence[str], own: Collection[int], other: Colle
 
 
 def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
-              options: SkewOptions | None = None) -> DataFrame:
-    """Equi join on equally named columns, inner or left; heavy keys are spread, see above."""
+              options: SkewOptions | None = None, unique_right: bool = False) -> DataFrame:
+    """Equi join on equally named columns, inner or left; heavy keys are spread, see above.
+
+    With ``unique_right`` the right side has one row per key, so only the left side can have heavy ones.
+    """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left', not {how!r}")
     on = list(on)
+    look_left, look_right = True, not unique_right
     if options is None:
-        if fits_broadcast(right) or (how == "inner" and fits_broadcast(left)):
-            return left.join(right, on, how)
         options = SkewOptions()
-    in_left = heavy_keys(left, on, options)
-    in_right = heavy_keys(right if options.right_keys is None else options.right_keys, on, options)
+        small_left, small_right = fits_broadcast(left), fits_broadcast(right)
+        if small_right or (how == "inner" and small_left):
+            return left.join(right, on, how)
+        look_left = not small_left
+    in_left = heavy_keys(left, on, options) if look_left else {}
+    in_right = {}
+    if look_right:
+        in_right = heavy_keys(right if options.right_keys is None else options.right_keys, on, options)
     left_heavy = {h for h, n in in_left.items() if n >= in_right.get(h, 0)}
     right_heavy = set(in_right) - left_heavy
     if not left_heavy and not right_heavy:
