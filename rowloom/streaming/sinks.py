@@ -90,11 +90,17 @@ def lookup_stream(stream: DataFrame, lookup: Callable[[DataFrame], DataFrame], o
     """Answer the requests of each micro-batch with one join and hand the answers to ``out``.
 
     ``lookup`` must open the cells itself, as ``CellStore.lookup`` does: it is called for every batch, and a table opened
-    before the stream would never show later writes.
+    before the stream would never show later writes.  The batch is kept and counted first, so Spark knows its size and
+    broadcasts it when it is small.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        out(lookup(batch), batch_id)
+        batch = batch.persist()
+        try:
+            batch.count()
+            out(lookup(batch), batch_id)
+        finally:
+            batch.unpersist()
 
     return each_batch(stream, handle, checkpoint, available_now)
 

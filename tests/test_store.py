@@ -137,7 +137,8 @@ def test_tables_and_keyspaces_are_directories(spark, at, tmp_path):
 def test_lookup_filters_reach_the_scan(spark, at, tmp_path):
     store = CellStore(spark, str(tmp_path / "cells"))
     store.put(spark.createDataFrame(random_writes(at), WRITES), cells_of, 0)
-    asked = spark.createDataFrame([("k",)], "row_key string")
+    asked = spark.createDataFrame([("k",)], "row_key string").persist()
+    assert asked.count() == 1
     text = plan(lookup_slice(asked, store.cells(table="t"), ["a"]))
     assert "EqualTo(column_name,a)" in text
     found = store.lookup(asked, lookup_row, table="t")
