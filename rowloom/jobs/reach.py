@@ -36,11 +36,14 @@ def _around_largest(pairs: DataFrame, followers: DataFrame, options: SkewOptions
     largest = sized.groupBy("url").agg(F.max(F.struct("n", "source")).alias("top")).select("url", "top.*")
     base = largest.withColumnRenamed("source", "base").withColumnRenamed("n", "base_n")
     others = skew_join(sized.select("url", "source"), base, ["url"], options=options, unique_right=True)
-    others = others.where(F.col("source") != F.col("base"))
-    listed = skew_join(others.select("url", "base", "source"), edges, ["source"], options=options)
-    listed = listed.select("url", "base", "follower").distinct()
-    new = listed.join(edges.withColumnRenamed("source", "base"), ["base", "follower"], "left_anti")
-    added = new.groupBy("url").agg(F.count("*").alias("added"))
+    others = others.where(F.col("source") != F.col("base")).select("url", "base", "source")
+    # What a source adds to a base is worked out once per pair of them, whatever the number of urls with that pair.
+    listed = skew_join(others.select("base", "source").distinct(), edges, ["source"], options=options)
+    known = edges.select(F.col("source").alias("base"), "follower", F.lit(True).alias("known"))
+    checked = skew_join(listed, known, ["base", "follower"], "left", options, unique_right=True)
+    new = checked.where(F.col("known").isNull()).drop("known")
+    paths = skew_join(others, new, ["base", "source"], options=options)
+    added = paths.groupBy("url").agg(F.countDistinct("follower").alias("added"))
     joined = base.join(added, "url", "left")
     return joined.select("url", (F.col("base_n") + F.coalesce("added", F.lit(0))).alias("reach"))
 

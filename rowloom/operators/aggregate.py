@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from rowloom.functions.text import state_key
 from rowloom.operators.lookup import multi_get
-from rowloom.plans.skew import SkewOptions, key_counts, key_hash
+from rowloom.plans.skew import SkewOptions, key_counts, key_hash, skew_join
 
 
 def split_words(df: DataFrame, sentence: str, word: str = "word", keep: Sequence[str] = ()) -> DataFrame:
@@ -52,7 +52,7 @@ def state_get_sum(requests: DataFrame, argument: str, state: DataFrame, value: s
     asked = count_by(split_words(requests, argument, keep=ids), *ids, "word", name="__uses")
     got = multi_get(asked.select(*ids, "__uses", state_key("word").alias("key")), state, options)
     sums = not_null(got, value).groupBy(*ids).agg(F.sum(F.col("__uses") * F.col(value)).alias("sum"))
-    every = requests.select(*ids).join(sums, list(ids), "left")
+    every = skew_join(requests.select(*ids), sums, ids, "left", options, unique_right=True)
     return every.withColumn("sum", F.coalesce("sum", F.lit(0).cast("long")))
 
 
@@ -65,9 +65,22 @@ def _ordinal(df: DataFrame, order: str) -> Column:
     raise TypeError(f"order column {order!r} must be a number or a time, not {kind}")
 
 
+def _doubles(values: Sequence[float]) -> Column:
+    """One literal array, instead of a literal per value."""
+    return F.split(F.lit(" ".join("Infinity" if v == math.inf else repr(v) for v in values)), " ").cast("array<double>")
+
+
+def _quantiles(df: DataFrame, column: str, parts: int) -> list[float]:
+    """``parts`` - 1 ascending values that cut a column into parts of about the same size, by a bounded sketch."""
+    sketch = F.kll_sketch_agg_double(column, F.lit(min(max(4 * parts, 200), 65535)))
+    ranks = _doubles([i / parts for i in range(1, parts)])
+    (cuts,) = df.dropna().agg(F.kll_sketch_get_quantile_double(sketch, ranks)).first()
+    return sorted(cuts) if cuts else [math.inf] * (parts - 1)
+
+
 def _with_bucket(df: DataFrame, ordinal: Column, marks: Sequence[float], name: str) -> DataFrame:
     """Number of marks at or below ``ordinal``, by binary search; there are 2**n - 1 ascending marks."""
-    table = F.split(F.lit(" ".join("Infinity" if m == math.inf else repr(m) for m in marks)), " ").cast("array<double>")
+    table = _doubles(marks)
     df = df.withColumn(name, F.lit(0))
     step = (len(marks) + 1) // 2
     while step:
@@ -85,7 +98,7 @@ def running_count(df: DataFrame, key: str, order: str, options: SkewOptions | No
     bucket, and raised by the sizes of the buckets before it; other keys stay in one piece.  Where the quantiles fall
     steers only the balance, not the result.
     """
-    options = options or SkewOptions()
+    options = options or SkewOptions(min_rows=10_000_000)
     ordinal = _ordinal(df, order)
     heavy, rows = key_counts(df, [key], options)
     if not heavy:
@@ -93,16 +106,17 @@ def running_count(df: DataFrame, key: str, order: str, options: SkewOptions | No
         return df.withColumn(name, F.count("*").over(upto))
 
     buckets = 2 ** min(max(math.ceil(math.log2(rows / options.min_rows)), 4), 14)
-    cuts = df.select(ordinal.alias("o")).approxQuantile("o", [i / buckets for i in range(1, buckets)], 0.25 / buckets)
-    cuts = sorted(cuts) + [math.inf] * (buckets - 1 - len(cuts))
+    cuts = _quantiles(df.select(ordinal.alias("o")), "o", buckets)
     is_heavy = key_hash([key]).isin(*heavy)
     cut = _with_bucket(df, F.when(is_heavy, ordinal), cuts, "__b")
-    upto = Window.partitionBy(key, "__b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    cut = cut.withColumns({"__k": F.coalesce(F.col(key).cast("string"), F.lit("")), "__null": F.col(key).isNull()})
+    slot = ["__k", "__null", "__b"]
+    upto = Window.partitionBy(*slot).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     counted = cut.withColumn(name, F.count("*").over(upto))
 
-    before = Window.partitionBy("__k").orderBy("__kb").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = cut.where(is_heavy).groupBy(F.col(key).alias("__k"), F.col("__b").alias("__kb")).agg(F.count("*").alias("n"))
-    offsets = sizes.select("__k", "__kb", F.sum("n").over(before).alias("__before"))
-    same = F.col(key).eqNullSafe(F.col("__k")) & (F.col("__b") == F.col("__kb"))
-    raised = counted.join(offsets, same, "left")
+    # One row per heavy key and bucket, partitioned like the counted rows, so these are not shuffled again.
+    before = Window.partitionBy("__k", "__null").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = cut.where(is_heavy).groupBy(*slot).agg(F.count("*").alias("__n"))
+    offsets = sizes.select(*slot, F.sum("__n").over(before).alias("__before"))
+    raised = counted.join(offsets, slot, "left")
     return raised.select(*df.columns, (F.col(name) + F.coalesce("__before", F.lit(0))).alias(name))

@@ -2,8 +2,9 @@
 
 A join whose smaller side fits under Spark's own broadcast threshold is left to Spark.  Otherwise the heavy keys of both
 sides are found in one pass with a bounded sketch, and only their rows are spread over several partitions: the heavy
-side by a hash of its other columns, the other side by copying its rows of that key.  The sketch only steers the spread;
-the result is exact whatever it says.
+side by a hash of its other columns, the other side by copying its rows of that key.  Rows of a heavy key that are copies
+of each other hash alike, so where those are many they are counted, and travel as pieces of limited size.  The sketch
+only steers the spread; the result is exact whatever it says.
 """
 
 from __future__ import annotations
@@ -16,6 +17,9 @@ from pyspark.sql import functions as F
 
 SALT = "__salt"
 HASH = "__key_hash"
+PIECE = "__piece"
+COPIES = "__copies"
+COPIES_PER_PIECE = 10_000
 
 
 @dataclass(frozen=True)
@@ -66,6 +70,7 @@ def heavy_keys(df: DataFrame, on: Sequence[str], options: SkewOptions) -> dict[i
 
 
 def _salted(df: DataFrame, on: Sequence[str], own: Collection[int], other: Collection[int], salts: int) -> DataFrame:
+    """Rows of the keys in ``own`` get one salt each, rows of the keys in ``other`` are copied to every salt."""
     rest = [c for c in df.columns if c not in on]
     spread = F.pmod(F.xxhash64(*rest), F.lit(salts)).cast("int") if rest else F.lit(0)
     copies = F.array(F.lit(0))
@@ -77,6 +82,26 @@ def _salted(df: DataFrame, on: Sequence[str], own: Collection[int], other: Colle
     return df.withColumn(SALT, F.explode(copies))
 
 
+def _counted(df: DataFrame, on: Sequence[str], own: Collection[int], options: SkewOptions) -> DataFrame:
+    """The rows, or where copies of a row are heavy, each distinct row with a number of copies, in pieces."""
+    if not own:
+        return df
+    if not heavy_keys(df.where(key_hash(on).isin(*own)), df.columns, options):
+        return df
+    counted = df.groupBy(*df.columns).agg(F.count("*").alias(COPIES))
+    last = F.floor((F.col(COPIES) - 1) / COPIES_PER_PIECE)
+    pieces = counted.withColumn(PIECE, F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    size = F.least(F.col(COPIES) - F.col(PIECE) * COPIES_PER_PIECE, F.lit(COPIES_PER_PIECE))
+    return pieces.withColumn(COPIES, size.cast("int"))
+
+
+def _recopied(df: DataFrame) -> DataFrame:
+    """The opposite of ``_counted``, after the join."""
+    if COPIES not in df.columns:
+        return df
+    return df.withColumn(COPIES, F.explode(F.array_repeat(F.lit(0), F.col(COPIES)))).drop(COPIES, PIECE)
+
+
 def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
               options: SkewOptions | None = None, unique_right: bool = False) -> DataFrame:
     """Equi join on equally named columns, inner or left; heavy keys are spread, see above.
@@ -103,9 +128,9 @@ def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "
         return left.join(right, on, how)
 
     def spread(a: DataFrame, b: DataFrame, how: str) -> DataFrame:
-        salted_a = _salted(a, on, left_heavy, right_heavy, options.salts)
+        salted_a = _salted(_counted(a, on, left_heavy, options), on, left_heavy, right_heavy, options.salts)
         salted_b = _salted(b, on, right_heavy, left_heavy, options.salts)
-        return salted_a.join(salted_b, [*on, SALT], how).drop(SALT)
+        return _recopied(salted_a.join(salted_b, [*on, SALT], how).drop(SALT))
 
     if how == "inner" or not right_heavy:
         return spread(left, right, how)
