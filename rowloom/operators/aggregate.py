@@ -57,11 +57,18 @@ def state_get_sum(requests: DataFrame, argument: str, state: DataFrame, value: s
 
 
 def _ordinal(df: DataFrame, order: str) -> Column:
-    kind = df.schema[order].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.unix_micros(F.col(order).cast("timestamp")).cast("double")
+    """A number that never falls as the order rises; equal numbers for close values do no harm."""
+    kind, c = df.schema[order].dataType, F.col(order)
     if isinstance(kind, T.NumericType):
-        return F.col(order).cast("double")
+        return c.cast("double")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(c).cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(kind, T.TimestampNTZType):
+        # By its parts: as an instant, a local time could run backwards where clocks change.
+        day = F.unix_date(c.cast("date")).cast("double")
+        return day * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
     raise TypeError(f"order column {order!r} must be a number or a time, not {kind}")
 
 

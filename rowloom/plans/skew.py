@@ -115,6 +115,10 @@ def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "
     if options is None:
         options = SkewOptions()
         small_left, small_right = fits_broadcast(left), fits_broadcast(right)
+        if how == "left" and small_left and (unique_right or not small_right):
+            # Spark cannot broadcast the left side of a left join, but it can leave out what that side does not ask for;
+            # where the right side is a fold by these keys, that happens before its shuffle.
+            right = right.join(left.select(*on).distinct(), on, "left_semi")
         if small_right or (how == "inner" and small_left):
             return left.join(right, on, how)
         look_left = not small_left

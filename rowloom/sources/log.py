@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 BATCH = ("writer", "batch_id")
+MARKER = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
 
 
 @dataclass(frozen=True)
@@ -49,7 +50,10 @@ class BatchLog:
         for f in self.schema:
             if df.schema[f.name].dataType.simpleString() != f.dataType.simpleString():
                 raise TypeError(f"{f.name} is {df.schema[f.name].dataType}, but the log holds {f.dataType}")
-        out = df.select(*names).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        self._save(df.select(*names), path)
+
+    def _save(self, df: DataFrame, path: str) -> None:
+        out = df.write.mode("overwrite").option("partitionOverwriteMode", "static").option(MARKER, "true")
         (out.partitionBy(*self.routed) if self.routed else out).parquet(path)
 
     def _load(self, base: str, paths: Sequence[str], schema: T.StructType) -> DataFrame:
@@ -66,28 +70,22 @@ class BatchLog:
         rows = self.spark.read.schema("writer string, batch_id long").json(f"{self.root}/snapshot={snapshot}/covered")
         return {(r.writer, r.batch_id) for r in rows.toLocalIterator()}
 
-    def read(self, only: Iterable[tuple[str, int]] | None = None) -> DataFrame:
-        """The rows of the latest snapshot and of the finished batches after it.
-
-        ``only`` restricts the batches; a snapshot that covers others is then not used.
-        """
-        wanted = set(self.batches())
-        if only is not None:
-            wanted &= set(only)
-        rows = None
-        for number in reversed(self.snapshots()):
-            covered = self._covered(number)
-            if only is None or covered <= wanted:
-                base = f"{self.root}/snapshot={number}/data"
-                schema = T.StructType([*self.schema, T.StructField("writer", T.StringType()),
-                                       T.StructField("batch_id", T.LongType())])
-                rows = self._load(base, [base], schema)
-                wanted -= covered
-                break
-        schema = T.StructType([*self.schema, T.StructField("writer", T.StringType()),
-                               T.StructField("batch_id", T.LongType())])
-        fresh = self._load(self.root, [f"{self.root}/writer={w}/batch_id={b}" for w, b in sorted(wanted)], schema)
-        return fresh if rows is None else rows.unionByName(fresh)
+    def _latest(self) -> tuple[int | None, set[tuple[str, int]]]:
+        """The latest finished snapshot and the batches it covers."""
+        number = max(self.snapshots(), default=None)
+        return number, set() if number is None else self._covered(number)
+
+    def read(self, skip: Iterable[tuple[str, int]] = ()) -> DataFrame:
+        """The rows of the latest snapshot and of the finished batches that it does not cover, but for ``skip``."""
+        fields = [*self.schema, T.StructField("writer", T.StringType()), T.StructField("batch_id", T.LongType())]
+        schema = T.StructType(fields)
+        number, covered = self._latest()
+        wanted = sorted(set(self.batches()) - covered - set(skip))
+        rows = self._load(self.root, [f"{self.root}/writer={w}/batch_id={b}" for w, b in wanted], schema)
+        if number is None:
+            return rows
+        base = f"{self.root}/snapshot={number}/data"
+        return self._load(base, [base], schema).unionByName(rows)
 
     def compact(self, fold, keep_last: int = 1) -> int | None:
         """Fold all but the newest ``keep_last`` batches of each writer into a new snapshot and return its number.
@@ -101,18 +99,18 @@ class BatchLog:
         for writer, batch in done:
             newest.setdefault(writer, []).append(batch)
         late = {(w, b) for w, ids in newest.items() for b in sorted(ids)[len(ids) - keep_last :]} if keep_last else set()
-        covered = [b for b in done if b not in late]
-        if not covered:
+        before = self._latest()[1]
+        covered = sorted(before | (set(done) - late))
+        if len(covered) == len(before):
             return None
         number = max(self.snapshots(), default=0) + 1
-        folded = fold(self.read(covered))
+        folded = fold(self.read(late))
         order = [*self.routed, *self.sort_by]
         if order:
             folded = folded.repartitionByRange(*order).sortWithinPartitions(*order)
         names = [f.name for f in self.schema]
         keep = [c for c in (*names, *BATCH) if c in folded.columns]
-        out = folded.select(*keep).write.mode("overwrite").option("partitionOverwriteMode", "static")
-        (out.partitionBy(*self.routed) if self.routed else out).parquet(f"{self.root}/snapshot={number}/data")
-        listing = self.spark.createDataFrame(covered, "writer string, batch_id long")
-        listing.coalesce(1).write.mode("overwrite").json(f"{self.root}/snapshot={number}/covered")
+        self._save(folded.select(*keep), f"{self.root}/snapshot={number}/data")
+        listing = self.spark.createDataFrame(covered, "writer string, batch_id long").coalesce(1)
+        listing.write.mode("overwrite").option(MARKER, "true").json(f"{self.root}/snapshot={number}/covered")
         return number

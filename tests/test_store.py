@@ -1,6 +1,7 @@
 """Cell, counter and value stores: order of writes, deletes, expiry, replay, compaction, routing."""
 
 import random
+import shutil
 
 import pytest
 from pyspark.errors import PySparkException
@@ -105,6 +106,18 @@ def test_compaction_leaves_the_newest_batch_open(spark, at, tmp_path):
     store.compact()
     store.put(row("0"), cells_of, 1)
     assert rows(store.cells(), "value") == [("a",)]
+    assert store.compact() is None
+
+
+def test_covered_batches_may_be_removed(spark, at, tmp_path):
+    store = CellStore(spark, str(tmp_path / "cells"))
+    writes = random_writes(at, seed=9)
+    for batch in range(3):
+        store.put(spark.createDataFrame(writes[batch * 100 : batch * 100 + 100], WRITES), cells_of, batch)
+        store.compact(keep_last=0)
+        shutil.rmtree(tmp_path / "cells" / "writer=main" / f"batch_id={batch}")
+    assert (store.log.batches(), store.compact()) == ([], None)
+    assert rows(store.cells(), "row_key", "column_name", "value") == expected(writes)
 
 
 def test_purge_drops_old_deletes(spark, at, tmp_path):
