@@ -21,6 +21,14 @@ def _keyed(cells: DataFrame) -> DataFrame:
     return cells.withColumn("row_key", F.coalesce("row_key", F.raise_error(F.lit("null row key"))))
 
 
+def _routed(rows: DataFrame, keyspace: str | None, table: str | None) -> DataFrame:
+    """Rows of one keyspace or table; these are directories, so nothing else is read."""
+    for name, wanted in zip(ROUTE, (keyspace, table)):
+        if wanted is not None:
+            rows = rows.where(F.col(name) == wanted)
+    return rows
+
+
 class CellStore:
     """Tables of cells under one root, told apart by keyspace and table name."""
 
@@ -45,12 +53,8 @@ class CellStore:
         return emit_constant(df, field, value)
 
     def versions(self, keyspace: str | None = None, table: str | None = None) -> DataFrame:
-        """Written cells that are not yet folded.  Keyspace and table select directories, nothing else is read."""
-        rows = self.log.read()
-        for name, wanted in zip(ROUTE, (keyspace, table)):
-            if wanted is not None:
-                rows = rows.where(F.col(name) == wanted)
-        return rows
+        """Written cells that are not yet folded."""
+        return _routed(self.log.read(), keyspace, table)
 
     def cells(self, keyspace: str | None = None, table: str | None = None, as_of: Column | None = None,
               requests: DataFrame | None = None) -> DataFrame:
@@ -59,12 +63,19 @@ class CellStore:
         Requests small enough to be broadcast leave out all other rows before the fold, so only the cells that are
         asked for are shuffled.  Filters on key and column name reach the scan by themselves.
         """
-        rows = self.versions(keyspace, table)
-        if requests is not None:
-            keys = requests.select("row_key")
-            if fits_broadcast(keys):
-                rows = rows.join(keys.distinct(), "row_key", "left_semi")
-        return live(latest_versions(rows), as_of).select(*ROUTE, *CELL_ID, "value")
+        keys = None if requests is None else requests.select("row_key")
+        if keys is not None and fits_broadcast(keys):
+            keys = keys.distinct()
+
+            def narrow(rows: DataFrame) -> DataFrame:
+                return _routed(rows, keyspace, table).join(keys, "row_key", "left_semi")
+        else:
+
+            def narrow(rows: DataFrame) -> DataFrame:
+                return _routed(rows, keyspace, table)
+
+        versions = self.log.folded(latest_versions, (*ROUTE, *CELL_ID), narrow)
+        return live(versions, as_of).select(*ROUTE, *CELL_ID, "value")
 
     def lookup(self, requests: DataFrame, how: Callable[..., DataFrame], keyspace: str | None = None,
                table: str | None = None, as_of: Column | None = None, **bounds) -> DataFrame:
@@ -84,14 +95,11 @@ class CellStore:
         ``purge_before`` drops those deleted or expired before a time; the caller vouches that no older write is due.
         """
 
-        def fold(rows: DataFrame) -> DataFrame:
-            folded = latest_versions(rows)
-            if purge_before is None:
-                return folded
-            gone = F.col("is_deleted") & (F.col("write_ts") < purge_before)
-            return folded.where(~(gone | F.coalesce(F.col("expires_at") <= purge_before, F.lit(False))))
-
-        return self.log.compact(fold, keep_last)
+        keep = None
+        if purge_before is not None:
+            deleted = F.col("is_deleted") & (F.col("write_ts") < purge_before)
+            keep = ~(deleted | F.coalesce(F.col("expires_at") <= purge_before, F.lit(False)))
+        return self.log.compact(latest_versions, (*ROUTE, *CELL_ID), keep, keep_last)
 
 
 def emit_constant(df: DataFrame, field: str, value) -> DataFrame:
@@ -113,11 +121,9 @@ class CounterStore:
 
     def counters(self, keyspace: str | None = None, table: str | None = None) -> DataFrame:
         """The current counters."""
-        rows = self.log.read()
-        for name, wanted in zip(ROUTE, (keyspace, table)):
-            if wanted is not None:
-                rows = rows.where(F.col(name) == wanted)
-        return fold_counters(rows)
+        columns = [*ROUTE, *CELL_ID, "amount"]
+        narrow = lambda rows: _routed(rows, keyspace, table).select(*columns)
+        return self.log.folded(fold_counters, (*ROUTE, *CELL_ID), narrow)
 
     def compact(self, keep_last: int = 1) -> int | None:
-        return self.log.compact(fold_counters, keep_last)
+        return self.log.compact(fold_counters, (*ROUTE, *CELL_ID), keep_last=keep_last)

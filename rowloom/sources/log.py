@@ -7,12 +7,19 @@ have snapshots, ``snapshot=<k>``: the fold of the batches that are listed with i
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import json
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rowloom.plans.skew import fits_broadcast
+
+Fold = Callable[[DataFrame], DataFrame]
+
 BATCH = ("writer", "batch_id")
 MARKER = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
 
@@ -26,6 +33,7 @@ class BatchLog:
     schema: T.StructType
     routed: Sequence[str] = ()
     sort_by: Sequence[str] = field(default_factory=tuple)
+    _known: dict[int, set[tuple[str, int]]] = field(default_factory=dict, repr=False, compare=False)
 
     def _finished(self, pattern: str) -> list[str]:
         """Directories that match a pattern and hold the marker of a finished write."""
@@ -41,6 +49,10 @@ class BatchLog:
             found.append((writer.removeprefix("writer="), int(batch.removeprefix("batch_id="))))
         return sorted(found)
 
+    def has(self, writer: str, batch_id: int) -> bool:
+        """Whether a batch has been written, also when only a snapshot still holds it."""
+        return (writer, batch_id) in self.batches() or (writer, batch_id) in self._latest()[1]
+
     def append(self, df: DataFrame, batch_id: int, writer: str = "main") -> None:
         """Write one batch, replacing an earlier attempt at it."""
         self._write(df, f"{self.root}/writer={writer}/batch_id={batch_id}")
@@ -58,7 +70,7 @@ class BatchLog:
 
     def _load(self, base: str, paths: Sequence[str], schema: T.StructType) -> DataFrame:
         if not paths:
-            return self.spark.createDataFrame([], schema)
+            return self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
         names = [f.name for f in schema]
         return self.spark.read.schema(schema).option("basePath", base).parquet(*paths).select(*names)
 
@@ -67,32 +79,63 @@ class BatchLog:
         return sorted(int(p.rsplit("/", 2)[1].removeprefix("snapshot=")) for p in self._finished("snapshot=*/covered"))
 
     def _covered(self, snapshot: int) -> set[tuple[str, int]]:
-        rows = self.spark.read.schema("writer string, batch_id long").json(f"{self.root}/snapshot={snapshot}/covered")
-        return {(r.writer, r.batch_id) for r in rows.toLocalIterator()}
+        """The batches a snapshot covers; a finished list never changes, so it is read once."""
+        if snapshot not in self._known:
+            text = self.spark.read.schema("value string").text(f"{self.root}/snapshot={snapshot}/covered").first()
+            self._known[snapshot] = {(writer, batch) for writer, batch in json.loads(text[0])}
+        return self._known[snapshot]
 
     def _latest(self) -> tuple[int | None, set[tuple[str, int]]]:
         """The latest finished snapshot and the batches it covers."""
         number = max(self.snapshots(), default=None)
         return number, set() if number is None else self._covered(number)
 
-    def read(self, skip: Iterable[tuple[str, int]] = ()) -> DataFrame:
-        """The rows of the latest snapshot and of the finished batches that it does not cover, but for ``skip``."""
+    def parts(self, skip: Iterable[tuple[str, int]] = ()) -> tuple[DataFrame | None, DataFrame | None]:
+        """The latest snapshot, and the finished batches that it does not cover, but for ``skip``; None where empty."""
         fields = [*self.schema, T.StructField("writer", T.StringType()), T.StructField("batch_id", T.LongType())]
         schema = T.StructType(fields)
         number, covered = self._latest()
         wanted = sorted(set(self.batches()) - covered - set(skip))
-        rows = self._load(self.root, [f"{self.root}/writer={w}/batch_id={b}" for w, b in wanted], schema)
-        if number is None:
-            return rows
-        base = f"{self.root}/snapshot={number}/data"
-        return self._load(base, [base], schema).unionByName(rows)
-
-    def compact(self, fold, keep_last: int = 1) -> int | None:
+        base = fresh = None
+        if number is not None:
+            path = f"{self.root}/snapshot={number}/data"
+            base = self._load(path, [path], schema)
+        if wanted or base is None:
+            fresh = self._load(self.root, [f"{self.root}/writer={w}/batch_id={b}" for w, b in wanted], schema)
+        return base, fresh
+
+    def read(self) -> DataFrame:
+        """All rows that are to be folded."""
+        base, fresh = self.parts()
+        if base is None or fresh is None:
+            return base if fresh is None else fresh
+        return base.unionByName(fresh)
+
+    def folded(self, fold: Fold, keys: Sequence[str], narrow: Fold = lambda rows: rows,
+               skip: Iterable[tuple[str, int]] = ()) -> DataFrame:
+        """The fold by ``keys`` of the rows that ``narrow`` leaves.
+
+        A snapshot is folded already.  Where the batches after it are small, only the rows of their keys are folded with
+        them and the rest of the snapshot is taken as it is, without a shuffle.
+        """
+        base, fresh = (None if part is None else narrow(part) for part in self.parts(skip))
+        if base is None:
+            return fold(fresh)
+        if fresh is None:
+            return base
+        touched = fresh.select(*[F.col(k).alias(f"__{k}") for k in keys])
+        if not fits_broadcast(touched):
+            return fold(base.unionByName(fresh))
+        touched = touched.distinct()
+        same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+        changed = fold(base.join(touched, same, "left_semi").unionByName(fresh))
+        return base.join(touched, same, "left_anti").select(*changed.columns).unionByName(changed)
+
+    def compact(self, fold: Fold, keys: Sequence[str], keep: Column | None = None, keep_last: int = 1) -> int | None:
         """Fold all but the newest ``keep_last`` batches of each writer into a new snapshot and return its number.
 
-        The newest batch of a writer may still be replayed with other content, so it stays a batch by default.  ``fold``
-        must keep what later batches may still need, deleted cells among it.  Rows are sorted, so a lookup by literal
-        keys or names skips row groups.
+        The newest batch of a writer may still be replayed with other content, so it stays a batch by default.  ``keep``
+        drops folded rows for good.  Rows are sorted, so a lookup by literal keys or names skips row groups.
         """
         done = self.batches()
         newest: dict[str, list[int]] = {}
@@ -104,13 +147,15 @@ class BatchLog:
         if len(covered) == len(before):
             return None
         number = max(self.snapshots(), default=0) + 1
-        folded = fold(self.read(late))
+        folded = self.folded(fold, keys, skip=late)
+        if keep is not None:
+            folded = folded.where(keep)
         order = [*self.routed, *self.sort_by]
         if order:
             folded = folded.repartitionByRange(*order).sortWithinPartitions(*order)
         names = [f.name for f in self.schema]
         keep = [c for c in (*names, *BATCH) if c in folded.columns]
         self._save(folded.select(*keep), f"{self.root}/snapshot={number}/data")
-        listing = self.spark.createDataFrame(covered, "writer string, batch_id long").coalesce(1)
-        listing.write.mode("overwrite").option(MARKER, "true").json(f"{self.root}/snapshot={number}/covered")
+        listing = self.spark.range(0, 1, 1, 1).select(F.lit(json.dumps(covered)).alias("value"))
+        listing.write.mode("overwrite").option(MARKER, "true").text(f"{self.root}/snapshot={number}/covered")
         return number

@@ -87,14 +87,14 @@ class StateStore:
         """Aggregate a batch by key and write it; hands the rows on.  ``write_ts`` is the time of a row."""
         if self.options.mode == NON_TRANSACTIONAL:
             writer = f"{writer}-{uuid.uuid4().hex}"
-        if self.options.mode == TRANSACTIONAL and (writer, batch_id) in self.log.batches():
+        if self.options.mode == TRANSACTIONAL and self.log.has(writer, batch_id):
             return df
         aggregates = [a.of_batch().alias(name) for name, a in self.aggregates.items()]
         keyed = df.groupBy(state_key(*self.keys).alias("key"))
         self.log.append(keyed.agg(*aggregates, F.max(write_ts).alias("write_ts")), batch_id, writer)
         return df
 
-    def _merge(self, rows: DataFrame, as_of: Column | None = None) -> DataFrame:
+    def _merge(self, rows: DataFrame) -> DataFrame:
         """One row per key.  A key that had expired before an update starts anew with that update."""
         merged = [a.merged(name).alias(name) for name, a in self.aggregates.items()]
         ttl = self.options.ttl
@@ -106,14 +106,16 @@ class StateStore:
             rows = rows.withColumn("__life", F.sum("__fresh").over(by_time))
             rows = rows.withColumn("__last", F.max("__life").over(Window.partitionBy("key")))
             rows = rows.where(F.col("__life") == F.col("__last"))
-        state = rows.groupBy("key").agg(*merged, F.max("write_ts").alias("write_ts"), F.max("batch_id").alias("batch_id"))
-        if ttl is not None and as_of is not None:
-            state = state.where(F.col("write_ts") + ttl > as_of)
-        return state
+        return rows.groupBy("key").agg(
+            *merged, F.max("write_ts").alias("write_ts"), F.max("batch_id").alias("batch_id")
+        )
 
     def current(self, as_of: Column | None = None) -> DataFrame:
         """The state of every live key: ``key`` and the aggregates."""
-        return self._merge(self.log.read(), as_of).select("key", *self.aggregates)
+        state, ttl = self.log.folded(self._merge, ["key"]), self.options.ttl
+        if ttl is not None and as_of is not None:
+            state = state.where(F.col("write_ts") + ttl > as_of)
+        return state.select("key", *self.aggregates)
 
     def history(self) -> DataFrame:
         """Each key's value, the id of the last batch that touched it, and the value before that batch (``prev_*``)."""
@@ -126,10 +128,7 @@ class StateStore:
         return now.join(prev, "key", "left")
 
     def compact(self, keep_last: int = 1) -> int | None:
-        def fold(rows: DataFrame) -> DataFrame:
-            return self._merge(rows).withColumn("writer", F.lit("snapshot"))
-
-        return self.log.compact(fold, keep_last)
+        return self.log.compact(self._merge, ["key"], keep_last=keep_last)
 
 
 def put_values(store: CellStore, df: DataFrame, keys: Sequence[str | Column], value: str | Column, batch_id: int,

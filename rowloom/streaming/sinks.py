@@ -10,8 +10,10 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from rowloom.operators.mappers import Write, map_default
 from rowloom.operators.rejects import ErrorPolicy
 from rowloom.sources.cells import CellStore, CounterStore, Mapper
 from rowloom.sources.state import StateStore
@@ -108,3 +110,19 @@ def lookup_stream(stream: DataFrame, lookup: Callable[[DataFrame], DataFrame], o
 def running_count_stream(stream: DataFrame, key: str) -> DataFrame:
     """The count so far of each key that a micro-batch touched; to be written in update mode."""
     return stream.groupBy(key).count()
+
+
+def put_running_count(stream: DataFrame, key: str, store: CellStore, table: str, checkpoint: str, writer: str = "main",
+                      available_now: bool = True) -> StreamingQuery:
+    """Upsert a row per key with the columns ``key`` and ``count`` as the counts grow.
+
+    A greater count is a later one, so the order of the writes comes from the data.
+    """
+    write = Write(F.lit("1970-01-01").cast("timestamp_ntz"), "count", table=table)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        store.put(batch, lambda rows: map_default(rows, key, [key, "count"], write), batch_id, writer)
+
+    counts = running_count_stream(stream, key).writeStream.outputMode("update").foreachBatch(handle)
+    counts = counts.option("checkpointLocation", checkpoint)
+    return (counts.trigger(availableNow=True) if available_now else counts).start()

@@ -8,7 +8,7 @@ from rowloom.operators import ErrorPolicy, Write, lookup_row, map_counter, map_d
 from rowloom.session import shared_dir
 from rowloom.sources import Aggregate, BatchLog, CellStore, CounterStore, StateOptions, StateStore
 from rowloom.sources.streams import file_stream
-from rowloom.streaming import increment_stream, lookup_stream, put_stream, state_stream
+from rowloom.streaming import increment_stream, lookup_stream, put_running_count, put_stream, state_stream
 from rowloom.suite.lookups import CUSTOMER, CUSTOMER_CELLS, FOUND, ORDER_REQUESTS
 from rowloom.suite.registry import SQL, query
 from rowloom.suite.writes import LATEST_EVENT, event_cells, shown
@@ -77,6 +77,16 @@ def stream_word_count(t):
     return jobs.word_cells(state)
 
 
+@query("""WITH counts AS (SELECT CAST(user_id AS VARCHAR) AS k, count(*) AS n FROM events GROUP BY 1)
+    SELECT k AS row_key, 'user_id' AS column_name, k AS value FROM counts
+    UNION ALL SELECT k, 'count', CAST(n AS VARCHAR) FROM counts""")
+def stream_running_count(t):
+    root = shared_dir(t.spark, "stream-running")
+    store = CellStore(t.spark, f"{root}/store")
+    put_running_count(stream_of(t, "events"), "user_id", store, "users", f"{root}/checkpoint").awaitTermination()
+    return shown(store.cells(table="users"))
+
+
 @query(SQL["global_count"])
 def stream_global_count(t):
     root = shared_dir(t.spark, "stream-global")

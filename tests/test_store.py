@@ -120,6 +120,22 @@ def test_covered_batches_may_be_removed(spark, at, tmp_path):
     assert rows(store.cells(), "row_key", "column_name", "value") == expected(writes)
 
 
+def test_reading_a_snapshot_needs_no_shuffle(spark, at, tmp_path):
+    store = CellStore(spark, str(tmp_path / "cells"))
+    writes = random_writes(at, seed=2)
+    store.put(spark.createDataFrame(writes[:200], WRITES), cells_of, 0)
+    store.compact(keep_last=0)
+    assert "Exchange" not in plan(store.cells())
+    store.put(spark.createDataFrame(writes[200:], WRITES).where("k = 'l'"), cells_of, 1)
+    found = store.cells()
+    want = expected(writes[:200] + [w for w in writes[200:] if w[0] == "l"])
+    assert rows(found, "row_key", "column_name", "value") == want
+    text = plan(found)
+    assert "LeftAnti" in text and "LeftSemi" in text and "SortMergeJoin" not in text and "NestedLoop" not in text
+    store.compact(keep_last=0)
+    assert rows(store.cells(), "row_key", "column_name", "value") == want
+
+
 def test_purge_drops_old_deletes(spark, at, tmp_path):
     store = CellStore(spark, str(tmp_path / "cells"))
     writes = [("k", "a", "", at(1), 0, True, "t"), ("k", "b", "", at(9), 0, True, "t"), ("k", "c", "1", at(1), 0, False, "t")]
