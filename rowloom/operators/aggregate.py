@@ -114,7 +114,7 @@ def running_count(df: DataFrame, key: str, order: str, options: SkewOptions | No
 
     buckets = 2 ** min(max(math.ceil(math.log2(rows / options.min_rows)), 4), 14)
     cuts = _quantiles(df.select(ordinal.alias("o")), "o", buckets)
-    is_heavy = key_hash([key]).isin(*heavy)
+    is_heavy = key_hash([key]).isin(list(heavy))
     cut = _with_bucket(df, F.when(is_heavy, ordinal), cuts, "__b")
     cut = cut.withColumns({"__k": F.coalesce(F.col(key).cast("string"), F.lit("")), "__null": F.col(key).isNull()})
     slot = ["__k", "__null", "__b"]

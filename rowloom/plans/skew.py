@@ -1,15 +1,16 @@
 """Joins that hold up when one key has a large share of the rows.
 
 A join whose smaller side fits under Spark's own broadcast threshold is left to Spark.  Otherwise the heavy keys of both
-sides are found in one pass with a bounded sketch, and only their rows are spread over several partitions: the heavy
-side by a hash of its other columns, the other side by copying its rows of that key.  Rows of a heavy key that are copies
-of each other hash alike, so where those are many they are counted, and travel as pieces of limited size.  The sketch
-only steers the spread; the result is exact whatever it says.
+sides are found in one pass with bounded sketches, and only their rows are spread over several partitions, the more the
+heavier the key: the heavy side by a hash of its other columns, the other side by copying its rows of that key.  Rows of
+a heavy key that are copies of each other hash alike, so where those are many they are counted, and travel as pieces of
+limited size.  The sketches only steer the spread; the result is exact whatever they say.
 """
 
 from __future__ import annotations
 
-from collections.abc import Collection, Sequence
+import math
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -21,20 +22,32 @@ PIECE = "__piece"
 COPIES = "__copies"
 COPIES_PER_PIECE = 10_000
 
+# Below the number of groups from which Spark's object hash aggregate sorts instead.
+SKETCHES = 64
+KEYS_PER_SKETCH = 200
+TRACKED_PER_SKETCH = 4096
+
 
 @dataclass(frozen=True)
 class SkewOptions:
-    """When a key is heavy, and over how many partitions its rows are spread.
+    """A key is heavy from ``share`` of the rows, but not below ``min_rows``; about that many rows of it stay together.
 
     ``right_keys`` may name a cheaper source of the right side's keys to look for heavy ones in, such as the versions
     of cells that are yet to be folded.
     """
 
     min_rows: int = 1_000_000
-    share: float = 1 / 200
-    salts: int = 64
+    share: float = 1 / 10_000
+    max_salts: int = 4096
     right_keys: DataFrame | None = None
 
+    def floor(self, rows: int) -> float:
+        return max(self.min_rows, rows * self.share)
+
+    def salts(self, count: int, rows: int) -> int:
+        """A power of two, so that few different numbers of salts occur."""
+        return min(2 ** max(1, math.ceil(math.log2(count / self.floor(rows)))), self.max_salts)
+
 
 def key_hash(on: Sequence[str]) -> Column:
     return F.xxhash64(*on)
@@ -52,41 +65,47 @@ def fits_broadcast(df: DataFrame) -> bool:
 
 
 def key_counts(df: DataFrame, on: Sequence[str], options: SkewOptions) -> tuple[dict[int, int], int]:
-    """Hashes of the keys with at least ``share`` of the rows and their estimated counts, and the number of rows.
+    """Hashes of the heavy keys and their estimated counts, and the number of rows.
 
-    One pass over the key columns; each task keeps a sketch of fixed size, and at most ``1 / share`` keys come back.
+    One pass over the key columns.  Keys fall into groups by their hash and each group has its own sketch of fixed size,
+    so the sketches of all tasks are merged by several reducers; at most ``1 / share`` keys come back.
     """
-    k = int(1 / options.share)
-    top, n = df.select(key_hash(on).alias(HASH)).agg(
-        F.expr(f"approx_top_k({HASH}, {k}, {100 * k})"), F.count("*")
-    ).first()
-    floor = max(options.min_rows, n * options.share)
-    return {r[0]: r[1] for r in top or [] if r[1] >= floor}, n
+    found = (
+        df.select(key_hash(on).alias(HASH))
+        .groupBy(F.pmod(F.col(HASH), F.lit(SKETCHES)))
+        .agg(F.expr(f"approx_top_k({HASH}, {KEYS_PER_SKETCH}, {TRACKED_PER_SKETCH})").alias("top"), F.count("*").alias("n"))
+        .collect()
+    )
+    rows = sum(group.n for group in found)
+    counts = {item[0]: item[1] for group in found for item in group.top}
+    return {h: n for h, n in counts.items() if n >= options.floor(rows)}, rows
 
 
 def heavy_keys(df: DataFrame, on: Sequence[str], options: SkewOptions) -> dict[int, int]:
-    """The heavy keys alone, see ``key_counts``."""
-    return key_counts(df, on, options)[0]
+    """Hashes of the heavy keys and their numbers of salts."""
+    counts, rows = key_counts(df, on, options)
+    return {h: options.salts(n, rows) for h, n in counts.items()}
 
 
-def _salted(df: DataFrame, on: Sequence[str], own: Collection[int], other: Collection[int], salts: int) -> DataFrame:
-    """Rows of the keys in ``own`` get one salt each, rows of the keys in ``other`` are copied to every salt."""
+def _salted(df: DataFrame, on: Sequence[str], own: Mapping[int, int], other: Mapping[int, int]) -> DataFrame:
+    """Rows of the keys in ``own`` get one of the key's salts each, rows of the keys in ``other`` are copied to all."""
     rest = [c for c in df.columns if c not in on]
-    spread = F.pmod(F.xxhash64(*rest), F.lit(salts)).cast("int") if rest else F.lit(0)
-    copies = F.array(F.lit(0))
-    if own:
-        copies = F.when(key_hash(on).isin(*own), F.array(spread)).otherwise(copies)
-    if other:
-        every = F.sequence(F.lit(0), F.lit(salts - 1))
-        copies = F.when(key_hash(on).isin(*other), every).otherwise(copies)
-    return df.withColumn(SALT, F.explode(copies))
-
-
-def _counted(df: DataFrame, on: Sequence[str], own: Collection[int], options: SkewOptions) -> DataFrame:
+    row_hash = F.xxhash64(*rest) if rest else F.lit(0)
+    salts = F.array(F.lit(0))
+    for spread, keys in ((True, own), (False, other)):
+        for number in sorted(set(keys.values())):
+            chosen = F.array(F.pmod(row_hash, F.lit(number)).cast("int"))
+            if not spread:
+                chosen = F.sequence(F.lit(0), F.lit(number - 1))
+            salts = F.when(key_hash(on).isin([h for h, n in keys.items() if n == number]), chosen).otherwise(salts)
+    return df.withColumn(SALT, F.explode(salts))
+
+
+def _counted(df: DataFrame, on: Sequence[str], own: Mapping[int, int], options: SkewOptions) -> DataFrame:
     """The rows, or where copies of a row are heavy, each distinct row with a number of copies, in pieces."""
     if not own:
         return df
-    if not heavy_keys(df.where(key_hash(on).isin(*own)), df.columns, options):
+    if not heavy_keys(df.where(key_hash(on).isin(list(own))), df.columns, options):
         return df
     counted = df.groupBy(*df.columns).agg(F.count("*").alias(COPIES))
     last = F.floor((F.col(COPIES) - 1) / COPIES_PER_PIECE)
@@ -126,20 +145,20 @@ def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "
     in_right = {}
     if look_right:
         in_right = heavy_keys(right if options.right_keys is None else options.right_keys, on, options)
-    left_heavy = {h for h, n in in_left.items() if n >= in_right.get(h, 0)}
-    right_heavy = set(in_right) - left_heavy
+    left_heavy = {h: n for h, n in in_left.items() if n >= in_right.get(h, 0)}
+    right_heavy = {h: n for h, n in in_right.items() if h not in left_heavy}
     if not left_heavy and not right_heavy:
         return left.join(right, on, how)
 
     def spread(a: DataFrame, b: DataFrame, how: str) -> DataFrame:
-        salted_a = _salted(_counted(a, on, left_heavy, options), on, left_heavy, right_heavy, options.salts)
-        salted_b = _salted(b, on, right_heavy, left_heavy, options.salts)
+        salted_a = _salted(_counted(a, on, left_heavy, options), on, left_heavy, right_heavy)
+        salted_b = _salted(b, on, right_heavy, left_heavy)
         return _recopied(salted_a.join(salted_b, [*on, SALT], how).drop(SALT))
 
     if how == "inner" or not right_heavy:
         return spread(left, right, how)
     # A left row copied to every salt would come out unmatched from some: join those keys inner, add the unmatched.
-    heavy = key_hash(on).isin(*right_heavy)
+    heavy = key_hash(on).isin(list(right_heavy))
     left_h, right_h = left.where(heavy), right.where(heavy)
     unmatched = left_h.join(right_h.select(*on).distinct(), on, "left_anti")
     return (

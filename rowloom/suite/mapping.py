@@ -87,13 +87,12 @@ def map_counter_lineitem(t):
 
 
 @query("""
-    SELECT DISTINCT p.l_orderkey AS id, l.l_partkey AS part, l.l_suppkey AS supplier
-    FROM lineitem p JOIN lineitem l USING (l_partkey) WHERE l.l_quantity >= 45""")
+    SELECT DISTINCT p_partkey AS id, l_partkey AS part, l_suppkey AS supplier
+    FROM part JOIN lineitem ON l_partkey = p_partkey""")
 def valueless_edges(t):
-    lots = t.lineitem.where("l_quantity >= 45")
-    cells = lots.select(F.col("l_partkey").alias("row_key"), F.col("l_suppkey").alias("column_name")).distinct()
-    asked = t.lineitem.select(F.col("l_orderkey").alias("id"), F.col("l_partkey").alias("row_key")).distinct()
-    return valueless(lookup_row(asked, cells), "part", "supplier", "id")
+    edges = t.lineitem.select(F.col("l_partkey").alias("row_key"), F.col("l_suppkey").alias("column_name")).distinct()
+    asked = t.part.select(F.col("p_partkey").alias("id"), F.col("p_partkey").alias("row_key"))
+    return valueless(lookup_row(asked, edges), "part", "supplier", "id")
 
 
 @query("""
