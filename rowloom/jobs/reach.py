@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.plans.skew import SkewOptions, fits_broadcast, heavy_keys, skew_join
+from rowloom.plans.skew import SkewOptions, fits_broadcast, heavy_keys, skew_join, stored
+
+
+def _skew(options: SkewOptions | None, left_keys: DataFrame, right_keys: DataFrame) -> SkewOptions:
+    """Look for heavy keys in the given tables instead of in results that would have to be computed for it."""
+    return replace(options or SkewOptions(), left_keys=left_keys, right_keys=right_keys)
 
 
 def _sharers(requests: DataFrame, sharers: DataFrame, options: SkewOptions | None) -> DataFrame:
     """Distinct (url, source) pairs of the requested urls."""
-    asked = requests.select("url").distinct()
-    return skew_join(asked, sharers.select("url", "source").distinct(), ["url"], options=options)
+    asked, shared = requests.select("url").distinct(), sharers.select("url", "source").distinct()
+    return skew_join(shared, asked, ["url"], options=_skew(options, sharers, asked), unique_right=True)
 
 
 def _answer(requests: DataFrame, counts: DataFrame, name: str, options: SkewOptions | None) -> DataFrame:
@@ -19,29 +26,35 @@ def _answer(requests: DataFrame, counts: DataFrame, name: str, options: SkewOpti
     return joined.select(*requests.columns, F.coalesce(name, F.lit(0).cast("long")).alias(name))
 
 
-def _expanded(pairs: DataFrame, followers: DataFrame, options: SkewOptions | None) -> DataFrame:
+def _expanded(pairs: DataFrame, sharers: DataFrame, followers: DataFrame, options: SkewOptions | None) -> DataFrame:
     edges = followers.select("source", "follower").distinct()
-    paths = skew_join(pairs, edges, ["source"], options=options)
+    paths = skew_join(pairs, edges, ["source"], options=_skew(options, sharers, followers))
     return paths.groupBy("url").agg(F.countDistinct("follower").alias("reach"))
 
 
-def _around_largest(pairs: DataFrame, followers: DataFrame, options: SkewOptions | None) -> DataFrame:
+def _around_largest(pairs: DataFrame, sharers: DataFrame, followers: DataFrame,
+                    options: SkewOptions | None) -> DataFrame:
     """Reach without listing the followers of the largest source of each url.
 
     That source adds its number of followers; the followers of the others are listed and those it has too are left out.
+    Results that are used several times are written once.
     """
     edges = followers.select("source", "follower").distinct()
     sizes = edges.groupBy("source").agg(F.count("*").alias("n"))
-    sized = skew_join(pairs, sizes, ["source"], options=options, unique_right=True)
+    by_source = _skew(options, sharers, followers)
+    sized = stored(skew_join(pairs, sizes, ["source"], options=by_source, unique_right=True))
     largest = sized.groupBy("url").agg(F.max(F.struct("n", "source")).alias("top")).select("url", "top.*")
     base = largest.withColumnRenamed("source", "base").withColumnRenamed("n", "base_n")
-    others = skew_join(sized.select("url", "source"), base, ["url"], options=options, unique_right=True)
-    others = others.where(F.col("source") != F.col("base")).select("url", "base", "source")
+    others = skew_join(sized.select("url", "source"), base, ["url"], options=_skew(options, sharers, base),
+                       unique_right=True)
+    others = stored(others.where(F.col("source") != F.col("base")).select("url", "base", "source"))
+
     # What a source adds to a base is worked out once per pair of them, whatever the number of urls with that pair.
-    listed = skew_join(others.select("base", "source").distinct(), edges, ["source"], options=options)
+    listed = stored(skew_join(others.select("base", "source").distinct(), edges, ["source"],
+                              options=_skew(options, others, followers)))
     known = edges.select(F.col("source").alias("base"), "follower", F.lit(True).alias("known"))
     checked = skew_join(listed, known, ["base", "follower"], "left", options, unique_right=True)
-    new = checked.where(F.col("known").isNull()).drop("known")
+    new = stored(checked.where(F.col("known").isNull()).drop("known"))
     paths = skew_join(others, new, ["base", "source"], options=options)
     added = paths.groupBy("url").agg(F.countDistinct("follower").alias("added"))
     joined = base.join(added, "url", "left")
@@ -58,9 +71,9 @@ def reach(requests: DataFrame, sharers: DataFrame, followers: DataFrame,
     """
     pairs = _sharers(requests, sharers, options)
     large = False
-    if options is not None or not fits_broadcast(followers):
+    if (options is not None and options.always) or not fits_broadcast(followers):
         large = bool(heavy_keys(followers, ["source"], options or SkewOptions()))
-    counts = (_around_largest if large else _expanded)(pairs, followers, options)
+    counts = (_around_largest if large else _expanded)(pairs, sharers, followers, options)
     return _answer(requests, counts, "reach", options)
 
 
@@ -69,6 +82,6 @@ def active_sources(requests: DataFrame, sharers: DataFrame, followers: DataFrame
     """Each request and the number of distinct sources that shared its url and have at least one follower."""
     pairs = _sharers(requests, sharers, options)
     followed = followers.select("source").distinct()
-    counts = skew_join(pairs, followed, ["source"], options=options, unique_right=True)
+    counts = skew_join(pairs, followed, ["source"], options=_skew(options, sharers, followers), unique_right=True)
     counts = counts.groupBy("url").agg(F.count("*").alias("sources"))
     return _answer(requests, counts, "sources", options)

@@ -16,6 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rowloom.session import shared_dir
+
 SALT = "__salt"
 HASH = "__key_hash"
 PIECE = "__piece"
@@ -32,14 +34,16 @@ TRACKED_PER_SKETCH = 4096
 class SkewOptions:
     """A key is heavy from ``share`` of the rows, but not below ``min_rows``; about that many rows of it stay together.
 
-    ``right_keys`` may name a cheaper source of the right side's keys to look for heavy ones in, such as the versions
-    of cells that are yet to be folded.
+    ``left_keys`` and ``right_keys`` may name a cheaper source of a side's keys to look for heavy ones in, such as the
+    versions of cells that are yet to be folded.  With ``always``, heavy keys are looked for even in small sides.
     """
 
     min_rows: int = 1_000_000
     share: float = 1 / 10_000
     max_salts: int = 4096
+    left_keys: DataFrame | None = None
     right_keys: DataFrame | None = None
+    always: bool = False
 
     def floor(self, rows: int) -> float:
         return max(self.min_rows, rows * self.share)
@@ -130,9 +134,9 @@ def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left', not {how!r}")
     on = list(on)
+    options = options or SkewOptions()
     look_left, look_right = True, not unique_right
-    if options is None:
-        options = SkewOptions()
+    if not options.always:
         small_left, small_right = fits_broadcast(left), fits_broadcast(right)
         if how == "left" and small_left and (unique_right or not small_right):
             # Spark cannot broadcast the left side of a left join, but it can leave out what that side does not ask for;
@@ -141,8 +145,9 @@ def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "
         if small_right or (how == "inner" and small_left):
             return left.join(right, on, how)
         look_left = not small_left
-    in_left = heavy_keys(left, on, options) if look_left else {}
-    in_right = {}
+    in_left = in_right = {}
+    if look_left:
+        in_left = heavy_keys(left if options.left_keys is None else options.left_keys, on, options)
     if look_right:
         in_right = heavy_keys(right if options.right_keys is None else options.right_keys, on, options)
     left_heavy = {h: n for h, n in in_left.items() if n >= in_right.get(h, 0)}
@@ -166,3 +171,10 @@ def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "
         .unionByName(spread(left_h, right_h, "inner"))
         .unionByName(unmatched, allowMissingColumns=True)
     )
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """A result written to the session's shared folder and read back, to be used several times without its lineage."""
+    path = shared_dir(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -84,10 +84,7 @@ class CellStore:
         Heavy rows are looked for in the unfolded log, so the fold runs once.
         """
         cells = self.cells(keyspace, table, as_of, requests).drop(*ROUTE)
-        options = None
-        if not fits_broadcast(requests):
-            options = SkewOptions(right_keys=self.versions(keyspace, table))
-        return how(requests, cells, options=options, **bounds)
+        return how(requests, cells, options=SkewOptions(right_keys=self.versions(keyspace, table)), **bounds)
 
     def compact(self, keep_last: int = 1, purge_before: Column | None = None) -> int | None:
         """Fold batches into a snapshot.  Deleted cells are kept, since an older write may still arrive.

@@ -137,7 +137,7 @@ def wide(spark):
 DISPATCHED = [(1, "a"), (2, "b"), (2, "c"), (3, "a"), (3, "b"), (3, "c"), (3, "d")]
 
 
-@pytest.mark.parametrize("options", [None, SkewOptions(min_rows=1, share=0.01)])
+@pytest.mark.parametrize("options", [None, SkewOptions(min_rows=1, share=0.01, always=True)])
 def test_dispatch_per_request(wide, options):
     asked, cells = wide
     assert rows(lookup_dispatch(asked, cells, options), "id", "column_name") == DISPATCHED
