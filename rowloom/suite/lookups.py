@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from rowloom import jobs
 from rowloom.functions import composite
 from rowloom.operators import (
     ErrorPolicy,
@@ -20,7 +21,7 @@ from rowloom.operators import (
     state_query,
 )
 from rowloom.operators.mappers import Write, map_composite_column
-from rowloom import jobs
+from rowloom.plans import SkewOptions
 from rowloom.suite.mapping import order_name, order_requests
 from rowloom.suite.registry import query
 
@@ -50,8 +51,7 @@ def customer_requests(t):
 
 
 def label_cells(t):
-    cells = map_default(t.labels, "doc_id", ["quality", "toxic"])
-    return cells
+    return map_default(t.labels, "doc_id", ["quality", "toxic"])
 
 
 def document_requests(t):
@@ -149,9 +149,10 @@ COMPOSITE_CELLS = """cells AS (
 
 
 def composite_cells(t):
-    cells = map_composite_column(t.orders, F.col("o_custkey"), order_name(), F.col("o_orderkey"),
-                                 Write(F.lit("2000-01-01").cast("timestamp_ntz"), "o_orderkey"))
-    return resolve_latest(cells).select("row_key", "column_name", "value")
+    """The current cells of the orders, and where to look for customers with very many orders."""
+    written = map_composite_column(t.orders, F.col("o_custkey"), order_name(), F.col("o_orderkey"),
+                                   Write(F.lit("2000-01-01").cast("timestamp_ntz"), "o_orderkey"))
+    return resolve_latest(written).select("row_key", "column_name", "value"), SkewOptions(right_keys=written)
 
 
 def composite_requests(t):
@@ -167,8 +168,9 @@ def composite_result(found):
     SELECT c.* FROM customer JOIN cells c ON c_custkey = c.row_key
     WHERE c0 = 'F' AND c1 BETWEEN '2-HIGH' AND '3-MEDIUM'""", "lookup_composite_range")
 def composite_range_of_orders(t):
-    found = lookup_composite_range(composite_requests(t), composite_cells(t), ("F", "2-HIGH"), ("O", "3-MEDIUM"))
-    return composite_result(found)
+    cells, options = composite_cells(t)
+    bounds = ("F", "2-HIGH"), ("O", "3-MEDIUM")
+    return composite_result(lookup_composite_range(composite_requests(t), cells, *bounds, options))
 
 
 @query(f"""WITH {COMPOSITE_CELLS}
@@ -185,15 +187,16 @@ def lookup_composite_range_per_request(t):
         composite(status=first, priority=second).alias("start"),
         composite(status=F.lit("O"), priority=F.lit("3-MEDIUM")).alias("end"),
     )
-    return composite_result(lookup_composite_range(asked, composite_cells(t)))
+    cells, options = composite_cells(t)
+    return composite_result(lookup_composite_range(asked, cells, options=options))
 
 
 @query(f"""WITH {COMPOSITE_CELLS}
     SELECT c.* FROM customer JOIN cells c ON c_custkey = c.row_key
     WHERE c0 = 'P' OR (c0 = 'O' AND c1 = '5-LOW')""", "lookup_composite_slice")
 def composite_slice_of_orders(t):
-    found = lookup_composite_slice(composite_requests(t), composite_cells(t), [("P", None), ("O", "5-LOW")])
-    return composite_result(found)
+    cells, options = composite_cells(t)
+    return composite_result(lookup_composite_slice(composite_requests(t), cells, [("P", None), ("O", "5-LOW")], options))
 
 
 REACH_EDGES = """

@@ -17,6 +17,7 @@ from rowloom.operators import (
     split_words,
     valueless,
 )
+from rowloom.plans import SkewOptions
 from rowloom.suite.registry import query
 
 
@@ -90,9 +91,10 @@ def map_counter_lineitem(t):
     SELECT DISTINCT p_partkey AS id, l_partkey AS part, l_suppkey AS supplier
     FROM part JOIN lineitem ON l_partkey = p_partkey""")
 def valueless_edges(t):
-    edges = t.lineitem.select(F.col("l_partkey").alias("row_key"), F.col("l_suppkey").alias("column_name")).distinct()
+    lines = t.lineitem.select(F.col("l_partkey").alias("row_key"), F.col("l_suppkey").alias("column_name"))
     asked = t.part.select(F.col("p_partkey").alias("id"), F.col("p_partkey").alias("row_key"))
-    return valueless(lookup_row(asked, edges), "part", "supplier", "id")
+    found = lookup_row(asked, lines.distinct(), SkewOptions(right_keys=lines))
+    return valueless(found, "part", "supplier", "id")
 
 
 @query("""
