@@ -43,7 +43,7 @@ class Write:
 
     def columns(self) -> list[Column]:
         ts = _expr(self.write_ts)
-        expires = F.lit(None).cast("timestamp_ntz")
+        expires = F.when(F.lit(False), ts)
         if self.ttl_seconds is not None and self.ttl_seconds > 0:
             expires = ts + F.make_interval(secs=F.lit(self.ttl_seconds))
         deleted = F.lit(False) if self.delete_when is None else F.coalesce(self.delete_when, F.lit(False))

@@ -35,7 +35,8 @@ class CellStore:
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType | None = None):
         self.log = BatchLog(spark, root, schema or cell_schema(), ROUTE, CELL_ID)
 
-    def put(self, df: DataFrame, mapper: Mapper, batch_id: int, writer: str = "main", many_tables: bool = False):
+    def put(self, df: DataFrame, mapper: Mapper, batch_id: int, writer: str = "main",
+            many_tables: bool = False) -> DataFrame:
         """Map rows to cells, write them as one batch, and hand the rows on.
 
         Only the last version of each cell in the batch is written.  With ``many_tables`` rows are first gathered by
@@ -47,7 +48,8 @@ class CellStore:
         self.log.append(cells, batch_id, writer)
         return df
 
-    def put_then_emit(self, df: DataFrame, mapper: Mapper, batch_id: int, field: str, value, writer: str = "main"):
+    def put_then_emit(self, df: DataFrame, mapper: Mapper, batch_id: int, field: str, value,
+                      writer: str = "main") -> DataFrame:
         """Write, then give each row a constant in a new field; with None no row is handed on."""
         self.put(df, mapper, batch_id, writer)
         return emit_constant(df, field, value)
@@ -91,7 +93,6 @@ class CellStore:
 
         ``purge_before`` drops those deleted or expired before a time; the caller vouches that no older write is due.
         """
-
         keep = None
         if purge_before is not None:
             deleted = F.col("is_deleted") & (F.col("write_ts") < purge_before)

@@ -198,6 +198,16 @@ def test_typed_and_composite_cells_come_back(spark, at, tmp_path):
     assert rows(store.cells(), "row_key.a", "row_key.b", "value") == [("x", 1, 5)]
 
 
+@pytest.mark.parametrize(("order", "values"), [("long", [1, 2]), ("date", ["2024-01-01", "2024-01-02"])])
+def test_other_orders_of_writes(spark, tmp_path, order, values):
+    store = CellStore(spark, str(tmp_path / "cells"), cell_schema(order=order))
+    kind = store.log.schema["write_ts"].dataType
+    df = spark.createDataFrame([("k", str(v)) for v in values], "k string, v string")
+    df = df.withColumn("o", F.col("v").cast(kind))
+    store.put(df, lambda d: map_custom(d, F.col("k"), {"v": F.col("v")}, Write("o")), 0)
+    assert rows(store.cells(), "value") == [(str(values[1]),)]
+
+
 def test_put_then_emit(spark, at, tmp_path):
     store = CellStore(spark, str(tmp_path / "cells"))
     df = spark.createDataFrame([("k", at(1))], "k string, at timestamp_ntz")
