@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+from collections.abc import Callable, Iterator
 from math import inf
 
 import pyarrow as pa
@@ -13,6 +14,22 @@ from pyspark.sql import functions as F
 from rowloom.session import shared_dir
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def for_workers(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver found it, if it is not installed."""
+    env = spark.sparkContext.environment
+    if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, [env.get("PYTHONPATH")])])
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``df.mapInArrow`` whose workers can import this package."""
+    for_workers(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written to the shared folder and read again: lineage ends here, and a lost executor loses nothing."""
     path = shared_dir(df.sparkSession, purpose)

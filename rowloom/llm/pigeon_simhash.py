@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.llm.common import stored, texts
+from rowloom.llm.common import map_batches, stored, texts
 
 SHINGLE, SEED, MAX_BITS = 3, 42, 2
 SEGMENTS, SEGMENT_BITS = 4, 16
@@ -60,7 +60,7 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signed)], names=["doc_id", "bits"])
 
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return picked.mapInArrow(run, "doc_id long, bits long")
+    return map_batches(picked, run, "doc_id long, bits long")
 
 
 def segment(bits: Column, i: int) -> Column:

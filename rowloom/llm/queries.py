@@ -7,18 +7,41 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowloom.llm import ordinal_quality, toxic_cnn
 from rowloom.llm.minimax_shards import minimax_shards
 from rowloom.llm.pigeon_simhash import near_duplicates
 from rowloom.llm.poisson_mix import poisson_mix
+from rowloom.llm.spaced_seeds import contaminated
 
 SHARDS = 8
 MIX_POWER, MIX_SEED = 0.5, "mix"
+TOXIC_SCORE = 0.3
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_toxic_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, from labels outside the held-out quarter."""
+    docs = table(spark, sf_dir, "documents")
+    out = toxic_cnn.scored(docs, toxic_cnn.train(docs, table(spark, sf_dir, "labels")))
+    predicted = (F.col("score") >= TOXIC_SCORE).cast("int").alias("predicted")
+    return out.select("doc_id", "held_out", "score", predicted, "threshold", "flagged")
+
+
+def op3_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the stretch that it holds."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade, tail probability and acceptance of every document."""
+    docs = table(spark, sf_dir, "documents")
+    rated = ordinal_quality.ratings(table(spark, sf_dir, "labels"))
+    return ordinal_quality.graded(docs, ordinal_quality.train(docs, rated))
+
+
 def op6_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents replicated to damped source shares, in random order."""
     return poisson_mix(table(spark, sf_dir, "documents"), power=MIX_POWER, seed=MIX_SEED)
@@ -37,7 +60,15 @@ def op10_pigeon_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_poisson_mix, op9_minimax_shards, op10_pigeon_simhash)
+    f.__name__: f
+    for f in (
+        op2_toxic_cnn,
+        op3_spaced_seeds,
+        op4_ordinal_quality,
+        op6_poisson_mix,
+        op9_minimax_shards,
+        op10_pigeon_simhash,
+    )
 }
 
 SQL: dict[str, str] = {
