@@ -10,7 +10,7 @@ Without given weights, a source's share follows ``n ** power`` (0.5: large sourc
 
 Defined results: a null source is a source of its own. A source without a given weight has weight zero. A row without
 ``doc_id`` draws by its text. Repeated rows draw alike. No rows give no rows. All columns are kept; ``copy`` (from 1) and
-``shuffle_key`` are added, and replace columns of those names.
+``shuffle_key`` are added, and replace columns of those names; without ``counted`` the columns stay as they are.
 """
 
 from __future__ import annotations
@@ -60,9 +60,10 @@ def poisson_mix(
     power: float = 0.5,
     epochs: float = 1.0,
     seed: str = "mix",
+    counted: bool = True,
 ) -> DataFrame:
-    """Every row as often as it is drawn, in random order."""
-    docs = docs.drop("copy", "shuffle_key")
+    """Every row as often as it is drawn, in random order; with ``counted``, its copies are numbered."""
+    docs = docs.drop("copy", "shuffle_key") if counted else docs
     names = docs.columns
     cdfs = stored(distributions(target_rates(docs, weights, power, epochs)), "mix-rates")
     cdfs = cdfs.select(F.col("source").alias("mix_source"), F.col("cdf").alias("mix_cdf"))
@@ -77,4 +78,4 @@ def poisson_mix(
     key = F.md5(F.concat_ws(":", F.lit(seed), F.col("mix_row"), F.col("copy").cast("string")))
     dealt = copies.select("doc", "copy", key.alias("shuffle_key"))
     dealt = dealt.repartition(shuffle_parts(docs.sparkSession), "shuffle_key").sortWithinPartitions("shuffle_key")
-    return dealt.select("doc.*", "copy", "shuffle_key")
+    return dealt.select("doc.*", "copy", "shuffle_key") if counted else dealt.select("doc.*")
