@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import ordinal_quality, toxic_cnn
+from rowloom.llm import bit_planes, ordinal_quality, toxic_cnn
 from rowloom.llm.minimax_shards import minimax_shards
 from rowloom.llm.pigeon_simhash import near_duplicates
 from rowloom.llm.poisson_mix import poisson_mix
@@ -47,6 +47,13 @@ def op6_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return poisson_mix(table(spark, sf_dir, "documents"), power=MIX_POWER, seed=MIX_SEED)
 
 
+def op7_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the ids of every document stand, read back from the files they were written to."""
+    import public_tokenizers
+
+    return bit_planes.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op9_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eight shards of nearly equal bytes, equal texts together."""
     out = minimax_shards(table(spark, sf_dir, "documents"), SHARDS)
@@ -66,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_spaced_seeds,
         op4_ordinal_quality,
         op6_poisson_mix,
+        op7_bit_planes,
         op9_minimax_shards,
         op10_pigeon_simhash,
     )
