@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import bit_planes, ordinal_quality, toxic_cnn
+from rowloom.llm import bit_planes, ordinal_quality, spot_signatures, toxic_cnn
 from rowloom.llm.minimax_shards import minimax_shards
 from rowloom.llm.pigeon_simhash import near_duplicates
 from rowloom.llm.poisson_mix import poisson_mix
@@ -42,6 +42,11 @@ def op4_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal_quality.graded(docs, ordinal_quality.train(docs, rated))
 
 
+def op5_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint of every document and of its edited text, and how alike they and the next document are."""
+    return spot_signatures.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op6_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents replicated to damped source shares, in random order."""
     return poisson_mix(table(spark, sf_dir, "documents"), power=MIX_POWER, seed=MIX_SEED)
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_toxic_cnn,
         op3_spaced_seeds,
         op4_ordinal_quality,
+        op5_spot_signatures,
         op6_poisson_mix,
         op7_bit_planes,
         op9_minimax_shards,
