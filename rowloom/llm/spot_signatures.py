@@ -3,7 +3,7 @@
 A spot is an anchor, one of a fixed list of common words, together with the chain of the next ``chain`` content words after
 it, ``distance`` content words apart. Boilerplate is poor in such words, prose is full of them. The set of a text's spots,
 each hashed to 32 bits, is its fingerprint, and the likeness of two texts is the Jaccard similarity of their sets. The
-beginning of a text is an anchor too, and in a stretch without anchors every ``DRY``-th word stands in for one, so that
+beginning of a text is an anchor too, with chains of one word as well, and in a stretch without anchors every ``DRY``-th word stands in for one, so that
 lists and very short texts have spots.
 
 ``near_pairs`` joins a corpus with itself. Sets are put into partitions by length whose bounds grow by the threshold, so that
@@ -73,15 +73,22 @@ def spots(text: str, known: WordMarks, chain: int = CHAIN, distance: int = DISTA
     marks = np.append(marks, np.uint64(0))
     fits = after + distance * (chain - 1) < len(content)
     anchors, after = anchors[fits], after[fits]
-    if not len(anchors):
-        return np.array([zlib.crc32(text.encode("utf-8"))], np.uint32)
     total = marks[anchors]
     for i in range(chain):
-        total = (total ^ (total >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + marks[content[after + distance * i]]
+        total = chained(total, marks[content[after + distance * i]])
+    if len(content):  # the beginning and one word, for texts of a few words
+        total = np.append(total, chained(np.zeros(1, np.uint64), marks[content[:1]]))
+    if not len(total):
+        return np.array([zlib.crc32(text.encode("utf-8"))], np.uint32)
     total = (total ^ (total >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
     return np.unique((total >> np.uint64(32)).astype(np.uint32))
 
 
+def chained(total: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The hashes of chains that go on with a word."""
+    return (total ^ (total >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + word
+
+
 def jaccard(a: np.ndarray, b: np.ndarray, least: float = 0.0) -> float:
     """The Jaccard similarity of two sorted sets; 0 without comparing them where their lengths rule ``least`` out."""
     short, long = sorted((len(a), len(b)))
