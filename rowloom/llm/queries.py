@@ -11,6 +11,7 @@ from rowloom.llm import bit_planes, ordinal_quality, spot_signatures, toxic_cnn
 from rowloom.llm.minimax_shards import minimax_shards
 from rowloom.llm.pigeon_simhash import near_duplicates
 from rowloom.llm.poisson_mix import poisson_mix
+from rowloom.llm.site_style import main_texts
 from rowloom.llm.spaced_seeds import contaminated
 
 SHARDS = 8
@@ -22,6 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_site_style(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return main_texts(table(spark, sf_dir, "pages"))
+
+
 def op2_toxic_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity of every document, from labels outside the held-out quarter."""
     docs = table(spark, sf_dir, "documents")
@@ -74,6 +80,7 @@ def op10_pigeon_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_site_style,
         op2_toxic_cnn,
         op3_spaced_seeds,
         op4_ordinal_quality,
