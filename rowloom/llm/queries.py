@@ -11,6 +11,7 @@ from rowloom.llm import bit_planes, ordinal_quality, spot_signatures, toxic_cnn
 from rowloom.llm.minimax_shards import minimax_shards
 from rowloom.llm.pigeon_simhash import near_duplicates
 from rowloom.llm.poisson_mix import poisson_mix
+from rowloom.llm.revisits import header_text, resolve_revisits
 from rowloom.llm.site_style import main_texts
 from rowloom.llm.spaced_seeds import contaminated
 
@@ -65,6 +66,59 @@ def op7_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bit_planes.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def archive_records(pages: DataFrame) -> DataFrame:
+    """Every page as a full response of its section's front, and one later visit there, answered with "not modified".
+
+    Fronts are captured again and again, so a visit may find another response than its own page. The visits carry, in
+    turn, the weak tag, the time of last modification, another tag and the same tag.
+    """
+    own = pages.filter("page_id IS NOT NULL").select(
+        F.col("page_id").cast("long").alias("page_id"),
+        F.regexp_replace("url", "/[0-9]+", "/").alias("url"),
+        F.coalesce("html", F.lit("")).alias("html"),
+    )
+    turn, at, page = F.col("page_id") % 4, F.col("page_id") * 10, F.md5("html")
+    tag = F.concat(F.lit('"'), page, F.lit('"'))
+    text = lambda c: c.cast("string")
+    response = own.select(
+        (F.col("page_id") * 2).alias("record_id"),
+        "url",
+        at.alias("captured"),
+        F.lit("response").alias("kind"),
+        F.lit(200).alias("status"),
+        tag.alias("etag"),
+        text(at).alias("last_modified"),
+        F.map_from_arrays(
+            F.array(*map(F.lit, ("Content-Type", "Content-Length", "Date", "ETag", "Last-Modified"))),
+            F.array(F.lit("text/html"), text(F.length("html")), text(at), tag, text(at)),
+        ).alias("headers"),
+        page.alias("payload_md5"),
+    )
+    later = at + 5 + F.when(F.col("page_id") % 3 == 0, 10 * (F.col("page_id") % 97)).otherwise(0)
+    new_tag = F.when(turn == 0, F.concat(F.lit("W/"), tag)).when(turn == 2, F.lit('"changed"')).when(turn == 3, tag)
+    revisit = own.select(
+        (F.col("page_id") * 2 + 1).alias("record_id"),
+        "url",
+        later.alias("captured"),
+        F.lit("revisit").alias("kind"),
+        F.lit(304).alias("status"),
+        new_tag.alias("etag"),
+        F.when(turn == 1, text(at)).alias("last_modified"),
+        F.map_from_arrays(
+            F.array(*map(F.lit, ("date", "cache-control", "content-length", "set-cookie"))),
+            F.array(text(later), F.lit("max-age=60"), F.lit("0"), F.lit("a=b")),
+        ).alias("headers"),
+        F.lit(None).cast("string").alias("payload_md5"),
+    )
+    return response.unionByName(revisit)
+
+
+def op8_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each later visit of a page's address stands for."""
+    found = resolve_revisits(archive_records(table(spark, sf_dir, "pages")), carried=("payload_md5",))
+    return found.withColumn("headers", header_text(F.col("headers")))
+
+
 def op9_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eight shards of nearly equal bytes, equal texts together."""
     out = minimax_shards(table(spark, sf_dir, "documents"), SHARDS)
@@ -87,12 +141,49 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_spot_signatures,
         op6_poisson_mix,
         op7_bit_planes,
+        op8_revisits,
         op9_minimax_shards,
         op10_pigeon_simhash,
     )
 }
 
 SQL: dict[str, str] = {
+    "op8_revisits": r"""
+        WITH bare AS (
+            SELECT page_id, md5(coalesce(html, '')) AS page, length(coalesce(html, '')) AS n,
+                regexp_replace(trim(regexp_replace(url, '/[0-9]+', '/', 'g')), '#.*$', '') AS url
+            FROM pages WHERE page_id IS NOT NULL),
+        parts AS (
+            SELECT page_id, page, n,
+                regexp_replace(regexp_replace(lower(regexp_extract(
+                    url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?@]*@)?([^/?]*)', 2)), ':(80|443)$', ''), '^www[0-9]*\.', '') AS host,
+                regexp_replace(regexp_replace(regexp_replace(
+                    url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?@]*@)?[^/?]*', ''), '[?].*$', ''), '/+$', '') AS path,
+                array_to_string(list_sort(list_filter(string_split(regexp_extract(url, '[?](.*)$', 1), '&'), lambda p:
+                    p <> '' AND NOT regexp_matches(lower(p), '^(utm_[a-z]*|ref|fbclid|gclid|sessionid)(=|$)'))), '&') AS query
+            FROM bare),
+        own AS (
+            SELECT page_id, page, n, page_id * 10 AS taken, page_id * 10 + 5 + CASE WHEN page_id % 3 = 0 THEN 10 * (page_id % 97) ELSE 0 END AS later,
+                host || CASE WHEN path = '' THEN '/' ELSE path END || CASE WHEN query = '' THEN '' ELSE '?' || query END
+                    AS canonical_url
+            FROM parts),
+        visits AS (
+            SELECT v.*, r.page_id AS old_id, r.page AS old_page, r.n AS old_n, r.taken AS old_taken
+            FROM own v ASOF LEFT JOIN own r ON v.canonical_url = r.canonical_url AND v.later > r.taken),
+        judged AS (
+            SELECT *, CASE
+                WHEN old_id IS NULL THEN 'no_earlier_response'
+                WHEN page_id % 4 = 1 THEN CASE WHEN taken = old_taken THEN 'resolved' ELSE 'validator_mismatch' END
+                WHEN page_id % 4 = 2 THEN 'validator_mismatch'
+                WHEN page = old_page THEN 'resolved' ELSE 'validator_mismatch' END AS outcome
+            FROM visits)
+        SELECT page_id * 2 + 1 AS record_id, canonical_url, later AS captured, outcome,
+            CASE WHEN outcome = 'resolved' THEN old_id * 2 END AS refers_to,
+            CASE WHEN outcome = 'resolved' THEN 'cache-control: max-age=60' || chr(10) || 'content-length: ' || old_n || chr(10)
+                || 'content-type: text/html' || chr(10) || 'date: ' || later || chr(10) || 'etag: "' || old_page || '"' || chr(10)
+                || 'last-modified: ' || old_taken END AS headers,
+            CASE WHEN outcome = 'resolved' THEN old_page END AS payload_md5
+        FROM judged""",
     "op6_poisson_mix": f"""
         WITH sizes AS (SELECT source, count(*) AS n, pow(count(*)::DOUBLE, {MIX_POWER}) AS weight FROM documents GROUP BY 1),
         rates AS (SELECT source, weight * (SELECT sum(n) FROM sizes) / (SELECT sum(weight) FROM sizes) / n AS rate FROM sizes),
