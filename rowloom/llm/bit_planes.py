@@ -9,7 +9,7 @@ compressed by itself with zstandard; a plane of zeros is kept as nothing.
 Format, under one folder: ``blocks`` holds one Parquet row per block and is the data together with its chunk index:
 segment, block, first (place of its first id in the segment), n_ids, width (bytes per id), kind, the compressed planes,
 the CRC of its ids, and where the documents stand in it: doc_ids, doc_firsts (place of the document's first id in the
-segment), doc_ids_total (its length) and doc_from (place of its part in the block). A block can be read by itself.
+segment), doc_totals (its length) and doc_from (place of its part in the block). A block can be read by itself.
 
 Reading decodes block by block. A document inside one block is finished there; parts of a document that lies across
 blocks are put together by the place of its first id. No document is read twice and no block needs its neighbours.

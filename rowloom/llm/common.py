@@ -55,11 +55,13 @@ def with_bucket(df: DataFrame, column: str, cuts: list[int], bucket: str) -> Dat
 
     Equal values are always in one share.
     """
+    if not cuts:
+        return df.withColumn(bucket, F.when(F.col(column).isNull(), 1).otherwise(0))
     splits = [-inf, *sorted({float(c) for c in cuts}), inf]
     number, placed = f"{bucket}_in", f"{bucket}_out"
     out = df.withColumn(number, F.col(column).cast("double"))
     out = Bucketizer(splits=splits, inputCol=number, outputCol=placed, handleInvalid="keep").transform(out)
-    return out.withColumn(bucket, F.col(placed).cast("int")).drop(number, placed)
+    return out.withColumn(bucket, F.coalesce(F.col(placed).cast("int"), F.lit(len(splits) - 1))).drop(number, placed)
 
 
 def texts(column: pa.Array, step: int = 256) -> Iterator[tuple[int, list[str]]]:

@@ -28,6 +28,8 @@ from rowloom.llm.common import for_workers, whole_text
 
 BUCKETS = 2**16
 MAX_ROWS = 6_000  # labelled rows that are fitted
+MIN_TEXTS = 5  # words in fewer of the fitted texts get no weight
+PULL = 3.0  # a word's share of its text is multiplied by this, so that single words are learnt in few steps
 CACHE = 400_000  # words whose buckets a task remembers before it starts anew
 
 
@@ -95,24 +97,28 @@ class OrdinalModel:
             words, page = features(text, known)
             numbers[i] = self.weights[page].sum()
             if len(words):
-                numbers[i] += (self.weights[words >> 16].sum() + self.weights[words & 0xFFFF].sum()) / len(words)
+                numbers[i] += PULL * (self.weights[words >> 16].sum() + self.weights[words & 0xFFFF].sum()) / len(words)
         return 1 / (1 + np.exp(np.clip(self.cuts[None, :] - numbers[:, None], -60, 60)))
 
 
-def fit(texts: list[str], grades: list[int], epochs: int = 150, rate: float = 0.05, decay: float = 1e-5) -> OrdinalModel:
+def fit(texts: list[str], grades: list[int], epochs: int = 150, rate: float = 0.05, decay: float = 1e-4) -> OrdinalModel:
     """The most likely weights and thresholds, by Adam on all rows at once."""
     levels = sorted(set(grades))
     if len(levels) < 2:
         return OrdinalModel(np.zeros(BUCKETS), np.empty(0), levels)
     known = WordBuckets()
     rows, places, values = [], [], []
+    texts_with = np.zeros(BUCKETS, np.int64)
     for i, text in enumerate(texts):
         words, page = features(text, known)
         used, counts = np.unique(np.concatenate([words >> 16, words & 0xFFFF]), return_counts=True)
+        texts_with[used] += 1
         rows.append(np.full(len(used) + len(page), i))
         places.append(np.concatenate([used, np.array(page, np.int64)]))
-        values.append(np.concatenate([counts / max(1, len(words)), np.ones(len(page))]))
+        values.append(np.concatenate([PULL * counts / max(1, len(words)), np.ones(len(page))]))
     row, place, value = np.concatenate(rows), np.concatenate(places), np.concatenate(values)
+    often = np.maximum(texts_with[place], (value == 1) * MIN_TEXTS) >= MIN_TEXTS
+    row, place, value = row[often], place[often], value[often]
     seen, column = np.unique(place, return_inverse=True)
     grade = np.searchsorted(levels, grades)
     k = len(levels) - 1

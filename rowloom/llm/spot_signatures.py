@@ -3,8 +3,8 @@
 A spot is an anchor, one of a fixed list of common words, together with the chain of the next ``chain`` content words after
 it, ``distance`` content words apart. Boilerplate is poor in such words, prose is full of them. The set of a text's spots,
 each hashed to 32 bits, is its fingerprint, and the likeness of two texts is the Jaccard similarity of their sets. The
-beginning of a text is an anchor too, with chains of one word as well, and in a stretch without anchors every ``DRY``-th word stands in for one, so that
-lists and very short texts have spots.
+beginning of a text is an anchor too, with chains of one word as well, and in a stretch without anchors every ``DRY``-th
+word stands in for one, so that lists and very short texts have spots.
 
 ``near_pairs`` joins a corpus with itself. Sets are put into partitions by length whose bounds grow by the threshold, so that
 like sets are in one or in neighbouring partitions; inside, sets meet by the rarest of their spots, as many as the threshold
