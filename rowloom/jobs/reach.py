@@ -17,8 +17,13 @@ def _skew(options: SkewOptions | None, left_keys: DataFrame, right_keys: DataFra
 
 def _sharers(requests: DataFrame, sharers: DataFrame, options: SkewOptions | None) -> DataFrame:
     """Distinct (url, source) pairs of the requested urls."""
-    asked, shared = requests.select("url").distinct(), sharers.select("url", "source").distinct()
-    return skew_join(shared, asked, ["url"], options=_skew(options, sharers, asked), unique_right=True)
+    asked = requests.select("url").distinct()
+    return sharers.select("url", "source").join(asked, "url", "left_semi").distinct()
+
+
+def _followed(pairs: DataFrame, followers: DataFrame) -> DataFrame:
+    """The follower rows of the sources in ``pairs`` only, which is told before anything is shuffled by follower."""
+    return followers.select("source", "follower").join(pairs.select("source").distinct(), "source", "left_semi")
 
 
 def _answer(requests: DataFrame, counts: DataFrame, name: str, options: SkewOptions | None) -> DataFrame:
@@ -27,7 +32,7 @@ def _answer(requests: DataFrame, counts: DataFrame, name: str, options: SkewOpti
 
 
 def _expanded(pairs: DataFrame, sharers: DataFrame, followers: DataFrame, options: SkewOptions | None) -> DataFrame:
-    edges = followers.select("source", "follower").distinct()
+    edges = _followed(pairs, followers)  # repeated edges do not matter below
     paths = skew_join(pairs, edges, ["source"], options=_skew(options, sharers, followers))
     return paths.groupBy("url").agg(F.countDistinct("follower").alias("reach"))
 
@@ -39,7 +44,7 @@ def _around_largest(pairs: DataFrame, sharers: DataFrame, followers: DataFrame,
     That source adds its number of followers; the followers of the others are listed and those it has too are left out.
     Results that are used several times are written once.
     """
-    edges = followers.select("source", "follower").distinct()
+    edges = _followed(pairs, followers).distinct()
     sizes = edges.groupBy("source").agg(F.count("*").alias("n"))
     by_source = _skew(options, sharers, followers)
     sized = stored(skew_join(pairs, sizes, ["source"], options=by_source, unique_right=True))
@@ -81,7 +86,7 @@ def active_sources(requests: DataFrame, sharers: DataFrame, followers: DataFrame
                    options: SkewOptions | None = None) -> DataFrame:
     """Each request and the number of distinct sources that shared its url and have at least one follower."""
     pairs = _sharers(requests, sharers, options)
-    followed = followers.select("source").distinct()
+    followed = _followed(pairs, followers).select("source").distinct()
     counts = skew_join(pairs, followed, ["source"], options=_skew(options, sharers, followers), unique_right=True)
     counts = counts.groupBy("url").agg(F.count("*").alias("sources"))
     return _answer(requests, counts, "sources", options)

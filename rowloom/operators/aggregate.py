@@ -112,18 +112,18 @@ def running_count(df: DataFrame, key: str, order: str, options: SkewOptions | No
         upto = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(name, F.count("*").over(upto))
 
-    buckets = 2 ** min(max(math.ceil(math.log2(rows / options.min_rows)), 4), 14)
+    buckets = 2 ** min(max(math.ceil(math.log2(rows / options.min_rows)), 4), 14)  # steers only the balance
     cuts = _quantiles(df.select(ordinal.alias("o")), "o", buckets)
     is_heavy = key_hash([key]).isin(list(heavy))
     cut = _with_bucket(df, F.when(is_heavy, ordinal), cuts, "__b")
-    cut = cut.withColumns({"__k": F.coalesce(F.col(key).cast("string"), F.lit("")), "__null": F.col(key).isNull()})
-    slot = ["__k", "__null", "__b"]
+    slot = [key, "__b"]
     upto = Window.partitionBy(*slot).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     counted = cut.withColumn(name, F.count("*").over(upto))
 
     # One row per heavy key and bucket, partitioned like the counted rows, so these are not shuffled again.
-    before = Window.partitionBy("__k", "__null").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(key).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     sizes = cut.where(is_heavy).groupBy(*slot).agg(F.count("*").alias("__n"))
-    offsets = sizes.select(*slot, F.sum("__n").over(before).alias("__before"))
-    raised = counted.join(offsets, slot, "left")
+    offsets = sizes.select(F.col(key).alias("__key"), F.col("__b").alias("__at"), F.sum("__n").over(before).alias("__before"))
+    same = F.col(key).eqNullSafe(F.col("__key")) & (F.col("__b") == F.col("__at"))
+    raised = counted.join(offsets, same, "left")
     return raised.select(*df.columns, (F.col(name) + F.coalesce("__before", F.lit(0))).alias(name))

@@ -6,7 +6,7 @@ on the row through the lookup, so it can be put in front of every output.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +22,18 @@ def columns_to_rows(found: DataFrame, rows: Column, keep: Sequence[str] = ()) ->
     return found.select(*keep, F.inline(rows))
 
 
+def columns_to_row(found: DataFrame, request_id: str | Sequence[str], names: Mapping[str, str] | Sequence[str]) -> DataFrame:
+    """One row per request with its named columns side by side, null where a request's row lacks one.
+
+    ``names`` are column names, or output names by column name.  It is one grouped aggregate: no map of a row's columns is
+    built.  Requests whose row has none of the columns give no row, unless their lookup kept them (``state_query``).
+    """
+    ids = [request_id] if isinstance(request_id, str) else list(request_id)
+    wanted = dict(names) if isinstance(names, Mapping) else {n: n for n in names}
+    value = lambda n: F.max(F.when(F.col("column_name") == n, F.col("value")))
+    return found.groupBy(*ids).agg(*[value(n).alias(out) for n, out in wanted.items()])
+
+
 def valueless(found: DataFrame, key_field: str, name_field: str, request_id: str | None = None) -> DataFrame:
     """One row per column *name* of the row that was read; values are not looked at."""
     ids = [] if request_id is None else [request_id]

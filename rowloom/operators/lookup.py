@@ -9,14 +9,41 @@ before the join, so they reach the scan.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowloom.functions.composite import in_composite_range
 from rowloom.plans.skew import SkewOptions, skew_join
 
 
+UNSET = object()
+
+
+def _parts(cells: DataFrame) -> list[str] | None:
+    """The parts of composite column names; None where names are single."""
+    kind = cells.schema["column_name"].dataType
+    return kind.fieldNames() if isinstance(kind, T.StructType) else None
+
+
+def _named(cells: DataFrame) -> Column:
+    """Whether a cell's name is in its request's ``slice``; a composite name with null parts stands for its prefix."""
+    parts, name = _parts(cells), F.col("column_name")
+    if parts is None:
+        return F.array_contains("slice", name)
+    return F.exists("slice", lambda wanted: in_composite_range(name, wanted, wanted, parts))
+
+
+def _bounded(cells: DataFrame) -> Column:
+    """Whether a cell's name is between its request's bounds; composite names by the rule of composite ranges."""
+    parts, name = _parts(cells), F.col("column_name")
+    if parts is None:
+        return name.between(F.col("start"), F.col("end"))
+    return in_composite_range(name, F.col("start"), F.col("end"), parts)
+
+
 def lookup_row(requests: DataFrame, cells: DataFrame, options: SkewOptions | None = None) -> DataFrame:
     """All columns of each requested row.  A missing row gives nothing."""
     return skew_join(requests, cells, ["row_key"], options=options)
@@ -26,24 +53,38 @@ def lookup_slice(requests: DataFrame, cells: DataFrame, names: Sequence | None =
                  options: SkewOptions | None = None) -> DataFrame:
     """The named columns of each requested row; absent names are just absent.
 
-    ``names`` holds for all requests; without it each request brings an array column ``slice``.
+    ``names`` holds for all requests; without it each request brings an array column ``slice``.  A composite name is
+    given by its parts, and matches as a prefix where parts are null.
     """
+    composite = _parts(cells) is not None
+    if names is not None and composite:
+        return lookup_composite_slice(requests, cells, names, options)
+    if composite:
+        found = skew_join(requests.where("slice IS NOT NULL"), cells, ["row_key"], options=options)
+        return found.where(_named(cells))
     if names is not None:
         return skew_join(requests, cells.where(F.col("column_name").isin(list(names))), ["row_key"], options=options)
     wanted = requests.withColumn("column_name", F.explode(F.array_distinct("slice")))
     return skew_join(wanted, cells, ["row_key", "column_name"], options=options)
 
 
-def lookup_range(requests: DataFrame, cells: DataFrame, start=None, end=None,
+def lookup_range(requests: DataFrame, cells: DataFrame, start=UNSET, end=UNSET,
                  options: SkewOptions | None = None) -> DataFrame:
     """The columns whose name lies between two bounds, both included.  A null bound gives nothing.
 
-    Literal bounds hold for all requests; without them each request brings columns ``start`` and ``end``.
+    Literal bounds hold for all requests; without them each request brings columns ``start`` and ``end``.  Bounds of
+    composite names are given by their parts, see ``in_composite_range``.
     """
-    if start is not None and end is not None:
-        return skew_join(requests, cells.where(F.col("column_name").between(start, end)), ["row_key"], options=options)
+    if start is not UNSET or end is not UNSET:
+        if start in (UNSET, None) or end in (UNSET, None):
+            inside = F.lit(False)
+        elif _parts(cells) is not None:
+            inside = composite_bounds(cells, start, end)
+        else:
+            inside = F.col("column_name").between(start, end)
+        return skew_join(requests, cells.where(inside), ["row_key"], options=options)
     found = skew_join(requests.where("start is not null and end is not null"), cells, ["row_key"], options=options)
-    return found.where("column_name between start and end")
+    return found.where(_bounded(cells))
 
 
 def composite_bounds(cells: DataFrame, start: Sequence, end: Sequence) -> Column:
@@ -69,9 +110,14 @@ def lookup_composite_range(requests: DataFrame, cells: DataFrame, start: Sequenc
     return found.where(in_composite_range(F.col("column_name"), F.col("start"), F.col("end"), parts))
 
 
-def lookup_composite_slice(requests: DataFrame, cells: DataFrame, names: Sequence[Sequence],
+def lookup_composite_slice(requests: DataFrame, cells: DataFrame, names: Sequence[Sequence] | None = None,
                            options: SkewOptions | None = None) -> DataFrame:
-    """The composite columns that match any of the given names; a name with None parts matches as a prefix."""
+    """The composite columns that match any of the given names; a name with None parts matches as a prefix.
+
+    Without ``names`` each request brings its own, as an array of structs ``slice``.
+    """
+    if names is None:
+        return lookup_slice(requests, cells, options=options)
     wanted = F.lit(False)
     for name in names:
         wanted = wanted | composite_bounds(cells, name, name)
@@ -82,20 +128,20 @@ def lookup_dispatch(requests: DataFrame, cells: DataFrame, options: SkewOptions
     """Slice, range or whole row, chosen by each request.
 
     ``slice`` wins when it is set, then ``start`` and ``end`` when both are set, else the whole row is read.  Requests
-    without one of these columns never use that kind, and the plan is made accordingly.
+    without one of these columns never use that kind, and the plan is made accordingly: slices of single names meet
+    their cells by name, so a wide row is not read for two of its columns.
     """
     has_slice = "slice" in requests.columns
     has_range = {"start", "end"} <= set(requests.columns)
+    sliced = None
+    if has_slice:
+        sliced = lookup_slice(requests.where("slice IS NOT NULL"), cells, options=options)
+        requests = requests.where("slice IS NULL")
     found = skew_join(requests, cells, ["row_key"], options=options)
-    if not has_slice and not has_range:
-        return found
-    wanted = F.lit(True)
     if has_range:
         bounded = F.col("start").isNotNull() & F.col("end").isNotNull()
-        wanted = F.when(bounded, F.col("column_name").between(F.col("start"), F.col("end"))).otherwise(wanted)
-    if has_slice:
-        wanted = F.when(F.col("slice").isNotNull(), F.array_contains("slice", F.col("column_name"))).otherwise(wanted)
-    return found.where(wanted)
+        found = found.where(F.when(bounded, _bounded(cells)).otherwise(F.lit(True)))
+    return reduce(DataFrame.unionByName, [x for x in (found, sliced) if x is not None])
 
 
 def lookup_filtered(requests: DataFrame, cells: DataFrame, keep: Column, outputs: Sequence[str],

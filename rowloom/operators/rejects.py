@@ -12,6 +12,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rowloom.plans.skew import stored
+
 REASON = "reason"
 
 
@@ -41,9 +43,14 @@ def with_reason(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     return df.withColumn(REASON, F.coalesce(*reasons, F.lit(None).cast("string")))
 
 
-def split_rejects(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
-    """The good rows, and the rejected ones with their reason."""
+def split_rejects(df: DataFrame, rules: Mapping[str, Column], write_once: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The good rows, and the rejected ones with their reason.
+
+    Each of the two reads the input; with ``write_once`` the marked rows are written to the shared folder and divided
+    there, so an input that is costly to compute is computed once.
+    """
     marked = with_reason(df, rules)
+    marked = stored(marked) if write_once else marked
     return marked.where(F.col(REASON).isNull()).drop(REASON), marked.where(F.col(REASON).isNotNull())
 
 
@@ -95,14 +102,16 @@ class ErrorPolicy:
             chosen = F.when(F.col(REASON) == reason, F.lit(action)).otherwise(chosen)
         return F.when(F.col(REASON).isNotNull(), chosen)
 
-    def apply(self, df: DataFrame, rules: Mapping[str, Column]) -> dict[str, DataFrame]:
+    def apply(self, df: DataFrame, rules: Mapping[str, Column], write_once: bool = False) -> dict[str, DataFrame]:
         """The rows to go on with (``good``), to report (``reject``) and to pass with empty results (``empty``).
 
-        A row whose action is ``fail`` raises as soon as any of the three is computed.
+        A row whose action is ``fail`` raises as soon as any of the three is computed.  ``write_once`` is that of
+        ``split_rejects``.
         """
         marked = with_reason(df, rules).withColumn("__action", self.action())
         stop = F.raise_error(F.concat(F.lit("row refused: "), F.col(REASON))).cast("string")
         marked = marked.withColumn("__action", F.when(F.col("__action") == FAIL, stop).otherwise(F.col("__action")))
+        marked = stored(marked) if write_once else marked
         part = lambda test: marked.where(test).drop("__action")
         return {
             "good": part(F.col("__action").isNull()).drop(REASON),

@@ -36,8 +36,14 @@ def live(versions: DataFrame, as_of: Column | None = None) -> DataFrame:
     return kept
 
 
-def resolve_latest(cells: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """The current cells of a log.  Deletes and expiry are applied after the last version is picked, never before."""
+def resolve_latest(cells: DataFrame, as_of: Column | None = None, requests: DataFrame | None = None) -> DataFrame:
+    """The current cells of a log.  Deletes and expiry are applied after the last version is picked, never before.
+
+    With ``requests``, the current cells of the rows they ask for: the others are left out before the fold, which Spark
+    does not do by itself because it does not move a join below the filter on deletes.
+    """
+    if requests is not None:
+        cells = cells.join(requests.select("row_key").distinct(), "row_key", "left_semi")
     return live(latest_versions(cells), as_of).select(*_cell_keys(cells), "value")
 
 

@@ -15,8 +15,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from rowloom.session import shared_dir
+from rowloom.session import scratch_dir
 
 SALT = "__salt"
 HASH = "__key_hash"
@@ -24,6 +25,7 @@ PIECE = "__piece"
 COPIES = "__copies"
 COPIES_PER_PIECE = 10_000
 
+# These steer only how rows are spread, never which rows come out.
 # Below the number of groups from which Spark's object hash aggregate sorts instead.
 SKETCHES = 64
 KEYS_PER_SKETCH = 200
@@ -91,9 +93,23 @@ def heavy_keys(df: DataFrame, on: Sequence[str], options: SkewOptions) -> dict[i
     return {h: options.salts(n, rows) for h, n in counts.items()}
 
 
+def _has_map(kind: T.DataType) -> bool:
+    """Whether a type holds a map anywhere; such values can be neither hashed nor grouped."""
+    if isinstance(kind, T.ArrayType):
+        return _has_map(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind)
+    return isinstance(kind, (T.MapType, T.VariantType))
+
+
+def hashable(df: DataFrame) -> list[str]:
+    """The columns that can be hashed."""
+    return [f.name for f in df.schema if not _has_map(f.dataType)]
+
+
 def _salted(df: DataFrame, on: Sequence[str], own: Mapping[int, int], other: Mapping[int, int]) -> DataFrame:
     """Rows of the keys in ``own`` get one of the key's salts each, rows of the keys in ``other`` are copied to all."""
-    rest = [c for c in df.columns if c not in on]
+    rest = [c for c in hashable(df) if c not in on]
     row_hash = F.xxhash64(*rest) if rest else F.lit(0)
     salts = F.array(F.lit(0))
     for spread, keys in ((True, own), (False, other)):
@@ -106,8 +122,11 @@ def _salted(df: DataFrame, on: Sequence[str], own: Mapping[int, int], other: Map
 
 
 def _counted(df: DataFrame, on: Sequence[str], own: Mapping[int, int], options: SkewOptions) -> DataFrame:
-    """The rows, or where copies of a row are heavy, each distinct row with a number of copies, in pieces."""
-    if not own:
+    """The rows, or where copies of a row are heavy, each distinct row with a number of copies, in pieces.
+
+    Rows with a map cannot be counted; they are spread by their other columns alone.
+    """
+    if not own or len(hashable(df)) < len(df.columns):
         return df
     if not heavy_keys(df.where(key_hash(on).isin(list(own))), df.columns, options):
         return df
@@ -139,8 +158,7 @@ def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "
     if not options.always:
         small_left, small_right = fits_broadcast(left), fits_broadcast(right)
         if how == "left" and small_left and (unique_right or not small_right):
-            # Spark cannot broadcast the left side of a left join, but it can leave out what that side does not ask for;
-            # where the right side is a fold by these keys, that happens before its shuffle.
+            # Spark cannot broadcast the left side of a left join, but it can leave out what that side does not ask for.
             right = right.join(left.select(*on).distinct(), on, "left_semi")
         if small_right or (how == "inner" and small_left):
             return left.join(right, on, how)
@@ -175,6 +193,6 @@ def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "
 
 def stored(df: DataFrame) -> DataFrame:
     """A result written to the session's shared folder and read back, to be used several times without its lineage."""
-    path = shared_dir(df.sparkSession, "stored")
+    path = scratch_dir(df.sparkSession, "stored")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

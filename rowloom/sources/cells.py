@@ -10,20 +10,26 @@ from pyspark.sql import types as T
 
 from rowloom.model import CELL_ID, ROUTE, cell_schema, counter_schema
 from rowloom.operators.resolve import fold_counters, latest_versions, live
-from rowloom.plans.skew import SkewOptions, fits_broadcast
+from rowloom.plans.skew import SkewOptions
 from rowloom.sources.log import BatchLog
 
 Mapper = Callable[[DataFrame], DataFrame]
 
 
-def _keyed(cells: DataFrame) -> DataFrame:
-    """A cell without a row key stops the write."""
-    return cells.withColumn("row_key", F.coalesce("row_key", F.raise_error(F.lit("null row key"))))
+def _checked(cells: DataFrame) -> DataFrame:
+    """A cell without a row key, a column name, or a named keyspace and table stops the write; keyspaces are lower case."""
+    for name in CELL_ID:
+        stop = F.raise_error(F.lit(f"null {name.replace('_', ' ')}")).cast(cells.schema[name].dataType)
+        cells = cells.withColumn(name, F.coalesce(name, stop))
+    for name in ROUTE:
+        stop = F.raise_error(F.lit(f"empty {name} name")).cast("string")
+        cells = cells.withColumn(name, F.when(F.coalesce(name, F.lit("")) == "", stop).otherwise(F.col(name)))
+    return cells.withColumn("keyspace", F.lower("keyspace"))
 
 
 def _routed(rows: DataFrame, keyspace: str | None, table: str | None) -> DataFrame:
-    """Rows of one keyspace or table; these are directories, so nothing else is read."""
-    for name, wanted in zip(ROUTE, (keyspace, table)):
+    """Rows of one keyspace (in any case) or table; these are directories, so nothing else is read."""
+    for name, wanted in zip(ROUTE, (keyspace if keyspace is None else keyspace.lower(), table)):
         if wanted is not None:
             rows = rows.where(F.col(name) == wanted)
     return rows
@@ -36,15 +42,15 @@ class CellStore:
         self.log = BatchLog(spark, root, schema or cell_schema(), ROUTE, CELL_ID)
 
     def put(self, df: DataFrame, mapper: Mapper, batch_id: int, writer: str = "main",
-            many_tables: bool = False) -> DataFrame:
+            many_tables: bool = False, fold: bool = True) -> DataFrame:
         """Map rows to cells, write them as one batch, and hand the rows on.
 
-        Only the last version of each cell in the batch is written.  With ``many_tables`` rows are first gathered by
-        table, so a task does not write a small file per table; AQE splits large tables again.
+        Only the last version of each cell in the batch is written; without ``fold`` all are, which saves a shuffle where
+        few cells are written twice, and reads the same.  With ``many_tables`` rows are first gathered by table, so a task
+        does not write a small file per table; AQE splits large tables again.
         """
-        cells = latest_versions(_keyed(mapper(df)))
-        if many_tables:
-            cells = cells.hint("rebalance", *ROUTE)
+        cells = _checked(mapper(df))
+        cells = _gathered(latest_versions(cells) if fold else cells, many_tables)
         self.log.append(cells, batch_id, writer)
         return df
 
@@ -60,21 +66,16 @@ class CellStore:
 
     def cells(self, keyspace: str | None = None, table: str | None = None, as_of: Column | None = None,
               requests: DataFrame | None = None) -> DataFrame:
-        """The current cells; with ``requests``, at least those of the requested rows.
+        """The current cells; with ``requests``, those of the requested rows and no others.
 
-        Requests small enough to be broadcast leave out all other rows before the fold, so only the cells that are
-        asked for are shuffled.  Filters on key and column name reach the scan by themselves.
+        Rows that nobody asks for are left out before the fold, so only the cells that are asked for are shuffled for it.
+        Filters on key and column name reach the scan by themselves.
         """
-        keys = None if requests is None else requests.select("row_key")
-        if keys is not None and fits_broadcast(keys):
-            keys = keys.distinct()
+        keys = None if requests is None else requests.select("row_key").distinct()
 
-            def narrow(rows: DataFrame) -> DataFrame:
-                return _routed(rows, keyspace, table).join(keys, "row_key", "left_semi")
-        else:
-
-            def narrow(rows: DataFrame) -> DataFrame:
-                return _routed(rows, keyspace, table)
+        def narrow(rows: DataFrame) -> DataFrame:
+            rows = _routed(rows, keyspace, table)
+            return rows if keys is None else rows.join(keys, "row_key", "left_semi")
 
         versions = self.log.folded(latest_versions, (*ROUTE, *CELL_ID), narrow)
         return live(versions, as_of).select(*ROUTE, *CELL_ID, "value")
@@ -88,16 +89,27 @@ class CellStore:
         cells = self.cells(keyspace, table, as_of, requests).drop(*ROUTE)
         return how(requests, cells, options=SkewOptions(right_keys=self.versions(keyspace, table)), **bounds)
 
-    def compact(self, keep_last: int = 1, purge_before: Column | None = None) -> int | None:
+    def compact(self, keep_last: int = 1, purge_before: Column | None = None, full: bool | None = None) -> int | None:
         """Fold batches into a snapshot.  Deleted cells are kept, since an older write may still arrive.
 
-        ``purge_before`` drops those deleted or expired before a time; the caller vouches that no older write is due.
+        ``purge_before`` drops those deleted or expired before a time.  It takes ``keep_last=0``: a batch left out may hold
+        an older version of a deleted cell, which would come back.  The caller vouches that no older write is due.
         """
         keep = None
         if purge_before is not None:
+            if keep_last:
+                raise ValueError("purge_before needs keep_last=0, or older versions in open batches would come back")
             deleted = F.col("is_deleted") & (F.col("write_ts") < purge_before)
             keep = ~(deleted | F.coalesce(F.col("expires_at") <= purge_before, F.lit(False)))
-        return self.log.compact(latest_versions, (*ROUTE, *CELL_ID), keep, keep_last)
+        return self.log.compact(latest_versions, (*ROUTE, *CELL_ID), keep, keep_last, full)
+
+    def vacuum(self) -> list[str]:
+        """Remove the files that a snapshot has replaced."""
+        return self.log.vacuum()
+
+
+def _gathered(rows: DataFrame, many_tables: bool) -> DataFrame:
+    return rows.hint("rebalance", *ROUTE) if many_tables else rows
 
 
 def emit_constant(df: DataFrame, field: str, value) -> DataFrame:
@@ -111,10 +123,12 @@ class CounterStore:
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType | None = None):
         self.log = BatchLog(spark, root, schema or counter_schema(), ROUTE, CELL_ID)
 
-    def increment(self, df: DataFrame, mapper: Mapper, batch_id: int, writer: str = "main") -> DataFrame:
-        """Map rows to increments, write their sums as one batch, and hand the rows on."""
-        named = F.coalesce("column_name", F.raise_error(F.lit("null counter column")))
-        self.log.append(fold_counters(_keyed(mapper(df)).withColumn("column_name", named)), batch_id, writer)
+    def increment(self, df: DataFrame, mapper: Mapper, batch_id: int, writer: str = "main",
+                  many_tables: bool = False) -> DataFrame:
+        """Map rows to increments, write their sums as one batch, and hand the rows on.  A null amount stops the write."""
+        deltas = _checked(mapper(df))
+        deltas = deltas.withColumn("amount", F.coalesce("amount", F.raise_error(F.lit("null amount")).cast("long")))
+        self.log.append(_gathered(fold_counters(deltas), many_tables), batch_id, writer)
         return df
 
     def counters(self, keyspace: str | None = None, table: str | None = None) -> DataFrame:
@@ -123,5 +137,9 @@ class CounterStore:
         narrow = lambda rows: _routed(rows, keyspace, table).select(*columns)
         return self.log.folded(fold_counters, (*ROUTE, *CELL_ID), narrow)
 
-    def compact(self, keep_last: int = 1) -> int | None:
-        return self.log.compact(fold_counters, (*ROUTE, *CELL_ID), keep_last=keep_last)
+    def compact(self, keep_last: int = 1, full: bool | None = None) -> int | None:
+        return self.log.compact(fold_counters, (*ROUTE, *CELL_ID), keep_last=keep_last, full=full)
+
+    def vacuum(self) -> list[str]:
+        """Remove the files that a snapshot has replaced."""
+        return self.log.vacuum()

@@ -1,15 +1,19 @@
 """A log of batches in a shared folder.
 
 Each batch of each writer is one directory, ``writer=<w>/batch_id=<n>``.  Writing a batch again replaces its directory,
-so a replayed micro-batch leaves the log as it was.  Readers take only directories whose write has finished.  A log may
-have snapshots, ``snapshot=<k>``: the fold of the batches that are listed with it.
+so a replayed micro-batch leaves the log as it was.  Readers take only directories whose write has finished.
+
+A log may have snapshots, ``snapshot=<k>``.  The latest one names its base, the fold of most of the log, and perhaps a
+delta, the fold of what came after; and the batches in them, as ranges of batch ids for each writer.  Compaction folds new
+batches into the delta and rewrites the base only when the delta has grown to a share of it, so a byte is rewritten a
+bounded number of times.  ``vacuum`` removes the directories that a snapshot has replaced.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,11 +23,51 @@ from pyspark.sql import types as T
 from rowloom.plans.skew import fits_broadcast
 
 Fold = Callable[[DataFrame], DataFrame]
+Ranges = dict[str, list[list[int]]]
 
 BATCH = ("writer", "batch_id")
 MARKER = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
 
 
+def as_ranges(batches: Iterable[tuple[str, int]]) -> Ranges:
+    """Batches as ascending ranges of ids for each writer; ids that follow each other take no more room than one."""
+    found: Ranges = {}
+    for writer, batch in sorted(set(batches)):
+        own = found.setdefault(writer, [])
+        if own and own[-1][1] + 1 == batch:
+            own[-1][1] = batch
+        else:
+            own.append([batch, batch])
+    return found
+
+
+def joined_ranges(a: Ranges, b: Ranges) -> Ranges:
+    """The union of two sets of ranges."""
+    out: Ranges = {}
+    for writer in sorted({*a, *b}):
+        own: list[list[int]] = []
+        for first, last in sorted([*a.get(writer, []), *b.get(writer, [])]):
+            if own and first <= own[-1][1] + 1:
+                own[-1][1] = max(own[-1][1], last)
+            else:
+                own.append([first, last])
+        out[writer] = own
+    return out
+
+
+def in_ranges(ranges: Ranges, writer: str, batch: int) -> bool:
+    return any(first <= batch <= last for first, last in ranges.get(writer, ()))
+
+
+@dataclass(frozen=True)
+class Snapshot:
+    """What a snapshot is made of."""
+
+    base: int | None = None
+    delta: int | None = None
+    covered: Ranges = field(default_factory=dict)
+
+
 @dataclass(frozen=True)
 class BatchLog:
     """Append, read and compact batches.  ``schema`` has the partition columns of ``routed`` among its fields."""
@@ -33,14 +77,21 @@ class BatchLog:
     schema: T.StructType
     routed: Sequence[str] = ()
     sort_by: Sequence[str] = field(default_factory=tuple)
-    _known: dict[int, set[tuple[str, int]]] = field(default_factory=dict, repr=False, compare=False)
+    _known: dict[int, Snapshot] = field(default_factory=dict, repr=False, compare=False)
+
+    def _storage(self, path: str):
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()), place
 
     def _finished(self, pattern: str) -> list[str]:
         """Directories that match a pattern and hold the marker of a finished write."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{pattern}/_SUCCESS")
-        fs = path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        fs, path = self._storage(f"{self.root}/{pattern}/_SUCCESS")
         return sorted(str(s.getPath().getParent().toString()) for s in fs.globStatus(path) or [])
 
+    def _bytes(self, path: str) -> int:
+        fs, place = self._storage(path)
+        return int(fs.getContentSummary(place).getLength()) if fs.exists(place) else 0
+
     def batches(self) -> list[tuple[str, int]]:
         """The finished batches, as (writer, batch id)."""
         found = []
@@ -51,10 +102,17 @@ class BatchLog:
 
     def has(self, writer: str, batch_id: int) -> bool:
         """Whether a batch has been written, also when only a snapshot still holds it."""
-        return (writer, batch_id) in self.batches() or (writer, batch_id) in self._latest()[1]
+        if in_ranges(self.latest().covered, writer, batch_id):
+            return True
+        return bool(self._finished(f"writer={writer}/batch_id={batch_id}"))
 
     def append(self, df: DataFrame, batch_id: int, writer: str = "main") -> None:
-        """Write one batch, replacing an earlier attempt at it."""
+        """Write one batch, replacing an earlier attempt at it.
+
+        A batch that a snapshot holds already cannot be written again, because nobody would read it.
+        """
+        if in_ranges(self.latest().covered, writer, batch_id):
+            raise ValueError(f"batch {batch_id} of {writer!r} is part of a snapshot and cannot be replaced")
         self._write(df, f"{self.root}/writer={writer}/batch_id={batch_id}")
 
     def _write(self, df: DataFrame, path: str) -> None:
@@ -78,30 +136,36 @@ class BatchLog:
         """Numbers of the finished snapshots; the list of covered batches is written last."""
         return sorted(int(p.rsplit("/", 2)[1].removeprefix("snapshot=")) for p in self._finished("snapshot=*/covered"))
 
-    def _covered(self, snapshot: int) -> set[tuple[str, int]]:
-        """The batches a snapshot covers; a finished list never changes, so it is read once."""
-        if snapshot not in self._known:
-            text = self.spark.read.schema("value string").text(f"{self.root}/snapshot={snapshot}/covered").first()
-            self._known[snapshot] = {(writer, batch) for writer, batch in json.loads(text[0])}
-        return self._known[snapshot]
-
-    def _latest(self) -> tuple[int | None, set[tuple[str, int]]]:
-        """The latest finished snapshot and the batches it covers."""
+    def latest(self) -> Snapshot:
+        """The latest finished snapshot; what a finished one says never changes, so it is read once."""
         number = max(self.snapshots(), default=None)
-        return number, set() if number is None else self._covered(number)
+        if number is None:
+            return Snapshot()
+        if number not in self._known:
+            text = self.spark.read.schema("value string").text(f"{self.root}/snapshot={number}/covered").first()
+            self._known[number] = Snapshot(**json.loads(text[0]))
+        return self._known[number]
+
+    def _open(self, skip: Iterable[tuple[str, int]] = ()) -> list[tuple[str, int]]:
+        """The finished batches that no snapshot holds, but for ``skip``."""
+        covered = self.latest().covered
+        return sorted(b for b in set(self.batches()) - set(skip) if not in_ranges(covered, *b))
 
     def parts(self, skip: Iterable[tuple[str, int]] = ()) -> tuple[DataFrame | None, DataFrame | None]:
-        """The latest snapshot, and the finished batches that it does not cover, but for ``skip``; None where empty."""
+        """The latest base, and the delta with the finished batches in no snapshot, but for ``skip``; None where empty."""
         fields = [*self.schema, T.StructField("writer", T.StringType()), T.StructField("batch_id", T.LongType())]
         schema = T.StructType(fields)
-        number, covered = self._latest()
-        wanted = sorted(set(self.batches()) - covered - set(skip))
+        snapshot, wanted = self.latest(), self._open(skip)
         base = fresh = None
-        if number is not None:
-            path = f"{self.root}/snapshot={number}/data"
+        if snapshot.base is not None:
+            path = f"{self.root}/snapshot={snapshot.base}/data"
             base = self._load(path, [path], schema)
         if wanted or base is None:
             fresh = self._load(self.root, [f"{self.root}/writer={w}/batch_id={b}" for w, b in wanted], schema)
+        if snapshot.delta is not None:
+            path = f"{self.root}/snapshot={snapshot.delta}/data"
+            delta = self._load(path, [path], schema)
+            fresh = delta if fresh is None else delta.unionByName(fresh)
         return base, fresh
 
     def read(self) -> DataFrame:
@@ -115,7 +179,7 @@ class BatchLog:
                skip: Iterable[tuple[str, int]] = ()) -> DataFrame:
         """The fold by ``keys`` of the rows that ``narrow`` leaves.
 
-        A snapshot is folded already.  Where the batches after it are small, only the rows of their keys are folded with
+        A base is folded already.  Where the batches after it are small, only the rows of their keys are folded with
         them and the rest of the snapshot is taken as it is, without a shuffle.
         """
         base, fresh = (None if part is None else narrow(part) for part in self.parts(skip))
@@ -131,31 +195,58 @@ class BatchLog:
         changed = fold(base.join(touched, same, "left_semi").unionByName(fresh))
         return base.join(touched, same, "left_anti").select(*changed.columns).unionByName(changed)
 
-    def compact(self, fold: Fold, keys: Sequence[str], keep: Column | None = None, keep_last: int = 1) -> int | None:
+    def compact(self, fold: Fold, keys: Sequence[str], keep: Column | None = None, keep_last: int = 1,
+                full: bool | None = None, share: float = 0.25) -> int | None:
         """Fold all but the newest ``keep_last`` batches of each writer into a new snapshot and return its number.
 
-        The newest batch of a writer may still be replayed with other content, so it stays a batch by default.  ``keep``
-        drops folded rows for good.  Rows are sorted, so a lookup by literal keys or names skips row groups.
+        The newest batch of a writer may still be replayed with other content, so it stays a batch by default.  While what
+        came after the base is smaller than ``share`` of it, only that is folded; ``full`` says otherwise.  ``keep`` drops
+        rows of a full fold for good.  Rows are sorted, so a lookup by literal keys or names skips row groups.
         """
         done = self.batches()
         newest: dict[str, list[int]] = {}
         for writer, batch in done:
             newest.setdefault(writer, []).append(batch)
         late = {(w, b) for w, ids in newest.items() for b in sorted(ids)[len(ids) - keep_last :]} if keep_last else set()
-        before = self._latest()[1]
-        covered = sorted(before | (set(done) - late))
-        if len(covered) == len(before):
+        before, fresh = self.latest(), self._open(late)
+        if not fresh and not (full and before.delta is not None) and not (keep is not None and before.base is not None):
             return None
         number = max(self.snapshots(), default=0) + 1
-        folded = self.folded(fold, keys, skip=late)
-        if keep is not None:
-            folded = folded.where(keep)
+        covered = joined_ranges(before.covered, as_ranges(fresh))
+        if full is None:
+            new = sum(self._bytes(f"{self.root}/writer={w}/batch_id={b}") for w, b in fresh)
+            if before.delta is not None:
+                new += self._bytes(f"{self.root}/snapshot={before.delta}/data")
+            full = before.base is None or new >= share * self._bytes(f"{self.root}/snapshot={before.base}/data")
+        if full or keep is not None:
+            said = Snapshot(number, None, covered)
+            folded = self.folded(fold, keys, skip=late)
+            folded = folded if keep is None else folded.where(keep)
+        else:
+            said = Snapshot(before.base, number, covered)
+            folded = fold(self.parts(late)[1])
         order = [*self.routed, *self.sort_by]
         if order:
             folded = folded.repartitionByRange(*order).sortWithinPartitions(*order)
         names = [f.name for f in self.schema]
         keep = [c for c in (*names, *BATCH) if c in folded.columns]
         self._save(folded.select(*keep), f"{self.root}/snapshot={number}/data")
-        listing = self.spark.range(0, 1, 1, 1).select(F.lit(json.dumps(covered)).alias("value"))
+        listing = self.spark.range(0, 1, 1, 1).select(F.lit(json.dumps(asdict(said))).alias("value"))
         listing.write.mode("overwrite").option(MARKER, "true").text(f"{self.root}/snapshot={number}/covered")
         return number
+
+    def vacuum(self) -> list[str]:
+        """Delete the batches that the latest snapshot holds and the snapshots that it has replaced; returns their paths.
+
+        Results that were read before the last compaction and are still to be computed lose their files.
+        """
+        snapshot, numbers = self.latest(), self.snapshots()
+        if not numbers:
+            return []
+        used = {snapshot.base, snapshot.delta, numbers[-1]}
+        gone = [f"{self.root}/snapshot={n}" for n in numbers if n not in used]
+        gone += [f"{self.root}/writer={w}/batch_id={b}" for w, b in self.batches() if in_ranges(snapshot.covered, w, b)]
+        for path in gone:
+            fs, place = self._storage(path)
+            fs.delete(place, True)
+        return gone

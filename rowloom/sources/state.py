@@ -6,6 +6,7 @@ taken: an average is kept as a sum and a count, a distinct count as its keys.
 
 from __future__ import annotations
 
+import itertools
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -50,7 +51,7 @@ class StateOptions:
     """How a state treats replays, how long a key lives after its last update, and the key of an ungrouped state.
 
     ``opaque``: a batch written again replaces its earlier attempt.  ``transactional``: a batch already written is left
-    alone.  ``non-transactional``: it is added again.  A ``ttl_seconds`` of None or less than one never expires.
+    alone.  ``non-transactional``: it is added again, under batch ids of the store's own.  A ``ttl_seconds`` of None or less than one never expires.
     """
 
     mode: str = OPAQUE
@@ -81,35 +82,75 @@ class StateStore:
         fields = [T.StructField("key", T.ArrayType(T.StringType()))]
         fields += [T.StructField(name, a.dtype) for name, a in self.aggregates.items()]
         fields += [T.StructField("write_ts", T.TimestampNTZType())]
+        self.before = T.StructType([T.StructField(name, a.dtype) for name, a in self.aggregates.items()])
+        fields += [T.StructField("prev", self.before)]
+        self.own, self.updates = uuid.uuid4().hex, itertools.count()
         self.log = BatchLog(spark, f"{root}/{options.table}", T.StructType(fields), (), ("key",))
 
     def update(self, df: DataFrame, batch_id: int, write_ts: str | Column, writer: str = "main") -> DataFrame:
         """Aggregate a batch by key and write it; hands the rows on.  ``write_ts`` is the time of a row."""
         if self.options.mode == NON_TRANSACTIONAL:
-            writer = f"{writer}-{uuid.uuid4().hex}"
+            writer, batch_id = f"{writer}-{self.own}", next(self.updates)  # one writer, and never the same batch again
         if self.options.mode == TRANSACTIONAL and self.log.has(writer, batch_id):
             return df
         aggregates = [a.of_batch().alias(name) for name, a in self.aggregates.items()]
         keyed = df.groupBy(state_key(*self.keys).alias("key"))
-        self.log.append(keyed.agg(*aggregates, F.max(write_ts).alias("write_ts")), batch_id, writer)
+        found = keyed.agg(*aggregates, F.max(write_ts).alias("write_ts"))
+        self.log.append(found.withColumn("prev", F.lit(None).cast(self.before)), batch_id, writer)
         return df
 
+    def _lives(self, rows: DataFrame) -> DataFrame:
+        """Add the number of the life a row belongs to: a key that had expired before an update starts a new one."""
+        if self.options.ttl is None:
+            return rows.withColumn("__life", F.lit(0))
+        # One row per key and batch since the last snapshot: a small group whatever the number of input rows.
+        by_time = Window.partitionBy("key").orderBy("write_ts", "batch_id")
+        fresh = F.col("write_ts") >= F.lag("write_ts").over(by_time) + self.options.ttl
+        rows = rows.withColumn("__fresh", F.coalesce(fresh, F.lit(False)).cast("int"))
+        return rows.withColumn("__life", F.sum("__fresh").over(by_time))
+
     def _merge(self, rows: DataFrame) -> DataFrame:
-        """One row per key.  A key that had expired before an update starts anew with that update."""
-        merged = [a.merged(name).alias(name) for name, a in self.aggregates.items()]
-        ttl = self.options.ttl
-        if ttl is not None:
-            # One row per key and batch since the last snapshot: a small group whatever the number of input rows.
-            by_time = Window.partitionBy("key").orderBy("write_ts", "batch_id")
-            fresh = F.col("write_ts") >= F.lag("write_ts").over(by_time) + ttl
-            rows = rows.withColumn("__fresh", F.coalesce(fresh, F.lit(False)).cast("int"))
-            rows = rows.withColumn("__life", F.sum("__fresh").over(by_time))
+        """One row per key with the aggregates of its last life."""
+        if self.options.ttl is not None:
+            rows = self._lives(rows)
             rows = rows.withColumn("__last", F.max("__life").over(Window.partitionBy("key")))
             rows = rows.where(F.col("__life") == F.col("__last"))
+        merged = [a.merged(name).alias(name) for name, a in self.aggregates.items()]
         return rows.groupBy("key").agg(
             *merged, F.max("write_ts").alias("write_ts"), F.max("batch_id").alias("batch_id")
         )
 
+    def _merge_with_prev(self, rows: DataFrame) -> DataFrame:
+        """One row per key, with the aggregates before its last batch in ``prev``.
+
+        A folded row brings its own ``prev``, which counts where no later batch touched the key, and adds to what is
+        older otherwise.
+        """
+        rows = self._lives(rows)
+        last = rows.groupBy("key").agg(F.max("batch_id").alias("__batch"), F.max("__life").alias("__last"))
+        rows = rows.join(last, "key")
+        older = F.col("batch_id") < F.col("__batch")
+        if self.options.ttl is not None:
+            lived = rows.where(older).groupBy("key").agg(F.max("__life").alias("__older"))
+            rows = rows.join(lived, "key", "left")
+            older_life = older & (F.col("__life") == F.col("__older"))
+        else:
+            older_life = older
+        alive = F.col("__life") == F.col("__last")
+        now, before = [], []
+        for name, a in self.aggregates.items():
+            merge = MERGES[a.kind]
+            now.append(merge(F.when(alive, F.col(name))).cast(a.dtype).alias(name))
+            was = F.when(older_life, F.col(name)).when(~older, F.col(f"prev.{name}"))
+            before.append(merge(was).cast(a.dtype).alias(name))
+        had = F.max(F.when(older, True).otherwise(F.col("prev").isNotNull()))
+        return rows.groupBy("key").agg(
+            *now,
+            F.max("write_ts").alias("write_ts"),
+            F.max("batch_id").alias("batch_id"),
+            F.when(had, F.struct(*before)).cast(self.before).alias("prev"),
+        )
+
     def current(self, as_of: Column | None = None) -> DataFrame:
         """The state of every live key: ``key`` and the aggregates."""
         state, ttl = self.log.folded(self._merge, ["key"]), self.options.ttl
@@ -119,16 +160,25 @@ class StateStore:
 
     def history(self) -> DataFrame:
         """Each key's value, the id of the last batch that touched it, and the value before that batch (``prev_*``)."""
-        rows = self.log.read()
-        last = F.max("batch_id").over(Window.partitionBy("key"))
-        older = rows.withColumn("__last", last).where(F.col("batch_id") < F.col("__last"))
-        prev = self._merge(older.drop("__last"))
-        prev = prev.select("key", *[F.col(name).alias(f"prev_{name}") for name in self.aggregates])
-        now = self._merge(rows).select("key", F.col("batch_id").alias("txid"), *self.aggregates)
-        return now.join(prev, "key", "left")
-
-    def compact(self, keep_last: int = 1) -> int | None:
-        return self.log.compact(self._merge, ["key"], keep_last=keep_last)
+        found = self._merge_with_prev(self.log.read())
+        before = [F.col(f"prev.{name}").alias(f"prev_{name}") for name in self.aggregates]
+        return found.select("key", F.col("batch_id").alias("txid"), *self.aggregates, *before)
+
+    def compact(self, keep_last: int = 1, full: bool | None = None) -> int | None:
+        """Fold batches into a snapshot; answers stay as they are.
+
+        A state whose keys expire is always folded in full, as a gap between updates cannot be seen in a folded part of
+        them.  A non-transactional batch is never written again, so none is left open.
+        """
+        if self.options.mode == NON_TRANSACTIONAL:
+            keep_last = 0
+        if self.options.ttl is not None:
+            full = True
+        return self.log.compact(self._merge_with_prev, ["key"], keep_last=keep_last, full=full)
+
+    def vacuum(self) -> list[str]:
+        """Remove the files that a snapshot has replaced."""
+        return self.log.vacuum()
 
 
 def put_values(store: CellStore, df: DataFrame, keys: Sequence[str | Column], value: str | Column, batch_id: int,

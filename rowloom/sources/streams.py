@@ -1,29 +1,11 @@
-"""Sources: requests, files as streams, and random words for trying things out."""
+"""Sources: requests, and files as streams."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed values.
-DEMO_WORDS = ("nathan", "mike", "jackson", "golda", "bertels")
-
-
-def _word(number: Column) -> Column:
-    return F.get(F.array(*[F.lit(w) for w in DEMO_WORDS]), F.pmod(number, F.lit(len(DEMO_WORDS))).cast("int"))
-
-
-def random_words(spark: SparkSession, n: int, seed: int = 42) -> DataFrame:
-    """``n`` of the demo words, the same for the same seed."""
-    return spark.range(n).select("id", _word(F.xxhash64("id", F.lit(seed))).alias("word"))
-
-
-def random_word_stream(spark: SparkSession, per_second: int = 10, seed: int = 42) -> DataFrame:
-    """The demo words as an endless stream."""
-    rate = spark.readStream.format("rate").option("rowsPerSecond", per_second).load()
-    return rate.select("timestamp", _word(F.xxhash64("value", F.lit(seed))).alias("word"))
-
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
     """A folder of Parquet files, or a single file, as a stream; ``max_files`` bounds a micro-batch."""

@@ -7,6 +7,7 @@ query needs its own ``writer`` name, and a new checkpoint a new one, because the
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -14,11 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rowloom.operators.mappers import Write, map_default
-from rowloom.operators.rejects import ErrorPolicy
+from rowloom.operators.rejects import EMPTY, IGNORE, REASON, REJECT, ErrorPolicy, with_reason
 from rowloom.sources.cells import CellStore, CounterStore, Mapper
 from rowloom.sources.state import StateStore
 
 Batch = Callable[[DataFrame, int], None]
+log = logging.getLogger(__name__)
 
 
 def each_batch(stream: DataFrame, handle: Batch, checkpoint: str, available_now: bool = True) -> StreamingQuery:
@@ -29,17 +31,37 @@ def each_batch(stream: DataFrame, handle: Batch, checkpoint: str, available_now:
 
 def _checked(write: Batch, rules: Mapping[str, Column] | None, policy: ErrorPolicy | None, report: Batch | None,
              then: Batch | None) -> Batch:
+    """Write what passes the rules.  Refused rows go to ``report``, and rows that may be ignored are counted and logged.
+
+    Without a policy every broken rule refuses its row, so rows never go unseen.
+    """
+    policy = policy or ErrorPolicy(default=REJECT)
+    if rules:
+        chosen = {policy.actions.get(reason, policy.default) for reason in rules}
+        if REJECT in chosen and report is None:
+            raise ValueError("rows may be rejected: give a report that takes them, or another action")
+        if EMPTY in chosen:
+            raise ValueError("a write has no empty results; 'empty' is for lookups")
+    ignored = [r for r in rules or () if policy.actions.get(r, policy.default) == IGNORE]
+
+    def count_ignored(batch: DataFrame, batch_id: int) -> None:
+        found = with_reason(batch, rules).where(F.col(REASON).isin(ignored)).groupBy(REASON).count().collect()
+        for row in found:  # one row for each rule at most
+            log.warning("batch %s: %s rows ignored for %s", batch_id, row["count"], row[REASON])
+
     def handle(batch: DataFrame, batch_id: int) -> None:
-        shared = report is not None or then is not None
+        shared = report is not None or then is not None or bool(ignored)
         if shared:
             batch = batch.persist()
         try:
             good = batch
             if rules:
-                parts = (policy or ErrorPolicy()).apply(batch, rules)
+                parts = policy.apply(batch, rules)
                 good = parts["good"]
                 if report is not None:
                     report(parts["reject"], batch_id)
+                if ignored:
+                    count_ignored(batch, batch_id)
             write(good, batch_id)
             if then is not None:
                 then(good, batch_id)
@@ -52,51 +74,56 @@ def _checked(write: Batch, rules: Mapping[str, Column] | None, policy: ErrorPoli
 
 def put_stream(stream: DataFrame, store: CellStore, mapper: Mapper, checkpoint: str, writer: str = "main",
                rules: Mapping[str, Column] | None = None, policy: ErrorPolicy | None = None,
-               report: Batch | None = None, then: Batch | None = None, available_now: bool = True) -> StreamingQuery:
+               report: Batch | None = None, then: Batch | None = None, available_now: bool = True,
+               many_tables: bool = False, fold: bool = True) -> StreamingQuery:
     """Upsert and delete cells.
 
     Rows are checked by ``rules`` and ``policy``; ``report`` gets the rejected rows, and ``then`` the written rows of
-    each batch.
+    each batch.  ``many_tables`` and ``fold`` are those of ``CellStore.put``.
     """
 
     def write(good: DataFrame, batch_id: int) -> None:
-        store.put(good, mapper, batch_id, writer)
+        store.put(good, mapper, batch_id, writer, many_tables, fold)
 
     return each_batch(stream, _checked(write, rules, policy, report, then), checkpoint, available_now)
 
 
 def increment_stream(stream: DataFrame, store: CounterStore, mapper: Mapper, checkpoint: str, writer: str = "main",
                      rules: Mapping[str, Column] | None = None, policy: ErrorPolicy | None = None,
-                     report: Batch | None = None, then: Batch | None = None,
-                     available_now: bool = True) -> StreamingQuery:
+                     report: Batch | None = None, then: Batch | None = None, available_now: bool = True,
+                     many_tables: bool = False) -> StreamingQuery:
     """Increment counters; a replayed batch is not counted twice."""
 
     def write(good: DataFrame, batch_id: int) -> None:
-        store.increment(good, mapper, batch_id, writer)
+        store.increment(good, mapper, batch_id, writer, many_tables)
 
     return each_batch(stream, _checked(write, rules, policy, report, then), checkpoint, available_now)
 
 
 def state_stream(stream: DataFrame, state: StateStore, write_ts: str | Column, checkpoint: str, writer: str = "main",
-                 then: Batch | None = None, available_now: bool = True) -> StreamingQuery:
-    """Keep keyed aggregates of a stream."""
+                 then: Batch | None = None, available_now: bool = True, rules: Mapping[str, Column] | None = None,
+                 policy: ErrorPolicy | None = None, report: Batch | None = None) -> StreamingQuery:
+    """Keep keyed aggregates of a stream; rows are checked as in ``put_stream``."""
 
     def write(good: DataFrame, batch_id: int) -> None:
         state.update(good, batch_id, write_ts, writer)
 
-    return each_batch(stream, _checked(write, None, None, None, then), checkpoint, available_now)
+    return each_batch(stream, _checked(write, rules, policy, report, then), checkpoint, available_now)
 
 
 def lookup_stream(stream: DataFrame, lookup: Callable[[DataFrame], DataFrame], out: Batch, checkpoint: str,
-                  available_now: bool = True) -> StreamingQuery:
+                  available_now: bool = True, rules: Mapping[str, Column] | None = None,
+                  policy: ErrorPolicy | None = None, report: Batch | None = None) -> StreamingQuery:
     """Answer the requests of each micro-batch with one join and hand the answers to ``out``.
 
+    Requests are checked as the rows of ``put_stream`` are.
+
     ``lookup`` must open the cells itself, as ``CellStore.lookup`` does: it is called for every batch, and a table opened
     before the stream would never show later writes.  The batch is kept and counted first, so Spark knows its size and
     broadcasts it when it is small.
     """
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
+    def answer(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
             batch.count()
@@ -104,7 +131,7 @@ def lookup_stream(stream: DataFrame, lookup: Callable[[DataFrame], DataFrame], o
         finally:
             batch.unpersist()
 
-    return each_batch(stream, handle, checkpoint, available_now)
+    return each_batch(stream, _checked(answer, rules, policy, report, None), checkpoint, available_now)
 
 
 def running_count_stream(stream: DataFrame, key: str) -> DataFrame:
@@ -116,7 +143,8 @@ def put_running_count(stream: DataFrame, key: str, store: CellStore, table: str,
                       available_now: bool = True) -> StreamingQuery:
     """Upsert a row per key with the columns ``key`` and ``count`` as the counts grow.
 
-    A greater count is a later one, so the order of the writes comes from the data.
+    All keys are kept in Spark's state store: name RocksDB in ``spark.sql.streaming.stateStore.providerClass`` where they
+    do not fit into memory, or count with a ``StateStore`` and ``state_stream``, whose state is files.  A greater count is a later one, so the order of the writes comes from the data.
     """
     write = Write(F.lit("1970-01-01").cast("timestamp_ntz"), "count", table=table)
 

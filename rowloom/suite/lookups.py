@@ -6,6 +6,7 @@ from rowloom import jobs
 from rowloom.functions import composite
 from rowloom.operators import (
     ErrorPolicy,
+    columns_to_row,
     count_columns,
     count_distinct,
     lookup_composite_range,
@@ -152,7 +153,7 @@ def composite_cells(t):
     """The current cells of the orders, and where to look for customers with very many orders."""
     written = map_composite_column(t.orders, F.col("o_custkey"), order_name(), F.col("o_orderkey"),
                                    Write(F.lit("2000-01-01").cast("timestamp_ntz"), "o_orderkey"))
-    return resolve_latest(written).select("row_key", "column_name", "value"), SkewOptions(right_keys=written)
+    return resolve_latest(written, requests=composite_requests(t)).select("row_key", "column_name", "value"), SkewOptions(right_keys=written)
 
 
 def composite_requests(t):
@@ -199,17 +200,42 @@ def composite_slice_of_orders(t):
     return composite_result(lookup_composite_slice(composite_requests(t), cells, [("P", None), ("O", "5-LOW")], options))
 
 
+@query(f"""WITH {COMPOSITE_CELLS}
+    SELECT c.* FROM customer JOIN cells c ON c_custkey = c.row_key
+    WHERE CASE c_mktsegment WHEN 'FURNITURE' THEN c0 = 'F' AND c1 BETWEEN '2-HIGH' AND '3-MEDIUM'
+        WHEN 'MACHINERY' THEN c0 = 'P' OR (c0 = 'O' AND c1 = '5-LOW')
+        WHEN 'BUILDING' THEN c1 = '1-URGENT' ELSE TRUE END""")
+def lookup_dispatch_composite(t):
+    """Composite names: a range, a slice with null parts, a range over the second part, or the whole row."""
+    segment, kind = F.col("c_mktsegment"), "struct<status:string,priority:string>"
+    name = lambda status, priority: composite(status=F.lit(status), priority=F.lit(priority)).cast(kind)
+    start = F.when(segment == "FURNITURE", name("F", "2-HIGH")).when(segment == "BUILDING", name(None, "1-URGENT"))
+    end = F.when(segment == "FURNITURE", name("O", "3-MEDIUM")).when(segment == "BUILDING", name("O", "1-URGENT"))
+    names = F.when(segment == "MACHINERY", F.array(name("P", None), name("O", "5-LOW")))
+    asked = t.customer.select(F.col("c_custkey").alias("row_key"), names.alias("slice"), start.alias("start"),
+                              end.alias("end"))
+    cells, options = composite_cells(t)
+    return composite_result(lookup_dispatch(asked, cells, options))
+
+
+@query("""SELECT o_orderkey AS id, c_name AS name, c_mktsegment AS segment, CAST(NULL AS VARCHAR) AS absent
+    FROM orders JOIN customer ON c_custkey = o_custkey""", "columns_to_row")
+def name_and_segment(t):
+    """Two columns of each order's customer side by side, and one that no row has."""
+    found = lookup_slice(customer_requests(t), customer_cells(t), ["c_name", "c_mktsegment", "c_absent"])
+    return columns_to_row(found, "id", {"c_name": "name", "c_mktsegment": "segment", "c_absent": "absent"})
+
+
 REACH_EDGES = """
     sharers AS (SELECT DISTINCT l_orderkey AS url, l_partkey AS source FROM lineitem),
-    followers AS (SELECT DISTINCT l_partkey AS source, l_suppkey AS follower FROM lineitem WHERE l_quantity >= 45)"""
+    followers AS (SELECT DISTINCT l_partkey AS source, l_suppkey AS follower FROM lineitem)"""
 
 
 def reach_tables(t):
-    """Orders as links, their parts as the sources, and the suppliers of large lots of a part as its followers."""
+    """Orders as links, their parts as the sources, and the suppliers of a part as its followers."""
     asked = t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderkey").alias("url"))
     sharers = t.lineitem.select(F.col("l_orderkey").alias("url"), F.col("l_partkey").alias("source"))
-    large = t.lineitem.where("l_quantity >= 45")
-    followers = large.select(F.col("l_partkey").alias("source"), F.col("l_suppkey").alias("follower"))
+    followers = t.lineitem.select(F.col("l_partkey").alias("source"), F.col("l_suppkey").alias("follower"))
     return asked, sharers, followers
 
 

@@ -94,20 +94,53 @@ def state_non_transactional(t):
     return replayed(t, NON_TRANSACTIONAL)
 
 
-@query("""
+@query("""SELECT event_type, count(*) + count(CASE WHEN value < 20 THEN 1 END) AS n FROM events GROUP BY 1""")
+def state_non_transactional_compacted(t):
+    """The same after compaction and removal of what it replaced, with the last update after it."""
+    state = StateStore(t.spark, shared_dir(t.spark, "folded"), ["event_type"], {"n": Aggregate("count")},
+                       StateOptions(NON_TRANSACTIONAL, ttl_seconds=None))
+    state.update(t.events.where("value < 20"), 7, "ts")
+    state.update(t.events.where("value >= 10"), 7, "ts")
+    state.compact()
+    state.vacuum()
+    state.update(t.events.where("value < 10"), 7, "ts")
+    return state.current().select(F.col("key")[0].alias("event_type"), "n")
+
+
+HISTORY = """
     SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(CASE WHEN late > 0 THEN 2 ELSE 1 END AS BIGINT) AS txid, early + late AS n,
            CASE WHEN late > 0 THEN nullif(early, 0) END AS prev_n
     FROM (SELECT user_id, count(CASE WHEN ts < TIMESTAMP '2024-01-20' THEN 1 END) AS early,
-                 count(CASE WHEN ts >= TIMESTAMP '2024-01-20' THEN 1 END) AS late FROM events GROUP BY 1)""")
-def state_history(t):
-    state = StateStore(t.spark, shared_dir(t.spark, "history"), ["user_id"], {"n": Aggregate("count")},
+                 count(CASE WHEN ts >= TIMESTAMP '2024-01-20' THEN 1 END) AS late FROM events GROUP BY 1)"""
+
+
+def two_batches(t, purpose):
+    state = StateStore(t.spark, shared_dir(t.spark, purpose), ["user_id"], {"n": Aggregate("count")},
                        StateOptions(ttl_seconds=None))
     early = F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz")
     state.update(t.events.where(early), 1, "ts")
     state.update(t.events.where(~early), 2, "ts")
+    return state
+
+
+def history_of(state):
     return state.history().select(F.col("key")[0].alias("user_id"), "txid", "n", "prev_n")
 
 
+@query(HISTORY)
+def state_history(t):
+    return history_of(two_batches(t, "history"))
+
+
+@query(HISTORY)
+def state_history_compacted(t):
+    """The value before the last batch is still known when only a snapshot is left."""
+    state = two_batches(t, "history-folded")
+    state.compact(keep_last=0)
+    state.vacuum()
+    return history_of(state)
+
+
 @query("""
     SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(sum(CASE WHEN day >= last_start THEN n END) AS BIGINT) AS n FROM (
         SELECT *, max(CASE WHEN starts THEN day END) OVER (PARTITION BY user_id) AS last_start FROM (

@@ -1,5 +1,6 @@
 """Queries: the same results by way of streams."""
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,8 +16,11 @@ from rowloom.suite.writes import LATEST_EVENT, event_cells, shown
 
 
 def stream_of(t, name):
-    """A given table as a stream, read where it lies."""
-    return file_stream(t.spark, f"{t.sf_dir}/{name}.parquet", getattr(t, name).schema, max_files=1000)
+    """A given table, laid out in eight files, as a stream of four micro-batches."""
+    folder = shared_dir(t.spark, f"files-{name}")
+    table = getattr(t, name)
+    table.repartition(8).write.parquet(folder)
+    return file_stream(t.spark, folder, table.schema, max_files=2)
 
 
 @query(SQL["upsert_latest"])
@@ -67,6 +71,32 @@ def stream_counter(t):
     return store.counters().select("row_key", "column_name", "amount")
 
 
+@query(SQL["counter_sum"])
+def stream_replay(t):
+    """The same where a batch fails after its write: the stream stops, and runs the batch again from its checkpoint."""
+    root = shared_dir(t.spark, "stream-replay")
+    store = CounterStore(t.spark, f"{root}/store")
+    failed = []
+
+    def mapper(rows):
+        return map_counter(rows.select("user_id", "event_type", F.floor("value").alias("n")), "user_id", "n")
+
+    def fail_once(rows, batch_id):
+        if batch_id == 1 and not failed:
+            failed.append(batch_id)
+            raise RuntimeError("lost after the write")
+
+    rows = stream_of(t, "events")
+    start = lambda: increment_stream(rows, store, mapper, f"{root}/checkpoint", then=fail_once)
+    try:
+        start().awaitTermination()
+    except StreamingQueryException:
+        start().awaitTermination()
+    if not failed:
+        raise RuntimeError("no batch was replayed")
+    return store.counters().select("row_key", "column_name", "amount")
+
+
 @query(SQL["persistent_word_count"])
 def stream_word_count(t):
     root = shared_dir(t.spark, "stream-words")

@@ -97,6 +97,46 @@ def compacted_store(t):
     return shown(store.cells())
 
 
+@query(f"""WITH {LATEST_EVENT}
+    SELECT CAST(user_id AS VARCHAR) AS row_key, event_type AS column_name, props AS value
+    FROM latest WHERE nth = 1 AND NOT value < 2""")
+def compacted_often(t):
+    """Four batches with a compaction after each: a base, deltas after it, and no replaced file left."""
+    store = CellStore(t.spark, shared_dir(t.spark, "often"))
+    mapper = lambda rows: event_cells(rows, delete_when=F.col("value") < 2)
+    for batch_id in range(4):
+        store.put(t.events.where(F.col("event_id") % 4 == batch_id), mapper, batch_id)
+        store.compact(keep_last=0, full=batch_id == 0)
+        store.vacuum()
+    return shown(store.cells())
+
+
+@query(f"""WITH {LATEST_EVENT}
+    SELECT CAST(user_id AS VARCHAR) AS row_key, event_type AS column_name, props AS value
+    FROM latest WHERE nth = 1 AND NOT value < 2""")
+def purged_store(t):
+    """Deleted cells are dropped once no open batch can hold an older version of them."""
+    store = CellStore(t.spark, shared_dir(t.spark, "purge"))
+    late = F.col("ts") >= F.lit("2024-01-15").cast("timestamp_ntz")
+    mapper = lambda rows: event_cells(rows, delete_when=F.col("value") < 2)
+    store.put(t.events.where(late), mapper, 0)
+    store.put(t.events.where(~late), mapper, 1)
+    store.compact(keep_last=0, purge_before=F.lit("2025-01-01").cast("timestamp_ntz"))
+    store.vacuum()
+    return shown(store.versions())
+
+
+@query("""
+    SELECT lower(c_mktsegment) AS keyspace, CAST(c_custkey AS VARCHAR) AS row_key, 'c_name' AS column_name, c_name AS value
+    FROM customer WHERE c_mktsegment = 'FURNITURE'""")
+def keyspace_case(t):
+    """Keyspaces are the same in any case; the table is routed by the data."""
+    store = CellStore(t.spark, shared_dir(t.spark, "case"))
+    write = Write(F.lit("2024-01-01").cast("timestamp_ntz"), table="customer", keyspace=F.col("c_mktsegment"))
+    store.put(t.customer, lambda rows: map_default(rows, "c_custkey", ["c_name"], write), 0, many_tables=True)
+    return store.cells("Furniture").select("keyspace", "row_key", "column_name", "value")
+
+
 @query("""
     SELECT CAST(user_id AS VARCHAR) AS row_key, event_type AS column_name, CAST(sum(n) AS BIGINT) AS amount
     FROM (SELECT user_id, event_type, CAST(floor(value) AS BIGINT) AS n FROM events) GROUP BY 1, 2""")
@@ -150,7 +190,7 @@ def error_policy(t):
     rows = t.events.withColumn("row_key", F.when(F.col("event_type") != "error", F.col("user_id").cast("string")))
     rules = {**key_rules("row_key"), "small_value": F.col("value") < 2, "no_props": F.col("props").isNull()}
     policy = ErrorPolicy().reject_on("null_row_key").empty_on("small_value").fail_on("no_props")
-    parts = policy.apply(rows, rules)
+    parts = policy.apply(rows, rules, write_once=True)
     named = [part.select(F.lit(name).alias("part")) for name, part in parts.items()]
     return named[0].unionByName(named[1]).unionByName(named[2]).groupBy("part").agg(F.count("*").alias("n"))
 

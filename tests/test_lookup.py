@@ -29,8 +29,8 @@ CELLS = "row_key string, column_name string, value string"
 @pytest.fixture(scope="module")
 def simple(spark):
     """The row with a composite key and four columns."""
-    df = spark.createDataFrame([("key1val", "key2val", "fooval", "barval")], "key1 string, key2 string, foo string, bar string")
-    key = composite(part1="key1", part2="key2")
+    df = spark.createDataFrame([("north", "17", "red", "matt")], "zone string, plot string, hue string, gloss string")
+    key = composite(zone="zone", plot="plot")
     cells = map_custom(df, key, {c: F.col(c) for c in df.columns})
     return df.select(key.alias("row_key")), cells
 
@@ -41,27 +41,28 @@ def names(found):
 
 def test_row_by_composite_key(simple):
     requests, cells = simple
-    assert names(lookup_row(requests, cells)) == {"key1": "key1val", "key2": "key2val", "foo": "fooval", "bar": "barval"}
+    assert names(lookup_row(requests, cells)) == {"zone": "north", "plot": "17", "hue": "red", "gloss": "matt"}
 
 
 def test_range_includes_both_ends(simple):
     requests, cells = simple
-    assert set(names(lookup_range(requests, cells, "bar", "foo"))) == {"foo", "bar"}
-    asked = requests.withColumns({"start": F.lit("bar"), "end": F.lit("foo")})
-    assert set(names(lookup_range(asked, cells))) == {"foo", "bar"}
+    assert set(names(lookup_range(requests, cells, "gloss", "hue"))) == {"hue", "gloss"}
+    asked = requests.withColumns({"start": F.lit("gloss"), "end": F.lit("hue")})
+    assert set(names(lookup_range(asked, cells))) == {"hue", "gloss"}
 
 
 def test_range_without_a_bound_gives_nothing(simple):
     requests, cells = simple
-    asked = requests.withColumns({"start": F.lit("bar"), "end": F.lit(None).cast("string")})
+    asked = requests.withColumns({"start": F.lit("gloss"), "end": F.lit(None).cast("string")})
     assert names(lookup_range(asked, cells)) == {}
+    assert names(lookup_range(requests, cells, "gloss", None)) == names(lookup_range(requests, cells, end="hue")) == {}
 
 
 def test_slice_ignores_absent_names(simple):
     requests, cells = simple
-    assert set(names(lookup_slice(requests, cells, ["foo", "bar", "key1"]))) == {"foo", "bar", "key1"}
-    asked = requests.withColumn("slice", F.array(F.lit("foo"), F.lit("nope"), F.lit("foo")))
-    assert rows(lookup_slice(asked, cells), "column_name", "value") == [("foo", "fooval")]
+    assert set(names(lookup_slice(requests, cells, ["hue", "gloss", "zone"]))) == {"hue", "gloss", "zone"}
+    asked = requests.withColumn("slice", F.array(F.lit("hue"), F.lit("nope"), F.lit("hue")))
+    assert rows(lookup_slice(asked, cells), "column_name", "value") == [("hue", "red")]
 
 
 def test_missing_row(spark):
@@ -72,49 +73,61 @@ def test_missing_row(spark):
     assert rows(count_columns(asked, cells), "id", "cols_n") == [(1, 1), (2, 0), (3, 0)]
 
 
-PAIRS = ["aa", "bb", "ab", "ac", "ad", "cc", "dd"]
+PAIRS = ["pr", "qq", "ps", "pp", "rq", "pq", "sp", "rr"]
+NAME = "struct<a:string,b:string>"
 
 
 @pytest.fixture(scope="module")
 def pairs(spark):
-    df = spark.createDataFrame([("my_row", p[0], p[1], p) for p in PAIRS], "rowkey string, a string, b string, value string")
-    cells = map_composite_column(df, F.col("rowkey"), composite(a="a", b="b"), F.col("value"))
-    return df.select(F.col("rowkey").alias("row_key")).distinct(), cells
-
-
-@pytest.mark.parametrize(
-    ("start", "end", "found"),
-    [
-        ("aa", "ac", ["aa", "ab", "ac"]),
-        ("ab", "cd", ["ab", "ac", "ad"]),
-        ("a-", "c-", ["aa", "ab", "ac", "ad", "bb", "cc"]),
-        ("-a", "-c", ["aa", "ab", "ac", "bb", "cc"]),
-        ("a-", "cd", ["aa", "ab", "ac", "ad", "bb", "cc"]),
-        ("--", "dd", sorted(PAIRS)),
-    ],
-)
-def test_composite_range(pairs, start, end, found):
+    df = spark.createDataFrame([("shelf", p[0], p[1], p) for p in PAIRS], "place string, a string, b string, value string")
+    cells = map_composite_column(df, F.col("place"), composite(a="a", b="b"), F.col("value"))
+    return df.select(F.col("place").alias("row_key")).distinct(), cells
+
+
+def in_range(pair, start, end):
+    """The rule in plain Python: parts count where both bounds are set, and only the last of them is a range."""
+    given = [i for i in range(len(pair)) if start[i] is not None and end[i] is not None]
+    return all(start[i] <= pair[i] <= end[i] if i == given[-1] else pair[i] == start[i] for i in given)
+
+
+def as_name(parts):
+    return composite(**{n: F.lit(v).cast("string") for n, v in zip("ab", parts)})
+
+
+BOUNDS = [("pq", "pr"), ("pq", "rs"), ("p-", "r-"), ("-p", "-q"), ("p-", "rs"), ("--", "ss"), ("zz", "aa")]
+
+
+@pytest.mark.parametrize(("start", "end"), BOUNDS)
+@pytest.mark.parametrize("look", [lookup_composite_range, lookup_range, lookup_dispatch])
+def test_composite_range(pairs, start, end, look):
     requests, cells = pairs
     lower, upper = ([None if c == "-" else c for c in bound] for bound in (start, end))
-    assert [r[0] for r in rows(lookup_composite_range(requests, cells, lower, upper), "value")] == found
-    as_struct = lambda bound: composite(**{n: F.lit(v).cast("string") for n, v in zip("ab", bound)})
-    asked = requests.withColumns({"start": as_struct(lower), "end": as_struct(upper)})
-    assert [r[0] for r in rows(lookup_composite_range(asked, cells), "value")] == found
+    want = sorted(p for p in PAIRS if in_range(p, lower, upper))
+    if look is not lookup_dispatch:
+        assert [r[0] for r in rows(look(requests, cells, lower, upper), "value")] == want
+    asked = requests.withColumns({"start": as_name(lower), "end": as_name(upper)})
+    assert [r[0] for r in rows(look(asked, cells), "value")] == want
 
 
-def test_composite_slice_matches_prefixes(pairs):
+@pytest.mark.parametrize("wanted", [[("p", None), ("r", "q"), ("x", None)], [("q", "q")], [(None, "q")], [(None, None)], []])
+def test_composite_slice_matches_prefixes(pairs, wanted):
     requests, cells = pairs
-    found = lookup_composite_slice(requests, cells, [("a", None), ("c", "c"), ("x", None)])
-    assert [r[0] for r in rows(found, "value")] == ["aa", "ab", "ac", "ad", "cc"]
+    want = sorted({p for p in PAIRS for w in wanted if in_range(p, w, w)})
+    for look in (lookup_composite_slice, lookup_slice):
+        assert [r[0] for r in rows(look(requests, cells, wanted), "value")] == want
+    names_ = F.array(*[as_name(w) for w in wanted]).cast(f"array<{NAME}>")
+    asked = requests.withColumn("slice", names_)
+    for look in (lookup_composite_slice, lookup_slice, lookup_dispatch):
+        assert [r[0] for r in rows(look(asked, cells), "value")] == want
 
 
 def test_three_part_range(spark):
-    triples = [(a, b, c) for a in "abcdef" for b in "abcdef" for c in "abcdef"]
+    triples = [(a, b, c) for a in "uvwx" for b in "uvwx" for c in "uvwx"]
     df = spark.createDataFrame(triples, "a string, b string, c string")
-    cells = map_composite_column(df, F.lit("mykey2"), composite(a="a", b="b", c="c"), F.concat("a", "b", "c"))
-    asked = spark.createDataFrame([("mykey2",)], "row_key string")
-    found = lookup_composite_range(asked, cells, ("a", "a", "a"), ("a", "a", "b"))
-    assert rows(found, "value") == [("aaa",), ("aab",)]
+    cells = map_composite_column(df, F.lit("cube"), composite(a="a", b="b", c="c"), F.concat("a", "b", "c"))
+    asked = spark.createDataFrame([("cube",)], "row_key string")
+    found = lookup_composite_range(asked, cells, ("v", "w", "u"), ("x", "x", "w"))
+    assert rows(found, "value") == [("vwu",), ("vwv",), ("vww",)]
 
 
 @pytest.fixture(scope="module")
@@ -143,7 +156,7 @@ def test_dispatch_per_request(wide, options):
     assert rows(lookup_dispatch(asked, cells, options), "id", "column_name") == DISPATCHED
 
 
-def test_dispatch_has_one_keyed_join(wide):
+def test_dispatch_has_only_keyed_joins(wide):
     text = plan(lookup_dispatch(*wide))
     assert "NestedLoop" not in text and "Cartesian" not in text
     assert not any(p in text for p in NO_PYTHON)

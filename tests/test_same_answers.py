@@ -1,0 +1,251 @@
+"""Answers depend neither on sizes and plans nor on compaction."""
+
+import logging
+
+import pytest
+from pyspark.sql import functions as F
+
+from rowloom import jobs
+from rowloom.functions import composite
+from rowloom.model import cell_schema
+from rowloom.operators import (
+    ErrorPolicy,
+    Write,
+    columns_to_row,
+    lookup_row,
+    map_counter,
+    map_custom,
+    map_default,
+    resolve_latest,
+    running_count,
+    split_rejects,
+    state_query,
+)
+from rowloom.plans import SkewOptions, skew_join
+from rowloom.sources import Aggregate, CellStore, CounterStore, StateOptions, StateStore
+from rowloom.sources.log import as_ranges, in_ranges, joined_ranges
+from rowloom.sources.streams import file_stream
+from rowloom.streaming import put_stream
+from tests.util import plan, rows, ts
+
+HEAVY = SkewOptions(min_rows=4, share=0.01, max_salts=4, always=True)
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_running_count_by_struct_keys(spark):
+    df = spark.range(40).select("id", F.when(F.col("id") % 2 == 0, F.lit(None).cast("string")).otherwise("null").alias("a"))
+    df = df.select("id", F.struct("a", F.lit(1).alias("b")).alias("k"))
+    plain = rows(running_count(df, "k", "id"))
+    assert rows(running_count(df, "k", "id", HEAVY)) == plain and max(r[-1] for r in plain) == 20
+    odd = df.select("id", F.when(F.col("id") < 25, F.lit("x")).alias("k"))
+    assert rows(running_count(odd, "k", "id", HEAVY)) == rows(running_count(odd, "k", "id"))
+
+
+def test_requests_with_a_map_column(spark):
+    cells = spark.createDataFrame([("hot", f"c{i}", "v") for i in range(30)], "row_key string, column_name string, value string")
+    asked = spark.createDataFrame([(i, "hot", {"a": str(i)}) for i in range(20)], "id int, row_key string, extra map<string,string>")
+    found = [rows(lookup_row(asked, cells, o), "id", "column_name") for o in (None, HEAVY)]
+    assert found[0] == found[1] and len(found[0]) == 600
+    left = [rows(skew_join(asked, cells, ["row_key"], "left", o), "id", "column_name") for o in (None, HEAVY)]
+    assert left[0] == left[1] == found[0]
+
+
+def store_of(spark, root, n=10):
+    store = CellStore(spark, str(root))
+    df = spark.range(n).select(F.col("id").cast("string").alias("k"), F.lit("v").alias("c"))
+    store.put(df, lambda d: map_default(d, "k", ["c"], Write(ts("2024-01-01"))), 0)
+    return store
+
+
+def test_cells_of_requests_are_those_rows(spark, tmp_path, no_broadcast):
+    store = store_of(spark, tmp_path)
+    asked = spark.createDataFrame([("3",), ("3",), ("zz",)], "row_key string")
+    assert rows(store.cells(requests=asked), "row_key") == [("3",)]
+
+
+def above(text, inner, outer):
+    """Whether, reading a plan from the top, the first ``outer`` comes before ``inner`` at a smaller depth."""
+    lines = text.splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-*()0123456789"))
+    tops = [depth(x) for x in lines if outer in x]
+    return bool(tops) and any(depth(x) > min(tops) for x in lines if inner in x)
+
+
+def test_what_nobody_asks_for_is_left_out_below_the_fold(spark, tmp_path):
+    store = store_of(spark, tmp_path)
+    asked = spark.createDataFrame([("3",)], "row_key string")  # a local list, whose size Spark does not know
+    for how in (lookup_row, state_query):
+        assert above(plan(store.lookup(asked, how)), "LeftSemi", "Aggregate")
+    versions = store.versions()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "500")
+    try:
+        for how in (lookup_row, state_query):
+            assert above(plan(how(asked, resolve_latest(versions, requests=asked))), "LeftSemi", "Aggregate")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    sharers, followers = (spark.createDataFrame([(1, 2)], f"{a} long, {b} long") for a, b in (("url", "source"), ("source", "follower")))
+    text = plan(jobs.reach(spark.range(1).select(F.col("id").alias("url")), sharers, followers))
+    assert text.count("LeftSemi") >= 2
+
+
+def test_a_batch_in_a_snapshot_cannot_be_replaced(spark, tmp_path):
+    store = store_of(spark, tmp_path)
+    store.compact(keep_last=0)
+    df = spark.createDataFrame([("1", "new")], "k string, c string")
+    with pytest.raises(ValueError, match="part of a snapshot"):
+        store.put(df, lambda d: map_default(d, "k", ["c"], Write(ts("2025-01-01"))), 0)
+
+
+def test_refused_rows_are_never_lost(spark, tmp_path, caplog):
+    df = spark.range(10).select("id", F.col("id").cast("string").alias("k"))
+    df.repartition(2).write.parquet(str(tmp_path / "in"))
+    stream = file_stream(spark, str(tmp_path / "in"), df.schema)
+    rules = {"odd": F.col("id") % 2 == 1}
+    mapper = lambda d: map_default(d, "k", ["id"], Write(ts("2024-01-01")))
+    put = lambda name, **o: put_stream(stream, CellStore(spark, str(tmp_path / name)), mapper, str(tmp_path / f"{name}-c"), rules=rules, **o)
+    with pytest.raises(ValueError, match="report"):
+        put("a")
+    with pytest.raises(ValueError, match="report"):
+        put("b", policy=ErrorPolicy().reject_on("odd"))
+    with pytest.raises(ValueError, match="empty"):
+        put("c", policy=ErrorPolicy().empty_on("odd"), report=lambda rows_, batch: None)
+    seen = []
+    put("d", report=lambda rows_, batch: seen.append(rows_.count())).awaitTermination()
+    assert sum(seen) == 5
+    with caplog.at_level(logging.WARNING, "rowloom.streaming.sinks"):
+        put("e", policy=ErrorPolicy().ignore_on("odd")).awaitTermination()
+    assert "5 rows ignored for odd" in caplog.text
+
+
+def test_split_rejects_can_write_once(spark):
+    df = spark.range(10)
+    rules = {"odd": F.col("id") % 2 == 1}
+    once, twice = split_rejects(df, rules, write_once=True), split_rejects(df, rules)
+    assert [rows(x) for x in once] == [rows(x) for x in twice]
+
+
+@pytest.mark.parametrize("keep_last", [0, 1, 2])
+@pytest.mark.parametrize("full", [None, True, False])
+@pytest.mark.parametrize("mode", ["opaque", "transactional", "non-transactional"])
+def test_states_stay_as_they_are(spark, tmp_path, keep_last, full, mode):
+    state = StateStore(spark, str(tmp_path), ["k"], {"n": Aggregate("count"), "top": Aggregate("max", "v")}, StateOptions(mode, ttl_seconds=None))
+    batches = [[("a", 1), ("b", 2)], [("a", 5), ("b", 1)], [("c", 3)], [("a", 2), ("c", 9)]]
+    for batch_id, data in enumerate(batches):
+        state.update(spark.createDataFrame(data, "k string, v long"), batch_id, ts(f"2024-01-0{batch_id + 1}"))
+        before = rows(state.current()), rows(state.history(), "key", "n", "top", "prev_n", "prev_top")
+        state.compact(keep_last, full)
+        assert (rows(state.current()), rows(state.history(), "key", "n", "top", "prev_n", "prev_top")) == before
+        state.vacuum()
+        assert (rows(state.current()), rows(state.history(), "key", "n", "top", "prev_n", "prev_top")) == before
+    assert state.log.snapshots() or keep_last == 2
+    want = {"a": (3, 5, 2, 5), "b": (2, 2, 1, 2), "c": (2, 9, 1, 3)}
+    assert {r["key"][0]: (r.n, r.top, r.prev_n, r.prev_top) for r in state.history().collect()} == want
+
+
+def test_expiring_states_stay_as_they_are(spark, tmp_path):
+    hour = 3600
+    state = StateStore(spark, str(tmp_path), ["k"], {"n": Aggregate("count")}, StateOptions(ttl_seconds=3 * hour))
+    for batch_id, at in enumerate(["00:00", "02:00", "04:00", "09:00"]):
+        state.update(spark.createDataFrame([("a",), ("a",)], "k string"), batch_id, ts(f"2024-01-01 {at}:00"))
+        before = rows(state.current()), rows(state.history())
+        state.compact(keep_last=0)
+        assert (rows(state.current()), rows(state.history())) == before
+    assert [r.n for r in state.current().collect()] == [2]
+
+
+@pytest.mark.parametrize("keep_last", [0, 1, 2])
+def test_cells_and_counters_stay_as_they_are(spark, tmp_path, keep_last):
+    store, counters = CellStore(spark, str(tmp_path / "s")), CounterStore(spark, str(tmp_path / "c"))
+    for batch_id in range(5):
+        df = spark.range(6).select(F.col("id").cast("string").alias("k"), (F.col("id") * batch_id % 4).alias("v"), F.lit("c").alias("name"))
+        stamp = Write(ts(f"2024-01-0{(batch_id * 3) % 5 + 1}"), delete_when=F.col("v") == 2)
+        store.put(df, lambda d, w=stamp: map_default(d, "k", ["v"], w), batch_id, fold=batch_id % 2 == 0)
+        counters.increment(df, lambda d: map_counter(d, "k", "v", ["name"]), batch_id)
+        for kept, read in ((store, store.cells), (counters, counters.counters)):
+            before = rows(read())
+            kept.compact(keep_last)
+            assert rows(read()) == before
+            kept.vacuum()
+            assert rows(read()) == before
+
+
+def test_purge_takes_every_batch(spark, tmp_path):
+    store = CellStore(spark, str(tmp_path))
+    df = spark.createDataFrame([("a", "1")], "k string, v string")
+    put = lambda at, batch_id, gone: store.put(df, lambda d: map_default(d, "k", ["v"], Write(ts(at), delete_when=F.lit(gone))), batch_id)
+    put("2024-01-01 00:00:10", 0, True)
+    put("2024-01-01 00:00:05", 1, False)
+    with pytest.raises(ValueError, match="keep_last=0"):
+        store.compact(purge_before=ts("2025-01-01"))
+    assert rows(store.cells()) == []
+    store.compact(keep_last=0, purge_before=ts("2025-01-01"))
+    assert rows(store.versions()) == [] and rows(store.cells()) == []
+
+
+def test_log_stays_small(spark, tmp_path):
+    store = CellStore(spark, str(tmp_path))
+    sizes = []
+    for batch_id in range(12):
+        df = spark.createDataFrame([(str(batch_id % 3), "v")], "k string, c string")
+        store.put(df, lambda d: map_default(d, "k", ["c"], Write(ts("2024-01-01"), F.lit(batch_id))), batch_id)
+        if batch_id % 3 == 2:
+            store.compact()
+            store.vacuum()
+            said = spark.read.text(f"{tmp_path}/snapshot={store.log.snapshots()[-1]}/covered").first()[0]
+            sizes.append((len(store.log.batches()), len(store.log.snapshots()), len(said)))
+    assert {n for n, _, _ in sizes} == {1} and max(n for _, n, _ in sizes) <= 2
+    assert max(n for *_, n in sizes) - min(n for *_, n in sizes) <= 4
+    assert rows(store.cells(), "row_key") == [("0",), ("1",), ("2",)]
+
+
+def test_ranges_of_batches():
+    a, b = as_ranges([("w", 3), ("w", 1), ("w", 2), ("x", 9)]), as_ranges([("w", 4), ("w", 8), ("y", 0)])
+    assert a == {"w": [[1, 3]], "x": [[9, 9]]} and joined_ranges(a, b) == {"w": [[1, 4], [8, 8]], "x": [[9, 9]], "y": [[0, 0]]}
+    assert in_ranges(a, "w", 2) and not in_ranges(a, "w", 4) and not in_ranges(a, "z", 1)
+
+
+def test_writes_without_names_are_refused(spark, tmp_path):
+    store, counters = CellStore(spark, str(tmp_path / "s")), CounterStore(spark, str(tmp_path / "c"))
+    df = spark.createDataFrame([("a", None, "c")], "k string, v long, name string")
+    stamp = ts("2024-01-01")
+    entry = lambda name: F.array(F.struct(name.alias("column_name"), F.lit("x").alias("value")))
+    for name, write, said in (
+        (F.lit(None).cast("string"), Write(stamp), "null column name"),
+        (F.lit("c"), Write(stamp, table=F.lit("")), "empty table name"),
+        (F.lit("c"), Write(stamp, keyspace=F.lit(None).cast("string")), "empty keyspace name"),
+    ):
+        with pytest.raises(Exception, match=said):
+            store.put(df, lambda d, n=name, w=write: map_custom(d, F.col("k"), entry(n), w), 0)
+    with pytest.raises(Exception, match="null amount"):
+        counters.increment(df, lambda d: map_counter(d, "k", "v", ["name"]), 0)
+
+
+def test_keyspaces_in_any_case_are_one(spark, tmp_path):
+    store = CellStore(spark, str(tmp_path))
+    for batch_id, space in enumerate(["Sales", "sales"]):
+        df = spark.createDataFrame([("a", space)], "k string, c string")
+        store.put(df, lambda d, s=space: map_default(d, "k", ["c"], Write(ts("2024-01-01"), F.lit(batch_id), keyspace=s)), batch_id)
+    assert rows(store.cells("SALES"), "keyspace", "value") == [("sales", "sales")]
+
+
+def test_columns_side_by_side(spark):
+    cells = spark.createDataFrame([("a", "x", "1"), ("a", "y", "2"), ("b", "x", "3")], "row_key string, column_name string, value string")
+    asked = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "a")], "id int, row_key string")
+    found = columns_to_row(lookup_row(asked, cells), "id", {"x": "left", "y": "right"})
+    assert found.columns == ["id", "left", "right"] and rows(found) == [(1, "1", "2"), (2, "3", None), (4, "1", "2")]
+    assert rows(columns_to_row(state_query(asked, cells), ["id"], ["y"])) == [(1, "2"), (2, None), (3, None), (4, "2")]
+
+
+def test_composite_columns_side_by_side_and_schema(spark, tmp_path):
+    kind = "struct<a:string,b:string>"
+    store = CellStore(spark, str(tmp_path), cell_schema(name=spark.createDataFrame([], f"n {kind}").schema["n"].dataType))
+    df = spark.createDataFrame([("r", "p", None)], "k string, a string, b string")
+    entry = F.array(F.struct(composite(a="a", b="b").alias("column_name"), F.lit("x").alias("value")))
+    store.put(df, lambda d: map_custom(d, F.col("k"), entry, Write(ts("2024-01-01"))), 0)
+    assert rows(store.cells(), "value") == [("x",)]

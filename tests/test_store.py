@@ -92,8 +92,8 @@ def test_compaction_at_any_point_keeps_the_result(spark, at, tmp_path, order):
         store.compact(keep_last=0)
     assert store.log.snapshots() == [1, 2, 3]
     assert rows(store.cells(), "row_key", "column_name", "value") == expected(writes)
-    replayed = spark.createDataFrame(writes[:100], WRITES)
-    store.put(replayed, cells_of, 0)
+    with pytest.raises(ValueError, match="part of a snapshot"):
+        store.put(spark.createDataFrame(writes[:100], WRITES), cells_of, 0)
     assert rows(store.cells(), "row_key", "column_name", "value") == expected(writes)
 
 
