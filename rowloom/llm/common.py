@@ -11,7 +11,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.session import shared_dir
+from rowloom.session import scratch_dir
 
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -31,8 +31,11 @@ def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterato
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: lineage ends here, and a lost executor loses nothing."""
-    path = shared_dir(df.sparkSession, purpose)
+    """``df`` written to the shared folder and read again: lineage ends here, and a lost executor loses nothing.
+
+    ``rowloom.session.release`` removes what was written, once the results are no longer needed.
+    """
+    path = scratch_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
