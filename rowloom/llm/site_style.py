@@ -12,7 +12,8 @@ its children. Importance is entropy:
 A branch is cut from each page if it and everything in it is below ``threshold``. Only distinct pages count, so copies of a page are no evidence, and a
 host needs ``MIN_PAGES`` of them. Names that say what a branch is are used as well: named noise (menus, headers, footers,
 side bars, notices, adverts, forms, comments) has importance zero, and ``article``, or else ``main``, and the plain blocks
-inside it have importance one; text outside of them is not main text on a page that has one.
+inside it have importance one; text outside of them is not main text on a page that has one (of a main part with more text outside its articles than in
+them, all is).
 
 The tree is kept as rows (host, element) and weighed level by level from the leaves; a host's tree is never gathered. A
 page gets only those cut elements that it has.
@@ -213,8 +214,9 @@ class Page:
         kept = [b for b in self.blocks if not b[2] and not is_cut(b[0], cut)]
         if not kept:
             kept = [b for b in self.blocks if not is_cut(b[0], cut)]
-        best = max((b[3] for b in kept), default=0)
-        return " ".join(b[1] for b in kept if b[3] == best)
+        size = [sum(len(b[1]) for b in kept if b[3] == home) for home in range(3)]
+        least = 2 if size[2] and size[2] >= size[1] else 1 if size[1] else 0
+        return " ".join(b[1] for b in kept if b[3] >= least)
 
 
 def is_cut(element: str, cut: frozenset[str]) -> bool:
@@ -229,10 +231,10 @@ def is_cut(element: str, cut: frozenset[str]) -> bool:
 
 
 def with_host(pages: DataFrame) -> DataFrame:
-    """page_id, url, html, host and the MD5 of the html."""
+    """page_id, url, html, host and a hash of the html, by which copies of a page are told."""
     host = F.regexp_extract(F.lower(F.col("url").cast("string")), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    return pages.select("page_id", "url", html.alias("html"), F.coalesce(host, F.lit("")).alias("host"), F.md5(html).alias("page"))
+    return pages.select("page_id", "url", html.alias("html"), F.coalesce(host, F.lit("")).alias("host"), F.xxhash64(html).alias("page"))
 
 
 def elements(pages: DataFrame) -> DataFrame:
@@ -271,12 +273,12 @@ def elements(pages: DataFrame) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=ELEMENTS)
 
-    schema = "host string, page string, element string, parent string, depth int, style long, n_children int,"
+    schema = "host string, page long, element string, parent string, depth int, style long, n_children int,"
     return map_batches(pages.select("host", "page", "html"), run, f"{schema} share double, named int, blocks array<long>")
 
 
 ELEMENTS = pa.schema(
-    [(n, pa.string()) for n in ("host", "page", "element", "parent")]
+    [("host", pa.string()), ("page", pa.int64()), ("element", pa.string()), ("parent", pa.string())]
     + [("depth", pa.int32()), ("style", pa.int64()), ("n_children", pa.int32()), ("share", pa.float64())]
     + [("named", pa.int32()), ("blocks", pa.list_(pa.int64()))]
 )
@@ -319,9 +321,10 @@ def cut_elements(tree: DataFrame, threshold: float, gamma: float, min_pages: int
         level = tree.filter(F.col("depth") == depth)
         if below is None:
             level = level.withColumn("composite", F.col("own")).withColumn("inner_best", F.lit(0.0))
+            level = level.withColumn("inner_text", F.lit(False))
         else:
             sums = below.groupBy("host", "parent").agg(
-                F.sum(F.col("share") * F.col("composite")).alias("inner"), F.max("best").alias("inner_best")
+                F.sum(F.col("share") * F.col("composite")).alias("inner"), F.max("best").alias("inner_best"), F.max("texts").alias("inner_text")
             )
             level = level.join(sums.withColumnRenamed("parent", "element"), ["host", "element"], "left")
             part = F.pow(F.lit(gamma), F.col("children"))
@@ -329,9 +332,11 @@ def cut_elements(tree: DataFrame, threshold: float, gamma: float, min_pages: int
             level = level.withColumn("composite", F.when(F.col("inner").isNull(), F.col("own")).otherwise(mixed))
         known = F.when(F.col("named") == 1, 0.0).when(F.col("named") == 2, 1.0).otherwise(F.col("composite"))
         level = level.withColumn("composite", known).withColumn("best", F.greatest("composite", "inner_best"))
-        level = level.select("host", "element", "parent", "pages", "named", "share", "composite", "best")
+        texts = F.coalesce("inner_text", F.lit(False)) | F.col("element").endswith("/#text")
+        level = level.withColumn("texts", texts)
+        level = level.select("host", "element", "parent", "pages", "named", "share", "composite", "best", "texts")
         level = stored(level, "style-level")
-        low = (F.col("best") < threshold) & (F.col("pages") >= min_pages) & (F.col("named") == 0)
+        low = (F.col("best") < threshold) & (F.col("pages") >= min_pages) & (F.col("named") == 0) & F.col("texts")
         out = out.unionByName(level.filter(low).select("host", "element"))
         below = level
     return out

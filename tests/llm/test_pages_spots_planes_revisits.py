@@ -33,6 +33,8 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
         ("<!-- <p>no</p> -->yes<!-- open", "yes"),
         ("<nav>m</nav><article><header><h1>T</h1></header><p>x&nbsp;y</p><aside>n</aside></article><footer>f</footer>", "T x y"),
         ("<body class='nav-open'><main><p>m</p></main><p>outside</p>", "m"),
+        ("<main><p>a long main text</p><article>card</article></main><p>o</p>", "a long main text card"),
+        ("<main><p>m</p><article>the article</article></main><p>o</p>", "the article"),
         ("<article><p>a</p></article><article class='comment'>c</article>", "a"),
         ("<div id=comments><p>c</p></div><div class=post-content>hello</div>", "hello"),
         ("<div class='ad'>only an advert</div>", "only an advert"),
@@ -82,8 +84,8 @@ def test_unnamed_repeated_parts_are_cut_by_the_tree(spark):
 
 
 def test_importance_is_entropy(spark):
-    pages = [("h", f"p{i}", f"<div><p>{'same' if i < 4 else i}</p></div>" + ("<ul><li>x</ul>" if i % 2 else "")) for i in range(8)]
-    frame = spark.createDataFrame(pages, "host string, page string, html string")
+    pages = [("h", i, f"<div><p>{'same' if i < 4 else i}</p></div>" + ("<ul><li>x</ul>" if i % 2 else "")) for i in range(8)]
+    frame = spark.createDataFrame(pages, "host string, page long, html string")
     tree = {r.element: r for r in sy.style_tree(sy.elements(frame)).collect()}
     assert tree["/div"].pages == 8 and tree["/ul"].pages == 4 and abs(tree["/div"].own) < 1e-12
     text = tree["/div/p/#text"].own  # one block on 4 pages, four on one page each
