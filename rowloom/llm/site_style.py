@@ -12,8 +12,9 @@ its children. Importance is entropy:
 A branch is cut from each page if it and everything in it is below ``threshold``. Only distinct pages count, so copies of a page are no evidence, and a
 host needs ``MIN_PAGES`` of them. Names that say what a branch is are used as well: named noise (menus, headers, footers,
 side bars, notices, adverts, forms, comments) has importance zero, and ``article``, or else ``main``, and the plain blocks
-inside it have importance one; text outside of them is not main text on a page that has one (of a main part with more text outside its articles than in
-them, all is).
+inside it have importance one. Text outside of them goes by the importance of its branch like any other. Only on a host
+with too few pages for that do names and sizes decide: there the text outside goes if the page has an article or a main part
+(of a main part with more text outside its articles than in them, all stays), unless it has ``PRIOR`` characters more.
 
 The tree is kept as rows (host, element) and weighed level by level from the leaves; a host's tree is never gathered. A
 page gets only those cut elements that it has.
@@ -41,6 +42,7 @@ MAX_DEPTH = 10
 MIN_PAGES = 3
 GAMMA = 0.9
 THRESHOLD = 0.2
+PRIOR = 200  # characters that a name outweighs where the tree has no say
 
 # Element names of HTML by what they mean for text, and words in names, classes and ids that say noise.
 INLINE = frozenset(
@@ -209,13 +211,18 @@ class Page:
                 self.hidden = []
                 return
 
-    def main_text(self, cut: frozenset[str]) -> str:
-        """The blocks that are left: without named noise and the cut elements, and inside the article if there is one."""
+    def main_text(self, cut: frozenset[str], judged: bool = False) -> str:
+        """The blocks that are left: without named noise and the cut elements.
+
+        ``judged``: the host has pages enough for its tree to say what is cut. On others an article or a main part decides.
+        """
         kept = [b for b in self.blocks if not b[2] and not is_cut(b[0], cut)]
         if not kept:
             kept = [b for b in self.blocks if not is_cut(b[0], cut)]
         size = [sum(len(b[1]) for b in kept if b[3] == home) for home in range(3)]
         least = 2 if size[2] and size[2] >= size[1] else 1 if size[1] else 0
+        if judged or size[0] > size[1] + size[2] + PRIOR:
+            least = 0
         return " ".join(b[1] for b in kept if b[3] >= least)
 
 
@@ -313,7 +320,6 @@ def style_tree(found: DataFrame) -> DataFrame:
 
 def cut_elements(tree: DataFrame, threshold: float, gamma: float, min_pages: int) -> DataFrame:
     """host and element of every branch that is below the threshold with all that is in it, from the leaves up."""
-    tree = stored(tree, "style-tree")
     deepest = tree.agg(F.max("depth")).first()[0]
     below = None
     out = tree.sparkSession.createDataFrame([], "host string, element string")
@@ -349,16 +355,19 @@ def main_texts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            htmls, cuts = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            found = [Page(h).main_text(frozenset(c or ())) for h, c in zip(htmls, cuts, strict=True)]
+            htmls, cuts, judged = (c.to_pylist() for c in batch.columns[2:])
+            found = [Page(h).main_text(frozenset(c or ()), j is True) for h, c, j in zip(htmls, cuts, judged, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.string())], names=names)
 
     names = ["page_id", "url", "text"]
     keyed = with_host(pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html"))
     found = stored(elements(keyed), "style-elements")
-    cut = cut_elements(style_tree(found), threshold, gamma, min_pages)
-    own = found.select("host", "page", "element").join(cut, ["host", "element"]).groupBy("host", "page")
-    own = stored(own.agg(F.collect_set("element").alias("cut")), "style-cuts")  # only elements that the page has
-    joined = keyed.join(own, ["host", "page"], "left").select("page_id", "url", "html", "cut")
+    tree = stored(style_tree(found), "style-tree")
+    cut = cut_elements(tree, threshold, gamma, min_pages).withColumn("cut", F.col("element"))
+    tops = tree.filter((F.col("depth") == 1) & (F.col("pages") >= min_pages)).select("host", "element", F.lit(None).alias("cut"))
+    told = found.select("host", "page", "element").join(cut.unionByName(tops), ["host", "element"]).groupBy("host", "page")
+    own = told.agg(F.collect_set("cut").alias("cut")).withColumn("judged", F.lit(True))  # only elements that the page has
+    own = stored(own, "style-cuts")
+    joined = keyed.join(own, ["host", "page"], "left").select("page_id", "url", "html", "cut", "judged")
     texts = map_batches(joined, run, "page_id long, url string, text string")
     return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

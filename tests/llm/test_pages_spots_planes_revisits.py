@@ -83,6 +83,21 @@ def test_unnamed_repeated_parts_are_cut_by_the_tree(spark):
     assert sy.main_texts(frame.limit(0)).collect() == []
 
 
+def test_text_beside_a_teaser_goes_by_its_importance(spark):
+    rows, want = [], {}
+    for i in range(12):
+        body, card, thin = odd.prose(i, 120), odd.prose(500 + i, 5), odd.prose(900 + i, 4)
+        top = "<div class=top><p>All rights kept</p></div>"
+        rows.append((i, "http://big.example/", f"{top}<div class=text><p>{body}</p></div><article>{card}</article>"))
+        rows.append((100 + i, "http://thin.example/", f"{top}<main>{thin}</main><div class=text><p>{body}</p></div>"))
+        want |= {i: f"{body} {card}", 100 + i: f"{thin} {body}"}
+    rows.append((200, "http://one.example/", f"<div class=text>{body}</div><article>{card}</article>"))
+    rows.append((201, "http://two.example/", f"<div class=text>{card}</div><article>{body}</article>"))
+    want |= {200: f"{body} {card}", 201: body}
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in sy.main_texts(frame).collect()} == want
+
+
 def test_importance_is_entropy(spark):
     pages = [("h", i, f"<div><p>{'same' if i < 4 else i}</p></div>" + ("<ul><li>x</ul>" if i % 2 else "")) for i in range(8)]
     frame = spark.createDataFrame(pages, "host string, page long, html string")
