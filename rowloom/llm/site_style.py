@@ -93,7 +93,8 @@ def named(tag: str, attributes: str, inside: bool) -> tuple[str, bool]:
     for kind, *values in ATTRIBUTE.findall(attributes):
         kind, value = kind.lower(), next(filter(None, values), "").lower()
         if kind in ("class", "id"):
-            marks += sorted(("#" if kind == "id" else ".") + DIGITS.sub("0", v) for v in value.split())
+            # "/" parts the names of a way; a space is in no class or id
+            marks += sorted(("#" if kind == "id" else ".") + DIGITS.sub("0", v).replace("/", " ") for v in value.split())
             if tag not in ("html", "body", "main"):
                 loose = [v for v in value.split() if not re.match(r"(has|with|no|is)[-_]", v)]
                 found = {w for v in loose for w in WORDS.findall(v)}

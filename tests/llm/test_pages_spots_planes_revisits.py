@@ -98,6 +98,18 @@ def test_text_beside_a_teaser_goes_by_its_importance(spark):
     assert {r.page_id: r.text for r in sy.main_texts(frame).collect()} == want
 
 
+def test_classes_may_hold_slashes(spark):
+    rows, want = [], {}
+    for i in range(8):
+        body = odd.prose(i, 60)
+        column = f"<div class='md:w-2/3'><article class=post>{body}</article></div>"
+        rows.append((i, "http://wind.example/", f"<div class=wrap>{column}<div class=same><p>All rights kept</p></div></div>"))
+        rows.append((100 + i, "http://near.example/", f"<div class=a>Same everywhere</div><div class=a/b>{body}</div>"))
+        want |= {i: body, 100 + i: body}
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in sy.main_texts(frame).collect()} == want
+
+
 def test_importance_is_entropy(spark):
     pages = [("h", i, f"<div><p>{'same' if i < 4 else i}</p></div>" + ("<ul><li>x</ul>" if i % 2 else "")) for i in range(8)]
     frame = spark.createDataFrame(pages, "host string, page long, html string")
