@@ -20,7 +20,10 @@ The tree is kept as rows (host, element) and weighed level by level from the lea
 page gets only those cut elements that it has.
 
 Defined results: a null or empty page gives the empty text. Pages without a usable address share the host "". Repeated
-pages give equal rows. If named noise is all that a page has, names are left aside for that page. Elements deeper than
+pages give equal rows. A class or id that says noise ('content-sidebar-wrap') is no more than a prior: the name is set aside
+on a page whose text is mostly under it (``PRIOR`` characters more than elsewhere; if the whole name says noise, as 'comments'
+does, only where elsewhere is less than ``PRIOR`` too), and it does not reach into the page's only article or main part.
+If named noise is all that a page has, names are left aside for that page. Elements deeper than
 ``MAX_DEPTH`` count as part of their ancestor at that depth. Broken markup never fails: unknown end tags are skipped, open
 elements end with their parents, a tag that is cut off is dropped. Extra columns are ignored.
 """
@@ -84,43 +87,48 @@ WORDS = re.compile(r"[a-z]+")
 DIGITS = re.compile(r"\d+")
 
 
-def named(tag: str, attributes: str, inside: bool) -> tuple[str, bool]:
-    """The name of an element, and whether it says that the element is noise; ``inside``: in an article."""
+def named(tag: str, attributes: str, inside: bool) -> tuple[str, bool, int]:
+    """The name of an element, whether its tag, role or style says that it is noise, and whether its class or id does.
+
+    The last is 2 if a whole class or id says so, 1 if one has other words too. ``inside``: in an article.
+    """
     noise = tag in NOISE_TAGS or tag == "header" and not inside
     if not attributes or "=" not in attributes and "hidden" not in attributes:
-        return tag, noise
-    marks = []
+        return tag, noise, 0
+    marks, says = [], 0
     for kind, *values in ATTRIBUTE.findall(attributes):
         kind, value = kind.lower(), next(filter(None, values), "").lower()
         if kind in ("class", "id"):
             # "/" parts the names of a way; a space is in no class or id
             marks += sorted(("#" if kind == "id" else ".") + DIGITS.sub("0", v).replace("/", " ") for v in value.split())
             if tag not in ("html", "body", "main"):
-                loose = [v for v in value.split() if not re.match(r"(has|with|no|is)[-_]", v)]
-                found = {w for v in loose for w in WORDS.findall(v)}
-                noise |= bool(found & NOISE_WORDS) or "header" in found and not inside
+                for words in (WORDS.findall(v) for v in value.split() if not re.match(r"(has|with|no|is)[-_]", v)):
+                    bad = [w in NOISE_WORDS or w == "header" and not inside for w in words]
+                    says = max(says, 2 if bad and all(bad) else 1 if any(bad) else 0)
         elif kind == "role":
             noise |= value in NOISE_ROLES
         elif kind == "style":
             noise |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value))
         else:
             noise |= tag not in ("html", "body") and value != "false"
-    return tag + "".join(marks), noise
+    return tag + "".join(marks), noise, says
 
 
 class Page:
     """The blocks of a page in order, each with its element, and the children of every element.
 
-    ``blocks`` has (element, text, noise, home): home is 2 in an article, 1 in a main part, 0 elsewhere.
+    ``blocks`` has (element, text, noise, part, home, inner). Home is 2 in an article, 1 in a main part, 0 elsewhere. The part is
+    the innermost element around whose class or id says noise, and inner tells that an article or main part begins inside it.
     """
 
     def __init__(self, html: str):
-        self.blocks: list[tuple[str, str, bool, int]] = []
+        self.blocks: list[tuple[str, str, bool, str, int, bool]] = []
+        self.parts: dict[str, tuple[str, bool]] = {}  # the part around each part, and whether a whole name says noise
         self.children: dict[str, set[str]] = {}
         self.protected: set[str] = set()
         self.noisy: set[str] = set()
-        # (tag, element, depth, noise, home, plain) from the root down
-        self.stack: list[tuple[str, str, int, bool, int, bool]] = [("", "", 0, False, 0, True)]
+        # (tag, element, depth, noise, part, home, inner, plain) from the root down
+        self.stack: list[tuple[str, str, int, bool, str, int, bool, bool]] = [("", "", 0, False, "", 0, False, True)]
         self.held: list[str] = []
         self.hidden: list[str] = []  # open inline elements that say noise
         at = 0
@@ -154,17 +162,17 @@ class Page:
             text = " ".join("".join(self.held).split())
             self.held = []
             if text:
-                _, element, _, noise, home, plain = self.stack[-1]
+                _, element, _, noise, part, home, inner, plain = self.stack[-1]
                 own = f"{element}/#text"
                 self.children.setdefault(element, set()).add(own)
                 self.children.setdefault(own, set())
                 if home and plain:
                     self.protected.add(own)
-                self.blocks.append((own, text, noise, home))
+                self.blocks.append((own, text, noise, part, home, inner))
 
     def start(self, tag: str, attributes: str) -> None:
         if tag in INLINE:
-            if tag not in VOID and named(tag, attributes, bool(self.stack[-1][4]))[1]:
+            if tag not in VOID and any(named(tag, attributes, bool(self.stack[-1][5]))[1:]):
                 self.hidden.append(tag)
             return
         self.flush()
@@ -181,11 +189,11 @@ class Page:
                 if self.stack[i][0] in same:
                     del self.stack[i:]
                     break
-        _, parent, depth, noise, home, plain = self.stack[-1]
-        name, says = named(tag, attributes, bool(home))
-        noise |= says
+        _, parent, depth, noise, part, home, inner, plain = self.stack[-1]
+        name, hard, says = named(tag, attributes, bool(home))
+        noise |= hard
         home = max(home, 2 if tag == "article" else 1 if tag == "main" else 0)
-        plain = (tag in ("article", "main") or plain and name in PLAIN) and not noise
+        plain = (tag in ("article", "main") or plain and name in PLAIN) and not noise and not says
         if depth < MAX_DEPTH:
             element = f"{parent}/{name}"
             self.children.setdefault(parent, set()).add(element)
@@ -196,7 +204,13 @@ class Page:
                 self.noisy.add(element)
         else:
             element = parent
-        self.stack.append((tag, element, depth + 1, noise, home, plain))
+        if says:
+            if element != part:
+                self.parts[element] = (part, says == 2 or bool(part) and self.parts[part][1])
+            part, inner = element, False
+        else:
+            inner |= bool(part) and tag in ("article", "main")
+        self.stack.append((tag, element, depth + 1, noise, part, home, inner, plain))
 
     def end(self, tag: str) -> None:
         if tag in INLINE:
@@ -217,14 +231,31 @@ class Page:
 
         ``judged``: the host has pages enough for its tree to say what is cut. On others an article or a main part decides.
         """
-        kept = [b for b in self.blocks if not b[2] and not is_cut(b[0], cut)]
-        if not kept:
-            kept = [b for b in self.blocks if not is_cut(b[0], cut)]
-        size = [sum(len(b[1]) for b in kept if b[3] == home) for home in range(3)]
+        left = [b for b in self.blocks if not is_cut(b[0], cut)]
+        sound = [b for b in left if not b[2]]
+        free = self.set_aside(sound)
+        alone = not any(b[4] and b[3] in free for b in sound)
+        kept = [b for b in sound if b[3] in free or alone and b[5]] or left
+        size = [sum(len(b[1]) for b in kept if b[4] == home) for home in range(3)]
         least = 2 if size[2] and size[2] >= size[1] else 1 if size[1] else 0
         if judged or size[0] > size[1] + size[2] + PRIOR:
             least = 0
-        return " ".join(b[1] for b in kept if b[3] >= least)
+        return " ".join(b[1] for b in kept if b[4] >= least)
+
+    def set_aside(self, blocks: list[tuple[str, str, bool, str, int, bool]]) -> set[str]:
+        """The parts whose names do not hold, as most of the text is there, and "" for no part."""
+        size: dict[str, int] = {"": 0}
+        for _, text, _, part, _, _ in blocks:
+            size[part] = size.get(part, 0) + len(text)
+        best: tuple[int, list[str]] = (0, [])
+        for part in size:
+            way = []
+            while part:
+                way.append(part)
+                part = self.parts[part][0]
+            if way and (size[""] < PRIOR or not self.parts[way[0]][1]):
+                best = max(best, (sum(size.get(p, 0) for p in way), way))
+        return {"", *best[1]} if best[0] > size[""] + PRIOR else {""}
 
 
 def is_cut(element: str, cut: frozenset[str]) -> bool:
@@ -256,7 +287,7 @@ def elements(pages: DataFrame) -> DataFrame:
                 for host, digest, html in zip(*(x[first : first + 64] for x in (hosts, digests, htmls)), strict=True):
                     page = Page(html)
                     found: dict[str, set[int]] = {}
-                    for element, text, _, _ in page.blocks:
+                    for element, text, *_ in page.blocks:
                         data = text.encode("utf-8", "surrogatepass")
                         found.setdefault(element, set()).add(zlib.crc32(data) | zlib.crc32(data, 77) << 31)
                     for parent, children in page.children.items():

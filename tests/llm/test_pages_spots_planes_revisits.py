@@ -50,6 +50,33 @@ def test_text_of_one_page(html, text):
     assert sy.Page(html).main_text(frozenset()) == text
 
 
+BODY = odd.prose(77, 90)
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        (f"<div class=content-sidebar-wrap><article>{BODY}</article><div class=sidebar>s</div></div><p>by us</p>", f"{BODY}"),
+        ("<div class=layout-sidebar-right><article>short</article></div><p>longer than the article</p>", "short"),
+        (f"<div class=layout-sidebar-right><div class=page-with-menu><div>{BODY}</div><nav>n</nav></div></div><p>by us</p>", f"{BODY} by us"),
+        (f"<div class=text-widget>{BODY}</div><div class=text-widget>{BODY}</div><h1>T</h1>", f"{BODY} {BODY} T"),
+        (f"<article>{BODY}</article><div class=related-posts><article>card</article></div>", BODY),
+        (f"<div>{BODY}</div><div id=comments><div class=comment-list>{BODY} {BODY}</div></div>", BODY),
+        ("<p>a text</p><div class=ad>a longer advert than that</div>", "a text"),
+        ("<div class=comments><article class=comment>c</article></div><p>a</p>", "a"),
+    ],
+)
+def test_named_noise_is_a_prior(html, text):
+    assert sy.Page(html).main_text(frozenset()) == text
+
+
+def test_repeated_text_under_a_noisy_name_is_cut(spark):
+    body = [odd.prose(i, 90) for i in range(8)]
+    rows = [(i, "http://wp.example/", f"<div class=content-sidebar-wrap><div><p>{b}</p></div><div class=end>Kept for us</div></div>") for i, b in enumerate(body)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in sy.main_texts(frame).collect()} == dict(enumerate(body))
+
+
 def site(host, n, seed):
     pick = random.Random(seed)
     out = {}
