@@ -16,20 +16,21 @@ inside it have importance one. Text outside of them goes by the importance of it
 with too few pages for that do names and sizes decide: there the text outside goes if the page has an article or a main part
 (of a main part with more text outside its articles than in them, all stays), unless it has ``PRIOR`` characters more.
 
-The tree is kept as rows (host, element) and weighed level by level from the leaves; a host's tree is never gathered. A
-page gets only those cut elements that it has.
+The tree is kept as rows (host, element) and weighed from the leaves; a host's tree is never gathered. Each round doubles the
+number of levels that an element has gathered from, so any depth is done in a few rounds. A page gets only those cut elements
+that it has.
 
 Defined results: a null or empty page gives the empty text. Pages without a usable address share the host "". Repeated
 pages give equal rows. A class or id that says noise ('content-sidebar-wrap') is no more than a prior: the name is set aside
 on a page whose text is mostly under it (``PRIOR`` characters more than elsewhere; if the whole name says noise, as 'comments'
 does, only where elsewhere is less than ``PRIOR`` too), and it does not reach into the page's only article or main part.
-If named noise is all that a page has, names are left aside for that page. Elements deeper than
-``MAX_DEPTH`` count as part of their ancestor at that depth. Broken markup never fails: unknown end tags are skipped, open
+If named noise is all that a page has, names are left aside for that page. Broken markup never fails: unknown end tags are skipped, open
 elements end with their parents, a tag that is cut off is dropped. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from collections.abc import Iterator
@@ -41,7 +42,7 @@ from pyspark.sql import functions as F
 
 from rowloom.llm.common import map_batches, stored
 
-MAX_DEPTH = 10
+LONG_NAME = 400  # characters of an element's name beyond which its children have a digest in its place
 MIN_PAGES = 3
 GAMMA = 0.9
 THRESHOLD = 0.2
@@ -114,6 +115,13 @@ def named(tag: str, attributes: str, inside: bool) -> tuple[str, bool, int]:
     return tag + "".join(marks), noise, says
 
 
+def under(parent: str, name: str) -> str:
+    """The element of that name in its parent."""
+    if len(parent) > LONG_NAME:
+        parent = "~" + hashlib.md5(parent.encode("utf-8", "surrogatepass")).hexdigest()
+    return f"{parent}/{name}"
+
+
 class Page:
     """The blocks of a page in order, each with its element, and the children of every element.
 
@@ -125,6 +133,7 @@ class Page:
         self.blocks: list[tuple[str, str, bool, str, int, bool]] = []
         self.parts: dict[str, tuple[str, bool]] = {}  # the part around each part, and whether a whole name says noise
         self.children: dict[str, set[str]] = {}
+        self.places: dict[str, tuple[str, int]] = {}  # parent and depth of each element, from the root down
         self.protected: set[str] = set()
         self.noisy: set[str] = set()
         # (tag, element, depth, noise, part, home, inner, plain) from the root down
@@ -162,14 +171,20 @@ class Page:
             text = " ".join("".join(self.held).split())
             self.held = []
             if text:
-                _, element, _, noise, part, home, inner, plain = self.stack[-1]
-                own = f"{element}/#text"
-                self.children.setdefault(element, set()).add(own)
-                self.children.setdefault(own, set())
+                _, element, depth, noise, part, home, inner, plain = self.stack[-1]
+                own = self.place(element, "#text", depth + 1)
                 if home and plain:
                     self.protected.add(own)
                 self.blocks.append((own, text, noise, part, home, inner))
 
+    def place(self, parent: str, name: str, depth: int) -> str:
+        """The element of that name in its parent, noted."""
+        element = under(parent, name)
+        self.children.setdefault(parent, set()).add(element)
+        self.children.setdefault(element, set())
+        self.places[element] = (parent, depth)
+        return element
+
     def start(self, tag: str, attributes: str) -> None:
         if tag in INLINE:
             if tag not in VOID and any(named(tag, attributes, bool(self.stack[-1][5]))[1:]):
@@ -194,19 +209,13 @@ class Page:
         noise |= hard
         home = max(home, 2 if tag == "article" else 1 if tag == "main" else 0)
         plain = (tag in ("article", "main") or plain and name in PLAIN) and not noise and not says
-        if depth < MAX_DEPTH:
-            element = f"{parent}/{name}"
-            self.children.setdefault(parent, set()).add(element)
-            self.children.setdefault(element, set())
-            if home and plain:
-                self.protected.add(element)
-            if noise:
-                self.noisy.add(element)
-        else:
-            element = parent
+        element = self.place(parent, name, depth + 1)
+        if home and plain:
+            self.protected.add(element)
+        if noise:
+            self.noisy.add(element)
         if says:
-            if element != part:
-                self.parts[element] = (part, says == 2 or bool(part) and self.parts[part][1])
+            self.parts[element] = (part, says == 2 or bool(part) and self.parts[part][1])
             part, inner = element, False
         else:
             inner |= bool(part) and tag in ("article", "main")
@@ -231,7 +240,11 @@ class Page:
 
         ``judged``: the host has pages enough for its tree to say what is cut. On others an article or a main part decides.
         """
-        left = [b for b in self.blocks if not is_cut(b[0], cut)]
+        gone: set[str] = set()
+        for element, (parent, _) in self.places.items() if cut else ():
+            if element in cut or parent in gone:
+                gone.add(element)
+        left = [b for b in self.blocks if b[0] not in gone]
         sound = [b for b in left if not b[2]]
         free = self.set_aside(sound)
         alone = not any(b[4] and b[3] in free for b in sound)
@@ -258,17 +271,6 @@ class Page:
         return {"", *best[1]} if best[0] > size[""] + PRIOR else {""}
 
 
-def is_cut(element: str, cut: frozenset[str]) -> bool:
-    """Whether the element or one that it stands in is cut."""
-    if not cut:
-        return False
-    while element:
-        if element in cut:
-            return True
-        element = element.rpartition("/")[0]
-    return False
-
-
 def with_host(pages: DataFrame) -> DataFrame:
     """page_id, url, html, host and a hash of the html, by which copies of a page are told."""
     host = F.regexp_extract(F.lower(F.col("url").cast("string")), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
@@ -290,25 +292,24 @@ def elements(pages: DataFrame) -> DataFrame:
                     for element, text, *_ in page.blocks:
                         data = text.encode("utf-8", "surrogatepass")
                         found.setdefault(element, set()).add(zlib.crc32(data) | zlib.crc32(data, 77) << 31)
-                    for parent, children in page.children.items():
-                        for element in children:
-                            own = sorted(page.children.get(element, ()))
-                            style = zlib.crc32("\n".join(own).encode("utf-8", "surrogatepass"))
-                            named_as = 2 if element in page.protected else 1 if element in page.noisy else 0
-                            rows.append(
-                                {
-                                    "host": host,
-                                    "page": digest,
-                                    "element": element,
-                                    "parent": parent,
-                                    "depth": element.count("/"),
-                                    "style": style,
-                                    "n_children": len(own),
-                                    "share": 1 / len(children),
-                                    "named": named_as,
-                                    "blocks": sorted(found.get(element, ())),
-                                }
-                            )
+                    for element, (parent, depth) in page.places.items():
+                        own = sorted(page.children[element])
+                        style = zlib.crc32("\n".join(own).encode("utf-8", "surrogatepass"))
+                        named_as = 2 if element in page.protected else 1 if element in page.noisy else 0
+                        rows.append(
+                            {
+                                "host": host,
+                                "page": digest,
+                                "element": element,
+                                "parent": parent,
+                                "depth": depth,
+                                "style": style,
+                                "n_children": len(own),
+                                "share": 1 / len(page.children[parent]),
+                                "named": named_as,
+                                "blocks": sorted(found.get(element, ())),
+                            }
+                        )
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=ELEMENTS)
 
@@ -351,33 +352,45 @@ def style_tree(found: DataFrame) -> DataFrame:
 
 
 def cut_elements(tree: DataFrame, threshold: float, gamma: float, min_pages: int) -> DataFrame:
-    """host and element of every branch that is below the threshold with all that is in it, from the leaves up."""
-    deepest = tree.agg(F.max("depth")).first()[0]
-    below = None
-    out = tree.sparkSession.createDataFrame([], "host string, element string")
-    for depth in range(deepest or 0, 0, -1):  # at most MAX_DEPTH + 1
-        level = tree.filter(F.col("depth") == depth)
-        if below is None:
-            level = level.withColumn("composite", F.col("own")).withColumn("inner_best", F.lit(0.0))
-            level = level.withColumn("inner_text", F.lit(False))
-        else:
-            sums = below.groupBy("host", "parent").agg(
-                F.sum(F.col("share") * F.col("composite")).alias("inner"), F.max("best").alias("inner_best"), F.max("texts").alias("inner_text")
-            )
-            level = level.join(sums.withColumnRenamed("parent", "element"), ["host", "element"], "left")
-            part = F.pow(F.lit(gamma), F.col("children"))
-            mixed = (1 - part) * F.col("own") + part * F.col("inner")
-            level = level.withColumn("composite", F.when(F.col("inner").isNull(), F.col("own")).otherwise(mixed))
-        known = F.when(F.col("named") == 1, 0.0).when(F.col("named") == 2, 1.0).otherwise(F.col("composite"))
-        level = level.withColumn("composite", known).withColumn("best", F.greatest("composite", "inner_best"))
-        texts = F.coalesce("inner_text", F.lit(False)) | F.col("element").endswith("/#text")
-        level = level.withColumn("texts", texts)
-        level = level.select("host", "element", "parent", "pages", "named", "share", "composite", "best", "texts")
-        level = stored(level, "style-level")
-        low = (F.col("best") < threshold) & (F.col("pages") >= min_pages) & (F.col("named") == 0) & F.col("texts")
-        out = out.unionByName(level.filter(low).select("host", "element"))
-        below = level
-    return out
+    """host and element of every branch that is below the threshold with all that is in it.
+
+    An element's importance is ``own + part * sum(share * importance of the child)``, so it is the sum of the ``own`` of all
+    that is in it, each times the weights on the way up. Round k adds what stands 2 ** k levels below.
+    """
+    deepest = tree.agg(F.max("depth")).first()[0] or 0
+    named, leaf = F.col("named"), F.col("children") == 0
+    part = F.when((named > 0) | leaf, 0.0).otherwise(F.pow(F.lit(gamma), F.col("children")))
+    own = F.when(named == 1, 0.0).when(named == 2, 1.0).otherwise((1 - F.col("part")) * F.col("own"))
+    key, above = F.xxhash64("element").alias("id"), F.when(F.col("depth") > 1, F.xxhash64("parent")).alias("up")
+    text = F.col("element").endswith("/#text").alias("texts")
+    state = stored(tree.withColumn("part", part).select("host", key, above, "part", "share", own.alias("own"), text), "style-weights")
+    parents = state.select("host", F.col("id").alias("up"), F.col("part").alias("up_part"))
+    weight = F.coalesce(F.col("share") * F.col("up_part"), F.lit(0.0)).alias("weight")
+    state = state.join(parents, ["host", "up"], "left").select("host", "id", "up", "own", "texts", weight)
+    rounds = []
+    while 2 ** len(rounds) < deepest:  # at most 17 for a page of 100,000 elements in each other
+        state = stored(state, "style-round")
+        rounds.append(state.select("host", "id", "up"))
+        below = state.filter("up IS NOT NULL").groupBy("host", F.col("up").alias("id"))
+        below = below.agg(F.sum(F.col("weight") * F.col("own")).alias("inner"), F.max("texts").alias("inner_texts"))
+        higher = state.select("host", F.col("id").alias("up"), F.col("up").alias("next"), F.col("weight").alias("more"))
+        state = state.join(below, ["host", "id"], "left").join(higher, ["host", "up"], "left").select(
+            "host",
+            "id",
+            F.col("next").alias("up"),
+            (F.col("own") + F.coalesce("inner", F.lit(0.0))).alias("own"),
+            (F.col("texts") | F.coalesce("inner_texts", F.lit(False))).alias("texts"),
+            (F.col("weight") * F.coalesce("more", F.lit(0.0))).alias("weight"),
+        )
+    best = state.select("host", "id", F.col("own").alias("best"), "texts")
+    for ups in rounds:
+        best = stored(best, "style-best")
+        below = best.select("host", "id", "best").join(ups.filter("up IS NOT NULL"), ["host", "id"])
+        below = below.groupBy("host", F.col("up").alias("id")).agg(F.max("best").alias("inner"))
+        best = best.join(below, ["host", "id"], "left").withColumn("best", F.greatest("best", "inner")).drop("inner")
+    low = best.filter((F.col("best") < threshold) & F.col("texts")).select("host", "id")
+    free = tree.filter((F.col("pages") >= min_pages) & (named == 0)).select("host", "element", key)
+    return free.join(low, ["host", "id"]).select("host", "element")
 
 
 def main_texts(

@@ -137,6 +137,42 @@ def test_classes_may_hold_slashes(spark):
     assert {r.page_id: r.text for r in sy.main_texts(frame).collect()} == want
 
 
+def plain_cut(tree, threshold, gamma, min_pages):
+    """The cut elements by a walk from the deepest level up."""
+    weighed, out = {}, set()
+    for r in sorted(tree, key=lambda r: -r.depth):
+        inside = [weighed[c.host, c.element] + (c.share,) for c in tree if c.host == r.host and c.parent == r.element]
+        part = gamma**r.children
+        value = (1 - part) * r.own + part * sum(v * share for v, _, _, share in inside) if inside else r.own
+        value = {1: 0.0, 2: 1.0}.get(r.named, value)
+        best, texts = max([value, *(b for _, b, _, _ in inside)]), r.element.endswith("/#text") or any(t for _, _, t, _ in inside)
+        weighed[r.host, r.element] = value, best, texts
+        if best < threshold and texts and r.pages >= min_pages and r.named == 0:
+            out.add((r.host, r.element))
+    return out
+
+
+def test_depth_is_not_bounded(spark):
+    pick = random.Random(5)
+    rows, want = [], {}
+    for i in range(8):
+        body = odd.prose(i, 60)
+        inside = f"<div class=top>All rights kept</div><div class=text>{body}</div><div class=end>Write to us</div>"
+        rows.append((i, "http://deep.example/", "<div>" * 30 + inside + "</div>" * 30))
+        want[i] = body
+        parts = "".join(f"<{t}>{pick.choice(['same', 'like', str(pick.random())])}" + f"</{t}>" * pick.randint(0, 1) for t in pick.choices(["div", "ul", "section", "nav", "article"], k=25))
+        rows.append((100 + i, "http://odd.example/", parts))
+    rows.append((300, "http://bomb.example/", "<div class=abcdefgh>" * 400 + "deep"))
+    want[300] = "deep"
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in sy.main_texts(frame).collect()}
+    assert {i: got[i] for i in want} == want
+    tree = sy.style_tree(sy.elements(sy.with_host(frame.filter("page_id < 300")))).cache()
+    for threshold in (0.2, 0.5):
+        cut = {tuple(r) for r in sy.cut_elements(tree, threshold, 0.9, 3).collect()}
+        assert cut and cut == plain_cut(tree.collect(), threshold, 0.9, 3)
+
+
 def test_importance_is_entropy(spark):
     pages = [("h", i, f"<div><p>{'same' if i < 4 else i}</p></div>" + ("<ul><li>x</ul>" if i % 2 else "")) for i in range(8)]
     frame = spark.createDataFrame(pages, "host string, page long, html string")
