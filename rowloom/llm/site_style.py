@@ -51,10 +51,12 @@ PRIOR = 200  # characters that a name outweighs where the tree has no say
 # Element names of HTML by what they mean for text, and words in names, classes and ids that say noise.
 INLINE = frozenset(
     """a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small
-    span strike strong sub sup time tt u var wbr""".split()
+    span strike strong sub sup time tt u var wbr
+    maction math menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace
+    msqrt mstyle msub msubsup msup mtext munder munderover none semantics""".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("iframe math noembed noframes noscript script style svg template textarea title xmp".split())
+RAW = frozenset("annotation annotation-xml iframe noembed noframes noscript script style svg template textarea title xmp".split())
 NOISE_TAGS = frozenset("aside button dialog fieldset footer form menu nav object select".split())
 CLOSES_P = frozenset(
     """address article aside blockquote center details dialog div dl dd dt fieldset figcaption figure footer form h1 h2 h3

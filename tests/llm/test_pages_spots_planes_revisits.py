@@ -50,6 +50,13 @@ def test_text_of_one_page(html, text):
     assert sy.Page(html).main_text(frozenset()) == text
 
 
+def test_formulas_are_text():
+    tex = "<semantics><mrow><msup><mi>x</mi><mn>2</mn></msup><mo>=</mo><mn>4</mn></mrow><annotation>x^2=4</annotation></semantics>"
+    assert sy.Page("<article>Let <math><mi>x</mi></math> be</article>").main_text(frozenset()) == "Let x be"
+    assert sy.Page(f"<p>If <math>{tex}</math>, then</p>").main_text(frozenset()) == "If x2=4, then"
+    assert sy.Page("<math><mtable><mtr><mtd>1</mtd><mtd>2</mtd></mtr></mtable></math>").main_text(frozenset()) == "1 2"
+
+
 BODY = odd.prose(77, 90)
 
 
