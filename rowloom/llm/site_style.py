@@ -253,10 +253,23 @@ class Page:
         kept = [b for b in sound if b[3] in free or alone and b[5]] or left
         size = [sum(len(b[1]) for b in kept if b[4] == home) for home in range(3)]
         least = 2 if size[2] and size[2] >= size[1] else 1 if size[1] else 0
-        if judged or size[0] > size[1] + size[2] + PRIOR:
+        if judged and kept is not left or size[0] > size[1] + size[2] + PRIOR:
             least = 0
         return " ".join(b[1] for b in kept if b[4] >= least)
 
+    def asks(self) -> bool:
+        """Whether ``judged`` may change the text: there is sound text in an article or main part, and outside."""
+        sound = [b for b in self.blocks if not b[2]]
+        if not any(b[4] for b in sound):
+            return False
+        size: dict[str, int] = {}
+        for b in sound:
+            part = b[3]
+            while part:
+                size[part] = size.get(part, 0) + len(b[1])
+                part = self.parts[part][0]
+        return any(not b[4] and (not b[3] or max(size.values()) > PRIOR) for b in sound)
+
     def set_aside(self, blocks: list[tuple[str, str, bool, str, int, bool]]) -> set[str]:
         """The parts whose names do not hold, as most of the text is there, and "" for no part."""
         size: dict[str, int] = {"": 0}
@@ -291,6 +304,7 @@ def elements(pages: DataFrame) -> DataFrame:
                 for host, digest, html in zip(*(x[first : first + 64] for x in (hosts, digests, htmls)), strict=True):
                     page = Page(html)
                     found: dict[str, set[int]] = {}
+                    asks = page.asks()
                     for element, text, *_ in page.blocks:
                         data = text.encode("utf-8", "surrogatepass")
                         found.setdefault(element, set()).add(zlib.crc32(data) | zlib.crc32(data, 77) << 31)
@@ -309,6 +323,7 @@ def elements(pages: DataFrame) -> DataFrame:
                                 "n_children": len(own),
                                 "share": 1 / len(page.children[parent]),
                                 "named": named_as,
+                                "asks": asks,
                                 "blocks": sorted(found.get(element, ())),
                             }
                         )
@@ -316,13 +331,13 @@ def elements(pages: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_pylist(rows, schema=ELEMENTS)
 
     schema = "host string, page long, element string, parent string, depth int, style long, n_children int,"
-    return map_batches(pages.select("host", "page", "html"), run, f"{schema} share double, named int, blocks array<long>")
+    return map_batches(pages.select("host", "page", "html"), run, f"{schema} share double, named int, asks boolean, blocks array<long>")
 
 
 ELEMENTS = pa.schema(
     [("host", pa.string()), ("page", pa.int64()), ("element", pa.string()), ("parent", pa.string())]
     + [("depth", pa.int32()), ("style", pa.int64()), ("n_children", pa.int32()), ("share", pa.float64())]
-    + [("named", pa.int32()), ("blocks", pa.list_(pa.int64()))]
+    + [("named", pa.int32()), ("asks", pa.bool_()), ("blocks", pa.list_(pa.int64()))]
 )
 
 
@@ -410,10 +425,12 @@ def main_texts(
     keyed = with_host(pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html"))
     found = stored(elements(keyed), "style-elements")
     tree = stored(style_tree(found), "style-tree")
-    cut = cut_elements(tree, threshold, gamma, min_pages).withColumn("cut", F.col("element"))
-    tops = tree.filter((F.col("depth") == 1) & (F.col("pages") >= min_pages)).select("host", "element", F.lit(None).alias("cut"))
-    told = found.select("host", "page", "element").join(cut.unionByName(tops), ["host", "element"]).groupBy("host", "page")
-    own = told.agg(F.collect_set("cut").alias("cut")).withColumn("judged", F.lit(True))  # only elements that the page has
+    cut = cut_elements(tree, threshold, gamma, min_pages)
+    tops = tree.filter((F.col("depth") == 1) & (F.col("pages") >= min_pages)).select("host", "element")
+    cuts = found.select("host", "page", "element").join(cut, ["host", "element"])  # only elements that the page has
+    tops = found.filter("asks AND depth = 1").select("host", "page", "element").join(tops, ["host", "element"])
+    told = cuts.unionByName(tops.withColumn("element", F.lit(None).cast("string"))).groupBy("host", "page")
+    own = told.agg(F.collect_set("element").alias("cut"), F.max(F.col("element").isNull()).alias("judged"))
     own = stored(own, "style-cuts")
     joined = keyed.join(own, ["host", "page"], "left").select("page_id", "url", "html", "cut", "judged")
     texts = map_batches(joined, run, "page_id long, url string, text string")
