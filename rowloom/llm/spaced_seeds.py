@@ -10,8 +10,11 @@ Documents send only hashes that pass a Bloom filter of the items' hashes. The fi
 the benchmark's size, so it may be broadcast; a larger benchmark lets more hashes through to the exact join, and no hit is
 ever lost. It is put together in Spark, and what reaches the driver is its words, at most BLOOM_BITS / 32 rows.
 
-Defined results: null and empty texts have no words and no hits; an item with fewer words than a mask spans cannot be told
-from ordinary prose and is not searched. Equal texts are checked once and give the same rows. Equal items each give
+An item of fewer than two mask spans is cut into one piece more than words may differ in it, so one piece is always whole,
+and the pieces are hashed as well; with ``similarity`` 0.8, an item of up to four words is one piece and is found verbatim,
+however common it is. Scripts without spaces are read by characters, each a word.
+
+Defined results: null and empty texts have no words and no hits. Equal texts are checked once and give the same rows. Equal items each give
 their row. Rows without ``doc_id`` are returned with a null. Extra columns are ignored.
 """
 
@@ -33,6 +36,9 @@ MASKS = ("110010101", "101100011", "111000101", "100110110")
 FLANK = 64  # words kept on either side of a run of hits, for the check
 BLOOM_BITS = 2**24
 WORD = re.compile(r"\w+")
+UNSPACED = r"\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+ANY_UNSPACED = re.compile(f"[{UNSPACED}]")
+WORD_OR_SIGN = re.compile(rf"(?=\w)[{UNSPACED}]|[^\W{UNSPACED}]+")
 CACHE = 500_000  # words whose hashes a task remembers before it starts anew
 
 
@@ -48,7 +54,8 @@ class WordHashes(dict):
 
 
 def word_hashes(text: str, known: WordHashes) -> np.ndarray:
-    words = WORD.findall(text.lower())
+    unspaced = not text.isascii() and ANY_UNSPACED.search(text)
+    words = (WORD_OR_SIGN if unspaced else WORD).findall(text.lower())
     return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
@@ -86,26 +93,40 @@ def longest_like(equal: np.ndarray, similarity: float) -> tuple[int, int]:
     return (start + int(hits[0]), start + int(hits[-1]) + 1) if len(hits) else (0, 0)
 
 
-def item_words(benchmark: DataFrame) -> DataFrame:
-    """The hashed words and the seeds of every item."""
+def pieces(n: int, similarity: float) -> tuple[int, int]:
+    """Number and words of the pieces of a short item: one more than words may differ, so one is always whole."""
+    if not 0 < n < 2 * len(MASKS[0]):
+        return 0, 0
+    number = min(n, n - int(np.ceil(similarity * n - 1e-9)) + 1)
+    return number, n // number
+
+
+def item_words(benchmark: DataFrame, similarity: float) -> DataFrame:
+    """The hashed words, the seeds and the words in a piece (0: no pieces) of every item."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
-            words, places, hashes = [], [], []
+            words, places, hashes, sizes = [], [], [], []
             for _, part in texts(batch.column(1)):
                 for text in part:
                     own = word_hashes(text, known)
                     found = [seeds(own, m) for m in MASKS]
+                    at = [np.arange(len(f), dtype=np.int32) for f in found]
+                    number, size = pieces(len(own), similarity)
+                    if number:
+                        at.append(np.arange(number, dtype=np.int32) * np.int32(size))
+                        found.append(seeds(own, "1" * size)[at[-1]])
+                    sizes.append(size)
                     words.append(own.view(np.int64))
-                    places.append(np.concatenate([np.arange(len(f), dtype=np.int32) for f in found]))
+                    places.append(np.concatenate(at))
                     hashes.append(np.concatenate(found).view(np.int64))
             arrays = [batch.column(0), pa.array(words, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32()))]
-            arrays.append(pa.array(hashes, pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays(arrays, names=["item_id", "item", "places", "hashes"])
+            arrays += [pa.array(hashes, pa.list_(pa.int64())), pa.array(sizes, pa.int32())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["item_id", "item", "places", "hashes", "piece"])
 
     picked = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    return map_batches(picked, run, "item_id long, item array<long>, places array<int>, hashes array<long>")
+    return map_batches(picked, run, "item_id long, item array<long>, places array<int>, hashes array<long>, piece int")
 
 
 def bloom_filter(item_seeds: DataFrame) -> np.ndarray:
@@ -120,14 +141,14 @@ def bloom_filter(item_seeds: DataFrame) -> np.ndarray:
     return out.view(np.uint8)
 
 
-def runs_of_hits(docs: DataFrame, bloom: np.ndarray) -> DataFrame:
+def runs_of_hits(docs: DataFrame, bloom: np.ndarray, masks: tuple[str, ...]) -> DataFrame:
     """For each run of positions that pass the filter: the words around it and its hashes, under the text's MD5."""
     sent = docs.sparkSession.sparkContext.broadcast(bloom)
-    span = len(MASKS[0])
+    span = max(map(len, masks))
 
     def hits(words: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         places, hashes = [], []
-        for mask in MASKS:
+        for mask in masks:
             found = seeds(words, mask)
             low, high = bloom_places(found)
             passed = (bits[low >> np.uint64(3)] >> (low & np.uint64(7)).astype(np.uint8)) & 1
@@ -205,11 +226,12 @@ VERIFIED = pa.schema(
 
 def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, min_overlap: int = 12) -> DataFrame:
     """Texts (by MD5) with the items they hold, the longest stretch of each, and the ids of the documents."""
-    items = stored(item_words(benchmark), "seed-items")
+    items = stored(item_words(benchmark, similarity), "seed-items")
+    sizes = sorted(r.piece for r in items.filter("piece > 0").select("piece").distinct().collect())  # at most 17
     zipped = F.explode(F.arrays_zip("places", "hashes"))
     item_seeds = items.select("item_id", zipped.alias("seed"))
     item_seeds = item_seeds.select("item_id", F.col("seed.places").alias("place"), F.col("seed.hashes").alias("hash"))
-    runs = stored(runs_of_hits(docs, bloom_filter(item_seeds)), "seed-runs")
+    runs = stored(runs_of_hits(docs, bloom_filter(item_seeds), (*MASKS, *("1" * n for n in sizes))), "seed-runs")
     windows = runs.dropDuplicates(["key", "start"])
     hits = windows.select("key", "start", F.explode(F.arrays_zip("at", "hashes")).alias("hit"))
     hits = hits.select("key", "start", F.col("hit.at").alias("at"), F.col("hit.hashes").alias("hash"))

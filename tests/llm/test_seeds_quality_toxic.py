@@ -52,6 +52,19 @@ def test_leaking_rows_go_with_their_copies(spark):
     assert [r.doc_id for r in ss.without_leaks(docs, items(spark)).collect()] == [3]
 
 
+def test_short_and_unspaced_items_are_found(spark):
+    nine = "alpha beta gamma delta epsilon zeta eta theta iota".split()
+    ten = "one two three four five six seven eight nine ten".split()
+    chinese, japanese = "今天天气很好我们一起去公园散步吧", "すべての人間は生まれながらにして自由である"
+    bench = [(1, " ".join(nine)), (2, " ".join(ten)), (3, "quick red fox"), (4, chinese), (5, japanese)]
+    rows = [(1, " ".join(["other", *nine[1:]])), (2, " ".join(["x", "y", *ten[2:]])), (3, "A quick red fox."), (4, "他说" + chinese + "。")]
+    rows += [(5, "はい" + japanese.replace("自由", "平等")), (6, "quick fox red"), (7, " ".join(["x", *nine[1:7], "y", "z"])), (8, "今天我们去学校")]
+    docs = odd.documents(spark, [(*r, "en", "a") for r in rows])
+    benchmark = spark.createDataFrame(bench, "item_id long, text string")
+    assert sorted((r.doc_id, r.item_id) for r in ss.contaminated(docs, benchmark).collect()) == [(i, i) for i in range(1, 6)]
+    assert sorted(r.doc_id for r in ss.without_leaks(docs, benchmark).collect()) == [6, 7, 8]
+
+
 @pytest.mark.parametrize("equal, want", [("1111", (0, 4)), ("0110", (1, 3)), ("1101111100000", (0, 8)), ("000", (0, 0))])
 def test_longest_like_stretch(equal, want):
     assert ss.longest_like(np.array([c == "1" for c in equal]), 0.8) == want
