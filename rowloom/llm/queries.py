@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import bit_planes, ordinal_quality, rank_fim, spot_signatures, toxic_cnn
+from rowloom.llm import bit_planes, grammar_runs, ordinal_quality, rank_fim, spot_signatures, toxic_cnn
 from rowloom.llm.minimax_shards import minimax_shards
 from rowloom.llm.pigeon_simhash import near_duplicates
 from rowloom.llm.poisson_mix import poisson_mix
@@ -131,6 +133,22 @@ def op10_pigeon_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def planted(doc_id: int | None, n: int) -> np.ndarray | None:
+    """Where the n words of a document are taken from: one document in ten repeats a stretch of its own to the end."""
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not n:
+        return None
+    g, at = h // 10, np.arange(n)
+    a = g % n
+    period = 1 + (n - a) // (3 + g % 8)
+    return np.where(at < a, at, a + (at - a) % period)
+
+
+def op12_grammar_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of repeated words of every document, some of which repeat a stretch of theirs."""
+    return grammar_runs.digests(table(spark, sf_dir, "documents"), edit=planted)
+
+
 def op13_rank_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fill-in-the-middle form of every document, cut through its rank index, and the text rebuilt from it."""
     return rank_fim.digests(table(spark, sf_dir, "documents"))
@@ -149,6 +167,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_revisits,
         op9_minimax_shards,
         op10_pigeon_simhash,
+        op12_grammar_runs,
         op13_rank_fim,
     )
 }
