@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import bit_planes, grammar_runs, ordinal_quality, rank_fim, spot_signatures, toxic_cnn
+from rowloom.llm import bit_planes, grammar_runs, kneser_ney, ordinal_quality, rank_fim, spot_signatures, toxic_cnn
 from rowloom.llm.minimax_shards import minimax_shards
 from rowloom.llm.pigeon_simhash import near_duplicates
 from rowloom.llm.poisson_mix import poisson_mix
@@ -133,6 +133,12 @@ def op10_pigeon_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How likely every document is by an n-gram model of those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return kneser_ney.scored(docs, kneser_ney.train(docs))
+
+
 def planted(doc_id: int | None, n: int) -> np.ndarray | None:
     """Where the n words of a document are taken from: one document in ten repeats a stretch of its own to the end."""
     h = zlib.crc32(str(doc_id).encode())
@@ -167,6 +173,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_revisits,
         op9_minimax_shards,
         op10_pigeon_simhash,
+        op11_kneser_ney,
         op12_grammar_runs,
         op13_rank_fim,
     )
