@@ -1,7 +1,7 @@
 """Keyed aggregate state kept as a log of per-batch aggregates.
 
 A batch is aggregated by key and written; the state is the merge of the batches.  So only aggregates that merge are
-taken: an average is kept as a sum and a count, a distinct count as its keys.
+taken: counts, sums and extremes by name, others by a declared merge of a typed buffer (``sources.merges``).
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from rowloom.model import DEFAULT_STATE_TTL_SECONDS, GLOBAL_KEY
 from rowloom.operators.mappers import Write, map_custom
 from rowloom.sources.cells import CellStore
 from rowloom.sources.log import BatchLog
+from rowloom.sources.merges import Declared, members
 
 NON_TRANSACTIONAL, TRANSACTIONAL, OPAQUE = "non-transactional", "transactional", "opaque"
 MERGES = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
@@ -42,9 +43,12 @@ class Aggregate:
             return F.count(F.lit(1) if self.of is None else self.of)
         return {"sum": F.sum, "min": F.min, "max": F.max}[self.kind](self.of).cast(self.dtype)
 
-    def merged(self, name: str) -> Column:
+    def merged(self, name: str | Column) -> Column:
         return MERGES[self.kind](name).cast(self.dtype)
 
+    def finished(self, buffer: str | Column) -> Column:
+        return F.col(buffer) if isinstance(buffer, str) else buffer
+
 
 @dataclass(frozen=True)
 class StateOptions:
@@ -75,7 +79,7 @@ class StateStore:
     """Aggregates by key, updated batch by batch.  Without ``keys`` there is one global row."""
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str | Column],
-                 aggregates: Mapping[str, Aggregate], options: StateOptions = StateOptions()):
+                 aggregates: Mapping[str, Aggregate | Declared], options: StateOptions = StateOptions()):
         self.options = options
         self.keys = list(keys) or [F.lit(options.global_key)]
         self.aggregates = dict(aggregates)
@@ -139,10 +143,9 @@ class StateStore:
         alive = F.col("__life") == F.col("__last")
         now, before = [], []
         for name, a in self.aggregates.items():
-            merge = MERGES[a.kind]
-            now.append(merge(F.when(alive, F.col(name))).cast(a.dtype).alias(name))
+            now.append(a.merged(F.when(alive, F.col(name))).alias(name))
             was = F.when(older_life, F.col(name)).when(~older, F.col(f"prev.{name}"))
-            before.append(merge(was).cast(a.dtype).alias(name))
+            before.append(a.merged(was).alias(name))
         had = F.max(F.when(older, True).otherwise(F.col("prev").isNotNull()))
         return rows.groupBy("key").agg(
             *now,
@@ -156,13 +159,15 @@ class StateStore:
         state, ttl = self.log.folded(self._merge, ["key"]), self.options.ttl
         if ttl is not None and as_of is not None:
             state = state.where(F.col("write_ts") + ttl > as_of)
-        return state.select("key", *self.aggregates)
+        return state.select("key", *[a.finished(name).alias(name) for name, a in self.aggregates.items()])
 
     def history(self) -> DataFrame:
         """Each key's value, the id of the last batch that touched it, and the value before that batch (``prev_*``)."""
         found = self._merge_with_prev(self.log.read())
-        before = [F.col(f"prev.{name}").alias(f"prev_{name}") for name in self.aggregates]
-        return found.select("key", F.col("batch_id").alias("txid"), *self.aggregates, *before)
+        had = F.col("prev").isNotNull()
+        now = [a.finished(name).alias(name) for name, a in self.aggregates.items()]
+        before = [F.when(had, a.finished(F.col("prev")[name])).alias(f"prev_{name}") for name, a in self.aggregates.items()]
+        return found.select("key", F.col("batch_id").alias("txid"), *now, *before)
 
     def compact(self, keep_last: int = 1, full: bool | None = None) -> int | None:
         """Fold batches into a snapshot; answers stay as they are.
@@ -181,6 +186,41 @@ class StateStore:
         return self.log.vacuum()
 
 
+class DistinctStore:
+    """Exact numbers of distinct members by key, kept over batches.
+
+    Members are integers, dense ones at best.  Those of a key are kept as bitmaps of 32,768 members each, one row for a key
+    and range of members, so a key with very many members is spread over many rows, and two batches merge by OR.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str | Column], member: str,
+                 options: StateOptions = StateOptions(ttl_seconds=None)):
+        if options.ttl is not None:
+            raise ValueError("members do not expire: the ranges of a key would do so one by one")
+        self.member, self.width = member, len(keys)
+        place = F.bitmap_bucket_number(F.col(member))
+        self.state = StateStore(spark, root, [*keys, place], {"bits": members()}, options)
+
+    def update(self, df: DataFrame, batch_id: int, write_ts: str | Column, writer: str = "main") -> DataFrame:
+        """Add the members of a batch; rows without a member do not count.  Hands the rows on."""
+        rows = df.where(F.col(self.member).isNotNull())
+        rows = rows.withColumn("member_bit", F.bitmap_bit_position(F.col(self.member)))
+        self.state.update(rows, batch_id, write_ts, writer)
+        return df
+
+    def current(self, name: str = "members") -> DataFrame:
+        """``key`` and its number of members."""
+        found = self.state.current().select(F.slice("key", 1, self.width).alias("key"), "bits")
+        return found.groupBy("key").agg(F.sum("bits").alias(name))
+
+    def compact(self, keep_last: int = 1, full: bool | None = None) -> int | None:
+        return self.state.compact(keep_last, full)
+
+    def vacuum(self) -> list[str]:
+        """Remove the files that a snapshot has replaced."""
+        return self.state.vacuum()
+
+
 def put_values(store: CellStore, df: DataFrame, keys: Sequence[str | Column], value: str | Column, batch_id: int,
                write_ts: str | Column, seq: str | Column | None = None, options: StateOptions = StateOptions(),
                writer: str = "main") -> DataFrame:

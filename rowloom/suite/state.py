@@ -1,6 +1,7 @@
 """Queries: keyed state, word counts and running counts."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowloom import jobs
 from rowloom.functions import state_key, words
@@ -8,7 +9,19 @@ from rowloom.model import cell_schema
 from rowloom.operators import count_by, multi_get, not_null, running_count, split_words, state_get_sum, sum_by
 from rowloom.plans import SkewOptions
 from rowloom.session import shared_dir
-from rowloom.sources import Aggregate, CellStore, StateOptions, StateStore, get_values, put_values
+from rowloom.sources import (
+    Aggregate,
+    CellStore,
+    DistinctStore,
+    StateOptions,
+    StateStore,
+    approx_distinct,
+    average,
+    get_values,
+    latest,
+    put_values,
+    quantile,
+)
 from rowloom.sources.state import NON_TRANSACTIONAL, OPAQUE, TRANSACTIONAL
 from rowloom.suite.registry import query
 
@@ -70,6 +83,53 @@ def persistent_aggregate(t):
     return state.current().select(key[0].cast("long").alias("user_id"), key[1].alias("event_type"), *aggregates)
 
 
+def four_batches(t, store, purpose):
+    """Events in four batches: the third is written twice, first with other rows, and compacted after the second."""
+    store = store(shared_dir(t.spark, purpose))
+    part = F.col("event_id") % 4
+    for batch_id, rows in ((0, part == 0), (1, part == 1), (2, part >= 1), (2, part == 2), (3, part == 3)):
+        store.update(t.events.where(rows), batch_id, "ts")
+        if batch_id == 1:
+            store.compact(keep_last=0)
+    return store.current()
+
+
+@query("""SELECT user_id, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18, 4))) AS DOUBLE) / count(value) AS mean
+    FROM events GROUP BY 1""")
+def state_average(t):
+    """A count and a mean kept side by side; the mean's buffer is a sum and a count."""
+    exact = average(F.col("value").cast("decimal(18,4)"), T.DecimalType(28, 4))
+    store = lambda root: StateStore(t.spark, root, ["user_id"], {"n": Aggregate("count"), "mean": exact},
+                                    StateOptions(ttl_seconds=None))
+    return four_batches(t, store, "average").select(F.col("key")[0].cast("long").alias("user_id"), "n", "mean")
+
+
+@query("""SELECT user_id, props AS last_props, event_type AS last_type FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS nth FROM events) WHERE nth = 1""")
+def state_latest(t):
+    """The properties and the type of each user's last event."""
+    by = {"by": "event_id", "by_type": T.LongType()}
+    kept = {"last_props": latest("props", **by), "last_type": latest("event_type", **by)}
+    store = lambda root: StateStore(t.spark, root, ["user_id"], kept, StateOptions(ttl_seconds=None))
+    return four_batches(t, store, "latest").select(F.col("key")[0].cast("long").alias("user_id"), *kept)
+
+
+@query("SELECT event_type, CAST(count(DISTINCT user_id) AS BIGINT) AS users FROM events GROUP BY 1")
+def state_distinct(t):
+    """Users of each type of event, exactly, as bitmaps that batches add to."""
+    store = lambda root: DistinctStore(t.spark, root, ["event_type"], "user_id")
+    found = four_batches(t, store, "distinct")
+    return found.select(F.col("key")[0].alias("event_type"), F.col("members").alias("users"))
+
+
+@query("""SELECT user_id, CAST(count(DISTINCT event_type) AS BIGINT) AS kinds, min(value) AS low, max(value) AS high FROM events GROUP BY 1""")
+def state_sketches(t):
+    """Sketches that stay small for every user: distinct types (few, so exact), and the lowest and greatest value as quantiles."""
+    kept = {"kinds": approx_distinct("event_type"), "low": quantile("value", 0.0), "high": quantile("value", 1.0)}
+    store = lambda root: StateStore(t.spark, root, ["user_id"], kept, StateOptions(ttl_seconds=None))
+    return four_batches(t, store, "sketches").select(F.col("key")[0].cast("long").alias("user_id"), *kept)
+
+
 def replayed(t, mode):
     """Events by type: a batch, and the same batch again with the rest of the rows."""
     state = StateStore(t.spark, shared_dir(t.spark, mode), ["event_type"], {"n": Aggregate("count")},

@@ -41,9 +41,9 @@ def test_state_key_parts_are_text(spark):
 
 
 def test_counter_names_are_values(spark):
-    df = spark.createDataFrame([("1", 1, "MyCountColumn")], "Timestamp string, IncrementAmount bigint, CounterColumn string")
-    cells = map_counter(df, "Timestamp", "IncrementAmount", table="Counts")
-    assert rows(cells, "table", "row_key", "column_name", "amount") == [("Counts", "1", "MyCountColumn", 1)]
+    df = spark.createDataFrame([("gate 7", 4, "Arrivals")], "gate string, people bigint, direction string")
+    cells = map_counter(df, "gate", "people", table="Gates")
+    assert rows(cells, "table", "row_key", "column_name", "amount") == [("Gates", "gate 7", "Arrivals", 4)]
 
 
 def test_counter_amount_must_be_whole(spark):
@@ -88,10 +88,10 @@ def test_split_takes_a_regular_expression(spark):
 
 
 def test_words(spark):
-    assert spark.createDataFrame([(" the  cow ",)], "s string").select(words("s")).first()[0] == ["the", "cow"]
+    assert spark.createDataFrame([(" red  kite ",)], "s string").select(words("s")).first()[0] == ["red", "kite"]
 
 
-EDGES = {"mike": "john:bob", "sally": "bob:tim:alice", "none": ""}
+EDGES = {"ines": "otto:pia", "karl": "pia:ugo:vera", "none": ""}
 
 
 def test_delimited_and_valueless_give_the_same_edges(spark):

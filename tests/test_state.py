@@ -12,10 +12,10 @@ from rowloom.sources import Aggregate, StateOptions, StateStore
 from tests.util import plan, rows, ts
 
 SENTENCES = [
-    "the cow jumped over the moon",
-    "the man went to the store and bought some candy",
-    "four score and seven years ago",
-    "how many apples can you eat",
+    "a red boat left a cold harbour",
+    "rain fell on a boat",
+    "we mended nets",
+    "seven gulls slept",
 ]
 
 
@@ -29,12 +29,12 @@ def test_word_count_query(spark, tmp_path, mode):
     state = jobs.word_state(spark, str(tmp_path), StateOptions(mode, ttl_seconds=None))
     for batch_id, batch in enumerate(word_batches(spark)):
         state.update(batch, batch_id, ts("2024-01-01"))
-    questions = ["cat dog the man", "cat", "dog", "the", "man", "", "the the"]
+    questions = ["owl fox a nets", "owl", "fox", "a", "nets", "", "a a"]
     asked = spark.createDataFrame(list(enumerate(questions)), "id int, args string")
     found = state_get_sum(asked, "args", state.current(), "count", ["id"])
-    assert [r[1] for r in rows(found)] == [5, 0, 0, 4, 1, 0, 8]
+    assert [r[1] for r in rows(found)] == [4, 0, 0, 3, 1, 0, 6]
     cells = rows(jobs.word_cells(state))
-    assert ("the", "count", "4") in cells and ("the", "word", "the") in cells
+    assert ("a", "count", "3") in cells and ("a", "word", "a") in cells
     text = " ".join(SENTENCES)
     whole = jobs.word_count_cells(spark.createDataFrame([(text,)], "t string"), "t")
     assert cells == rows(whole)
