@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from rowloom.model import CELL_ID, ROUTE, cell_schema, counter_schema
 from rowloom.operators.resolve import fold_counters, latest_versions, live
 from rowloom.plans.skew import SkewOptions
-from rowloom.sources.log import BatchLog
+from rowloom.sources.log import BatchLog, Keys, few_keys
 
 Mapper = Callable[[DataFrame], DataFrame]
 
@@ -38,8 +38,8 @@ def _routed(rows: DataFrame, keyspace: str | None, table: str | None) -> DataFra
 class CellStore:
     """Tables of cells under one root, told apart by keyspace and table name."""
 
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType | None = None):
-        self.log = BatchLog(spark, root, schema or cell_schema(), ROUTE, CELL_ID)
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType | None = None, file_rows: int | None = None):
+        self.log = BatchLog(spark, root, schema or cell_schema(), ROUTE, CELL_ID, file_rows)
 
     def put(self, df: DataFrame, mapper: Mapper, batch_id: int, writer: str = "main",
             many_tables: bool = False, fold: bool = True) -> DataFrame:
@@ -60,24 +60,37 @@ class CellStore:
         self.put(df, mapper, batch_id, writer)
         return emit_constant(df, field, value)
 
-    def versions(self, keyspace: str | None = None, table: str | None = None) -> DataFrame:
+    def versions(self, keyspace: str | None = None, table: str | None = None, only: Keys | None = None) -> DataFrame:
         """Written cells that are not yet folded."""
-        return _routed(self.log.read(), keyspace, table)
+        return _routed(self.log.read(only), keyspace, table)
+
+    def _few(self, requests: DataFrame | None) -> Keys | None:
+        """The keys that few requests ask for, where there are sorted files that need not all be opened for them."""
+        if requests is None or self.log.state().fold is None:
+            return None
+        if requests.schema["row_key"].dataType != self.log.schema["row_key"].dataType:
+            return None
+        return few_keys(requests, "row_key")
 
     def cells(self, keyspace: str | None = None, table: str | None = None, as_of: Column | None = None,
               requests: DataFrame | None = None) -> DataFrame:
         """The current cells; with ``requests``, those of the requested rows and no others.
 
         Rows that nobody asks for are left out before the fold, so only the cells that are asked for are shuffled for it.
-        Filters on key and column name reach the scan by themselves.
+        The keys of few requests are handed to the scan: only files of a snapshot whose bounds hold one are opened, and
+        row groups without one are passed over by their bounds or Bloom filters.
         """
-        keys = None if requests is None else requests.select("row_key").distinct()
+        return self._cells(keyspace, table, as_of, requests, self._few(requests))
+
+    def _cells(self, keyspace: str | None, table: str | None, as_of: Column | None, requests: DataFrame | None,
+               only: Keys | None) -> DataFrame:
+        keys = None if requests is None or only is not None else requests.select("row_key").distinct()
 
         def narrow(rows: DataFrame) -> DataFrame:
             rows = _routed(rows, keyspace, table)
             return rows if keys is None else rows.join(keys, "row_key", "left_semi")
 
-        versions = self.log.folded(latest_versions, (*ROUTE, *CELL_ID), narrow)
+        versions = self.log.folded(latest_versions, (*ROUTE, *CELL_ID), narrow, only=only)
         return live(versions, as_of).select(*ROUTE, *CELL_ID, "value")
 
     def lookup(self, requests: DataFrame, how: Callable[..., DataFrame], keyspace: str | None = None,
@@ -86,8 +99,9 @@ class CellStore:
 
         Heavy rows are looked for in the unfolded log, so the fold runs once.
         """
-        cells = self.cells(keyspace, table, as_of, requests).drop(*ROUTE)
-        return how(requests, cells, options=SkewOptions(right_keys=self.versions(keyspace, table)), **bounds)
+        only = self._few(requests)
+        cells = self._cells(keyspace, table, as_of, requests, only).drop(*ROUTE)
+        return how(requests, cells, options=SkewOptions(right_keys=self.versions(keyspace, table, only)), **bounds)
 
     def compact(self, keep_last: int = 1, purge_before: Column | None = None, full: bool | None = None) -> int | None:
         """Fold batches into a snapshot.  Deleted cells are kept, since an older write may still arrive.
@@ -120,8 +134,8 @@ def emit_constant(df: DataFrame, field: str, value) -> DataFrame:
 class CounterStore:
     """Counters kept as a log of increments, one sum per counter and batch."""
 
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType | None = None):
-        self.log = BatchLog(spark, root, schema or counter_schema(), ROUTE, CELL_ID)
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType | None = None, file_rows: int | None = None):
+        self.log = BatchLog(spark, root, schema or counter_schema(), ROUTE, CELL_ID, file_rows)
 
     def increment(self, df: DataFrame, mapper: Mapper, batch_id: int, writer: str = "main",
                   many_tables: bool = False) -> DataFrame:

@@ -1,19 +1,21 @@
 """A log of batches in a shared folder.
 
-Each batch of each writer is one directory, ``writer=<w>/batch_id=<n>``.  Writing a batch again replaces its directory,
-so a replayed micro-batch leaves the log as it was.  Readers take only directories whose write has finished.
-
-A log may have snapshots, ``snapshot=<k>``.  The latest one names its base, the fold of most of the log, and perhaps a
-delta, the fold of what came after; and the batches in them, as ranges of batch ids for each writer.  Compaction folds new
-batches into the delta and rewrites the base only when the delta has grown to a share of it, so a byte is rewritten a
-bounded number of times.  ``vacuum`` removes the directories that a snapshot has replaced.
+Each attempt at a batch has a folder of its own, ``writer=<w>/batch_id=<n>/attempt=<a>``, and counts once a commit names it
+(see ``sources.commits``).  A batch that is written again is replaced by one commit: readers see the old attempt until then,
+and a replayed micro-batch leaves the log as it was.
+
+Compaction folds batches into files sorted by key on two levels: a base, and a delta of what came after it.  A manifest
+lists the files with their key bounds, so the key space is cut into the ranges of the base files.  Only ranges for which
+enough new rows have come are rewritten, together with what the delta holds for them; new rows of other ranges go to the
+delta, and untouched base files are carried on as they are.  The bounds also tell a lookup of few keys which files to open.
+``vacuum`` removes what has been replaced.
 """
 
 from __future__ import annotations
 
-import json
+import uuid
 from collections.abc import Callable, Iterable, Sequence
-from dataclasses import asdict, dataclass, field
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,172 +23,190 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowloom.plans.skew import fits_broadcast
+from rowloom.sources.commits import Commits, State, batch_path, in_ranges
 
 Fold = Callable[[DataFrame], DataFrame]
-Ranges = dict[str, list[list[int]]]
 
 BATCH = ("writer", "batch_id")
-MARKER = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
-
-
-def as_ranges(batches: Iterable[tuple[str, int]]) -> Ranges:
-    """Batches as ascending ranges of ids for each writer; ids that follow each other take no more room than one."""
-    found: Ranges = {}
-    for writer, batch in sorted(set(batches)):
-        own = found.setdefault(writer, [])
-        if own and own[-1][1] + 1 == batch:
-            own[-1][1] = batch
-        else:
-            own.append([batch, batch])
-    return found
+DELTA, BASE = 1, 2
+FEW_KEYS = 1000
+RANGES = 1023  # base files that lie side by side share a range where there are more of them
+TRIES = 5
 
 
-def joined_ranges(a: Ranges, b: Ranges) -> Ranges:
-    """The union of two sets of ranges."""
-    out: Ranges = {}
-    for writer in sorted({*a, *b}):
-        own: list[list[int]] = []
-        for first, last in sorted([*a.get(writer, []), *b.get(writer, [])]):
-            if own and first <= own[-1][1] + 1:
-                own[-1][1] = max(own[-1][1], last)
-            else:
-                own.append([first, last])
-        out[writer] = own
-    return out
+class StaleFold(RuntimeError):
+    """Another commit has replaced what a compaction read."""
 
 
-def in_ranges(ranges: Ranges, writer: str, batch: int) -> bool:
-    return any(first <= batch <= last for first, last in ranges.get(writer, ()))
+@dataclass(frozen=True)
+class Keys:
+    """The few distinct keys that are asked for, all of them set, and the name of their column."""
 
+    column: str
+    values: tuple
 
-@dataclass(frozen=True)
-class Snapshot:
-    """What a snapshot is made of."""
 
-    base: int | None = None
-    delta: int | None = None
-    covered: Ranges = field(default_factory=dict)
+def few_keys(requests: DataFrame, column: str, most: int = FEW_KEYS) -> Keys | None:
+    """The keys of ``requests`` where there are at most ``most`` requests and the keys are texts or whole numbers."""
+    if not isinstance(requests.schema[column].dataType, (T.StringType, T.IntegralType)):
+        return None
+    found = requests.select(column).limit(most + 1).collect()
+    if len(found) > most:
+        return None
+    return Keys(column, tuple(sorted({r[0] for r in found if r[0] is not None})))
 
 
 @dataclass(frozen=True)
 class BatchLog:
-    """Append, read and compact batches.  ``schema`` has the partition columns of ``routed`` among its fields."""
+    """Append, read and compact batches.  ``schema`` has the partition columns of ``routed`` among its fields.
+
+    ``file_rows`` is the greatest number of rows of a folded file; without it files are as large as shuffle partitions.
+    """
 
     spark: SparkSession
     root: str
     schema: T.StructType
     routed: Sequence[str] = ()
     sort_by: Sequence[str] = field(default_factory=tuple)
-    _known: dict[int, Snapshot] = field(default_factory=dict, repr=False, compare=False)
+    file_rows: int | None = None
+    commits: Commits = field(init=False, repr=False, compare=False)
+    _files: dict[str, list] = field(default_factory=dict, repr=False, compare=False)
 
-    def _storage(self, path: str):
-        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return place.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()), place
+    def __post_init__(self):
+        object.__setattr__(self, "commits", Commits(self.spark, f"{self.root}/commits"))
 
-    def _finished(self, pattern: str) -> list[str]:
-        """Directories that match a pattern and hold the marker of a finished write."""
-        fs, path = self._storage(f"{self.root}/{pattern}/_SUCCESS")
-        return sorted(str(s.getPath().getParent().toString()) for s in fs.globStatus(path) or [])
+    @property
+    def order(self) -> list[str]:
+        return [*self.routed, *self.sort_by]
 
-    def _bytes(self, path: str) -> int:
-        fs, place = self._storage(path)
-        return int(fs.getContentSummary(place).getLength()) if fs.exists(place) else 0
+    def state(self) -> State:
+        return self.commits.state()
 
     def batches(self) -> list[tuple[str, int]]:
-        """The finished batches, as (writer, batch id)."""
-        found = []
-        for path in self._finished("writer=*/batch_id=*"):
-            writer, batch = path.rsplit("/", 2)[1:]
-            found.append((writer.removeprefix("writer="), int(batch.removeprefix("batch_id="))))
-        return sorted(found)
+        """The finished batches that no snapshot holds, as (writer, batch id)."""
+        return sorted(self.state().open)
 
     def has(self, writer: str, batch_id: int) -> bool:
         """Whether a batch has been written, also when only a snapshot still holds it."""
-        if in_ranges(self.latest().covered, writer, batch_id):
-            return True
-        return bool(self._finished(f"writer={writer}/batch_id={batch_id}"))
+        state = self.state()
+        return (writer, batch_id) in state.open or in_ranges(state.covered, writer, batch_id)
+
+    def snapshots(self) -> list[int]:
+        """Numbers of the snapshots whose files are all there."""
+        state = self.state()
+        return [n for n, _ in state.replaced] + [state.number] * (state.fold is not None)
 
     def append(self, df: DataFrame, batch_id: int, writer: str = "main") -> None:
         """Write one batch, replacing an earlier attempt at it.
 
         A batch that a snapshot holds already cannot be written again, because nobody would read it.
         """
-        if in_ranges(self.latest().covered, writer, batch_id):
-            raise ValueError(f"batch {batch_id} of {writer!r} is part of a snapshot and cannot be replaced")
-        self._write(df, f"{self.root}/writer={writer}/batch_id={batch_id}")
 
-    def _write(self, df: DataFrame, path: str) -> None:
-        names = [f.name for f in self.schema]
+        def put(state: State) -> dict:
+            if in_ranges(state.covered, writer, batch_id):
+                raise ValueError(f"batch {batch_id} of {writer!r} is part of a snapshot and cannot be replaced")
+            return {"put": [writer, batch_id, attempt]}
+
+        attempt = f"a{uuid.uuid4().hex}"
+        put(self.state())
         for f in self.schema:
             if df.schema[f.name].dataType.simpleString() != f.dataType.simpleString():
                 raise TypeError(f"{f.name} is {df.schema[f.name].dataType}, but the log holds {f.dataType}")
-        self._save(df.select(*names), path)
+        path = batch_path(writer, batch_id, attempt)
+        self._save(df.select(*[f.name for f in self.schema]), path)
+        try:
+            self.commits.commit(put)
+        except ValueError:
+            self._delete(path)
+            raise
 
     def _save(self, df: DataFrame, path: str) -> None:
-        out = df.write.mode("overwrite").option("partitionOverwriteMode", "static").option(MARKER, "true")
-        (out.partitionBy(*self.routed) if self.routed else out).parquet(path)
+        out = df.write
+        if self.sort_by and isinstance(self.schema[self.sort_by[0]].dataType, (T.StringType, T.IntegralType)):
+            out = out.option(f"parquet.bloom.filter.enabled#{self.sort_by[0]}", "true")
+            out = out.option("parquet.bloom.filter.adaptive.enabled", "true")
+        if self.file_rows and path.startswith("fold="):
+            out = out.option("maxRecordsPerFile", self.file_rows)
+        (out.partitionBy(*self.routed) if self.routed else out).parquet(f"{self.root}/{path}")
+
+    def _delete(self, path: str) -> None:
+        fs, place = self.commits.storage(f"{self.root}/{path}")
+        fs.delete(place, True)
+
+    @property
+    def _stored(self) -> T.StructType:
+        fields = [*self.schema, T.StructField("writer", T.StringType()), T.StructField("batch_id", T.LongType())]
+        return T.StructType(fields)
 
-    def _load(self, base: str, paths: Sequence[str], schema: T.StructType) -> DataFrame:
+    def _load(self, paths: Sequence[str]) -> DataFrame:
+        schema = self._stored
         if not paths:
             return self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
-        names = [f.name for f in schema]
-        return self.spark.read.schema(schema).option("basePath", base).parquet(*paths).select(*names)
+        reader = self.spark.read.schema(schema).option("basePath", self.root)
+        return reader.parquet(*[f"{self.root}/{p}" for p in paths]).select(*[f.name for f in schema])
 
-    def snapshots(self) -> list[int]:
-        """Numbers of the finished snapshots; the list of covered batches is written last."""
-        return sorted(int(p.rsplit("/", 2)[1].removeprefix("snapshot=")) for p in self._finished("snapshot=*/covered"))
-
-    def latest(self) -> Snapshot:
-        """The latest finished snapshot; what a finished one says never changes, so it is read once."""
-        number = max(self.snapshots(), default=None)
-        if number is None:
-            return Snapshot()
-        if number not in self._known:
-            text = self.spark.read.schema("value string").text(f"{self.root}/snapshot={number}/covered").first()
-            self._known[number] = Snapshot(**json.loads(text[0]))
-        return self._known[number]
-
-    def _open(self, skip: Iterable[tuple[str, int]] = ()) -> list[tuple[str, int]]:
-        """The finished batches that no snapshot holds, but for ``skip``."""
-        covered = self.latest().covered
-        return sorted(b for b in set(self.batches()) - set(skip) if not in_ranges(covered, *b))
-
-    def parts(self, skip: Iterable[tuple[str, int]] = ()) -> tuple[DataFrame | None, DataFrame | None]:
-        """The latest base, and the delta with the finished batches in no snapshot, but for ``skip``; None where empty."""
-        fields = [*self.schema, T.StructField("writer", T.StringType()), T.StructField("batch_id", T.LongType())]
-        schema = T.StructType(fields)
-        snapshot, wanted = self.latest(), self._open(skip)
+    def manifest(self, fold: str) -> DataFrame:
+        """The files of a snapshot: path, level, n_rows, bytes, and the lowest and highest key."""
+        return self.spark.read.parquet(f"{self.root}/manifest={fold}")
+
+    def files(self, fold: str | None, level: int, keys: Keys | None = None) -> list[str]:
+        """Paths of the files of one level, or of those that may hold one of some keys."""
+        if fold is None:
+            return []
+        if fold not in self._files:
+            self._files.clear()
+            self._files[fold] = [tuple(r) for r in self.manifest(fold).select("path", "level").collect()]
+        paths = [path for path, own in self._files[fold] if own == level]
+        if keys is None or keys.column not in self.order:
+            return paths
+        low, high = F.col("low")[keys.column], F.col("high")[keys.column]
+        if not keys.values:
+            return []
+        asked = F.array(*[F.lit(v) for v in keys.values])
+        near = self.manifest(fold).where(F.col("level") == level)
+        return [r.path for r in near.where(F.exists(asked, lambda k: (low <= k) & (k <= high))).select("path").collect()]
+
+    def parts(self, skip: Iterable[tuple[str, int]] = (), keys: Keys | None = None,
+              state: State | None = None) -> tuple[DataFrame | None, DataFrame | None]:
+        """The latest base, and the delta with the finished batches in no snapshot, but for ``skip``; None where empty.
+
+        With ``keys``, files that cannot hold one of them are not opened, and the rows of others are left out.
+        """
+        state = state or self.state()
+        some = lambda rows: rows if keys is None else rows.where(F.col(keys.column).isin(*keys.values))
+        wanted = sorted(set(state.open) - set(skip))
         base = fresh = None
-        if snapshot.base is not None:
-            path = f"{self.root}/snapshot={snapshot.base}/data"
-            base = self._load(path, [path], schema)
+        if state.fold is not None:
+            base = some(self._load(self.files(state.fold, BASE, keys)))
         if wanted or base is None:
-            fresh = self._load(self.root, [f"{self.root}/writer={w}/batch_id={b}" for w, b in wanted], schema)
-        if snapshot.delta is not None:
-            path = f"{self.root}/snapshot={snapshot.delta}/data"
-            delta = self._load(path, [path], schema)
-            fresh = delta if fresh is None else delta.unionByName(fresh)
+            fresh = some(self._load([batch_path(*b, state.open[b]) for b in wanted]))
+        delta = self.files(state.fold, DELTA, keys)
+        if delta:
+            rows = some(self._load(delta))
+            fresh = rows if fresh is None else rows.unionByName(fresh)
         return base, fresh
 
-    def read(self) -> DataFrame:
+    def read(self, keys: Keys | None = None) -> DataFrame:
         """All rows that are to be folded."""
-        base, fresh = self.parts()
+        base, fresh = self.parts(keys=keys)
         if base is None or fresh is None:
             return base if fresh is None else fresh
         return base.unionByName(fresh)
 
     def folded(self, fold: Fold, keys: Sequence[str], narrow: Fold = lambda rows: rows,
-               skip: Iterable[tuple[str, int]] = ()) -> DataFrame:
-        """The fold by ``keys`` of the rows that ``narrow`` leaves.
+               skip: Iterable[tuple[str, int]] = (), only: Keys | None = None) -> DataFrame:
+        """The fold by ``keys`` of the rows that ``narrow`` leaves, or of the rows of the keys ``only``.
 
         A base is folded already.  Where the batches after it are small, only the rows of their keys are folded with
         them and the rest of the snapshot is taken as it is, without a shuffle.
         """
-        base, fresh = (None if part is None else narrow(part) for part in self.parts(skip))
+        base, fresh = (None if part is None else narrow(part) for part in self.parts(skip, only))
         if base is None:
             return fold(fresh)
         if fresh is None:
             return base
+        if only is not None:
+            return fold(base.unionByName(fresh))
         touched = fresh.select(*[F.col(k).alias(f"__{k}") for k in keys])
         if not fits_broadcast(touched):
             return fold(base.unionByName(fresh))
@@ -195,58 +215,141 @@ class BatchLog:
         changed = fold(base.join(touched, same, "left_semi").unionByName(fresh))
         return base.join(touched, same, "left_anti").select(*changed.columns).unionByName(changed)
 
+    def _bounds(self, fold: str) -> DataFrame:
+        """One row with the ascending lower bounds of the ranges of the base: at most ``RANGES`` of them."""
+        lows = self.manifest(fold).where(F.col("level") == BASE).select("low")
+        every = F.ceil(F.size("lows") / RANGES)
+        ranked = lows.agg(F.array_sort(F.collect_list("low")).alias("lows"))
+        return ranked.select(F.filter("lows", lambda low, i: i % every == 0).alias("lows"))
+
+    def _ranged(self, rows: DataFrame, key: Column, bounds: DataFrame, name: str = "__range") -> DataFrame:
+        """Add the number of the range a key is in; keys below all bounds are in the first one."""
+        rows, steps = rows.withColumn("__bounds", bounds.scalar()), F.array(*[F.lit((RANGES + 1) >> i) for i in range(1, RANGES.bit_length() + 1)])
+
+        def halved(at: Column, step: Column) -> Column:
+            return at + F.when(F.get("__bounds", at + step - 1) <= key, step).otherwise(0)
+
+        return rows.withColumn(name, F.greatest(F.aggregate(steps, F.lit(0), halved), F.lit(1))).drop("__bounds")
+
+    def _key(self) -> Column:
+        return F.struct(*self.order)
+
     def compact(self, fold: Fold, keys: Sequence[str], keep: Column | None = None, keep_last: int = 1,
                 full: bool | None = None, share: float = 0.25) -> int | None:
         """Fold all but the newest ``keep_last`` batches of each writer into a new snapshot and return its number.
 
-        The newest batch of a writer may still be replayed with other content, so it stays a batch by default.  While what
-        came after the base is smaller than ``share`` of it, only that is folded; ``full`` says otherwise.  ``keep`` drops
-        rows of a full fold for good.  Rows are sorted, so a lookup by literal keys or names skips row groups.
+        The newest batch of a writer may still be replayed with other content, so it stays a batch by default.  A range of
+        the base is rewritten once the rows that came after it are ``share`` of its own; ``full`` says to rewrite all or
+        none.  ``keep`` drops rows of a full fold for good.  Where another compaction or a replay comes first, this one
+        begins again with what is left to do.
         """
-        done = self.batches()
+        for _ in range(TRIES):
+            try:
+                return self._compact(fold, keys, keep, keep_last, full, share)
+            except StaleFold:
+                continue
+        raise StaleFold(f"other commits came first {TRIES} times")
+
+    def _compact(self, fold: Fold, keys: Sequence[str], keep: Column | None, keep_last: int, full: bool | None,
+                 share: float) -> int | None:
+        state = self.state()
         newest: dict[str, list[int]] = {}
-        for writer, batch in done:
+        for writer, batch in sorted(state.open):
             newest.setdefault(writer, []).append(batch)
-        late = {(w, b) for w, ids in newest.items() for b in sorted(ids)[len(ids) - keep_last :]} if keep_last else set()
-        before, fresh = self.latest(), self._open(late)
-        if not fresh and not (full and before.delta is not None) and not (keep is not None and before.base is not None):
+        late = {(w, b) for w, ids in newest.items() for b in ids[len(ids) - keep_last :]} if keep_last else set()
+        took = sorted(set(state.open) - late)
+        delta = self.files(state.fold, DELTA)
+        if not took and not (full and delta) and not (keep is not None and state.fold is not None):
             return None
-        number = max(self.snapshots(), default=0) + 1
-        covered = joined_ranges(before.covered, as_ranges(fresh))
-        if full is None:
-            new = sum(self._bytes(f"{self.root}/writer={w}/batch_id={b}") for w, b in fresh)
-            if before.delta is not None:
-                new += self._bytes(f"{self.root}/snapshot={before.delta}/data")
-            full = before.base is None or new >= share * self._bytes(f"{self.root}/snapshot={before.base}/data")
-        if full or keep is not None:
-            said = Snapshot(number, None, covered)
-            folded = self.folded(fold, keys, skip=late)
-            folded = folded if keep is None else folded.where(keep)
+        base, fresh = self.parts(late, state=state)
+        name = f"{state.number + 1}-{uuid.uuid4().hex[:12]}"
+        kept: list[str] = []
+        if base is None:
+            self._write_level(fold(fresh), name, BASE, keep)
+        elif full or keep is not None or not self.order:
+            both = base if fresh is None else base.unionByName(fresh)
+            self._write_level(fold(both), name, BASE, keep)
         else:
-            said = Snapshot(before.base, number, covered)
-            folded = fold(self.parts(late)[1])
-        order = [*self.routed, *self.sort_by]
-        if order:
-            folded = folded.repartitionByRange(*order).sortWithinPartitions(*order)
-        names = [f.name for f in self.schema]
-        keep = [c for c in (*names, *BATCH) if c in folded.columns]
-        self._save(folded.select(*keep), f"{self.root}/snapshot={number}/data")
-        listing = self.spark.range(0, 1, 1, 1).select(F.lit(json.dumps(asdict(said))).alias("value"))
-        listing.write.mode("overwrite").option(MARKER, "true").text(f"{self.root}/snapshot={number}/covered")
-        return number
+            kept = self._write_ranges(fold, fresh, state.fold, name, full, share)
+        self._write_manifest(name, state.fold, kept)
+
+        def said(now: State) -> dict:
+            if now.fold != state.fold or any(now.open.get(b) != state.open[b] for b in took):
+                raise StaleFold
+            return {"fold": name, "took": [[*b, state.open[b]] for b in took]}
+
+        try:
+            return self.commits.commit(said).number
+        except StaleFold:
+            for path in (f"fold={name}", f"manifest={name}"):
+                self._delete(path)
+            raise
+
+    def _write_ranges(self, fold: Fold, fresh: DataFrame, before: str, name: str, full: bool | None,
+                      share: float) -> list[str]:
+        """Rewrite the ranges that enough rows have come for, put other rows into the delta, and name the base files kept."""
+        bounds = self._bounds(before)
+        recent = self._ranged(fresh, self._key(), bounds)
+        base = self._ranged(self.manifest(before).where(F.col("level") == BASE), F.col("low"), bounds)
+        files = [tuple(r) for r in base.select("__range", "path", "n_rows").collect()]
+        held: dict[int, int] = {}
+        for number, _, n_rows in files:
+            held[number] = held.get(number, 0) + n_rows
+        came = {r["__range"]: r["n"] for r in recent.groupBy("__range").agg(F.count("*").alias("n")).collect()}
+        due = [] if full is False else sorted(r for r, n in came.items() if n >= share * held.get(r, 0))
+        late = sorted(set(came) - set(due))
+        if due:
+            old = self._load([path for number, path, _ in files if number in due])
+            new = recent.where(F.col("__range").isin(due)).drop("__range")
+            self._write_level(fold(old.unionByName(new)), name, BASE)
+        if late:
+            self._write_level(fold(recent.where(F.col("__range").isin(late)).drop("__range")), name, DELTA)
+        return [path for number, path, _ in files if number not in due]
+
+    def _write_level(self, folded: DataFrame, name: str, level: int, keep: Column | None = None) -> None:
+        folded = folded if keep is None else folded.where(keep)
+        if self.order:
+            folded = folded.repartitionByRange(*self.order).sortWithinPartitions(*self.order)
+        names = [c for c in (*[f.name for f in self.schema], *BATCH) if c in folded.columns]
+        self._save(folded.select(*names), f"fold={name}/level={level}")
+
+    def _write_manifest(self, name: str, before: str | None, kept: Sequence[str]) -> None:
+        """List the files written for a snapshot, by their own metadata and keys, and those carried on from the one before."""
+        found, fs = [], self.commits.storage(self.root)[0]
+        levels = [level for level in (DELTA, BASE) if fs.exists(self.commits.storage(f"{self.root}/fold={name}/level={level}")[1])]
+        for level in levels:
+            rows = self.spark.read.schema(self._stored).option("basePath", self.root).parquet(f"{self.root}/fold={name}/level={level}")
+            key = self._key() if self.order else F.struct(F.lit(0).alias("none"))
+            own = rows.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"), key.alias("key"))
+            found.append(own.groupBy("file", "bytes").agg(
+                F.min("key").alias("low"), F.max("key").alias("high"), F.count("*").alias("n_rows")
+            ).withColumn("level", F.lit(level)))
+        columns = ("path", "level", "n_rows", "bytes", "low", "high")
+        files = reduce(DataFrame.unionByName, found) if found else None
+        if files is not None:
+            file = F.url_decode(F.regexp_replace("file", "[+]", "%2B"))  # a URI, in which only a plus stands for itself
+            path = F.concat(F.lit(f"fold={name}/"), F.substring_index(file, f"/fold={name}/", -1))
+            files = files.withColumn("path", path).select(*columns)
+        if kept:
+            old = self.manifest(before).where(F.col("path").isin(list(kept))).select(*columns)
+            files = old if files is None else old.unionByName(files)
+        files.coalesce(1).write.parquet(f"{self.root}/manifest={name}")
 
     def vacuum(self) -> list[str]:
-        """Delete the batches that the latest snapshot holds and the snapshots that it has replaced; returns their paths.
+        """Delete replaced attempts, batches that a snapshot holds and files that it has replaced; returns their paths.
 
         Results that were read before the last compaction and are still to be computed lose their files.
         """
-        snapshot, numbers = self.latest(), self.snapshots()
-        if not numbers:
-            return []
-        used = {snapshot.base, snapshot.delta, numbers[-1]}
-        gone = [f"{self.root}/snapshot={n}" for n in numbers if n not in used]
-        gone += [f"{self.root}/writer={w}/batch_id={b}" for w, b in self.batches() if in_ranges(snapshot.covered, w, b)]
+        state = self.state()
+        used = {r.path for r in self.manifest(state.fold).select("path").collect()} if state.fold else set()
+        gone = list(state.gone)
+        for _, fold in state.replaced:
+            gone += [r.path for r in self.manifest(fold).select("path").collect() if r.path not in used]
+            gone.append(f"manifest={fold}")
         for path in gone:
-            fs, place = self._storage(path)
-            fs.delete(place, True)
-        return gone
+            self._delete(path)
+        if gone:
+            removed = [*state.gone, *(fold for _, fold in state.replaced)]
+            self.commits.commit(lambda now: {"removed": removed})
+        self.commits.forget()
+        return [f"{self.root}/{path}" for path in gone]

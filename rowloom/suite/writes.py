@@ -9,6 +9,7 @@ from rowloom.operators import (
     fold_counters,
     key_rules,
     keyspace_rules,
+    lookup_row,
     map_counter,
     map_custom,
     map_default,
@@ -216,3 +217,38 @@ def counter_rejects(t):
     good, bad = split_rejects(increments, counter_rules(increments))
     labels = good.select(F.lit("good").alias("reason")).unionByName(bad.select("reason"))
     return labels.groupBy("reason").agg(F.count("*").alias("n"))
+
+
+def order_cells(rows, value="o_orderpriority", seq=0):
+    """Orders as wide rows: a customer has a column for each order."""
+    entry = F.array(F.struct(F.col("o_orderkey").cast("string").alias("column_name"), F.col(value).alias("value")))
+    write = Write(F.lit("2024-01-01").cast("timestamp_ntz"), F.lit(seq), table="orders")
+    return map_custom(rows, F.col("o_custkey").cast("string"), entry, write)
+
+
+@query("""SELECT CAST(o_custkey AS VARCHAR) AS row_key, CAST(o_orderkey AS VARCHAR) AS column_name,
+        CASE WHEN o_orderstatus = 'P' THEN o_orderstatus ELSE o_orderpriority END AS value FROM orders""")
+def compacted_ranges(t):
+    """Small sorted files by key range; scattered changes wait in the delta, then a range with many is rewritten."""
+    store = CellStore(t.spark, shared_dir(t.spark, "ranges"), file_rows=2000)
+    store.put(t.orders, order_cells, 0)
+    store.compact(keep_last=0)
+    changed = t.orders.where("o_orderstatus = 'P'")
+    for batch_id, part in ((1, F.col("o_custkey") % 3 != 0), (2, F.col("o_custkey") % 3 == 0)):
+        store.put(changed.where(part), lambda rows, n=batch_id: order_cells(rows, "o_orderstatus", n), batch_id)
+        store.compact(keep_last=0)
+        store.vacuum()
+    return store.cells().select("row_key", "column_name", "value")
+
+
+@query("""SELECT n_nationkey AS id, CAST(n_nationkey AS VARCHAR) AS row_key, CAST(o_orderkey AS VARCHAR) AS column_name,
+        CASE WHEN o_orderstatus = 'P' THEN o_orderstatus ELSE o_orderpriority END AS value
+    FROM nation JOIN orders ON o_custkey = n_nationkey""")
+def lookup_store_indexed(t):
+    """Few rows of a large store: only files whose key bounds hold one are opened."""
+    store = CellStore(t.spark, shared_dir(t.spark, "indexed"), file_rows=2000)
+    store.put(t.orders, order_cells, 0)
+    store.compact(keep_last=0)
+    store.put(t.orders.where("o_orderstatus = 'P'"), lambda rows: order_cells(rows, "o_orderstatus", 1), 1)
+    asked = t.nation.select(F.col("n_nationkey").alias("id"), F.col("n_nationkey").cast("string").alias("row_key"))
+    return store.lookup(asked, lookup_row, table="orders").select("id", "row_key", "column_name", "value")

@@ -1,0 +1,256 @@
+"""Commits, compaction by key range and lookups of few keys."""
+
+import json
+import os
+import random
+import threading
+
+import pytest
+from pyspark.sql import functions as F
+
+from rowloom.operators import Write, lookup_row, map_counter, map_default
+from rowloom.sources import CellStore, CounterStore
+from rowloom.sources.commits import Commits, State
+from rowloom.sources.log import BASE, DELTA, StaleFold, few_keys
+from tests.util import rows, ts
+
+
+def numbered(spark, low, high, value):
+    return spark.range(low, high).select(F.format_string("%06d", "id").alias("k"), F.lit(value).alias("v"))
+
+
+def put(store, df, batch_id, seq=0, writer="main"):
+    write = Write(ts("2024-01-01"), F.lit(seq))
+    store.put(df, lambda d: map_default(d, "k", ["v"], write), batch_id, writer)
+
+
+def values(store):
+    return {r.row_key: r.value for r in store.cells().collect()}
+
+
+def bytes_of(store, paths):
+    return sum(os.path.getsize(f"{store.log.root}/{p}") for p in paths)
+
+
+def test_state_from_changes_and_from_a_whole_state():
+    changes = [{"put": ["w", 0, "a"]}, {"put": ["w", 0, "b"]}, {"put": ["w", 1, "c"]},
+               {"fold": "1-x", "took": [["w", 0, "b"]]}, {"put": ["v", 5, "d"]}, {"fold": "2-y", "took": [["w", 1, "c"]]}]
+    state = State()
+    for change in changes:
+        state = state.after(change)
+        assert State.read(json.loads(json.dumps(state.written()))) == state
+    assert state.open == {("v", 5): "d"} and state.covered == {"w": [[0, 1]]} and (state.fold, state.number) == ("2-y", 2)
+    assert state.replaced == ((1, "1-x"),) and "writer=w/batch_id=0/attempt=a" in state.gone and len(state.gone) == 3
+    done = state.after({"removed": [*state.gone, "1-x"]})
+    assert done.gone == () and done.replaced == () and done.open == state.open
+
+
+def test_commits_at_once_all_count(spark, tmp_path):
+    """Threads that commit at once get numbers of their own, and what each put is there."""
+    def run(writer):
+        own = Commits(spark, str(tmp_path / "c"))
+        for n in range(12):
+            own.commit(lambda state, n=n: {"put": [writer, n, f"{writer}{n}"]})
+
+    threads = [threading.Thread(target=run, args=(w,)) for w in "abc"]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    commits = Commits(spark, str(tmp_path / "c"))
+    state = commits.state()
+    assert state.version == 36 and commits.versions() == list(range(1, 37))
+    assert state.open == {(w, n): f"{w}{n}" for w in "abc" for n in range(12)}
+    commits.forget()
+    assert commits.versions() == list(range(32, 37)) and Commits(spark, str(tmp_path / "c")).state() == state
+
+
+@pytest.mark.parametrize("local", [True, False])
+def test_a_name_is_given_once(spark, tmp_path, monkeypatch, local):
+    """By a link, and by a rename without overwriting as on storage that is not mounted."""
+    commits = Commits(spark, str(tmp_path))
+    if not local:
+        monkeypatch.setattr(os, "link", lambda a, b: commits.rename_new(a, b))
+    assert commits.put_new(f"{tmp_path}/x", "one") and not commits.put_new(f"{tmp_path}/x", "two")
+    assert (tmp_path / "x").read_text() == "one" and [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["x"]
+
+
+def test_readers_keep_the_old_batch_while_it_is_written_again(spark, tmp_path, monkeypatch):
+    store = CellStore(spark, str(tmp_path))
+    put(store, numbered(spark, 0, 3, "old"), 0)
+    seen = []
+    commit = Commits.commit
+    monkeypatch.setattr(Commits, "commit", lambda self, change: (seen.append(set(values(store).values())), commit(self, change))[1])
+    put(store, numbered(spark, 0, 2, "new"), 0, 1)
+    assert seen == [{"old"}] and values(store) == {"000000": "new", "000001": "new"}
+
+
+def test_a_failed_write_leaves_no_batch(spark, tmp_path):
+    store = CellStore(spark, str(tmp_path))
+    put(store, numbered(spark, 0, 3, "a"), 0)
+    broken = numbered(spark, 0, 3, "b").withColumn("v", F.when(F.col("k") == "000002", F.raise_error(F.lit("stop"))).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="stop"):
+        put(store, broken, 0, 1)
+    assert set(values(store).values()) == {"a"}
+
+
+def interrupt(monkeypatch, store, what):
+    """Run ``what`` once, between a compaction's writes and its commit."""
+    original, ran = type(store.log)._write_manifest, []
+
+    def manifest(self, *args):
+        original(self, *args)
+        if not ran:
+            ran.append(1)
+            what()
+
+    monkeypatch.setattr(type(store.log), "_write_manifest", manifest)
+
+
+def test_replay_during_a_compaction(spark, tmp_path, monkeypatch):
+    store = CellStore(spark, str(tmp_path))
+    put(store, numbered(spark, 0, 3, "first"), 0)
+    interrupt(monkeypatch, store, lambda: put(store, numbered(spark, 0, 3, "again"), 0, 1))
+    assert store.compact(keep_last=0) == 1
+    assert set(values(store).values()) == {"again"} and store.log.batches() == []
+    assert len([p for p in tmp_path.iterdir() if p.name.startswith("fold=")]) == 1
+
+
+def test_compaction_during_a_compaction(spark, tmp_path, monkeypatch):
+    store, other = (CounterStore(spark, str(tmp_path)) for _ in range(2))
+    df = spark.createDataFrame([("a", 1, "c"), ("b", 2, "c")], "k string, n long, c string")
+    for batch_id in range(3):
+        store.increment(df, lambda d: map_counter(d, "k", "n"), batch_id)
+    interrupt(monkeypatch, store, lambda: other.compact(keep_last=0))
+    assert store.compact(keep_last=0) is None  # the other one has done it all
+    assert rows(store.counters(), "row_key", "amount") == [("a", 3), ("b", 6)] and store.log.snapshots() == [1]
+
+
+def test_new_batch_during_a_compaction(spark, tmp_path, monkeypatch):
+    store = CellStore(spark, str(tmp_path))
+    put(store, numbered(spark, 0, 3, "a"), 0)
+    interrupt(monkeypatch, store, lambda: put(store, numbered(spark, 5, 6, "b"), 1))
+    assert store.compact(keep_last=0) == 1 and store.log.batches() == [("main", 1)]
+    assert values(store) == {"000000": "a", "000001": "a", "000002": "a", "000005": "b"}
+
+
+def test_compactions_that_never_come_first(spark, tmp_path, monkeypatch):
+    store = CellStore(spark, str(tmp_path))
+    put(store, numbered(spark, 0, 3, "a"), 0)
+    original = type(store.log)._write_manifest
+
+    def manifest(self, *args):
+        original(self, *args)
+        put(store, numbered(spark, 0, 3, "b"), 0)
+
+    monkeypatch.setattr(type(store.log), "_write_manifest", manifest)
+    with pytest.raises(StaleFold):
+        store.compact(keep_last=0)
+    assert len(values(store)) == 3
+
+
+def ranged_store(spark, path, n=20_000, file_rows=200):
+    store = CellStore(spark, path, file_rows=file_rows)
+    put(store, numbered(spark, 0, n, "old"), 0)
+    store.compact(keep_last=0)
+    return store
+
+
+def test_one_range_is_rewritten_for_changes_in_one_range(spark, tmp_path):
+    """1 % of the keys change, side by side: less than 5 % of the bytes are written again."""
+    store = ranged_store(spark, str(tmp_path))
+    before = store.log.files(store.log.state().fold, BASE)
+    assert len(before) >= 100
+    put(store, numbered(spark, 7000, 7200, "new"), 1, 1)
+    store.compact(keep_last=0)
+    fold = store.log.state().fold
+    after, delta = store.log.files(fold, BASE), store.log.files(fold, DELTA)
+    new = [p for p in after + delta if p.startswith(f"fold={fold}/")]
+    assert new and bytes_of(store, new) < 0.05 * bytes_of(store, after + delta)
+    found = values(store)
+    assert len(found) == 20_000 and sum(v == "new" for v in found.values()) == 200
+    gone = store.vacuum()
+    assert any("fold=" in p for p in gone) and values(store) == found
+    ranges = rows(store.log.manifest(fold).where(F.col("level") == BASE), "low.row_key", "high.row_key")
+    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:], strict=False))
+
+
+def test_scattered_changes_wait_in_the_delta(spark, tmp_path):
+    store = ranged_store(spark, str(tmp_path), 4000, 500)
+    base = store.log.files(store.log.state().fold, BASE)
+    for batch_id in (1, 2):
+        put(store, numbered(spark, 0, 4000, f"v{batch_id}").where(F.col("k").substr(4, 3) == f"00{batch_id}"), batch_id, batch_id)
+        store.compact(keep_last=0)
+        fold = store.log.state().fold
+        assert store.log.files(fold, BASE) == base and len(store.log.files(fold, DELTA)) >= 1
+    found = values(store)
+    assert [found[k] for k in ("000000", "001001", "002002", "003999")] == ["old", "v1", "v2", "old"]
+    store.compact(keep_last=0, full=True)
+    assert store.log.files(store.log.state().fold, DELTA) == [] and values(store) == found
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_any_order_of_puts_and_compactions(spark, tmp_path, monkeypatch, seed):
+    """Against a dictionary, with many small files and few ranges."""
+    monkeypatch.setattr("rowloom.sources.log.RANGES", 7)
+    pick, want = random.Random(seed), {}
+    store = CellStore(spark, str(tmp_path), file_rows=pick.choice([3, 20]))
+    for batch_id in range(6):
+        low, value = pick.randrange(200), str(batch_id)
+        high = low + pick.randrange(1, 80)
+        put(store, numbered(spark, low, high, value), batch_id, batch_id)
+        want |= {f"{i:06d}": value for i in range(low, high)}
+        if pick.random() < 0.7:
+            store.compact(pick.choice([0, 1]), full=pick.choice([None, None, False, True]))
+        if pick.random() < 0.4:
+            store.vacuum()
+    assert values(store) == want
+    asked = spark.createDataFrame([(f"{i:06d}",) for i in range(0, 300, 7)], "row_key string")
+    found = {r.row_key: r.value for r in store.lookup(asked, lookup_row).collect()}
+    assert found == {k: v for k, v in want.items() if int(k) % 7 == 0}
+
+
+def test_a_lookup_opens_only_files_that_may_hold_its_keys(spark, tmp_path):
+    store = ranged_store(spark, str(tmp_path))
+    put(store, numbered(spark, 0, 20_000, "new").where("k LIKE '%77'"), 1, 1)
+    store.compact(keep_last=0, full=False)
+    files = store.log.files(store.log.state().fold, BASE) + store.log.files(store.log.state().fold, DELTA)
+    asked = spark.createDataFrame([("007077",), ("007077",), ("absent",), (None,)], "row_key string")
+    found = store.lookup(asked, lookup_row)
+    opened = found.inputFiles()
+    assert len(files) > 100 and 1 <= len(opened) <= 3
+    assert [tuple(r) for r in found.select("row_key", "value").collect()] == [("007077", "new")] * 2
+    many = spark.range(3000).select(F.format_string("%06d", F.col("id") * 5).alias("row_key"))
+    whole = store.lookup(many, lookup_row)
+    assert len(whole.inputFiles()) > 100 and whole.count() == 3000
+    few = many.limit(900)
+    assert rows(store.lookup(few, lookup_row)) == rows(lookup_row(few, store.cells().drop("keyspace", "table")))
+
+
+def test_filters_on_keys_reach_the_files(spark, tmp_path):
+    store = ranged_store(spark, str(tmp_path), 500, 100)
+    put(store, numbered(spark, 0, 9, "new"), 1, 1)
+    asked = spark.createDataFrame([("000003",)], "row_key string")
+    text = store.lookup(asked, lookup_row)._jdf.queryExecution().toString()
+    assert "PushedFilters: [IsNotNull(row_key), EqualTo(row_key,000003)]" in text or "In(row_key" in text
+    batch = next(p for p in (tmp_path / "writer=main").rglob("*.parquet"))
+    import pyarrow.parquet as pq
+
+    assert pq.ParquetFile(batch).schema_arrow.names[0] == "row_key"
+
+
+def test_few_keys(spark):
+    asked = spark.createDataFrame([("b",), ("a",), ("b",), (None,)], "row_key string")
+    assert few_keys(asked, "row_key").values == ("a", "b") and few_keys(asked, "row_key", 3) is None
+    assert few_keys(spark.createDataFrame([(["a"],)], "row_key array<string>"), "row_key") is None
+
+
+def test_names_that_need_care_in_paths(spark, tmp_path):
+    store = CellStore(spark, str(tmp_path), file_rows=5)
+    names = ["a b", "a+b", "a%20b", "a=b", "ü{x}[y]*?", "a/b"]
+    for batch_id in range(2):
+        df = spark.createDataFrame([(f"k{i}", "v", n) for n in names for i in range(3)], "k string, v string, t string")
+        write = Write(ts("2024-01-01"), F.lit(batch_id), table=F.col("t"))
+        store.put(df, lambda d, w=write: map_default(d, "k", ["v"], w), batch_id)
+        store.compact(keep_last=0)
+    assert {r.table for r in store.cells().collect()} == set(names) and store.cells().count() == 18
+    asked = spark.createDataFrame([("k1",)], "row_key string")
+    assert all(store.lookup(asked, lookup_row, table=n).count() == 1 for n in names)

@@ -1,5 +1,6 @@
 """Answers depend neither on sizes and plans nor on compaction."""
 
+import json
 import logging
 
 import pytest
@@ -23,7 +24,7 @@ from rowloom.operators import (
 )
 from rowloom.plans import SkewOptions, skew_join
 from rowloom.sources import Aggregate, CellStore, CounterStore, StateOptions, StateStore
-from rowloom.sources.log import as_ranges, in_ranges, joined_ranges
+from rowloom.sources.commits import as_ranges, in_ranges, joined_ranges
 from rowloom.sources.streams import file_stream
 from rowloom.streaming import put_stream
 from tests.util import plan, rows, ts
@@ -197,8 +198,9 @@ def test_log_stays_small(spark, tmp_path):
         if batch_id % 3 == 2:
             store.compact()
             store.vacuum()
-            said = spark.read.text(f"{tmp_path}/snapshot={store.log.snapshots()[-1]}/covered").first()[0]
+            said = json.dumps(store.log.state().written())
             sizes.append((len(store.log.batches()), len(store.log.snapshots()), len(said)))
+            assert len(store.log.commits.versions()) <= 18
     assert {n for n, _, _ in sizes} == {1} and max(n for _, n, _ in sizes) <= 2
     assert max(n for *_, n in sizes) - min(n for *_, n in sizes) <= 4
     assert rows(store.cells(), "row_key") == [("0",), ("1",), ("2",)]
