@@ -147,16 +147,23 @@ class BatchLog:
 
     def manifest(self, fold: str) -> DataFrame:
         """The files of a snapshot: path, level, n_rows, bytes, and the lowest and highest key."""
-        return self.spark.read.parquet(f"{self.root}/manifest={fold}")
+        key = T.StructType([self._stored[n] for n in self.order] or [T.StructField("none", T.IntegerType())])
+        kinds = {"path": T.StringType(), "level": T.IntegerType(), "n_rows": T.LongType(), "bytes": T.LongType(), "low": key, "high": key}
+        schema = T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
+        return self.spark.read.schema(schema).parquet(f"{self.root}/manifest={fold}")
+
+    def _listed(self, fold: str) -> list[tuple[str, int, int]]:
+        """Path, level and number of rows of all files; a manifest never changes, so it is read once."""
+        if fold not in self._files:
+            self._files.clear()
+            self._files[fold] = [tuple(r) for r in self.manifest(fold).select("path", "level", "n_rows").collect()]
+        return self._files[fold]
 
     def files(self, fold: str | None, level: int, keys: Keys | None = None) -> list[str]:
         """Paths of the files of one level, or of those that may hold one of some keys."""
         if fold is None:
             return []
-        if fold not in self._files:
-            self._files.clear()
-            self._files[fold] = [tuple(r) for r in self.manifest(fold).select("path", "level").collect()]
-        paths = [path for path, own in self._files[fold] if own == level]
+        paths = [path for path, own, _ in self._listed(fold) if own == level]
         if keys is None or keys.column not in self.order:
             return paths
         low, high = F.col("low")[keys.column], F.col("high")[keys.column]
@@ -288,10 +295,14 @@ class BatchLog:
     def _write_ranges(self, fold: Fold, fresh: DataFrame, before: str, name: str, full: bool | None,
                       share: float) -> list[str]:
         """Rewrite the ranges that enough rows have come for, put other rows into the delta, and name the base files kept."""
-        bounds = self._bounds(before)
-        recent = self._ranged(fresh, self._key(), bounds)
-        base = self._ranged(self.manifest(before).where(F.col("level") == BASE), F.col("low"), bounds)
-        files = [tuple(r) for r in base.select("__range", "path", "n_rows").collect()]
+        files = [(1, path, n_rows) for path, level, n_rows in self._listed(before) if level == BASE]
+        if len(files) > 1:
+            bounds = self._bounds(before)
+            recent = self._ranged(fresh, self._key(), bounds)
+            base = self._ranged(self.manifest(before).where(F.col("level") == BASE), F.col("low"), bounds)
+            files = [tuple(r) for r in base.select("__range", "path", "n_rows").collect()]
+        else:
+            recent = fresh.withColumn("__range", F.lit(1))
         held: dict[int, int] = {}
         for number, _, n_rows in files:
             held[number] = held.get(number, 0) + n_rows
