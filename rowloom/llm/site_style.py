@@ -5,7 +5,8 @@ like-named siblings are one element, and text is a child of its own. On each pag
 its children. Importance is entropy:
 
 * of presentation: an element that shows many styles over the pages is important, one that always shows the same is not;
-* of content: a text is important as far as its blocks differ from page to page;
+* of content: a text is important as far as its pairs of words and the targets of its links are those of few pages; a menu
+  whose entries vary, or a footer with a counter, shares nearly all of them and is not;
 * composite: with l children on average, ``(1 - g ** l)`` of an element's own importance and ``g ** l`` of its children's,
   each weighted by how often and beside how many others it stands.
 
@@ -57,7 +58,8 @@ INLINE = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("annotation annotation-xml iframe noembed noframes noscript script style svg template textarea title xmp".split())
-NOISE_TAGS = frozenset("aside button dialog fieldset footer form menu nav object select".split())
+NOISE_TAGS = frozenset("aside audio button canvas dialog fieldset footer form menu nav object select video".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES_P = frozenset(
     """address article aside blockquote center details dialog div dl dd dt fieldset figcaption figure footer form h1 h2 h3
     h4 h5 h6 header hr li main menu nav ol p pre section summary table ul""".split()
@@ -77,15 +79,15 @@ PLAIN = frozenset(
 )
 NOISE_ROLES = frozenset("alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 NOISE_WORDS = frozenset(
-    """ad ads adsense advert advertisement advertising adverts banner breadcrumb breadcrumbs captcha comment commentlist
+    """ad adbox ads adsense advert advertisement advertising adverts alert alerts banner breadcrumb breadcrumbs captcha comment commentlist
     comments consent cookie cookies copyright disqus footer gdpr login masthead menu menus modal nav navbar navigation
     newsletter notice notices overlay pager pagination popup promo promoted promotion recommended related replies reply
-    respond share sharing sidebar signup skip social sponsor sponsored subscribe subscription toast toolbar widget
-    widgets""".split()
+    respond share sharing sidebar signup skip social sponsor sponsored subscribe subscription toast toolbar
+    usercomments widget widgets""".split()
 )
 
 TOKEN = re.compile(r"<!--(?s:.*?)(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>[^>=]|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*+)>?|<[!?/][^>]*>?")
-ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")  # its value is consumed with it
 WORDS = re.compile(r"[a-z]+")
 DIGITS = re.compile(r"\d+")
 
@@ -101,10 +103,12 @@ def named(tag: str, attributes: str, inside: bool) -> tuple[str, bool, int]:
     marks, says = [], 0
     for kind, *values in ATTRIBUTE.findall(attributes):
         kind, value = kind.lower(), next(filter(None, values), "").lower()
+        if kind not in ("class", "id", "role", "style", "hidden", "aria-hidden"):
+            continue
         if kind in ("class", "id"):
             # "/" parts the names of a way; a space is in no class or id
             marks += sorted(("#" if kind == "id" else ".") + DIGITS.sub("0", v).replace("/", " ") for v in value.split())
-            if tag not in ("html", "body", "main"):
+            if tag not in ("html", "body", "main") and not (kind == "id" and tag in HEADINGS):  # there an id is an anchor
                 for words in (WORDS.findall(v) for v in value.split() if not re.match(r"(has|with|no|is)[-_]", v)):
                     bad = [w in NOISE_WORDS or w == "header" and not inside for w in words]
                     says = max(says, 2 if bad and all(bad) else 1 if any(bad) else 0)
@@ -141,6 +145,8 @@ class Page:
         # (tag, element, depth, noise, part, home, inner, plain) from the root down
         self.stack: list[tuple[str, str, int, bool, str, int, bool, bool]] = [("", "", 0, False, "", 0, False, True)]
         self.held: list[str] = []
+        self.targets: list[str] = []  # of the links of the open block
+        self.features: dict[str, set[str]] = {}  # pairs of words, and targets of links, of each text
         self.hidden: list[str] = []  # open inline elements that say noise
         at = 0
         while True:
@@ -178,6 +184,10 @@ class Page:
                 if home and plain:
                     self.protected.add(own)
                 self.blocks.append((own, text, noise, part, home, inner))
+                words = text.lower().split()
+                pairs = [" ".join(p) for p in zip(words, words[1:], strict=False)]
+                self.features.setdefault(own, set()).update(pairs or words, self.targets)
+            self.targets = []
 
     def place(self, parent: str, name: str, depth: int) -> str:
         """The element of that name in its parent, noted."""
@@ -191,6 +201,8 @@ class Page:
         if tag in INLINE:
             if tag not in VOID and any(named(tag, attributes, bool(self.stack[-1][5]))[1:]):
                 self.hidden.append(tag)
+            if tag == "a":
+                self.targets += [" " + next(filter(None, v), "") for k, *v in ATTRIBUTE.findall(attributes) if k.lower() == "href"]
             return
         self.flush()
         if tag in VOID:
@@ -286,6 +298,11 @@ class Page:
         return {"", *best[1]} if best[0] > size[""] + PRIOR else {""}
 
 
+def hashed(feature: str) -> int:
+    data = feature.encode("utf-8", "surrogatepass")
+    return zlib.crc32(data) | zlib.crc32(data, 77) << 31
+
+
 def with_host(pages: DataFrame) -> DataFrame:
     """page_id, url, html, host and a hash of the html, by which copies of a page are told."""
     host = F.regexp_extract(F.lower(F.col("url").cast("string")), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
@@ -294,7 +311,10 @@ def with_host(pages: DataFrame) -> DataFrame:
 
 
 def elements(pages: DataFrame) -> DataFrame:
-    """One row for every element of every page: its style, its share among its siblings and the hashes of its blocks."""
+    """One row for every element of every page: its style, its share among its siblings and the hashes of its features.
+
+    Features of an element whose name decides are not needed.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -303,11 +323,7 @@ def elements(pages: DataFrame) -> DataFrame:
                 rows = []
                 for host, digest, html in zip(*(x[first : first + 64] for x in (hosts, digests, htmls)), strict=True):
                     page = Page(html)
-                    found: dict[str, set[int]] = {}
                     asks = page.asks()
-                    for element, text, *_ in page.blocks:
-                        data = text.encode("utf-8", "surrogatepass")
-                        found.setdefault(element, set()).add(zlib.crc32(data) | zlib.crc32(data, 77) << 31)
                     for element, (parent, depth) in page.places.items():
                         own = sorted(page.children[element])
                         style = zlib.crc32("\n".join(own).encode("utf-8", "surrogatepass"))
@@ -324,20 +340,20 @@ def elements(pages: DataFrame) -> DataFrame:
                                 "share": 1 / len(page.children[parent]),
                                 "named": named_as,
                                 "asks": asks,
-                                "blocks": sorted(found.get(element, ())),
+                                "features": [] if named_as else sorted(map(hashed, page.features.get(element, ()))),
                             }
                         )
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=ELEMENTS)
 
     schema = "host string, page long, element string, parent string, depth int, style long, n_children int,"
-    return map_batches(pages.select("host", "page", "html"), run, f"{schema} share double, named int, asks boolean, blocks array<long>")
+    return map_batches(pages.select("host", "page", "html"), run, f"{schema} share double, named int, asks boolean, features array<long>")
 
 
 ELEMENTS = pa.schema(
     [("host", pa.string()), ("page", pa.int64()), ("element", pa.string()), ("parent", pa.string())]
     + [("depth", pa.int32()), ("style", pa.int64()), ("n_children", pa.int32()), ("share", pa.float64())]
-    + [("named", pa.int32()), ("asks", pa.bool_()), ("blocks", pa.list_(pa.int64()))]
+    + [("named", pa.int32()), ("asks", pa.bool_()), ("features", pa.list_(pa.int64()))]
 )
 
 
@@ -355,9 +371,9 @@ def style_tree(found: DataFrame) -> DataFrame:
     )
     styles = pages.groupBy(*node, "style").agg(F.count("*").alias("c"))
     styles = styles.groupBy(*node).agg(F.sum(F.col("c") * F.ln("c")).alias("c_ln_c"))
-    blocks = pages.select(*node, F.explode("blocks").alias("block")).groupBy(*node, "block").agg(F.count("*").alias("c"))
-    blocks = blocks.groupBy(*node).agg(F.avg(F.ln("c")).alias("ln_c"))
-    tree = sizes.join(styles, node).join(blocks, node, "left")
+    shown = pages.select(*node, F.explode("features").alias("feature")).groupBy(*node, "feature").agg(F.count("*").alias("c"))
+    shown = shown.groupBy(*node).agg((F.sum(F.col("c") * F.ln("c")) / F.sum("c")).alias("ln_c"))  # as often as pages show it
+    tree = sizes.join(styles, node).join(shown, node, "left")
     logs, m = F.ln("pages"), F.col("pages")
     presentation = F.when(m <= 1, 1.0).otherwise((logs - F.col("c_ln_c") / m) / logs)  # the entropy to the base of pages
     content = F.when(m <= 1, 1.0).otherwise(1 - F.col("ln_c") / logs)

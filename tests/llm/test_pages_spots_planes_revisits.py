@@ -185,8 +185,8 @@ def test_importance_is_entropy(spark):
     frame = spark.createDataFrame(pages, "host string, page long, html string")
     tree = {r.element: r for r in sy.style_tree(sy.elements(frame)).collect()}
     assert tree["/div"].pages == 8 and tree["/ul"].pages == 4 and abs(tree["/div"].own) < 1e-12
-    text = tree["/div/p/#text"].own  # one block on 4 pages, four on one page each
-    assert abs(text - (1 - (np.log(4) + 0) / 5 / np.log(8))) < 1e-9
+    text = tree["/div/p/#text"].own  # one word on 4 pages, four on one page each
+    assert abs(text - (1 - 4 * np.log(4) / 8 / np.log(8))) < 1e-9
     assert abs(tree["/ul/li/#text"].own) < 1e-9
     assert abs(tree["/div"].share - (4 * 1 + 4 * 0.5) / 8) < 1e-9
 
