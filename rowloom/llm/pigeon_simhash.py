@@ -12,9 +12,12 @@ the last budget. Two fingerprints that are linked always meet under some key; no
 Only distinct fingerprints are compared, so copies never make pairs. Classes come from smallest labels that spread over
 the links and jump along them; each round is written to the shared folder. No link or class reaches the driver.
 
+``one_of_each`` joins classes further: texts whose five-word shingles are alike (0.8 and more) may differ in more bits than
+any equal segments can tell, so they are found by min-hash bands, and chains over fingerprints of their words prune them.
+
 Defined results: null and empty texts have no words and the fingerprint zero, which links like any other; texts shorter
 than a shingle hash their whole sequence. Rows without ``doc_id`` get the class of their fingerprint, or null if no row
-with an id is in it. Repeated rows are returned as often as they stand. Extra columns are ignored.
+with an id is in it; they link others like any row. Repeated rows are returned as often as they stand. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,13 +27,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowloom.llm.common import map_batches, stored, texts
 
 SHINGLE, SEED, MAX_BITS = 3, 42, 2
 SEGMENTS, SEGMENT_BITS = 4, 16
+SIMILARITY, COPY_SHINGLE, COPY_BITS = 0.8, 5, 14
+BANDS, BAND_ROWS, SKETCH, SLOTS = 8, 3, 256, 64
 
 
 def fingerprint(text: str, width: int = SHINGLE) -> int:
@@ -50,17 +55,19 @@ def fingerprint(text: str, width: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
-    """doc_id and the 64 bits of its text as a long."""
+def fingerprints(docs: DataFrame, width: int = SHINGLE, text_hash: bool = False) -> DataFrame:
+    """doc_id and the 64 bits of its text as a long; with ``text_hash`` a hash of the text as own_text, too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bits = [fingerprint(t, width) for _, part in texts(batch.column(1)) for t in part]
             signed = np.array(bits, dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signed)], names=["doc_id", "bits"])
+            columns = [batch.column(0), pa.array(signed), *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "bits", "own_text"][: len(columns)])
 
-    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return map_batches(picked, run, "doc_id long, bits long")
+    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                         *[own_text().alias("own_text")] * text_hash)
+    return map_batches(picked, run, "doc_id long, bits long" + ", own_text long" * text_hash)
 
 
 def segment(bits: Column, i: int) -> Column:
@@ -130,21 +137,143 @@ def components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
             return rest.select("bits", F.col("label").alias("root")).unionByName(state.select("bits", "root"))
 
 
+def classes(bits: DataFrame, edges: DataFrame) -> DataFrame:
+    """``bits`` (one column, distinct) with the ``root`` of each: the least fingerprint of its class."""
+    return components(bits.select("bits", F.col("bits").alias("label")), edges)
+
+
 def near_duplicates(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits) and component_id of every row."""
     marked = stored(fingerprints(docs, width), "simhash-bits")
-    vertices = stored(marked.groupBy("bits").agg(F.min("doc_id").alias("label")), "simhash-distinct")
-    known = vertices.filter("label IS NOT NULL")
-    classes = components(known, stored(links(known.select("bits")), "simhash-links"))
-    found = marked.join(classes.withColumnRenamed("root", "component_id"), "bits", "left")
+    named = classed(marked)
     digits = F.lpad(F.lower(F.hex("bits")), 16, "0")
-    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+    return named.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+def classed(marked: DataFrame, more: DataFrame | None = None) -> DataFrame:
+    """``marked`` (stored, with doc_id and bits) with the root and the component_id of its class.
+
+    ``more`` are links (a, b) of fingerprints besides those of few bits.
+    """
+    least = stored(marked.groupBy("bits").agg(F.min("doc_id").alias("least")), "simhash-distinct")
+    edges = links(least.select("bits"))
+    edges = stored(edges if more is None else edges.unionByName(more).distinct(), "simhash-links")
+    rooted = stored(least.join(classes(least.select("bits"), edges), "bits"), "simhash-rooted")
+    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return marked.join(rooted.select("bits", "root").join(ids, "root"), "bits")
+
 
+def one_of_each(docs: DataFrame, similarity: float | None = SIMILARITY) -> DataFrame:
+    """One row of ``docs`` of each class: the smallest doc_id, of rows with that id the least text; rows without an id stay.
 
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stand for their class: the smallest doc_id of each, once; rows without an id stay."""
+    Classes are those of ``near_duplicates``, joined where texts are ``similarity`` alike or more (``near_copies``).
+    """
     names = docs.columns
-    kept = near_duplicates(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    rows = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("doc"), F.col("doc_id").alias("own_id"))
-    chosen = rows.join(kept, F.col("own_id") == F.col("kept_id"), "left_semi").dropDuplicates(["own_id"])
+    rows = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("doc"), F.col("doc_id").cast("long").alias("own_id"),
+                       own_text().alias("own_text"))
+    marked = stored(fingerprints(docs, text_hash=True), "simhash-bits")
+    more = None if similarity is None else near_copies(docs, marked, similarity)
+    first = F.min(F.struct("doc_id", "own_text")).alias("first")
+    kept = classed(marked, more).filter("doc_id IS NOT NULL").groupBy("root").agg(first).select("first.*")
+    kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("own_text").alias("kept_text"))
+    chosen = rows.join(kept, (F.col("own_id") == F.col("kept_id")) & (F.col("own_text") == F.col("kept_text")), "left_semi")
+    chosen = chosen.dropDuplicates(["own_id", "own_text"])
     return chosen.unionByName(rows.filter("own_id IS NULL")).select("doc.*")
+
+
+def own_text() -> Column:
+    """A hash that tells texts apart."""
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
+def sketches(docs: DataFrame) -> DataFrame:
+    """own_text of every distinct text, the fingerprint of its set of words, its least shingle hashes and its band keys.
+
+    Shingles have ``COPY_SHINGLE`` words. Of each permutation of their hashes the least one is taken, and ``BAND_ROWS`` of
+    them make a key.
+    """
+    odd = np.random.default_rng(SEED).integers(1, 2**62, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, part in texts(batch.column(1)):
+                bits, least, keys = [], [], []
+                for text in part:
+                    words = text.encode().lower().split()
+                    bits.append(fingerprint(b" ".join(set(words)).decode("utf-8", "replace"), 1))
+                    grams = zip(*(words[i:] for i in range(COPY_SHINGLE)), strict=False)
+                    hashes = np.unique(np.array([xxhash.xxh64_intdigest(b" ".join(g), SEED) for g in grams], np.uint64))
+                    if not len(hashes):
+                        hashes = np.array([xxhash.xxh64_intdigest(b" ".join(words), SEED)], np.uint64)
+                    least.append(hashes[:SKETCH].astype("<u8").tobytes())
+                    lowest = [int(((hashes * m) ^ (hashes * m) >> np.uint64(29)).min()) for m in odd]
+                    bands = [lowest[i : i + BAND_ROWS] for i in range(0, len(lowest), BAND_ROWS)]
+                    keys.append([xxhash.xxh64_intdigest(repr((n, b))) - 2**63 for n, b in enumerate(bands)])
+                signed = pa.array(np.array(bits, np.uint64).view(np.int64))
+                arrays = [batch.column(0).slice(start, len(part)), signed, pa.array(least, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(arrays, names=["own_text", "words", "least", "keys"])
+
+    distinct = docs.select(own_text().alias("own_text"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return map_batches(distinct, run, "own_text long, words long, least binary, keys array<long>")
+
+
+def chains(a: Column, b: Column, most: int, segments: int = 8) -> Column:
+    """Whether from some segment on all chains of neighbouring segments keep to their share of ``most`` differing bits."""
+    width = 64 // segments
+    changed, some = a.bitwiseXOR(b), F.lit(False)
+    part = [F.bit_count(F.shiftrightunsigned(changed, width * i).bitwiseAND(F.lit(2**width - 1))) for i in range(segments)]
+    for first in range(segments):
+        total, within = F.lit(0), F.lit(True)
+        for length in range(1, segments + 1):
+            total = total + part[(first + length - 1) % segments]
+            within &= total * segments <= most * length
+        some |= within
+    return some
+
+
+def near_copies(docs: DataFrame, marked: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) of the fingerprints of texts whose sets of five-word shingles are alike.
+
+    Texts meet under equal band keys. Within a key each text meets the first one and its neighbour by words and number, so a
+    group of n copies makes at most 2 n pairs. Pigeonring chains over the fingerprints of their words, with a budget of
+    ``COPY_BITS`` bits, prune the pairs; what is left is compared by the ``SKETCH`` least shingle hashes of both, which is
+    the exact similarity of texts with no more shingles than that.
+    """
+    own = stored(sketches(docs).dropDuplicates(["own_text"]), "simhash-sketches")
+    met = own.select(F.explode("keys").alias("key"), F.struct("words", "own_text").alias("one"))
+    met = stored(met, "simhash-bands")
+    first = met.groupBy("key").agg(F.min("one").alias("other"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    leading = met.join(first, "key").filter("one > other").select("one", "other")
+    sides = first.select("key")
+    ranked = Window.partitionBy("key", "slot").orderBy("one")
+    slot = F.pmod(F.xxhash64("one.own_text"), F.lit(SLOTS)).alias("slot")  # a large group is many small windows
+    beside = met.join(sides, "key", "left_semi").select("key", "one", slot)
+    beside = beside.select("one", F.lag("one").over(ranked).alias("other")).filter("other IS NOT NULL")
+    pairs = leading.unionByName(beside).distinct()
+    pairs = pairs.filter(chains(F.col("one.words"), F.col("other.words"), COPY_BITS))
+    pairs = pairs.filter(F.bit_count(F.col("one.words").bitwiseXOR(F.col("other.words"))) <= COPY_BITS)
+    pairs = stored(pairs.select(F.col("one.own_text").alias("x"), F.col("other.own_text").alias("y")), "simhash-pairs")
+    held = own.select(F.col("own_text").alias("x"), F.col("least").alias("x_least"))
+    other = own.select(F.col("own_text").alias("y"), F.col("least").alias("y_least"))
+    both = pairs.join(held, "x").join(other, "y").select("x", "y", "x_least", "y_least")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            alike = [jaccard(a, b) >= similarity for a, b in zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True)]
+            yield batch.select([0, 1]).filter(pa.array(alike, pa.bool_()))
+
+    linked = map_batches(both, run, "x long, y long")
+    bits = stored(marked.groupBy("own_text").agg(F.min("bits").alias("bits")), "simhash-of-texts")
+    for side, name in (("x", "a"), ("y", "b")):
+        linked = linked.join(bits.select(F.col("own_text").alias(side), F.col("bits").alias(name)), side)
+    return linked.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def jaccard(a: bytes, b: bytes) -> float:
+    """The similarity of two sets by the least hashes of each: exact where neither has more than ``SKETCH``."""
+    x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
+    union = np.union1d(x, y)
+    if len(x) >= SKETCH or len(y) >= SKETCH:  # below the lesser of both ends all of both sets is known
+        ends = [s[-1] for s in (x, y) if len(s) >= SKETCH]
+        union = union[union <= min(ends)]
+    return len(np.intersect1d(np.intersect1d(x, y), union)) / len(union)

@@ -13,7 +13,7 @@ response of the ranges before.
 Defined results: one row per revisit. Outcomes are "resolved", "no_earlier_response" (also for records without an address or
 time), "no_validator" (the revisit has none, or none that the response has) and "validator_mismatch". A response at the same
 time is not earlier. Of responses at one time the one with the greatest record_id counts. Repeated revisits are resolved
-alike. Header names are compared in lower case; of names that differ in case alone the smallest spelling counts. Null headers
+alike. Times are numbers, timestamps, dates, or texts of these; other texts are no time. Header names are compared in lower case; of names that differ in case alone the smallest spelling counts. Null headers
 are none. Extra columns are ignored unless named in ``carried``.
 """
 
@@ -61,6 +61,20 @@ def merged_headers(old: Column, new: Column) -> Column:
     return F.map_concat(kept, renewed)
 
 
+def moment(records: DataFrame, name: str) -> Column:
+    """A time as a number that rises with it: numbers as they are, timestamps, dates and their texts in seconds.
+
+    Texts are numbers or dates as archives write them (2024-01-01T00:00:00Z); a text that is neither is no time.
+    """
+    kind, value = dict(records.dtypes)[name], F.col(f"`{name}`")
+    if kind == "string":
+        trimmed = F.trim(value)
+        return F.coalesce(trimmed.try_cast("double"), F.unix_micros(trimmed.try_cast("timestamp")) / 1e6)
+    if kind in ("date", "timestamp", "timestamp_ntz"):
+        return F.unix_micros(value.cast("timestamp")) / 1e6
+    return value.cast("double")
+
+
 def resolve_revisits(records: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
     """record_id, canonical_url, captured, outcome, refers_to, headers and the response's ``carried`` columns."""
     parts = shuffle_parts(records.sparkSession)
@@ -79,8 +93,7 @@ def resolve_revisits(records: DataFrame, carried: tuple[str, ...] = ()) -> DataF
             *[F.col(f"`{c}`").alias(c) for c in carried],
         ).alias("own"),
     ).filter("revisit OR full")
-    place = F.col("captured").cast("double") if dict(records.dtypes)["captured"] != "string" else F.col("captured")
-    rows = stored(rows.withColumn("place", place), "revisit-rows")
+    rows = stored(rows.withColumn("place", moment(records, "captured")), "revisit-rows")
     known = rows.filter("canonical_url IS NOT NULL AND place IS NOT NULL")
     known = with_bucket(known, "place", cut_points(known, "place", parts), "bucket")
     response = F.when(F.col("full"), F.col("own"))
