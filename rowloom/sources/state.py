@@ -19,6 +19,7 @@ from rowloom.functions.text import state_key
 from rowloom.model import DEFAULT_STATE_TTL_SECONDS, GLOBAL_KEY
 from rowloom.operators.mappers import Write, map_custom
 from rowloom.sources.cells import CellStore
+from rowloom.sources.commits import in_ranges
 from rowloom.sources.log import BatchLog
 from rowloom.sources.merges import Declared, members
 
@@ -161,6 +162,17 @@ class StateStore:
             state = state.where(F.col("write_ts") + ttl > as_of)
         return state.select("key", *[a.finished(name).alias(name) for name, a in self.aggregates.items()])
 
+    def without(self, keys: DataFrame, batch_id: int, writer: str = "main") -> DataFrame:
+        """The state of some keys (distinct, in a column ``key``) without one batch, which may have been written before.
+
+        For an open batch: what a snapshot has taken in cannot be told apart any more.
+        """
+        if in_ranges(self.log.state().covered, writer, batch_id):
+            raise ValueError(f"batch {batch_id} of {writer!r} is part of a snapshot")
+        narrow = lambda rows: rows.join(keys, "key", "left_semi")
+        state = self.log.folded(self._merge, ["key"], narrow, skip=[(writer, batch_id)])
+        return state.select("key", *[a.finished(name).alias(name) for name, a in self.aggregates.items()])
+
     def history(self) -> DataFrame:
         """Each key's value, the id of the last batch that touched it, and the value before that batch (``prev_*``)."""
         found = self._merge_with_prev(self.log.read())

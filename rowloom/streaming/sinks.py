@@ -9,15 +9,21 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from rowloom.functions.text import state_key
+from rowloom.operators.aggregate import running_count
 from rowloom.operators.mappers import Write, map_default
 from rowloom.operators.rejects import EMPTY, IGNORE, REASON, REJECT, ErrorPolicy, with_reason
 from rowloom.sources.cells import CellStore, CounterStore, Mapper
-from rowloom.sources.state import StateStore
+from rowloom.plans.skew import SkewOptions, skew_join
+from rowloom.sources.log import BatchLog
+from rowloom.sources.state import Aggregate, StateOptions, StateStore
 
 Batch = Callable[[DataFrame, int], None]
 log = logging.getLogger(__name__)
@@ -154,3 +160,39 @@ def put_running_count(stream: DataFrame, key: str, store: CellStore, table: str,
     counts = running_count_stream(stream, key).writeStream.outputMode("update").foreachBatch(handle)
     counts = counts.option("checkpointLocation", checkpoint)
     return (counts.trigger(availableNow=True) if available_now else counts).start()
+
+
+def running_rows(stream: DataFrame, key: str, order: str, root: str, checkpoint: str, name: str = "count",
+                 writer: str = "main", options: SkewOptions | None = None, available_now: bool = True) -> RunningRows:
+    """Every row of a stream with the number of rows of its key so far, as ``running_count`` gives it for a table.
+
+    Rows count in the order of their micro-batches and, inside one, by ``order``.  A batch is counted by itself and raised by
+    the counts of the batches before it, of which only those of its keys are read.  The answers and the counts of a batch
+    replace those of an earlier attempt, and the earlier attempt is never counted, so a replay leaves the same rows.
+    """
+    spark = stream.sparkSession
+    rows = BatchLog(spark, f"{root}/rows", T.StructType([*stream.schema, T.StructField(name, T.LongType())]))
+    counts = StateStore(spark, root, [key], {"n": Aggregate("count")}, StateOptions(ttl_seconds=None, table="counts"))
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            own = running_count(batch, key, order, options, "__own").withColumn("key", state_key(key))
+            before = counts.without(own.select("key").distinct(), batch_id, writer)
+            found = skew_join(own, before, ["key"], "left", options, unique_right=True)
+            total = (F.col("__own") + F.coalesce("n", F.lit(0))).alias(name)
+            rows.append(found.select(*batch.columns, total), batch_id, writer)
+            counts.update(batch, batch_id, F.lit("1970-01-01").cast("timestamp_ntz"), writer)
+        finally:
+            batch.unpersist()
+
+    return RunningRows(rows, counts, each_batch(stream, handle, checkpoint, available_now))
+
+
+@dataclass(frozen=True)
+class RunningRows:
+    """The answers of ``running_rows``, the counts behind them, and the running query."""
+
+    rows: BatchLog
+    counts: StateStore
+    query: StreamingQuery

@@ -9,7 +9,14 @@ from rowloom.operators import ErrorPolicy, Write, lookup_row, map_counter, map_d
 from rowloom.session import shared_dir
 from rowloom.sources import Aggregate, BatchLog, CellStore, CounterStore, StateOptions, StateStore
 from rowloom.sources.streams import file_stream
-from rowloom.streaming import increment_stream, lookup_stream, put_running_count, put_stream, state_stream
+from rowloom.streaming import (
+    increment_stream,
+    lookup_stream,
+    put_running_count,
+    put_stream,
+    running_rows,
+    state_stream,
+)
 from rowloom.suite.lookups import CUSTOMER, CUSTOMER_CELLS, FOUND, ORDER_REQUESTS
 from rowloom.suite.registry import SQL, query
 from rowloom.suite.writes import LATEST_EVENT, event_cells, shown
@@ -117,6 +124,27 @@ def stream_running_count(t):
     return shown(store.cells(table="users"))
 
 
+def arriving(t, name, order):
+    """A given table as a stream of four micro-batches of two files, laid out one after the other in ascending order."""
+    folder, table = shared_dir(t.spark, f"arriving-{name}"), getattr(t, name)
+    cuts = [None, *table.agg(F.percentile_approx(order, [0.25, 0.5, 0.75])).first()[0], None]
+    for low, high in zip(cuts, cuts[1:]):
+        above = F.lit(True) if low is None else F.col(order) > low
+        upto = F.lit(True) if high is None else F.col(order) <= high
+        table.where(above & upto).repartition(2).write.mode("append").parquet(folder)
+    return file_stream(t.spark, folder, table.schema, max_files=2)
+
+
+@query(SQL["running_count"])
+def stream_running_rows(t):
+    """Every event as it comes, with the number of its user's events so far; the batches are counted on a running state."""
+    root = shared_dir(t.spark, "stream-running-rows")
+    events = arriving(t, "events", "event_id").select("event_id", "user_id")
+    found = running_rows(events, "user_id", "event_id", root, f"{root}/checkpoint", "seen")
+    found.query.awaitTermination()
+    return found.rows.read().select("event_id", "user_id", "seen")
+
+
 @query(SQL["global_count"])
 def stream_global_count(t):
     root = shared_dir(t.spark, "stream-global")
