@@ -8,7 +8,8 @@ before the join, so they reach the scan.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowloom.functions.composite import in_composite_range
-from rowloom.plans.skew import SkewOptions, skew_join
+from rowloom.plans.skew import SkewOptions, fits_broadcast, heavy_keys, key_hash, skew_join, stored
 
 
 UNSET = object()
@@ -76,15 +77,76 @@ def lookup_range(requests: DataFrame, cells: DataFrame, start=UNSET, end=UNSET,
     composite names are given by their parts, see ``in_composite_range``.
     """
     if start is not UNSET or end is not UNSET:
-        if start in (UNSET, None) or end in (UNSET, None):
+        if any(bound is UNSET or bound is None for bound in (start, end)):
             inside = F.lit(False)
         elif _parts(cells) is not None:
             inside = composite_bounds(cells, start, end)
         else:
             inside = F.col("column_name").between(start, end)
         return skew_join(requests, cells.where(inside), ["row_key"], options=options)
-    found = skew_join(requests.where("start is not null and end is not null"), cells, ["row_key"], options=options)
-    return found.where(_bounded(cells))
+    return _in_bounds(requests.where("start is not null and end is not null"), cells, options)
+
+
+def _wide_rows(cells: DataFrame, options: SkewOptions) -> dict[int, int]:
+    """Hashes of the row keys of wide rows and their numbers of salts; none are looked for where cells are few."""
+    keys = cells if options.right_keys is None else options.right_keys
+    return {} if not options.always and fits_broadcast(keys) else heavy_keys(keys, ["row_key"], options)
+
+
+def _in_bounds(requests: DataFrame, cells: DataFrame, options: SkewOptions | None) -> DataFrame:
+    """The columns within the bounds that each request brings.
+
+    A request meets all columns of its row, unless that is a wide one: then it meets only those near its bounds.
+    """
+    options = options or SkewOptions()
+    wide = _wide_rows(cells, options)
+    if not wide:
+        return skew_join(requests, cells, ["row_key"], options=options).where(_bounded(cells))
+    is_wide, own = key_hash(["row_key"]).isin(list(wide)), replace(options, left_keys=None, right_keys=None)
+    narrow = skew_join(requests.where(~is_wide), cells.where(~is_wide), ["row_key"], options=own).where(_bounded(cells))
+    near = _near_prefix if _parts(cells) is not None else _near_range
+    return narrow.unionByName(near(requests.where(is_wide), cells.where(is_wide), wide, own))
+
+
+def _near_range(requests: DataFrame, cells: DataFrame, wide: Mapping[int, int], options: SkewOptions) -> DataFrame:
+    """Bounds on single names in wide rows, by ranges of names.
+
+    Cells are cut along (row key, name) into ranges of like size, whose first and last names are few rows.  A request is
+    copied to the ranges that its bounds touch and meets only their cells: what it is compared with is what it gets, and
+    the rest of the ranges at both ends.
+    """
+    ranges = min(4096, max(16, sum(wide.values())))
+    cut = cells.repartitionByRange(ranges, "row_key", "column_name").withColumn("__range", F.spark_partition_id())
+    cut = stored(cut)  # the numbers hold for this cut alone
+    spans = cut.groupBy("row_key", "__range").agg(F.min("column_name").alias("__low"), F.max("column_name").alias("__high"))
+    touched = skew_join(requests, spans, ["row_key"], options=options)
+    touched = touched.where((F.col("__low") <= F.col("end")) & (F.col("__high") >= F.col("start"))).drop("__low", "__high")
+    found = skew_join(touched, cut, ["row_key", "__range"], options=options)
+    return found.where(_bounded(cells)).drop("__range")
+
+
+def _near_prefix(requests: DataFrame, cells: DataFrame, wide: Mapping[int, int], options: SkewOptions) -> DataFrame:
+    """Bounds on composite names in wide rows, by the parts that must be equal.
+
+    All counted parts but the last must equal those of ``start``, so requests with the same of them counted are joined on
+    the row key and these parts, once for each set of parts.
+    """
+    parts = _parts(cells)
+    given = [F.col("start")[p].isNotNull() & F.col("end")[p].isNotNull() for p in parts]
+    later = [reduce(Column.__or__, given[i + 1 :], F.lit(False)) for i in range(len(parts))]
+    equal = F.concat_ws(",", *[F.when(g & after, F.lit(p)) for p, g, after in zip(parts, given, later)])
+    requests, found = requests.withColumn("__equal", equal), []
+    for r in requests.select("__equal").distinct().collect():  # sets of parts: a handful
+        same = [p for p in parts if p in r[0].split(",")]
+        names = [f"__part_{p}" for p in same]
+        asked = requests.where(F.col("__equal") == r[0]).drop("__equal")
+        asked = asked.withColumns({n: F.col("start")[p] for n, p in zip(names, same)})
+        held = cells.withColumns({n: F.col("column_name")[p] for n, p in zip(names, same)})
+        joined = skew_join(asked, held, ["row_key", *names], options=options).where(_bounded(cells)).drop(*names)
+        found.append(joined)
+    if not found:
+        return skew_join(requests.drop("__equal"), cells, ["row_key"], options=options).where(_bounded(cells))
+    return reduce(DataFrame.unionByName, found)
 
 
 def composite_bounds(cells: DataFrame, start: Sequence, end: Sequence) -> Column:
@@ -105,9 +167,7 @@ def lookup_composite_range(requests: DataFrame, cells: DataFrame, start: Sequenc
     """
     if start is not None and end is not None:
         return skew_join(requests, cells.where(composite_bounds(cells, start, end)), ["row_key"], options=options)
-    parts = cells.schema["column_name"].dataType.fieldNames()
-    found = skew_join(requests, cells, ["row_key"], options=options)
-    return found.where(in_composite_range(F.col("column_name"), F.col("start"), F.col("end"), parts))
+    return _in_bounds(requests.where("start is not null and end is not null"), cells, options)
 
 
 def lookup_composite_slice(requests: DataFrame, cells: DataFrame, names: Sequence[Sequence] | None = None,
@@ -137,10 +197,15 @@ def lookup_dispatch(requests: DataFrame, cells: DataFrame, options: SkewOptions
     if has_slice:
         sliced = lookup_slice(requests.where("slice IS NOT NULL"), cells, options=options)
         requests = requests.where("slice IS NULL")
-    found = skew_join(requests, cells, ["row_key"], options=options)
-    if has_range:
-        bounded = F.col("start").isNotNull() & F.col("end").isNotNull()
-        found = found.where(F.when(bounded, _bounded(cells)).otherwise(F.lit(True)))
+    options = options or SkewOptions()
+    bounded = F.col("start").isNotNull() & F.col("end").isNotNull() if has_range else F.lit(False)
+    if has_range and _wide_rows(cells, options):
+        whole = skew_join(requests.where(~bounded), cells, ["row_key"], options=options)
+        found = whole.unionByName(_in_bounds(requests.where(bounded), cells, options))
+    else:
+        found = skew_join(requests, cells, ["row_key"], options=options)
+        if has_range:
+            found = found.where(F.when(bounded, _bounded(cells)).otherwise(F.lit(True)))
     return reduce(DataFrame.unionByName, [x for x in (found, sliced) if x is not None])
 
 

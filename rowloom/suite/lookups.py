@@ -226,6 +226,20 @@ def name_and_segment(t):
     return columns_to_row(found, "id", {"c_name": "name", "c_mktsegment": "segment", "c_absent": "absent"})
 
 
+@query("""WITH cells AS (SELECT l_returnflag AS row_key, l_orderkey AS column_name, max(l_partkey) AS value FROM lineitem GROUP BY 1, 2)
+    SELECT o_orderkey AS id, c.* FROM orders JOIN cells c ON row_key = CASE o_orderstatus WHEN 'F' THEN 'R' ELSE 'N' END
+        AND column_name BETWEEN o_orderkey AND o_orderkey + 30""")
+def lookup_range_wide_row(t):
+    """Three rows hold all lines; every order asks for a short range of one of them, and meets little more than that."""
+    wide = t.lineitem.groupBy(F.col("l_returnflag").alias("row_key"), F.col("l_orderkey").alias("column_name"))
+    cells = wide.agg(F.max("l_partkey").alias("value"))
+    row = F.when(F.col("o_orderstatus") == "F", "R").otherwise("N")
+    asked = t.orders.select(F.col("o_orderkey").alias("id"), row.alias("row_key"), F.col("o_orderkey").alias("start"),
+                            (F.col("o_orderkey") + 30).alias("end"))
+    options = SkewOptions(min_rows=1000, share=1 / 100, always=True)
+    return lookup_range(asked, cells, options=options).select("id", "row_key", "column_name", "value")
+
+
 REACH_EDGES = """
     sharers AS (SELECT DISTINCT l_orderkey AS url, l_partkey AS source FROM lineitem),
     followers AS (SELECT DISTINCT l_partkey AS source, l_suppkey AS follower FROM lineitem)"""

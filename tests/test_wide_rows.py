@@ -1,0 +1,90 @@
+"""Ranges of names in wide rows, per request: the same answers, and few comparisons."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from rowloom.functions import composite
+from rowloom.operators import lookup, lookup_composite_range, lookup_dispatch, lookup_range
+from rowloom.plans import SkewOptions
+from tests.util import plan, rows
+
+WIDE = SkewOptions(min_rows=50, share=0.01, always=True)
+PLAIN = SkewOptions(min_rows=10**9)
+
+
+@pytest.fixture(scope="module")
+def cells(spark):
+    """One wide row, one less wide, and narrow ones."""
+    data = [("hot", f"{i:05d}", str(i)) for i in range(4000)] + [("warm", f"{i:03d}", "w") for i in range(200)]
+    data += [(f"k{i}", n, "k") for i in range(30) for n in ("00010", "00020")]
+    return spark.createDataFrame(data, "row_key string, column_name string, value string").repartition(5)
+
+
+def asked(spark, n=60):
+    pick, data = random.Random(4), []
+    for i in range(n):
+        low = pick.randrange(4000)
+        data.append((i, pick.choice(["hot", "hot", "warm", "k3", "absent"]), f"{low:05d}", f"{low + pick.randrange(-3, 12):05d}"))
+    data += [(900, "hot", None, "9"), (901, "hot", "0", None), (902, None, "0", "9"), (903, "hot", "00005", "00005"), (904, "hot", "", "~")]
+    return spark.createDataFrame(data, "id int, row_key string, start string, end string")
+
+
+def test_the_same_answers(spark, cells):
+    requests = asked(spark)
+    found = lookup_range(requests, cells, options=WIDE)
+    assert rows(found) == rows(lookup_range(requests, cells, options=PLAIN).select(*found.columns))
+    assert found.where("id = 904").count() == 4000 and found.where("id = 903").count() == 1
+    assert "NestedLoop" not in plan(found) and "Cartesian" not in plan(found)
+
+
+def test_few_cells_are_compared(spark, cells, monkeypatch):
+    """Pairs that meet before the bounds are tested, against pairs that are returned."""
+    met, join = [], lookup.skew_join
+
+    def counted(left, right, on, *args, **kwargs):
+        out = join(left, right, on, *args, **kwargs)
+        met.append((tuple(on), out.count()))
+        return out
+
+    requests = asked(spark, 200).where("id <> 904")
+    monkeypatch.setattr(lookup, "skew_join", counted)
+    returned = lookup_range(requests, cells, options=WIDE).count()
+    pairs = sum(n for _, n in met)
+    met.clear()
+    assert lookup_range(requests, cells, options=PLAIN).count() == returned
+    plainly = sum(n for _, n in met)
+    assert plainly > 100 * returned and pairs < plainly / 10 and pairs < returned + 200 * 3 * 300
+
+
+def test_composite_names(spark):
+    kind = "row_key string, a string, b int, value string"
+    data = [("hot", f"a{i % 40}", i, "v") for i in range(3000)] + [("k", f"a{i}", i, "v") for i in range(9)]
+    cells = spark.createDataFrame(data, kind).select("row_key", composite(a="a", b="b").alias("column_name"), "value")
+    bounds = [("hot", "a7", 100, "zz", 400), ("hot", "a7", None, "a9", None), ("hot", None, 5, None, 9), ("hot", None, None, None, None),
+              ("hot", "a3", 9, "a1", None), ("k", "a3", 1, "a3", 5), ("none", "a", 1, "b", 2), ("hot", "a39", 0, "", 3000)]
+    asked = spark.createDataFrame([(i, *b) for i, b in enumerate(bounds)], "id int, row_key string, s string, t int, u string, v int")
+    asked = asked.select("id", "row_key", composite(a="s", b="t").alias("start"), composite(a="u", b="v").alias("end"))
+    nulls = asked.limit(1).select((F.col("id") + 100).alias("id"), "row_key", F.when(F.lit(False), F.col("start")).alias("start"), "end")
+    asked = asked.unionByName(nulls)
+    found = lookup_composite_range(asked, cells, options=WIDE)
+    want = lookup_composite_range(asked, cells, options=PLAIN)
+    assert rows(found) == rows(want.select(*found.columns)) and found.where("id = 0").count() == 7
+    assert found.where("id = 3").count() == 3000 and found.where("id = 100").count() == 0
+
+
+def test_dispatch_of_requests_of_every_kind(spark, cells):
+    requests = asked(spark).withColumn("slice", F.when(F.col("id") % 5 == 0, F.array(F.lit("00020"), F.lit("00700"))))
+    found = lookup_dispatch(requests, cells, WIDE)
+    assert rows(found) == rows(lookup_dispatch(requests, cells, PLAIN).select(*found.columns))
+    assert found.where("id = 901").count() == 4000  # one bound alone is none
+
+
+def test_no_requests(spark, cells):
+    none = asked(spark).limit(0)
+    assert lookup_range(none, cells, options=WIDE).count() == 0
+
+
+def test_bounds_may_be_columns(spark, cells):
+    assert lookup_range(asked(spark).select("id", "row_key"), cells, F.lit("00010"), F.lit("00012")).where("id = 903").count() == 3
