@@ -131,16 +131,13 @@ class StateStore:
         A folded row brings its own ``prev``, which counts where no later batch touched the key, and adds to what is
         older otherwise.
         """
-        rows = self._lives(rows)
-        last = rows.groupBy("key").agg(F.max("batch_id").alias("__batch"), F.max("__life").alias("__last"))
-        rows = rows.join(last, "key")
+        # One row per key and batch since the last snapshot: all windows and the aggregate share one shuffle by key.
+        of_key = Window.partitionBy("key")
+        rows = self._lives(rows).withColumn("__batch", F.max("batch_id").over(of_key))
         older = F.col("batch_id") < F.col("__batch")
-        if self.options.ttl is not None:
-            lived = rows.where(older).groupBy("key").agg(F.max("__life").alias("__older"))
-            rows = rows.join(lived, "key", "left")
-            older_life = older & (F.col("__life") == F.col("__older"))
-        else:
-            older_life = older
+        rows = rows.withColumn("__last", F.max("__life").over(of_key))
+        rows = rows.withColumn("__older", F.max(F.when(older, F.col("__life"))).over(of_key))
+        older_life = older & (F.col("__life") == F.col("__older"))
         alive = F.col("__life") == F.col("__last")
         now, before = [], []
         for name, a in self.aggregates.items():

@@ -59,6 +59,16 @@ def test_history(spark, tmp_path):
     assert rows(state.history(), "key", "txid", "n", "low", "prev_n", "prev_low") == want
 
 
+@pytest.mark.parametrize("ttl", [None, 60])
+def test_history_takes_one_shuffle(spark, tmp_path, ttl):
+    state = StateStore(spark, str(tmp_path), ["k"], {"n": Aggregate("count")}, StateOptions(ttl_seconds=ttl))
+    for batch_id in range(3):
+        state.update(spark.createDataFrame([("a",), ("b",)][: batch_id + 1], "k string"), batch_id, ts("2024-01-01"))
+    found = state.history()
+    assert plan(found).split("Initial Plan")[0].count("Exchange") == 1 and "Join" not in plan(found)
+    assert rows(found, "key", "txid", "n", "prev_n") == [(["a"], 2, 3, 2), (["b"], 2, 2, 1)]
+
+
 def test_only_mergeable_aggregates():
     with pytest.raises(ValueError):
         Aggregate("avg", "v")
