@@ -9,7 +9,7 @@ from rowloom.operators.aggregate import (
     state_get_sum,
     sum_by,
 )
-from rowloom.operators.columns import columns_to_row, columns_to_rows, delimited, valueless
+from rowloom.operators.columns import columns_to_row, columns_to_rows, columns_together, delimited, valueless
 from rowloom.operators.lookup import (
     count_columns,
     lookup_composite_range,

@@ -6,8 +6,9 @@ on the row through the lookup, so it can be put in front of every output.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +35,26 @@ def columns_to_row(found: DataFrame, request_id: str | Sequence[str], names: Map
     return found.groupBy(*ids).agg(*[value(n).alias(out) for n, out in wanted.items()])
 
 
+RowMapper = Callable[[tuple, Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def columns_together(found: DataFrame, request_id: str | Sequence[str], mapper: RowMapper, schema: str) -> DataFrame:
+    """Rows from a Python function over all columns of a request's row at once, for what no expression can say.
+
+    ``mapper`` gets the request's id as a tuple and the columns (``column_name``, ``value``) in the order of their names, a
+    batch at a time, and yields batches of ``schema``.  A row is never held as a whole, but one task reads all of it; requests
+    without columns give nothing, and requests with equal ids are one.  Where an expression will do, ``columns_to_rows`` and
+    ``columns_to_row`` are faster.
+    """
+    ids = [request_id] if isinstance(request_id, str) else list(request_id)
+    rows = found.select(*ids, "column_name", "value").repartition(*ids).sortWithinPartitions(*ids, "column_name")
+
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from mapper(tuple(k.as_py() for k in key), (b.select(["column_name", "value"]) for b in batches))
+
+    return rows.groupBy(*ids).applyInArrow(run, schema)
+
+
 def valueless(found: DataFrame, key_field: str, name_field: str, request_id: str | None = None) -> DataFrame:
     """One row per column *name* of the row that was read; values are not looked at."""
     ids = [] if request_id is None else [request_id]

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from rowloom.operators import (
     ErrorPolicy,
     Write,
+    columns_together,
     counter_rules,
     fold_counters,
     key_rules,
@@ -252,3 +253,29 @@ def lookup_store_indexed(t):
     store.put(t.orders.where("o_orderstatus = 'P'"), lambda rows: order_cells(rows, "o_orderstatus", 1), 1)
     asked = t.nation.select(F.col("n_nationkey").alias("id"), F.col("n_nationkey").cast("string").alias("row_key"))
     return store.lookup(asked, lookup_row, table="orders").select("id", "row_key", "column_name", "value")
+
+
+@query("""SELECT c_custkey AS id, name, next_name, next_value FROM (
+        SELECT o_custkey, CAST(o_orderkey AS VARCHAR) AS name, lead(CAST(o_orderkey AS VARCHAR)) OVER w AS next_name,
+            lead(o_orderpriority) OVER w AS next_value
+        FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY CAST(o_orderkey AS VARCHAR)))
+    JOIN customer ON c_custkey = o_custkey WHERE next_name IS NOT NULL""")
+def columns_together_pairs(t):
+    """Each column of a customer's row of orders with the one after it; their names are not known beforehand."""
+    import pyarrow as pa
+
+    def pairs(request, batches):
+        last = None
+        for batch in batches:
+            names, values = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            before = [last, *names[:-1]]
+            first = 1 if last is None else 0
+            last = names[-1]
+            columns = {"id": [request[0]] * (len(names) - first), "name": before[first:], "next_name": names[first:],
+                       "next_value": values[first:]}
+            kinds = [("id", pa.int64()), ("name", pa.string()), ("next_name", pa.string()), ("next_value", pa.string())]
+            yield pa.RecordBatch.from_pydict(columns, schema=pa.schema(kinds))
+
+    cells = resolve_latest(order_cells(t.orders)).select("row_key", "column_name", "value")
+    asked = t.customer.select(F.col("c_custkey").cast("long").alias("id"), F.col("c_custkey").cast("string").alias("row_key"))
+    return columns_together(lookup_row(asked, cells), "id", pairs, "id long, name string, next_name string, next_value string")
