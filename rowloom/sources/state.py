@@ -89,6 +89,10 @@ class StateStore:
         fields += [T.StructField("write_ts", T.TimestampNTZType())]
         self.before = T.StructType([T.StructField(name, a.dtype) for name, a in self.aggregates.items()])
         fields += [T.StructField("prev", self.before)]
+        if options.ttl is not None:
+            time = T.StructField("first_ts", T.TimestampNTZType())
+            life = [time, fields[-2], T.StructField("batch_id", T.LongType()), *self.before, fields[-1]]
+            fields += [time, T.StructField("older", T.ArrayType(T.StructType(life)))]
         self.own, self.updates = uuid.uuid4().hex, itertools.count()
         self.log = BatchLog(spark, f"{root}/{options.table}", T.StructType(fields), (), ("key",))
 
@@ -101,18 +105,29 @@ class StateStore:
         aggregates = [a.of_batch().alias(name) for name, a in self.aggregates.items()]
         keyed = df.groupBy(state_key(*self.keys).alias("key"))
         found = keyed.agg(*aggregates, F.max(write_ts).alias("write_ts"))
-        self.log.append(found.withColumn("prev", F.lit(None).cast(self.before)), batch_id, writer)
+        unset = {f.name: F.lit(None).cast(f.dataType) for f in self.log.schema if f.name not in found.columns}
+        self.log.append(found.withColumns(unset), batch_id, writer)
         return df
 
     def _lives(self, rows: DataFrame) -> DataFrame:
-        """Add the number of the life a row belongs to: a key that had expired before an update starts a new one."""
+        """The lives that rows hold, each with the number of the life of its key that it belongs to.
+
+        A key that had expired before an update starts a new life. A batch holds one update of a key, a folded row all
+        lives of it, each from its first update to its last. Two of them are one life if the later begins before the
+        earlier has expired, so lives join the same in any order and grouping, also where a late update closes a gap.
+        """
         if self.options.ttl is None:
             return rows.withColumn("__life", F.lit(0))
-        # One row per key and batch since the last snapshot: a small group whatever the number of input rows.
-        by_time = Window.partitionBy("key").orderBy("write_ts", "batch_id")
-        fresh = F.col("write_ts") >= F.lag("write_ts").over(by_time) + self.options.ttl
+        first = F.coalesce("first_ts", "write_ts").alias("first_ts")
+        own = F.struct(first, "write_ts", "batch_id", *self.aggregates, "prev")
+        held = F.when(F.size("older") > 0, F.concat("older", F.array(own))).otherwise(F.array(own))
+        rows = rows.select("key", F.explode(held).alias("held")).select("key", "held.*")
+        # As many rows for a key as it has lives and later batches, whatever the number of input rows.
+        by_time = Window.partitionBy("key").orderBy("first_ts", "write_ts")
+        until = F.max("write_ts").over(by_time.rowsBetween(Window.unboundedPreceding, -1))
+        fresh = F.col("first_ts") >= until + self.options.ttl
         rows = rows.withColumn("__fresh", F.coalesce(fresh, F.lit(False)).cast("int"))
-        return rows.withColumn("__life", F.sum("__fresh").over(by_time))
+        return rows.withColumn("__life", F.sum("__fresh").over(by_time.rowsBetween(Window.unboundedPreceding, 0)))
 
     def _merge(self, rows: DataFrame) -> DataFrame:
         """One row per key with the aggregates of its last life."""
@@ -125,33 +140,42 @@ class StateStore:
             *merged, F.max("write_ts").alias("write_ts"), F.max("batch_id").alias("batch_id")
         )
 
-    def _merge_with_prev(self, rows: DataFrame) -> DataFrame:
-        """One row per key, with the aggregates before its last batch in ``prev``.
+    def _merge_lives(self, rows: DataFrame) -> DataFrame:
+        """One row per life, with the aggregates before its last batch in ``prev``.
 
-        A folded row brings its own ``prev``, which counts where no later batch touched the key, and adds to what is
+        A folded row brings its own ``prev``, which counts where no later batch touched the life, and adds to what is
         older otherwise.
         """
-        # One row per key and batch since the last snapshot: all windows and the aggregate share one shuffle by key.
-        of_key = Window.partitionBy("key")
-        rows = self._lives(rows).withColumn("__batch", F.max("batch_id").over(of_key))
+        # All windows and the aggregate share one shuffle by key.
+        rows = self._lives(rows).withColumn("__batch", F.max("batch_id").over(Window.partitionBy("key", "__life")))
         older = F.col("batch_id") < F.col("__batch")
-        rows = rows.withColumn("__last", F.max("__life").over(of_key))
-        rows = rows.withColumn("__older", F.max(F.when(older, F.col("__life"))).over(of_key))
-        older_life = older & (F.col("__life") == F.col("__older"))
-        alive = F.col("__life") == F.col("__last")
         now, before = [], []
         for name, a in self.aggregates.items():
-            now.append(a.merged(F.when(alive, F.col(name))).alias(name))
-            was = F.when(older_life, F.col(name)).when(~older, F.col(f"prev.{name}"))
-            before.append(a.merged(was).alias(name))
+            now.append(a.merged(name).alias(name))
+            before.append(a.merged(F.when(older, F.col(name)).otherwise(F.col(f"prev.{name}"))).alias(name))
         had = F.max(F.when(older, True).otherwise(F.col("prev").isNotNull()))
-        return rows.groupBy("key").agg(
+        first = [] if self.options.ttl is None else [F.min("first_ts").alias("first_ts")]
+        return rows.groupBy("key", "__life").agg(
             *now,
+            *first,
             F.max("write_ts").alias("write_ts"),
             F.max("batch_id").alias("batch_id"),
             F.when(had, F.struct(*before)).cast(self.before).alias("prev"),
         )
 
+    def _fold(self, rows: DataFrame) -> DataFrame:
+        """One row per key as a snapshot holds it: its last life, and in ``older`` the lives before it."""
+        lives = self._merge_lives(rows)
+        if self.options.ttl is None:
+            return lives.drop("__life")
+        life = F.struct("first_ts", "write_ts", "batch_id", *self.aggregates, "prev")
+        lives = lives.withColumn("__last", F.max("__life").over(Window.partitionBy("key")))
+        is_older = F.col("__life") < F.col("__last")
+        found = lives.groupBy("key").agg(
+            F.max_by(life, "__life").alias("own"), F.collect_list(F.when(is_older, life)).alias("older")
+        )
+        return found.select("key", "own.*", "older")
+
     def current(self, as_of: Column | None = None) -> DataFrame:
         """The state of every live key: ``key`` and the aggregates."""
         state, ttl = self.log.folded(self._merge, ["key"]), self.options.ttl
@@ -172,7 +196,15 @@ class StateStore:
 
     def history(self) -> DataFrame:
         """Each key's value, the id of the last batch that touched it, and the value before that batch (``prev_*``)."""
-        found = self._merge_with_prev(self.log.read())
+        lives = self._merge_lives(self.log.read())
+        lives = lives.withColumn("__batch", F.max("batch_id").over(Window.partitionBy("key")))
+        own = F.struct(*self.aggregates)
+        was = F.when(F.col("batch_id") < F.col("__batch"), own).otherwise(F.col("prev"))
+        found = lives.groupBy("key").agg(
+            F.max_by(own, "__life").alias("now"),
+            F.max("batch_id").alias("batch_id"),
+            F.max_by(was, F.when(was.isNotNull(), F.col("__life"))).alias("prev"),
+        ).select("key", "batch_id", "now.*", "prev")
         had = F.col("prev").isNotNull()
         now = [a.finished(name).alias(name) for name, a in self.aggregates.items()]
         before = [F.when(had, a.finished(F.col("prev")[name])).alias(f"prev_{name}") for name, a in self.aggregates.items()]
@@ -181,14 +213,27 @@ class StateStore:
     def compact(self, keep_last: int = 1, full: bool | None = None) -> int | None:
         """Fold batches into a snapshot; answers stay as they are.
 
-        A state whose keys expire is always folded in full, as a gap between updates cannot be seen in a folded part of
-        them.  A non-transactional batch is never written again, so none is left open.
+        A snapshot keeps all lives of a key, so that late updates find theirs; ``purge_before`` drops old ones.  A
+        non-transactional batch is never written again, so none is left open.
         """
         if self.options.mode == NON_TRANSACTIONAL:
             keep_last = 0
-        if self.options.ttl is not None:
-            full = True
-        return self.log.compact(self._merge_with_prev, ["key"], keep_last=keep_last, full=full)
+        return self.log.compact(self._fold, ["key"], keep_last=keep_last, full=full)
+
+    def purge_before(self, time: Column, keep_last: int = 1) -> int | None:
+        """Fold, and drop for good the lives whose last update was before ``time``; needs a time to live.
+
+        Updates that come later must not be older than that, as they would find their life gone.
+        """
+        if self.options.ttl is None:
+            raise ValueError("a state without a time to live has one life for each key")
+        if self.options.mode == NON_TRANSACTIONAL:
+            keep_last = 0
+
+        def fold(rows: DataFrame) -> DataFrame:
+            return self._fold(rows).withColumn("older", F.filter("older", lambda life: life["write_ts"] >= time))
+
+        return self.log.compact(fold, ["key"], keep=F.col("write_ts") >= time, keep_last=keep_last)
 
     def vacuum(self) -> list[str]:
         """Remove the files that a snapshot has replaced."""

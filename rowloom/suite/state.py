@@ -201,24 +201,39 @@ def state_history_compacted(t):
     return history_of(state)
 
 
-@query("""
+LIVES = """
     SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(sum(CASE WHEN day >= last_start THEN n END) AS BIGINT) AS n FROM (
         SELECT *, max(CASE WHEN starts THEN day END) OVER (PARTITION BY user_id) AS last_start FROM (
             SELECT *, coalesce(upd >= lag(upd) OVER (PARTITION BY user_id ORDER BY day) + INTERVAL 3 HOUR, TRUE) AS starts
             FROM (SELECT user_id, CASE WHEN ts < TIMESTAMP '2024-01-10' THEN 1 WHEN ts < TIMESTAMP '2024-01-20' THEN 2
                          ELSE 3 END AS day, max(ts) AS upd, count(*) AS n FROM events GROUP BY 1, 2)))
-    GROUP BY 1""")
-def state_ttl(t):
-    """Three batches; a key that had expired before a batch starts anew with it."""
-    state = StateStore(t.spark, shared_dir(t.spark, "ttl"), ["user_id"], {"n": Aggregate("count")},
+    GROUP BY 1"""
+
+
+def expiring(t, purpose, after=lambda state: None):
+    """Three batches of a state whose keys expire after three hours; ``after`` each of them."""
+    state = StateStore(t.spark, shared_dir(t.spark, purpose), ["user_id"], {"n": Aggregate("count")},
                        StateOptions(ttl_seconds=3 * 3600))
     first, second = (F.lit(day).cast("timestamp_ntz") for day in ("2024-01-10", "2024-01-20"))
     ts = F.col("ts")
     for batch_id, rows in enumerate((ts < first, (ts >= first) & (ts < second), ts >= second)):
         state.update(t.events.where(rows), batch_id, "ts")
+        after(state)
     return state.current().select(F.col("key")[0].alias("user_id"), "n")
 
 
+@query(LIVES)
+def state_ttl(t):
+    """Three batches; a key that had expired before a batch starts anew with it."""
+    return expiring(t, "ttl")
+
+
+@query(LIVES)
+def state_ttl_compacted(t):
+    """The lives of a key are folded batch by batch and stay the same."""
+    return expiring(t, "ttl-folded", lambda state: state.compact(keep_last=0))
+
+
 @query("""
     SELECT l_orderkey, l_linenumber, s_name AS value FROM lineitem LEFT JOIN supplier ON s_suppkey = l_suppkey""")
 def multi_put(t):
