@@ -1,0 +1,136 @@
+"""Training against brute force: the same steps with slopes by finite differences, and all stretches tried out."""
+
+import numpy as np
+import pytest
+
+from rowloom.llm import ordinal_quality as oq
+from rowloom.llm import spaced_seeds as ss
+from rowloom.llm import toxic_cnn as tc
+from tests.llm import odd
+
+
+def differences(loss, arrays, width=1e-6):
+    """The slopes of ``loss`` by every number of some arrays."""
+    out = []
+    for a in arrays:
+        slope, flat = np.zeros_like(a), a.reshape(-1)
+        for i in range(flat.size):
+            was = flat[i]
+            flat[i] = was + width
+            above = loss()
+            flat[i] = was - width
+            slope.reshape(-1)[i] = (above - loss()) / (2 * width)
+            flat[i] = was
+        slope[np.abs(slope) < 1e-8] = 0  # what rounding makes of nothing
+        out.append(slope)
+    return out
+
+
+@pytest.mark.parametrize("levels", [2, 3, 4])
+def test_ordinal_steps_follow_the_likelihood(levels):
+    texts = [odd.prose(i, 12) + " " + " ".join(["fine"] * (i % levels)) + "!" * (i % 2) for i in range(24)] + [""]
+    grades = [i % levels for i in range(25)]
+    steps, rate, decay = 4, 0.05, 1e-4
+
+    # Every text as a dense row over the buckets, counted word by word.
+    used = np.zeros((len(texts), oq.BUCKETS))
+    own = np.zeros((len(texts), oq.BUCKETS), bool)
+    for i, text in enumerate(texts):
+        words = text.split()
+        for w in words:
+            for b in (oq.bucket("w:" + w.lower()), oq.bucket("s:" + oq.shape(w))):
+                used[i, b] += oq.PULL / len(words)
+                own[i, b] = True
+    often = own.sum(axis=0) >= oq.MIN_TEXTS
+    used[:, ~often] = 0
+    for i, text in enumerate(texts):
+        for b in oq.page_features(text, text.split()):
+            used[i, b] += 1
+    columns = np.flatnonzero(used.any(axis=0))
+    used = used[:, columns]
+
+    reached = np.array(grades)[:, None] > np.arange(levels - 1)
+    share = np.clip(reached.mean(axis=0), 0.01, 0.99)
+    at = np.log((1 - share) / share)
+    raw = np.concatenate([at[:1], np.log(np.maximum(0.1, np.diff(at)))])
+    weights = np.zeros(len(columns))
+
+    def cuts():
+        return np.cumsum(np.concatenate([raw[:1], np.exp(raw[1:])]))
+
+    def loss():
+        total = 0.0
+        for i, grade in enumerate(grades):
+            tails = [1.0, *(1 / (1 + np.exp(c - used[i] @ weights)) for c in cuts()), 0.0]
+            total -= np.log(tails[grade] - tails[grade + 1])
+        return total / len(grades) + decay / 2 * (weights**2).sum()
+
+    moments = [np.zeros((2, len(weights))), np.zeros((2, len(raw)))]
+    for step in range(1, steps + 1):
+        for target, slope, m in zip((weights, raw), differences(loss, (weights, raw)), moments, strict=True):
+            m[0] = 0.9 * m[0] - 0.1 * slope
+            m[1] = 0.99 * m[1] + 0.01 * slope**2
+            target += rate * (m[0] / (1 - 0.9**step)) / (np.sqrt(m[1] / (1 - 0.99**step)) + 1e-8)
+    model = oq.fit(texts, grades, epochs=steps, rate=rate, decay=decay)
+    assert np.allclose(model.cuts, cuts(), atol=1e-4)
+    assert np.allclose(model.weights[columns], weights, atol=1e-3)
+
+
+def test_net_steps_follow_the_loss(monkeypatch):
+    # No text has a word twice or none: where a maximum is a tie or just zero there is no slope to compare.
+    monkeypatch.setattr(tc, "SIZE", 4)
+    monkeypatch.setattr(tc, "FILTERS", 2)
+    words = tc.Vocabulary()
+    docs = [tc.numbered(t, words) for t in ("you vile thing go", "a calm day by the sea", "vile", "quiet harbour", "the sea is calm", "go to that vile sea")]
+    buckets = np.array(words.buckets, np.int64)
+    toxic, weight = np.array([1.0, 0, 1, 0, 0, 1]), np.array([1.0, 2, 1, 1, 0.5, 1])
+    rate, steps = 0.01, 4
+
+    seen, vectors, net = tc.train_net(docs, buckets, toxic, weight, 0, rate, 7)
+    vectors, place = vectors.astype(float), np.searchsorted(seen, buckets)
+    row = np.concatenate([[*doc, *[0] * (max(1, len(doc)) - len(doc) + tc.PAD)] for doc in docs]).astype(int)
+    places = [max(1, len(doc)) for doc in docs]
+    starts = np.concatenate([[0], np.cumsum(np.array(places) + tc.PAD)])
+    used = np.zeros((len(row), tc.SIZE))
+
+    def loss():
+        total = 0.0
+        for start, n, label, own in zip(starts, places, toxic, weight, strict=False):
+            best = []
+            for width, filters, offset in zip(tc.WIDTHS, net.filters, net.offsets, strict=True):
+                answers = [sum(used[start + i + j] @ filters[j] for j in range(width)) + offset for i in range(n)]
+                best.append(np.max(answers, axis=0))
+            number = np.maximum(np.concatenate(best), 0) @ net.out + net.bias[0]
+            total += own * np.log(1 + np.exp(number if label == 0 else -number))
+        return total / len(docs)
+
+    parts, squares = net.parts(), np.zeros(len(seen))
+    moments = [(np.zeros_like(p), np.zeros_like(p)) for p in parts]
+    for step in range(1, steps + 1):
+        used[:] = vectors[place[row]].sum(axis=1)
+        *slopes, by_word = differences(loss, [*parts, used])
+        for part, slope, (m, v) in zip(parts, slopes, moments, strict=True):
+            m += 0.1 * (slope - m)
+            v += 0.01 * (slope**2 - v)
+            part -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+        for column in range(buckets.shape[1]):
+            for at, slope in zip(place[row, column], by_word, strict=True):
+                squares[at] += (slope**2).mean()
+            for at, slope in zip(place[row, column], by_word, strict=True):
+                vectors[at] -= 0.3 * rate * slope / (np.sqrt(squares[at]) + 1e-6)
+        vectors[seen == 0] = 0
+    _, found, after = tc.train_net(docs, buckets, toxic, weight, steps, rate, 7)
+    assert sum((v > 0).sum() for _, v in moments) > 20 and squares.max() > 0
+    for got, want in zip(after.parts(), parts, strict=True):
+        assert np.allclose(got, want, atol=1e-4)
+    assert np.allclose(found, vectors, atol=1e-4)
+
+
+def test_longest_stretches_by_trying_all():
+    pick = np.random.default_rng(1)
+    for _ in range(300):
+        equal = pick.random(pick.integers(1, 30)) < 0.7
+        spans = [(i, j) for i in range(len(equal)) for j in range(i + 1, len(equal) + 1) if equal[i:j].mean() >= 0.8 - 1e-9]
+        longest = [s for s in spans if s[1] - s[0] == max(j - i for i, j in spans)]
+        hits = [i + np.flatnonzero(equal[i:j]) for i, j in longest]
+        assert ss.longest_like(equal, 0.8) in ({(h[0], h[-1] + 1) for h in hits} or {(0, 0)})
