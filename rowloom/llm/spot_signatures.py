@@ -122,7 +122,7 @@ def followed(docs: DataFrame, parts: int) -> DataFrame:
     there = F.struct(F.col("before").alias("place"), F.lit(1).alias("tail"))
     spread = F.when(F.col("before").isNull(), F.array(here)).otherwise(F.array(here, there))
     out = own.join(sent, is_head, "left").select(F.explode(spread).alias("at"), "doc_id", "tie", "text")
-    out = out.select("at.place", "at.tail", "doc_id", "tie", "text").repartition(parts, "place")
+    out = out.select("at.place", "at.tail", "doc_id", "tie", "text").repartitionById(parts, F.col("place"))
     out = out.sortWithinPartitions("place", "tail", F.col("doc_id").desc_nulls_last(), "tie")
     return out.select("place", "tail", "doc_id", "text")
 
