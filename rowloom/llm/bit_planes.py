@@ -150,7 +150,7 @@ def write_ids(
     parts = shuffle_parts(docs.sparkSession)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     placed = with_bucket(own, "doc_id", cut_points(own, "doc_id", parts), "segment").select("segment", "doc_id", "text")
-    placed = placed.repartition(parts, "segment")
+    placed = placed.repartitionById(parts, F.col("segment"))
     placed = placed.sortWithinPartitions("segment", F.col("doc_id").asc_nulls_last(), "text")
     blocks = map_batches(placed, run, BLOCKS_SQL)
     blocks.write.option("compression", "none").parquet(f"{path}/blocks")  # the planes are compressed already
