@@ -12,15 +12,18 @@ from collections.abc import Mapping, Sequence
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowloom.functions.composite import in_composite_range
-from rowloom.plans.skew import SkewOptions, fits_broadcast, heavy_keys, key_hash, skew_join, stored
+from rowloom.plans.skew import SkewOptions, fits_broadcast, hashable, heavy_keys, key_hash, skew_join, stored
 
 
 UNSET = object()
+BLOCK = 64  # cells that a request meets at once in a wide row
+MOST_RANGES = 1023
+SPREAD = 16
 
 
 def _parts(cells: DataFrame) -> list[str] | None:
@@ -109,20 +112,77 @@ def _in_bounds(requests: DataFrame, cells: DataFrame, options: SkewOptions | Non
 
 
 def _near_range(requests: DataFrame, cells: DataFrame, wide: Mapping[int, int], options: SkewOptions) -> DataFrame:
-    """Bounds on single names in wide rows, by ranges of names.
+    """Bounds on single names in wide rows, by blocks of names.
 
-    Cells are cut along (row key, name) into ranges of like size, whose first and last names are few rows.  A request is
-    copied to the ranges that its bounds touch and meets only their cells: what it is compared with is what it gets, and
-    the rest of the ranges at both ends.
+    Cells are sorted by (row key, name) over ranges of like size, and every ``BLOCK`` cells in a row are a block, whatever
+    the size of the table.  A request finds the first and the last block that its bounds touch among the first names of the
+    blocks, is copied to each of them and meets only their cells: what it is compared with is what it gets, and the rest
+    of the blocks at both ends.
     """
-    ranges = min(4096, max(16, sum(wide.values())))
-    cut = cells.repartitionByRange(ranges, "row_key", "column_name").withColumn("__range", F.spark_partition_id())
-    cut = stored(cut)  # the numbers hold for this cut alone
-    spans = cut.groupBy("row_key", "__range").agg(F.min("column_name").alias("__low"), F.max("column_name").alias("__high"))
-    touched = skew_join(requests, spans, ["row_key"], options=options)
-    touched = touched.where((F.col("__low") <= F.col("end")) & (F.col("__high") >= F.col("start"))).drop("__low", "__high")
-    found = skew_join(touched, cut, ["row_key", "__range"], options=options)
-    return found.where(_bounded(cells)).drop("__range")
+    kinds = dict(cells.dtypes)
+    if not all(_comparable(kind, kinds[c]) for c, kind in _bound_kinds(requests)):
+        return skew_join(requests, cells, ["row_key"], options=options).where(_bounded(cells))
+    ranges = min(MOST_RANGES, max(16, sum(wide.values())))
+    cut = cells.repartitionByRange(ranges, "row_key", "column_name").sortWithinPartitions("row_key", "column_name")
+    cut = stored(cut.withColumn("__at", F.monotonically_increasing_id()))  # rises by one within a range
+    place, own = F.col("__at").bitwiseAND(F.lit(2**33 - 1)), F.shiftright("__at", 33).alias("__cut")
+    sizes = cut.groupBy(own).agg(F.ceil(F.count("*") / BLOCK).alias("n"))
+    before = Window.orderBy("__cut").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    sizes = stored(sizes.select("__cut", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__skipped")))
+    numbered = cut.withColumn("__cut", own).join(sizes, "__cut")
+    numbered = numbered.withColumn("__block", F.col("__skipped") + F.floor(place / BLOCK))
+    marks = numbered.where(place % BLOCK == 0).select("row_key", F.col("column_name").alias("__name"), "__block", "__at")
+    marks = stored(marks.withColumn("__first", place == 0))
+    asked = _touched(requests, "start", marks, "__from")
+    asked = stored(_touched(asked, "end", marks, "__to").where("__from <= __to"))
+    asked = asked.withColumn("__block", F.explode(F.sequence("__from", "__to"))).drop("__from", "__to")
+    found = skew_join(asked, numbered.drop("__cut", "__skipped", "__at"), ["row_key", "__block"], options=options)
+    return found.where(_bounded(cells)).drop("__block")
+
+
+def _bound_kinds(requests: DataFrame) -> list[tuple[str, str]]:
+    kinds = dict(requests.dtypes)
+    return [("row_key", kinds["row_key"]), ("column_name", kinds["start"]), ("column_name", kinds["end"])]
+
+
+def _comparable(kind: str, other: str) -> bool:
+    """Whether values of two types sort alike in one column; others are compared by Spark's own rules, pair by pair."""
+    whole = ("tinyint", "smallint", "int", "bigint")
+    return kind == other or (kind in whole and other in whole)
+
+
+def _touched(requests: DataFrame, bound: str, marks: DataFrame, name: str) -> DataFrame:
+    """Add the number of the block of a bound: for ``start`` the last one that begins before it, or the first of all; for
+    ``end`` the last one that does not begin after it, or null.
+
+    A bound is first put into a range and then meets the blocks of that range in their order.  Requests of a range that is
+    asked for very often are spread over ``SPREAD`` groups, to each of which the few first names are copied.
+    """
+    first = marks.where("__first").select(F.struct("row_key", "__name").alias("low"))
+    lows, key = first.agg(F.array_sort(F.collect_list("low")).alias("lows")), F.struct("row_key", F.col(bound).alias("__name"))
+    begins = marks.select("row_key", "__name", "__block", F.lit(1).alias("__kind"), F.struct("row_key", "__name").alias("__key"))
+    begins = _in_range(begins, lows, strict=False).withColumn("__group", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *hashable(requests)), F.lit(SPREAD)).cast("int")
+    strict = bound == "start"
+    asks = requests.withColumns({"__name": F.col(bound), "__kind": F.lit(0 if strict else 2), "__key": key, "__group": spread})
+    asks = _in_range(asks, lows, strict)
+    order = Window.partitionBy("__range", "__group").orderBy("row_key", "__name", "__kind", "__block")
+    block = F.last("__block", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    both = asks.withColumn("__block", F.lit(None).cast("long")).unionByName(begins, allowMissingColumns=True).withColumn(name, block).where("__kind <> 1")
+    number = F.coalesce(name, F.lit(0).cast("long")) if strict else F.col(name)
+    return both.withColumn(name, number).drop("__name", "__kind", "__block", "__range", "__group")
+
+
+def _in_range(rows: DataFrame, lows: DataFrame, strict: bool) -> DataFrame:
+    """Replace ``__key`` by ``__range``: how many of the ascending lower bounds are (with ``strict``) below it, one at least."""
+    steps = F.array(*[F.lit((MOST_RANGES + 1) >> i) for i in range(1, (MOST_RANGES + 1).bit_length())])
+
+    def halved(at: Column, step: Column) -> Column:
+        low, key = F.get("__lows", at + step - 1), F.col("__key")
+        return at + F.when(low < key if strict else low <= key, step).otherwise(0)
+
+    found = F.greatest(F.aggregate(steps, F.lit(0), halved), F.lit(1))
+    return rows.withColumn("__lows", lows.scalar()).withColumn("__range", found).drop("__lows", "__key")
 
 
 def _near_prefix(requests: DataFrame, cells: DataFrame, wide: Mapping[int, int], options: SkewOptions) -> DataFrame:
