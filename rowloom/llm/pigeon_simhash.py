@@ -13,7 +13,7 @@ Only distinct fingerprints are compared, so copies never make pairs. Classes com
 the links and jump along them; each round is written to the shared folder. No link or class reaches the driver.
 
 ``one_of_each`` joins classes further: texts whose five-word shingles are alike (0.8 and more) may differ in more bits than
-any equal segments can tell, so they are found by min-hash bands, and chains over fingerprints of their words prune them.
+any equal segments can tell, so they are found by min-hash bands; all texts of a band that are alike come into one class.
 
 Defined results: null and empty texts have no words and the fingerprint zero, which links like any other; texts shorter
 than a shingle hash their whole sequence. Rows without ``doc_id`` get the class of their fingerprint, or null if no row
@@ -35,7 +35,7 @@ from rowloom.llm.common import map_batches, stored, texts
 SHINGLE, SEED, MAX_BITS = 3, 42, 2
 SEGMENTS, SEGMENT_BITS = 4, 16
 SIMILARITY, COPY_SHINGLE, COPY_BITS = 0.8, 5, 14
-BANDS, BAND_ROWS, SKETCH, SLOTS = 8, 3, 256, 64
+BANDS, BAND_ROWS, SKETCH, SLOTS, BLOCK = 8, 3, 256, 64, 64
 
 
 def fingerprint(text: str, width: int = SHINGLE) -> int:
@@ -234,10 +234,11 @@ def chains(a: Column, b: Column, most: int, segments: int = 8) -> Column:
 def near_copies(docs: DataFrame, marked: DataFrame, similarity: float) -> DataFrame:
     """Links (a, b) of the fingerprints of texts whose sets of five-word shingles are alike.
 
-    Texts meet under equal band keys. Within a key each text meets the first one and its neighbour by words and number, so a
-    group of n copies makes at most 2 n pairs. Pigeonring chains over the fingerprints of their words, with a budget of
-    ``COPY_BITS`` bits, prune the pairs; what is left is compared by the ``SKETCH`` least shingle hashes of both, which is
-    the exact similarity of texts with no more shingles than that.
+    Texts meet under equal band keys, and all of a key that are alike come into one class; links that classes already imply
+    are left out. First each text meets the least one of its key and its neighbour by words and number, so a group of n copies
+    makes at most 2 n pairs, pruned by pigeonring chains over the fingerprints of their words with a budget of ``COPY_BITS``
+    bits. What these leave in several classes is compared whole (``links_across``). Texts are compared by their ``SKETCH``
+    least shingle hashes, which is the exact similarity of texts with no more shingles than that.
     """
     own = stored(sketches(docs).dropDuplicates(["own_text"]), "simhash-sketches")
     met = own.select(F.explode("keys").alias("key"), F.struct("words", "own_text").alias("one"))
@@ -262,13 +263,67 @@ def near_copies(docs: DataFrame, marked: DataFrame, similarity: float) -> DataFr
             alike = [jaccard(a, b) >= similarity for a, b in zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True)]
             yield batch.select([0, 1]).filter(pa.array(alike, pa.bool_()))
 
-    linked = map_batches(both, run, "x long, y long")
+    linked = stored(map_batches(both, run, "x long, y long"), "simhash-near")
+    shared = met.join(sides, "key", "left_semi").select("key", F.col("one.own_text").alias("own_text"))
+    linked = linked.unionByName(links_across(shared, own.select("own_text", "least"), linked, similarity))
     bits = stored(marked.groupBy("own_text").agg(F.min("bits").alias("bits")), "simhash-of-texts")
     for side, name in (("x", "a"), ("y", "b")):
         linked = linked.join(bits.select(F.col("own_text").alias(side), F.col("bits").alias(name)), side)
     return linked.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def links_across(shared: DataFrame, least: DataFrame, linked: DataFrame, similarity: float) -> DataFrame:
+    """Links (x, y) of all texts alike that share a key (``shared``: key, own_text) but no class of the links found so far.
+
+    The texts of a key that is left with several classes are cut into blocks of about ``BLOCK``, those of a large class by
+    themselves. Each two blocks of a key meet in a row, but for two of one class, and are compared as matrices, so a group of
+    n texts makes (n / BLOCK)^2 / 2 rows at most and one of few classes as many as its blocks.
+    """
+    texts_met = shared.select(F.col("own_text").alias("bits")).distinct()
+    rooted = stored(components(texts_met.withColumn("label", F.col("bits")), linked.select(F.col("x").alias("a"), F.col("y").alias("b"))), "simhash-near-classes")
+    held = shared.join(rooted.withColumnRenamed("bits", "own_text"), "own_text")
+    sizes = stored(held.groupBy("key", "root").agg(F.count("*").alias("n")), "simhash-class-sizes")
+    large = F.col("n") >= BLOCK
+    mixed = sizes.groupBy("key").agg(F.count("*").alias("classes"), F.sum(F.when(~large, F.col("n"))).alias("few")).filter("classes > 1")
+    parts = F.when(large, F.ceil(F.col("n") / BLOCK)).otherwise(F.ceil(F.col("few") / BLOCK))
+    named = sizes.join(mixed, "key").select("key", "root", F.when(large, F.col("root")).alias("whole"), parts.alias("parts"))
+    held = held.join(named, ["key", "root"]).join(least, "own_text")
+    part = F.pmod(F.xxhash64(F.when(F.col("whole").isNull(), F.col("root")).otherwise(F.col("own_text"))), F.col("parts")).alias("part")
+    held = held.select("key", "whole", part, F.struct("own_text", "root", "least").alias("one"))
+    blocks = stored(held.groupBy("key", "whole", "part").agg(F.collect_list("one").alias("some")), "simhash-blocks")
+    left, right = blocks.select("key", "whole", "part", "some"), blocks.toDF("key", "whole_b", "part_b", "some_b")
+    place, place_b = F.struct("whole", "part"), F.struct("whole_b", "part_b")
+    apart = (place < place_b) & ~F.coalesce(F.col("whole") == F.col("whole_b"), F.lit(False))
+    within = (place == place_b) & F.col("whole").isNull()
+    met = left.join(right, "key").filter(apart | within).select("some", "some_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                some, other = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+                alike = similarities([m["least"] for m in some], [m["least"] for m in other]) >= similarity
+                found = [(some[a], other[b]) for a, b in zip(*np.nonzero(alike), strict=True)]
+                found = [(a["own_text"], b["own_text"]) for a, b in found if a["root"] != b["root"]]
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["x", "y"])
+
+    return stored(map_batches(met, run, "x long, y long"), "simhash-across")
+
+
+def similarities(some: list[bytes], other: list[bytes]) -> np.ndarray:
+    """``jaccard`` of each of ``some`` with each of ``other``."""
+    sets = [np.frombuffer(v, "<u8") for v in (*some, *other)]
+    values, at = np.unique(np.concatenate(sets), return_inverse=True)
+    sizes, n = np.array([len(v) for v in sets]), len(some)
+    has = np.zeros((len(sets), len(values)), np.float32)
+    has[np.repeat(np.arange(len(sets)), sizes), at] = 1
+    both = has[:n] @ has[n:].T
+    ends = np.array([np.searchsorted(values, v[-1]) if len(v) >= SKETCH else len(values) - 1 for v in sets])
+    end, known = np.minimum(ends[:n, None], ends[None, n:]), has.cumsum(axis=1, dtype=np.float32)
+    union = known[np.arange(n)[:, None], end] + known[np.arange(n, len(sets))[None, :], end] - both
+    return both.astype(np.float64) / union
+
+
 def jaccard(a: bytes, b: bytes) -> float:
     """The similarity of two sets by the least hashes of each: exact where neither has more than ``SKETCH``."""
     x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")

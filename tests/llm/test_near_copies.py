@@ -78,6 +78,47 @@ def test_a_large_group_of_near_copies_is_one_class(spark):
     assert ps.near_copies(docs, marked, 0.8).count() <= 2 * 8 * 400  # never all pairs
 
 
+def test_all_texts_of_a_key_that_are_alike_are_in_one_class(spark, monkeypatch):
+    """Walks of many small changes from common beginnings: most pairs are alike neither to the least text nor to a neighbour."""
+    monkeypatch.setattr(ps, "BLOCK", 8)
+    data = []
+    for origin in range(4):
+        for walk in range(12):
+            words, pick = odd.prose(700 + origin, 150).split(), random.Random(f"{origin} {walk}")
+            for step in range(9):
+                words[pick.randrange(150)] = f"w{walk}x{step}"
+                data.append((len(data), " ".join(words)))
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(5)
+    marked = ps.stored(ps.fingerprints(docs, text_hash=True), "test-bits")
+    bits = {r.own_text: r.bits for r in marked.collect()}
+    links = [(r.a, r.b) for r in ps.near_copies(docs, marked, 0.8).collect()]
+    root = classes_of([*links, *((b, b) for b in bits.values())])
+    own = ps.sketches(docs).collect()
+    having = collections.defaultdict(set)
+    for i, r in enumerate(own):
+        for k in r["keys"]:
+            having[k].add(i)
+    met = {p for some in having.values() for p in itertools.combinations(sorted(some), 2)}
+    alike = [(own[a], own[b]) for a, b in met if ps.jaccard(own[a].least, own[b].least) >= 0.8]
+    assert len(alike) > 400 and all(root[bits[a.own_text]] == root[bits[b.own_text]] for a, b in alike)
+    known = {own[i].own_text: own[i].least for i in range(len(own))}
+    texts = collections.defaultdict(list)
+    for t, b in bits.items():
+        texts[b].append(t)
+    assert all(any(ps.jaccard(known[x], known[y]) >= 0.8 for x in texts[a] for y in texts[b]) for a, b in links)
+
+
+def test_similarities_of_blocks(spark):
+    pick = random.Random(5)
+    common = [pick.randrange(2**64) for _ in range(400)]
+    sets = [sorted({*pick.sample(common, n), *(pick.randrange(2**64) for _ in range(n // 5))})[: ps.SKETCH]
+            for n in (1, 2, 30, 100, 200, 213, 214, 220, 300, 400, 400)]
+    least = [ps.np.array(v, "<u8").tobytes() for v in sets]
+    found = ps.similarities(least[:6], least)
+    assert found.shape == (6, 11) and all(found[i, j] == ps.jaccard(least[i], least[j]) for i in range(6) for j in range(11))
+    assert all(ps.similarities(least, least)[i, i] == 1 for i in range(11))
+
+
 @pytest.mark.parametrize("sizes", [(10, 10, 5), (300, 280, 250), (2000, 2000, 1800), (256, 256, 200), (1, 1, 0)])
 def test_similarity_by_least_hashes(sizes):
     pick = random.Random(sum(sizes))
