@@ -249,24 +249,26 @@ def lookup_dispatch(requests: DataFrame, cells: DataFrame, options: SkewOptions
 
     ``slice`` wins when it is set, then ``start`` and ``end`` when both are set, else the whole row is read.  Requests
     without one of these columns never use that kind, and the plan is made accordingly: slices of single names meet
-    their cells by name, so a wide row is not read for two of its columns.
+    their cells by name, so a wide row is not read for two of its columns.  Composite names are met by row key whatever
+    the kind, so all kinds share one join, and cells that are yet to be folded are folded once.
     """
-    has_slice = "slice" in requests.columns
+    has_slice, composite = "slice" in requests.columns, _parts(cells) is not None
     has_range = {"start", "end"} <= set(requests.columns)
-    sliced = None
-    if has_slice:
-        sliced = lookup_slice(requests.where("slice IS NOT NULL"), cells, options=options)
+    split = None
+    if has_slice and not composite:
+        split = lookup_slice(requests.where("slice IS NOT NULL"), cells, options=options)
         requests = requests.where("slice IS NULL")
     options = options or SkewOptions()
-    bounded = F.col("start").isNotNull() & F.col("end").isNotNull() if has_range else F.lit(False)
-    if has_range and _wide_rows(cells, options):
-        whole = skew_join(requests.where(~bounded), cells, ["row_key"], options=options)
-        found = whole.unionByName(_in_bounds(requests.where(bounded), cells, options))
-    else:
-        found = skew_join(requests, cells, ["row_key"], options=options)
-        if has_range:
-            found = found.where(F.when(bounded, _bounded(cells)).otherwise(F.lit(True)))
-    return reduce(DataFrame.unionByName, [x for x in (found, sliced) if x is not None])
+    by_name = F.col("slice").isNotNull() if has_slice and composite else F.lit(False)
+    bounded = ~by_name & F.col("start").isNotNull() & F.col("end").isNotNull() if has_range else F.lit(False)
+    apart = has_range and _wide_rows(cells, options)
+    found = skew_join(requests.where(~bounded) if apart else requests, cells, ["row_key"], options=options)
+    tests = [(by_name, _named)] * (has_slice and composite) + [(bounded, _bounded)] * (has_range and not apart)
+    if tests:
+        found = found.where(reduce(lambda rest, t: F.when(t[0], t[1](cells)).otherwise(rest), tests, F.lit(True)))
+    if apart:
+        found = found.unionByName(_in_bounds(requests.where(bounded), cells, options))
+    return reduce(DataFrame.unionByName, [x for x in (found, split) if x is not None])
 
 
 def lookup_filtered(requests: DataFrame, cells: DataFrame, keep: Column, outputs: Sequence[str],

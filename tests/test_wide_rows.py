@@ -129,3 +129,25 @@ def test_bounds_of_another_type(spark):
     cells = spark.range(3000).select(F.lit("hot").alias("row_key"), F.col("id").alias("column_name"), F.col("id").alias("value"))
     asked = spark.createDataFrame([(1, "hot", 9.5, 12.0)], "id int, row_key string, start double, end double")
     assert rows(lookup_range(asked, cells, options=WIDE), "value") == [(10,), (11,), (12,)]
+
+
+@pytest.mark.parametrize("options", [WIDE, PLAIN])
+def test_composite_dispatch_reads_its_cells_once(spark, options):
+    """Slices, ranges and whole rows of composite names: one join where no row is wide, and the answers of each kind alone."""
+    data = [("hot", f"a{i % 7}", i, "v") for i in range(300)] + [(f"k{j}", f"a{i}", i, "v") for i in range(9) for j in range(4)]
+    cells = spark.createDataFrame(data, "row_key string, a string, b int, value string")
+    cells = cells.select("row_key", composite(a="a", b="b").alias("column_name"), "value")
+    kind = "id int, row_key string, slice array<struct<a:string,b:int>>, start struct<a:string,b:int>, end struct<a:string,b:int>"
+    names = [("a3", None), ("a1", 1), ("a3", 3)]
+    asked = [(i, row, names if i % 3 == 0 else None, ("a2", 2) if i % 3 < 2 else None, ("a2", 100) if i % 6 != 4 else None)
+             for i, row in enumerate(["hot", "k0", "k1", "absent", "hot", "k2"] * 4)]
+    asked = spark.createDataFrame(asked, kind)
+    found = lookup_dispatch(asked, cells, options)
+    if options is PLAIN:
+        assert plan(found).count("Join") == 1 and "Union" not in plan(found)
+    sliced, rest = asked.where("slice IS NOT NULL"), asked.where("slice IS NULL")
+    ranged = rest.where("start IS NOT NULL AND end IS NOT NULL")
+    whole = rest.where("start IS NULL OR end IS NULL")
+    want = [lookup.lookup_slice(sliced, cells), lookup_range(ranged, cells), lookup.lookup_row(whole, cells)]
+    want = sorted((r for w in want for r in rows(w, *found.columns)), key=repr)
+    assert rows(found) == want and len(want) > 200
