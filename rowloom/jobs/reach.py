@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from rowloom.plans.skew import SkewOptions, fits_broadcast, heavy_keys, skew_join, stored
 
+LIST = 1000  # the longest list of a source's followers, and of a url's sources, that is gathered in a row
+
 
 def _skew(options: SkewOptions | None, left_keys: DataFrame, right_keys: DataFrame) -> SkewOptions:
     """Look for heavy keys in the given tables instead of in results that would have to be computed for it."""
@@ -32,6 +34,29 @@ def _answer(requests: DataFrame, counts: DataFrame, name: str, options: SkewOpti
 
 
 def _expanded(pairs: DataFrame, sharers: DataFrame, followers: DataFrame, options: SkewOptions | None) -> DataFrame:
+    """Reach by lists: a source's followers travel to its urls as one row, and are told apart where a url's lists meet.
+
+    Urls with more than ``LIST`` sources or with a source of more followers are answered by rows, a follower each.
+    """
+    pairs = stored(pairs)
+    lists = stored(_followed(pairs, followers).groupBy("source").agg(F.collect_set("follower").alias("followers")))
+    long = lists.where(F.size("followers") > LIST).select("source")
+    many = pairs.groupBy("url").agg(F.count("*").alias("n")).where(F.col("n") > LIST).select("url")
+    large = stored(many.unionByName(pairs.join(long, "source", "left_semi").select("url")).distinct())
+    if large.isEmpty():
+        return _by_lists(pairs, lists, sharers, options)
+    short = lists.where(F.size("followers") <= LIST)
+    listed = _by_lists(pairs.join(large, "url", "left_anti"), short, sharers, options)
+    return listed.unionByName(_by_rows(pairs.join(large, "url", "left_semi"), sharers, followers, options))
+
+
+def _by_lists(pairs: DataFrame, lists: DataFrame, sharers: DataFrame, options: SkewOptions | None) -> DataFrame:
+    paths = skew_join(pairs, lists, ["source"], options=_skew(options, sharers, lists), unique_right=True)
+    met = paths.select("url", "followers").repartition("url").groupBy("url").agg(F.collect_list("followers").alias("met"))
+    return met.select("url", F.size(F.array_distinct(F.flatten("met"))).cast("long").alias("reach"))
+
+
+def _by_rows(pairs: DataFrame, sharers: DataFrame, followers: DataFrame, options: SkewOptions | None) -> DataFrame:
     edges = _followed(pairs, followers)  # repeated edges do not matter below
     paths = skew_join(pairs, edges, ["source"], options=_skew(options, sharers, followers))
     return paths.groupBy("url").agg(F.countDistinct("follower").alias("reach"))
