@@ -142,9 +142,25 @@ class BatchLog:
         schema = self._stored
         if not paths:
             return self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+        paths = self._gathered(paths)
         reader = self.spark.read.schema(schema).option("basePath", self.root)
         return reader.parquet(*[f"{self.root}/{p}" for p in paths]).select(*[f.name for f in schema])
 
+    def _gathered(self, paths: Sequence[str]) -> list[str]:
+        """The paths, or the folder of a level in place of its files where they are all of them; each path costs a call."""
+        levels: dict[str, list[str]] = {}
+        for path in paths:
+            levels.setdefault("/".join(path.split("/")[:2]), []).append(path)
+        found = []
+        for level, own in levels.items():
+            if len(own) > 1 and level.startswith("fold="):
+                fs, place = self.commits.storage(f"{self.root}/{level}")
+                marks = int(fs.exists(self.commits.storage(f"{self.root}/{level}/_SUCCESS")[1]))
+                if fs.getContentSummary(place).getFileCount() - marks == len(own):
+                    own = [level]
+            found += own
+        return found
+
     def manifest(self, fold: str) -> DataFrame:
         """The files of a snapshot: path, level, n_rows, bytes, and the lowest and highest key."""
         key = T.StructType([self._stored[n] for n in self.order] or [T.StructField("none", T.IntegerType())])
@@ -357,7 +373,9 @@ class BatchLog:
         for _, fold in state.replaced:
             gone += [r.path for r in self.manifest(fold).select("path").collect() if r.path not in used]
             gone.append(f"manifest={fold}")
-        for path in gone:
+        kept = {path.split("/")[0] for path in used}
+        whole = lambda path: path.startswith("fold=") and path.split("/")[0] not in kept
+        for path in dict.fromkeys(path.split("/")[0] if whole(path) else path for path in gone):
             self._delete(path)
         if gone:
             removed = [*state.gone, *(fold for _, fold in state.replaced)]

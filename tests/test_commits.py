@@ -254,3 +254,35 @@ def test_names_that_need_care_in_paths(spark, tmp_path):
     assert {r.table for r in store.cells().collect()} == set(names) and store.cells().count() == 18
     asked = spark.createDataFrame([("k1",)], "row_key string")
     assert all(store.lookup(asked, lookup_row, table=n).count() == 1 for n in names)
+
+
+def test_whole_levels_are_read_and_removed_by_their_folders(spark, tmp_path, monkeypatch):
+    """A file of a store costs no call of its own where its folder is read or removed whole; else only its own files count."""
+    from rowloom.operators.mappers import Write, map_custom
+    from rowloom.sources import CellStore
+    from rowloom.sources.log import BASE, BatchLog
+
+    def cells(rows, value):
+        entry = F.array(F.struct(F.lit("c").alias("column_name"), F.lit(value).alias("value")))
+        return map_custom(rows, F.lpad(F.col("id").cast("string"), 5, "0"), entry, Write(F.lit("2024-01-01").cast("timestamp_ntz"), F.lit(int(value))))
+
+    store, deleted, delete = CellStore(spark, f"file://{tmp_path}/s", file_rows=50), [], BatchLog._delete
+    monkeypatch.setattr(BatchLog, "_delete", lambda self, path: (deleted.append(path), delete(self, path))[1])
+    ids = spark.range(2000)
+    store.put(ids, lambda rows: cells(rows, "0"), 0)
+    store.compact(keep_last=0)
+    first = store.log.files(store.log.state().fold, BASE)
+    assert len(first) >= 40 and len(store.log._gathered(first)) == 1 and store.cells().count() == 2000
+    store.put(ids.where("id < 300"), lambda rows: cells(rows, "1"), 1)
+    store.compact(keep_last=0)
+    store.vacuum()
+    kept = [p for p in store.log.files(store.log.state().fold, BASE) if p in first]
+    assert 0 < len(kept) < len(first) and len(store.log._gathered(kept)) == 1
+    assert store.log._gathered(kept[1:]) == kept[1:]
+    assert store.cells().where("value = '1'").count() == 300 and store.cells().count() == 2000
+    deleted.clear()
+    store.put(ids, lambda rows: cells(rows, "2"), 2)
+    store.compact(keep_last=0)
+    gone = store.vacuum()
+    assert len(gone) > 40 and len(deleted) < 10 and not any((tmp_path / "s" / p.split("/s/")[1]).exists() for p in gone)
+    assert store.cells().where("value = '2'").count() == 2000
