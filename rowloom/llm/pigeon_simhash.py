@@ -273,11 +273,12 @@ def near_copies(docs: DataFrame, marked: DataFrame, similarity: float) -> DataFr
 
 
 def links_across(shared: DataFrame, least: DataFrame, linked: DataFrame, similarity: float) -> DataFrame:
-    """Links (x, y) of all texts alike that share a key (``shared``: key, own_text) but no class of the links found so far.
+    """Links (x, y) that join all texts alike that share a key (``shared``: key, own_text) but no class of the links found so far.
 
     The texts of a key that is left with several classes are cut into blocks of about ``BLOCK``, those of a large class by
     themselves. Each two blocks of a key meet in a row, but for two of one class, and are compared as matrices, so a group of
-    n texts makes (n / BLOCK)^2 / 2 rows at most and one of few classes as many as its blocks.
+    n texts makes (n / BLOCK)^2 / 2 rows at most and one of few classes as many as its blocks. A row gives fewer links than it
+    has classes, as the others follow from them.
     """
     texts_met = shared.select(F.col("own_text").alias("bits")).distinct()
     rooted = stored(components(texts_met.withColumn("label", F.col("bits")), linked.select(F.col("x").alias("a"), F.col("y").alias("b"))), "simhash-near-classes")
@@ -302,14 +303,26 @@ def links_across(shared: DataFrame, least: DataFrame, linked: DataFrame, similar
             for i in range(batch.num_rows):
                 some, other = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
                 alike = similarities([m["least"] for m in some], [m["least"] for m in other]) >= similarity
-                found = [(some[a], other[b]) for a, b in zip(*np.nonzero(alike), strict=True)]
-                found = [(a["own_text"], b["own_text"]) for a, b in found if a["root"] != b["root"]]
+                above, found = {}, []  # a link of classes that others of this row have joined already says nothing new
+                for a, b in zip(*np.nonzero(alike), strict=True):
+                    ends = some[a]["root"], other[b]["root"]
+                    low, high = sorted(top(above, end) for end in ends)
+                    if low != high:
+                        above[high] = low
+                        found.append((some[a]["own_text"], other[b]["own_text"]))
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["x", "y"])
 
     return stored(map_batches(met, run, "x long, y long"), "simhash-across")
 
 
+def top(above: dict[int, int], end: int) -> int:
+    """The last of the chain above a class."""
+    while end in above:
+        end = above[end]
+    return end
+
+
 def similarities(some: list[bytes], other: list[bytes]) -> np.ndarray:
     """``jaccard`` of each of ``some`` with each of ``other``."""
     sets = [np.frombuffer(v, "<u8") for v in (*some, *other)]
