@@ -309,11 +309,12 @@ def links_across(shared: DataFrame, least: DataFrame, linked: DataFrame, similar
                     low, high = sorted(top(above, end) for end in ends)
                     if low != high:
                         above[high] = low
-                        found.append((some[a]["own_text"], other[b]["own_text"]))
+                        found.append((some[a]["own_text"], other[b]["own_text"], *sorted(ends)))
                 if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["x", "y"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["x", "y", "low", "high"])
 
-    return stored(map_batches(met, run, "x long, y long"), "simhash-across")
+    found = map_batches(met, run, "x long, y long, low long, high long").groupBy("low", "high")  # one for two classes
+    return stored(found.agg(F.min(F.struct("x", "y")).alias("one")).select("one.x", "one.y"), "simhash-across")
 
 
 def top(above: dict[int, int], end: int) -> int:
