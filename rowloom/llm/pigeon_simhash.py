@@ -9,8 +9,8 @@ segment is equal, and of the two after it at least one is equal too. Pairs are f
 bits, eight keys for each fingerprint), and only a pair whose chains keep to all budgets reaches the full check, which is
 the last budget. Two fingerprints that are linked always meet under some key; nothing is capped.
 
-Only distinct fingerprints are compared, so copies never make pairs. Classes come from smallest labels that spread over
-the links and jump along them; each round is written to the shared folder. No link or class reaches the driver.
+Only distinct fingerprints are compared, so copies never make pairs. Classes come from contracting the graph of the links,
+round by round; each round is written to the shared folder. No link or class reaches the driver.
 
 ``one_of_each`` joins classes further: texts whose five-word shingles are alike (0.8 and more) may differ in more bits than
 any equal segments can tell, so they are found by min-hash bands; all texts of a band that are alike come into one class.
@@ -36,6 +36,7 @@ SHINGLE, SEED, MAX_BITS = 3, 42, 2
 SEGMENTS, SEGMENT_BITS = 4, 16
 SIMILARITY, COPY_SHINGLE, COPY_BITS = 0.8, 5, 14
 BANDS, BAND_ROWS, SKETCH, SLOTS, BLOCK = 8, 3, 256, 64, 64
+EDGES = 100_000  # that a task contracts at once
 
 
 def fingerprint(text: str, width: int = SHINGLE) -> int:
@@ -115,26 +116,54 @@ def links(distinct: DataFrame) -> DataFrame:
 def components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """``vertices`` (bits, label) with the smallest label of each component of ``edges`` (a, b).
 
-    A vertex takes the smallest label among itself and its neighbours; then every vertex with a known owner of that
-    label takes the owner's label, which halves long paths. Rounds end when no label has changed.
+    Each round contracts the graph: tasks of about ``EDGES`` edges join the ends of their own, a vertex goes over to the first
+    of those that any task joined it with, and edges between what is left are the next round's. First is by a hash that each
+    round draws anew, so a share of the vertices goes in every round, however the labels lie; what one task holds takes one.
     """
-    both = stored(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "simhash-edges")
-    linked = stored(vertices.join(both.select(F.col("a").alias("bits")).distinct(), "bits"), "simhash-linked")
-    state = linked.withColumn("root", F.col("label")).select("bits", "label", "root")
-    while True:
-        heard = both.join(state.select(F.col("bits").alias("b"), "root"), "b").groupBy("a")
-        heard = heard.agg(F.min("root").alias("heard")).withColumnRenamed("a", "bits")
-        least = F.least(F.col("root"), F.col("heard"))
-        spread = stored(state.join(heard, "bits").select("bits", "label", "root", least.alias("next")), "simhash-spread")
-        owners = spread.select(F.col("label").alias("next"), F.col("next").alias("owner"))
-        jumped = spread.join(owners, "next", "left")
-        root = F.least(F.col("next"), F.coalesce(F.col("owner"), F.col("next")))
-        jumped = jumped.select("bits", "label", root.alias("root"), (root != F.col("root")).cast("long").alias("moved"))
-        jumped = stored(jumped, "simhash-jumped")
-        state = jumped.select("bits", "label", "root")
-        if not (jumped.agg(F.sum("moved")).first()[0] or 0):
-            rest = vertices.join(state.select("bits"), "bits", "left_anti")
-            return rest.select("bits", F.col("label").alias("root")).unionByName(state.select("bits", "root"))
+    edges = stored(edges.filter("a <> b").select("a", "b"), "simhash-edges")
+    owners = edges.select(F.explode(F.array("a", "b")).alias("bits")).distinct().withColumn("owner", F.col("bits"))
+    round_no = 0
+    while n := edges.count():
+        joined = stored(joined_within(edges.coalesce(-(-n // EDGES)), round_no), "simhash-joined")
+        firsts = joined.groupBy("bits").agg(F.min(F.struct("rank", "root")).alias("first"))
+        firsts = stored(firsts.select("bits", F.col("first.root").alias("next")), "simhash-firsts")
+        owners = owners.join(firsts.withColumnRenamed("bits", "owner"), "owner", "left")
+        owners = owners.select("bits", F.coalesce("next", "owner").alias("owner"))
+        moved = joined.select("bits", "root").join(firsts.withColumnRenamed("next", "a"), "bits")
+        moved = moved.join(firsts.withColumnRenamed("bits", "root"), "root", "left").select("a", F.coalesce("next", "root").alias("b"))
+        ends = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+        edges = stored(moved.filter("a <> b").select(*ends).distinct(), "simhash-edges")
+        round_no += 1
+    linked = stored(vertices.join(owners, "bits").select("bits", "label", "owner"), "simhash-linked")
+    roots = linked.groupBy("owner").agg(F.min("label").alias("root"))
+    named = linked.join(roots, "owner").select("bits", "root")
+    return vertices.join(named, "bits", "left").select("bits", F.coalesce("root", "label").alias("root"))
+
+
+def joined_within(edges: DataFrame, round_no: int) -> DataFrame:
+    """For each vertex that the edges (a, b) of a task join with others: the first of them by a hash, as root with its rank."""
+
+    def rows(above: dict[tuple[int, int], tuple[int, int]]) -> pa.RecordBatch:
+        found = [(end[1], *top(above, end)) for end in list(above)]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["bits", "rank", "root"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        above = {}
+        for batch in batches:
+            a, rank_a, b, rank_b = (c.to_pylist() for c in batch.columns)
+            for one, other in zip(zip(rank_a, a, strict=True), zip(rank_b, b, strict=True), strict=True):
+                low, high = sorted((top(above, one), top(above, other)))
+                if low != high:
+                    above[high] = low
+            if len(above) >= EDGES:  # so a task holds no more, however much it reads
+                yield rows(above)
+                above = {}
+        if above:
+            yield rows(above)
+
+    ranks = {side: F.xxhash64(side, F.lit(round_no)) for side in ("a", "b")}
+    ranked = edges.select("a", ranks["a"].alias("rank_a"), "b", ranks["b"].alias("rank_b"))
+    return map_batches(ranked, run, "bits long, rank long, root long")
 
 
 def classes(bits: DataFrame, edges: DataFrame) -> DataFrame:
@@ -317,10 +346,11 @@ def links_across(shared: DataFrame, least: DataFrame, linked: DataFrame, similar
     return stored(found.agg(F.min(F.struct("x", "y")).alias("one")).select("one.x", "one.y"), "simhash-across")
 
 
-def top(above: dict[int, int], end: int) -> int:
-    """The last of the chain above a class."""
+def top(above: dict, end):
+    """The last of the chain above a class; the chain is halved on the way."""
     while end in above:
-        end = above[end]
+        up = above[end]
+        above[end] = end = above.get(up, up)
     return end
 
 

@@ -197,6 +197,43 @@ def test_a_long_chain_is_one_class(spark):
     assert {r.root for r in ps.components(labels, edges).collect()} == {0}
 
 
+def test_classes_take_few_jobs_and_rows(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(ps, "stored", lambda df, purpose, f=ps.stored: kept.append(f(df, purpose)) or kept[-1])
+    n = 3000
+    labels = spark.createDataFrame([(i, i) for i in range(n)], "bits long, label long")
+    edges = spark.createDataFrame([(i, i + 1) for i in range(n - 1)], "a long, b long").repartition(4)
+    assert {r.root for r in ps.components(labels, edges).collect()} == {0}
+    assert len(kept) <= 5
+    assert sum(df.count() for df in kept) <= 4 * n
+
+
+def test_classes_of_many_tasks_match_brute_force(spark, monkeypatch):
+    import random
+
+    pick = random.Random(8)
+    monkeypatch.setattr(ps, "EDGES", 40)
+    n = 700
+    ends = [(i, i + 1) for i in range(200)]  # a chain, a star, single pairs, a loop and links given twice
+    ends += [(250, i) for i in range(251, 400)] + [(3, 3), (420, 420), (5, 4)] + ends[:20]
+    ends += [(pick.randrange(400, n), pick.randrange(400, n)) for _ in range(150)]
+    pick.shuffle(ends)
+    parent = list(range(n))
+
+    def top(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in ends:
+        parent[max(top(a), top(b))] = min(top(a), top(b))
+    frame = spark.createDataFrame([(a * 2**40 - 2**48, b * 2**40 - 2**48) for a, b in ends], "a long, b long").repartition(8)
+    labels = spark.createDataFrame([(i * 2**40 - 2**48, i) for i in range(n)], "bits long, label long")
+    rows = ps.components(labels, frame).collect()
+    assert len(rows) == n
+    assert {(r.bits + 2**48) // 2**40: r.root for r in rows} == {i: top(i) for i in range(n)}
+
+
 def test_one_of_each_keeps_every_class_once(spark):
     docs = odd.documents(spark)
     out = ps.one_of_each(docs)
