@@ -273,18 +273,19 @@ def near_copies(docs: DataFrame, marked: DataFrame, similarity: float) -> DataFr
     met = own.select(F.explode("keys").alias("key"), F.struct("words", "own_text").alias("one"))
     met = stored(met, "simhash-bands")
     first = met.groupBy("key").agg(F.min("one").alias("other"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    leading = met.join(first, "key").filter("one > other").select("one", "other")
-    sides = first.select("key")
+    shared = stored(met.join(first, "key").select("key", "one", "other"), "simhash-shared")
+    leading = shared.filter("one > other").select("one", "other")
     ranked = Window.partitionBy("key", "slot").orderBy("one")
     slot = F.pmod(F.xxhash64("one.own_text"), F.lit(SLOTS)).alias("slot")  # a large group is many small windows
-    beside = met.join(sides, "key", "left_semi").select("key", "one", slot)
-    beside = beside.select("one", F.lag("one").over(ranked).alias("other")).filter("other IS NOT NULL")
+    beside = shared.select("key", "one", slot).select("one", F.lag("one").over(ranked).alias("other")).filter("other IS NOT NULL")
     pairs = leading.unionByName(beside).distinct()
     pairs = pairs.filter(chains(F.col("one.words"), F.col("other.words"), COPY_BITS))
     pairs = pairs.filter(F.bit_count(F.col("one.words").bitwiseXOR(F.col("other.words"))) <= COPY_BITS)
     pairs = stored(pairs.select(F.col("one.own_text").alias("x"), F.col("other.own_text").alias("y")), "simhash-pairs")
-    held = own.select(F.col("own_text").alias("x"), F.col("least").alias("x_least"))
-    other = own.select(F.col("own_text").alias("y"), F.col("least").alias("y_least"))
+    shared = shared.select("key", F.col("one.own_text").alias("own_text"))
+    least = own.select("own_text", "least").join(shared.select("own_text").distinct(), "own_text", "left_semi")
+    least = stored(least, "simhash-least")  # the only ones that are compared
+    held, other = least.toDF("x", "x_least"), least.toDF("y", "y_least")
     both = pairs.join(held, "x").join(other, "y").select("x", "y", "x_least", "y_least")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,8 +294,7 @@ def near_copies(docs: DataFrame, marked: DataFrame, similarity: float) -> DataFr
             yield batch.select([0, 1]).filter(pa.array(alike, pa.bool_()))
 
     linked = stored(map_batches(both, run, "x long, y long"), "simhash-near")
-    shared = met.join(sides, "key", "left_semi").select("key", F.col("one.own_text").alias("own_text"))
-    linked = linked.unionByName(links_across(shared, own.select("own_text", "least"), linked, similarity))
+    linked = linked.unionByName(links_across(shared, least, linked, similarity))
     bits = stored(marked.groupBy("own_text").agg(F.min("bits").alias("bits")), "simhash-of-texts")
     for side, name in (("x", "a"), ("y", "b")):
         linked = linked.join(bits.select(F.col("own_text").alias(side), F.col("bits").alias(name)), side)
