@@ -4,7 +4,8 @@ A text gets one number: the mean, over its words, of a weight for the hashed wor
 capitals, digits and marks, runs folded), plus weights of hashed page features (share of repeated words and lines, of
 marks, of capitals, length). Ordered thresholds cut that number into grades: P(grade >= k) is the logistic of number minus
 threshold k, with the same weights for all k. The weights and the thresholds are fitted together, in numpy on the driver,
-on at most ``max_rows`` labelled rows picked by a hash of their id. The expected grade and the tail probability come out
+on at most ``max_rows`` labelled rows picked by a hash of their id; texts become counted buckets in tasks, and only these
+reach the driver. The expected grade and the tail probability come out
 for every text; a text is accepted if it reaches grade ``least`` with probability ``accept`` or more.
 
 Defined results: null and empty texts have no words and are graded by their page features alone. Labels without a
@@ -21,10 +22,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.llm.common import for_workers, whole_text
+from rowloom.llm.common import for_workers, map_batches, texts, whole_text
 
 BUCKETS = 2**16
 MAX_ROWS = 6_000  # labelled rows that are fitted
@@ -101,22 +104,36 @@ class OrdinalModel:
         return 1 / (1 + np.exp(np.clip(self.cuts[None, :] - numbers[:, None], -60, 60)))
 
 
+def counted(text: str, known: WordBuckets) -> tuple[np.ndarray, np.ndarray, int]:
+    """The buckets of a text, how often each stands in it, with 0 for those of the page, and its number of words."""
+    words, page = features(text, known)
+    used, counts = np.unique(np.concatenate([words >> 16, words & 0xFFFF]), return_counts=True)
+    return np.concatenate([used, np.array(page, np.int64)]), np.concatenate([counts, np.zeros(len(page), np.int64)]), len(words)
+
+
 def fit(texts: list[str], grades: list[int], epochs: int = 150, rate: float = 0.05, decay: float = 1e-4) -> OrdinalModel:
-    """The most likely weights and thresholds, by Adam on all rows at once."""
+    """The most likely weights and thresholds of ``texts``."""
+    known = WordBuckets()
+    rows = [counted(text, known) for text in texts] or [(np.empty(0, np.int64), np.empty(0, np.int64), 0)]
+    places, counts, words = zip(*rows, strict=True)
+    sizes = [len(p) for p in places]
+    return fit_counted(np.concatenate(places), np.concatenate(counts), sizes, words, grades, epochs, rate, decay)
+
+
+def fit_counted(
+    place: np.ndarray, counts: np.ndarray, sizes, words, grades, epochs: int = 150, rate: float = 0.05, decay: float = 1e-4
+) -> OrdinalModel:
+    """The most likely weights and thresholds, by Adam on all rows at once.
+
+    ``place`` and ``counts`` are what ``counted`` gives of all texts, end to end, ``sizes`` and ``words`` the buckets and
+    words of each.
+    """
     levels = sorted(set(grades))
     if len(levels) < 2:
         return OrdinalModel(np.zeros(BUCKETS), np.empty(0), levels)
-    known = WordBuckets()
-    rows, places, values = [], [], []
-    texts_with = np.zeros(BUCKETS, np.int64)
-    for i, text in enumerate(texts):
-        words, page = features(text, known)
-        used, counts = np.unique(np.concatenate([words >> 16, words & 0xFFFF]), return_counts=True)
-        texts_with[used] += 1
-        rows.append(np.full(len(used) + len(page), i))
-        places.append(np.concatenate([used, np.array(page, np.int64)]))
-        values.append(np.concatenate([PULL * counts / max(1, len(words)), np.ones(len(page))]))
-    row, place, value = np.concatenate(rows), np.concatenate(places), np.concatenate(values)
+    row = np.repeat(np.arange(len(grades)), sizes)
+    texts_with = np.bincount(place[counts > 0], minlength=BUCKETS)
+    value = np.where(counts > 0, PULL * counts / np.maximum(1, words)[row], 1.0)
     often = np.maximum(texts_with[place], (value == 1) * MIN_TEXTS) >= MIN_TEXTS
     row, place, value = row[often], place[often], value[often]
     seen, column = np.unique(place, return_inverse=True)
@@ -131,20 +148,20 @@ def fit(texts: list[str], grades: list[int], epochs: int = 150, rate: float = 0.
     for step in range(1, epochs + 1):
         raw = base + gaps
         cuts = raw[0] + np.concatenate([[0.0], np.cumsum(np.exp(raw[1:]))])
-        number = np.bincount(row, weights[column] * value, len(texts))
+        number = np.bincount(row, weights[column] * value, len(grades))
         upper = 1 / (1 + np.exp(np.clip(cuts[None, :] - number[:, None], -60, 60)))
-        tail = np.concatenate([np.ones((len(texts), 1)), upper, np.zeros((len(texts), 1))], axis=1)
+        tail = np.concatenate([np.ones((len(grades), 1)), upper, np.zeros((len(grades), 1))], axis=1)
         slope = tail * (1 - tail)
-        at = np.arange(len(texts))
+        at = np.arange(len(grades))
         chance = np.maximum(1e-9, tail[at, grade] - tail[at, grade + 1])
         above, below = slope[at, grade] / chance, slope[at, grade + 1] / chance
         pull = above - below  # of the log likelihood by the number
-        by_cut = np.zeros((len(texts), k + 2))
+        by_cut = np.zeros((len(grades), k + 2))
         by_cut[at, grade] -= above
         by_cut[at, grade + 1] += below
         by_cut = by_cut[:, 1:-1].mean(axis=0)
         by_raw = np.array([by_cut.sum(), *(np.exp(raw[j]) * by_cut[j:].sum() for j in range(1, k))])
-        by_weight = np.bincount(column, pull[row] * value, len(seen)) / len(texts) - decay * weights
+        by_weight = np.bincount(column, pull[row] * value, len(seen)) / len(grades) - decay * weights
         for target, slope_of, moment in ((weights, by_weight, moments[0]), (gaps, by_raw, moments[1])):
             moment[0] = 0.9 * moment[0] + 0.1 * slope_of
             moment[1] = 0.99 * moment[1] + 0.01 * slope_of**2
@@ -161,20 +178,34 @@ def ratings(labels: DataFrame) -> DataFrame:
     return labels.select("doc_id", grade.alias("grade"))
 
 
-def sampled(docs: DataFrame, rated: DataFrame, max_rows: int) -> tuple[list[str], list[int]]:
-    """The texts and grades that are fitted: at most ``max_rows``, those with the smallest hashes of their ids."""
+def sampled(docs: DataFrame, rated: DataFrame, max_rows: int) -> DataFrame:
+    """What ``counted`` gives of the texts that are fitted, and their grades: at most ``max_rows``, those with the smallest hashes of their ids."""
     known = rated.filter("grade IS NOT NULL AND doc_id IS NOT NULL")
     known = known.select(F.col("doc_id").cast("long").alias("rated_id"), F.col("grade").cast("int").alias("grade"))
     picked = known.orderBy(F.xxhash64("rated_id"), "rated_id", "grade").limit(max_rows)  # bounded by the parameter
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    rows = own.join(F.broadcast(picked), F.col("doc_id") == F.col("rated_id"))
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text", "grade").limit(max_rows).select("text", "grade").collect()
-    return [r["text"] for r in rows], [r["grade"] for r in rows]
+    rows = own.join(F.broadcast(picked), F.col("doc_id") == F.col("rated_id")).select("doc_id", "text", "grade")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        buckets = WordBuckets()
+        for batch in batches:
+            for start, part in texts(batch.column(1)):
+                places, counts, words = zip(*[counted(text, buckets) for text in part], strict=True)
+                columns = [pa.array(places, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32())), pa.array(words, pa.int64())]
+                names = [*batch.schema.names, "places", "counts", "words"]
+                yield pa.RecordBatch.from_arrays([*batch.slice(start, len(part)).columns, *columns], names=names)
+
+    found = map_batches(rows, run, "doc_id long, text string, grade int, places array<int>, counts array<int>, words long")
+    found = found.orderBy(F.xxhash64("doc_id"), "doc_id", "text", "grade").limit(max_rows)
+    return found.select("grade", "places", "counts", "words")
 
 
 def train(docs: DataFrame, rated: DataFrame, max_rows: int = MAX_ROWS) -> OrdinalModel:
     """A model from ``docs`` (doc_id, text) and ``rated`` (doc_id, grade)."""
-    return fit(*sampled(docs, rated, max_rows))
+    rows = sampled(docs, rated, max_rows).toArrow().combine_chunks()
+    flat = {name: pc.list_flatten(rows[name]).to_numpy().astype(np.int64) for name in ("places", "counts")}
+    sizes = pc.list_value_length(rows["places"]).to_numpy()
+    return fit_counted(flat["places"], flat["counts"], sizes, rows["words"].to_numpy(), rows["grade"].to_pylist())
 
 
 def tail_column(docs: DataFrame, model: OrdinalModel):

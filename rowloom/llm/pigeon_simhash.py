@@ -113,31 +113,37 @@ def links(distinct: DataFrame) -> DataFrame:
     return left.join(right, met & within).select("a", "b").distinct()
 
 
-def components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
-    """``vertices`` (bits, label) with the smallest label of each component of ``edges`` (a, b).
+def owners(vertices: DataFrame, edges: DataFrame) -> DataFrame:
+    """``vertices`` (bits and other columns) with the owner of each: one vertex of its component of ``edges`` (a, b; stored).
 
     Each round contracts the graph: tasks of about ``EDGES`` edges join the ends of their own, a vertex goes over to the first
     of those that any task joined it with, and edges between what is left are the next round's. First is by a hash that each
     round draws anew, so a share of the vertices goes in every round, however the labels lie; what one task holds takes one.
     """
-    edges = stored(edges.filter("a <> b").select("a", "b"), "simhash-edges")
-    owners = edges.select(F.explode(F.array("a", "b")).alias("bits")).distinct().withColumn("owner", F.col("bits"))
-    round_no = 0
-    while n := edges.count():
-        joined = stored(joined_within(edges.coalesce(-(-n // EDGES)), round_no), "simhash-joined")
-        firsts = joined.groupBy("bits").agg(F.min(F.struct("rank", "root")).alias("first"))
-        firsts = stored(firsts.select("bits", F.col("first.root").alias("next")), "simhash-firsts")
-        owners = owners.join(firsts.withColumnRenamed("bits", "owner"), "owner", "left")
-        owners = owners.select("bits", F.coalesce("next", "owner").alias("owner"))
-        moved = joined.select("bits", "root").join(firsts.withColumnRenamed("next", "a"), "bits")
-        moved = moved.join(firsts.withColumnRenamed("bits", "root"), "root", "left").select("a", F.coalesce("next", "root").alias("b"))
-        ends = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-        edges = stored(moved.filter("a <> b").select(*ends).distinct(), "simhash-edges")
+    owned, left, round_no = vertices.withColumn("owner", F.col("bits")), True, 0
+    while left and (n := edges.count()):
+        left = n >= EDGES  # else one task joins all of them
+        joined = joined_within(edges.coalesce(-(-n // EDGES)), round_no)
+        firsts = joined
+        if left:
+            joined = stored(joined, "simhash-joined")
+            firsts = joined.groupBy("bits").agg(F.min(F.struct("rank", "root")).alias("first")).select("bits", "first.root")
+        firsts = stored(firsts.select("bits", F.col("root").alias("next")), "simhash-firsts")
+        moves = firsts.withColumnRenamed("bits", "owner")
+        owned = owned.join(moves, "owner", "left").withColumn("owner", F.coalesce("next", "owner")).drop("next")
+        if left:
+            moved = joined.select("bits", "root").join(firsts.withColumnRenamed("next", "a"), "bits")
+            moved = moved.join(firsts.withColumnRenamed("bits", "root"), "root", "left").select("a", F.coalesce("next", "root").alias("b"))
+            ends = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+            edges = stored(moved.filter("a <> b").select(*ends).distinct(), "simhash-edges")
         round_no += 1
-    linked = stored(vertices.join(owners, "bits").select("bits", "label", "owner"), "simhash-linked")
-    roots = linked.groupBy("owner").agg(F.min("label").alias("root"))
-    named = linked.join(roots, "owner").select("bits", "root")
-    return vertices.join(named, "bits", "left").select("bits", F.coalesce("root", "label").alias("root"))
+    return stored(owned.select(*vertices.columns, "owner"), "simhash-owners")
+
+
+def components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
+    """``vertices`` (bits, label) with the smallest label of each component of ``edges`` (a, b; stored) as root."""
+    owned = owners(vertices, edges)
+    return owned.join(owned.groupBy("owner").agg(F.min("label").alias("root")), "owner").select("bits", "root")
 
 
 def joined_within(edges: DataFrame, round_no: int) -> DataFrame:
@@ -166,11 +172,6 @@ def joined_within(edges: DataFrame, round_no: int) -> DataFrame:
     return map_batches(ranked, run, "bits long, rank long, root long")
 
 
-def classes(bits: DataFrame, edges: DataFrame) -> DataFrame:
-    """``bits`` (one column, distinct) with the ``root`` of each: the least fingerprint of its class."""
-    return components(bits.select("bits", F.col("bits").alias("label")), edges)
-
-
 def near_duplicates(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits) and component_id of every row."""
     marked = stored(fingerprints(docs, width), "simhash-bits")
@@ -179,17 +180,11 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
     return named.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
-def classed(marked: DataFrame, more: DataFrame | None = None) -> DataFrame:
-    """``marked`` (stored, with doc_id and bits) with the root and the component_id of its class.
-
-    ``more`` are links (a, b) of fingerprints besides those of few bits.
-    """
-    least = stored(marked.groupBy("bits").agg(F.min("doc_id").alias("least")), "simhash-distinct")
-    edges = links(least.select("bits"))
-    edges = stored(edges if more is None else edges.unionByName(more).distinct(), "simhash-links")
-    rooted = stored(least.join(classes(least.select("bits"), edges), "bits"), "simhash-rooted")
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return marked.join(rooted.select("bits", "root").join(ids, "root"), "bits")
+def classed(marked: DataFrame) -> DataFrame:
+    """``marked`` (stored, with doc_id and bits) with the component_id of its class."""
+    least = stored(marked.groupBy("bits").agg(F.min("doc_id").alias("label")), "simhash-distinct")
+    named = components(least, stored(links(least.select("bits")), "simhash-links"))
+    return marked.join(named.withColumnRenamed("root", "component_id"), "bits")
 
 
 def one_of_each(docs: DataFrame, similarity: float | None = SIMILARITY) -> DataFrame:
@@ -201,9 +196,13 @@ def one_of_each(docs: DataFrame, similarity: float | None = SIMILARITY) -> DataF
     rows = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("doc"), F.col("doc_id").cast("long").alias("own_id"),
                        own_text().alias("own_text"))
     marked = stored(fingerprints(docs, text_hash=True), "simhash-bits")
-    more = None if similarity is None else near_copies(docs, marked, similarity)
+    distinct = stored(marked.select("bits").distinct(), "simhash-distinct")
+    edges = links(distinct)
+    if similarity is not None:
+        edges = edges.unionByName(near_copies(docs, marked, similarity)).distinct()
+    owned = marked.join(owners(distinct, stored(edges, "simhash-links")), "bits")
     first = F.min(F.struct("doc_id", "own_text")).alias("first")
-    kept = classed(marked, more).filter("doc_id IS NOT NULL").groupBy("root").agg(first).select("first.*")
+    kept = owned.filter("doc_id IS NOT NULL").groupBy("owner").agg(first).select("first.*")
     kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("own_text").alias("kept_text"))
     chosen = rows.join(kept, (F.col("own_id") == F.col("kept_id")) & (F.col("own_text") == F.col("kept_text")), "left_semi")
     chosen = chosen.dropDuplicates(["own_id", "own_text"])
@@ -271,7 +270,6 @@ def near_copies(docs: DataFrame, marked: DataFrame, similarity: float) -> DataFr
     """
     own = stored(sketches(docs).dropDuplicates(["own_text"]), "simhash-sketches")
     met = own.select(F.explode("keys").alias("key"), F.struct("words", "own_text").alias("one"))
-    met = stored(met, "simhash-bands")
     first = met.groupBy("key").agg(F.min("one").alias("other"), F.count("*").alias("n")).filter("n > 1").drop("n")
     shared = stored(met.join(first, "key").select("key", "one", "other"), "simhash-shared")
     leading = shared.filter("one > other").select("one", "other")
@@ -284,34 +282,33 @@ def near_copies(docs: DataFrame, marked: DataFrame, similarity: float) -> DataFr
     pairs = stored(pairs.select(F.col("one.own_text").alias("x"), F.col("other.own_text").alias("y")), "simhash-pairs")
     shared = shared.select("key", F.col("one.own_text").alias("own_text"))
     least = own.select("own_text", "least").join(shared.select("own_text").distinct(), "own_text", "left_semi")
-    least = stored(least, "simhash-least")  # the only ones that are compared
-    held, other = least.toDF("x", "x_least"), least.toDF("y", "y_least")
-    both = pairs.join(held, "x").join(other, "y").select("x", "y", "x_least", "y_least")
+    least = least.join(marked.groupBy("own_text").agg(F.min("bits").alias("bits")), "own_text")
+    least = stored(least.select("own_text", "least", "bits"), "simhash-least")  # the only ones that are compared
+    held, other = least.toDF("x", "x_least", "a"), least.toDF("y", "y_least", "b")
+    both = pairs.join(held, "x").join(other, "y").select("x", "y", "a", "b", "x_least", "y_least")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            alike = [jaccard(a, b) >= similarity for a, b in zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True)]
-            yield batch.select([0, 1]).filter(pa.array(alike, pa.bool_()))
+            alike = [jaccard(a, b) >= similarity for a, b in zip(*(c.to_pylist() for c in batch.columns[4:]), strict=True)]
+            yield batch.select([0, 1, 2, 3]).filter(pa.array(alike, pa.bool_()))
 
-    linked = stored(map_batches(both, run, "x long, y long"), "simhash-near")
-    linked = linked.unionByName(links_across(shared, least, linked, similarity))
-    bits = stored(marked.groupBy("own_text").agg(F.min("bits").alias("bits")), "simhash-of-texts")
-    for side, name in (("x", "a"), ("y", "b")):
-        linked = linked.join(bits.select(F.col("own_text").alias(side), F.col("bits").alias(name)), side)
-    return linked.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    linked = stored(map_batches(both, run, "x long, y long, a long, b long"), "simhash-near")
+    linked = linked.select("a", "b").unionByName(links_across(shared, least, linked.select("x", "y"), similarity))
+    return linked.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def links_across(shared: DataFrame, least: DataFrame, linked: DataFrame, similarity: float) -> DataFrame:
-    """Links (x, y) that join all texts alike that share a key (``shared``: key, own_text) but no class of the links found so far.
+    """Links (a, b) of the fingerprints of all texts alike that share a key (``shared``: key, own_text) but no class of ``linked``.
+
+    ``least`` has own_text, least and bits of the texts that share a key, ``linked`` (x, y) the links found so far.
 
     The texts of a key that is left with several classes are cut into blocks of about ``BLOCK``, those of a large class by
     themselves. Each two blocks of a key meet in a row, but for two of one class, and are compared as matrices, so a group of
     n texts makes (n / BLOCK)^2 / 2 rows at most and one of few classes as many as its blocks. A row gives fewer links than it
     has classes, as the others follow from them.
     """
-    texts_met = shared.select(F.col("own_text").alias("bits")).distinct()
-    rooted = stored(components(texts_met.withColumn("label", F.col("bits")), linked.select(F.col("x").alias("a"), F.col("y").alias("b"))), "simhash-near-classes")
-    held = shared.join(rooted.withColumnRenamed("bits", "own_text"), "own_text")
+    rooted = owners(least.select(F.col("own_text").alias("bits")), linked.toDF("a", "b")).toDF("own_text", "root")
+    held = shared.join(rooted, "own_text")
     sizes = stored(held.groupBy("key", "root").agg(F.count("*").alias("n")), "simhash-class-sizes")
     large = F.col("n") >= BLOCK
     mixed = sizes.groupBy("key").agg(F.count("*").alias("classes"), F.sum(F.when(~large, F.col("n"))).alias("few")).filter("classes > 1")
@@ -319,7 +316,7 @@ def links_across(shared: DataFrame, least: DataFrame, linked: DataFrame, similar
     named = sizes.join(mixed, "key").select("key", "root", F.when(large, F.col("root")).alias("whole"), parts.alias("parts"))
     held = held.join(named, ["key", "root"]).join(least, "own_text")
     part = F.pmod(F.xxhash64(F.when(F.col("whole").isNull(), F.col("root")).otherwise(F.col("own_text"))), F.col("parts")).alias("part")
-    held = held.select("key", "whole", part, F.struct("own_text", "root", "least").alias("one"))
+    held = held.select("key", "whole", part, F.struct("bits", "root", "least").alias("one"))
     blocks = stored(held.groupBy("key", "whole", "part").agg(F.collect_list("one").alias("some")), "simhash-blocks")
     left, right = blocks.select("key", "whole", "part", "some"), blocks.toDF("key", "whole_b", "part_b", "some_b")
     place, place_b = F.struct("whole", "part"), F.struct("whole_b", "part_b")
@@ -338,12 +335,12 @@ def links_across(shared: DataFrame, least: DataFrame, linked: DataFrame, similar
                     low, high = sorted(top(above, end) for end in ends)
                     if low != high:
                         above[high] = low
-                        found.append((some[a]["own_text"], other[b]["own_text"], *sorted(ends)))
+                        found.append((some[a]["bits"], other[b]["bits"], *sorted(ends)))
                 if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["x", "y", "low", "high"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b", "low", "high"])
 
-    found = map_batches(met, run, "x long, y long, low long, high long").groupBy("low", "high")  # one for two classes
-    return stored(found.agg(F.min(F.struct("x", "y")).alias("one")).select("one.x", "one.y"), "simhash-across")
+    found = map_batches(met, run, "a long, b long, low long, high long").groupBy("low", "high")  # one for two classes
+    return stored(found.agg(F.min(F.struct("a", "b")).alias("one")).select("one.a", "one.b"), "simhash-across")
 
 
 def top(above: dict, end):

@@ -145,6 +145,17 @@ def test_chains_let_every_pair_within_the_budget_pass(spark):
     assert 0 < df.filter(~ps.chains(F.col("a"), F.col("b"), 14)).count() < 500
 
 
+def test_classes_of_near_copies_take_few_queries(spark, monkeypatch):
+    """Every query leaves plans, threads and broadcasts with the driver, however small the tables."""
+    kept = []
+    monkeypatch.setattr(ps, "stored", lambda df, purpose, f=ps.stored: kept.append(purpose) or f(df, purpose))
+    words = odd.prose(4, 120).split()
+    data = [(i, edited(words, i)) for i in range(30)] + [(100 + i, odd.prose(90 + i, 120)) for i in range(10)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    assert {r.doc_id for r in ps.one_of_each(docs).collect()} == {0, *range(100, 110)}
+    assert len(kept) <= 15
+
+
 def test_rows_of_one_id_with_two_texts(spark):
     a, b = odd.prose(1, 60), odd.prose(2, 60)
     docs = spark.createDataFrame([(1, a), (1, b), (5, b), (7, a), (7, a)], "doc_id long, text string")

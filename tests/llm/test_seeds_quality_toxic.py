@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from rowloom.llm import ordinal_quality as oq
 from rowloom.llm import spaced_seeds as ss
@@ -128,6 +129,16 @@ def test_quality_of_odd_documents(spark):
     assert oq.graded(odd.empty(spark), model).collect() == []
 
 
+def test_quality_is_fitted_without_texts_on_the_driver(spark):
+    data = [(i, f"{odd.prose(i, 30)} {'fine' if i % 2 else 'vile'}") for i in range(60)] + [(99, "so it goes " * 100_000)]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    rated = spark.createDataFrame([(i, i % 2) for i, _ in data], "doc_id long, grade int")
+    assert oq.sampled(docs, rated, 100).toArrow().nbytes < 100_000
+    order = docs.join(rated, "doc_id").orderBy(F.xxhash64("doc_id")).collect()
+    want, got = oq.fit([r.text for r in order], [r.grade for r in order]), oq.train(docs, rated)
+    assert np.array_equal(got.weights, want.weights) and np.array_equal(got.cuts, want.cuts) and got.grades == want.grades
+
+
 def test_toxicity_is_learnt_and_never_from_held_out_rows(spark):
     import zlib
 
